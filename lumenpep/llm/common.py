@@ -6,6 +6,7 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -53,3 +54,9 @@ def text_or_empty(name: str = "text") -> Column:
 def only(df: DataFrame, *names: str) -> DataFrame:
     """The columns an operator works with; all others, whatever their names, stay behind."""
     return df.select(*(F.col(f"`{n}`") for n in names))
+
+
+def values(batch, column: int, step: int = 500) -> Iterator:
+    """A column's values as Python objects, a few rows at a time: a batch of long texts isn't held twice."""
+    for low in range(0, batch.num_rows, step):
+        yield from batch.column(column).slice(low, step).to_pylist()

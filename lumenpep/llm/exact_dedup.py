@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import new_path, only, text_or_empty
+from .common import new_path, only, text_or_empty, values
 
 ENTRIES = "bucket int, key long, chain int, text_sha256 string, keep_id long, group_size long"
 COMBINED = "bucket int, key long, text string, n long, last long"
@@ -70,7 +70,7 @@ def _combine(directory: Directory, held: int):
         met: dict[tuple[int, str], tuple[int, int | None]] = {}
         size = 0
         for batch in batches:
-            for doc, key, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for doc, key, text in zip(*(values(batch, i) for i in range(3)), strict=True):
                 n, last = met.get((key, text), (0, None))
                 met[key, text] = n + 1, doc if last is None else last if doc is None else max(last, doc)
                 if not n:
@@ -98,7 +98,7 @@ def _own(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*done, strict=True), kinds, strict=True)], names=names)
 
     for batch in batches:
-        for bucket, key, text, n, last in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+        for bucket, key, text, n, last in zip(*(values(batch, i) for i in range(5)), strict=True):
             if at != (bucket, key):
                 if at:
                     close()

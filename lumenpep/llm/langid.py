@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
-from .common import only
+from .common import only, values
 
 #: Bytes as the network sees them: A-Z in lower case; digits, punctuation and white space of ASCII as one symbol.
 _SEEN = np.array([b + 32 if 65 <= b < 91 else b if 97 <= b < 123 or b >= 128 else 32 for b in range(256)], dtype=np.uint8)
@@ -180,7 +180,7 @@ def _apply(net: Net, steps: int, block: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         docs, windows, letters, size = [], [], [], 0
         for batch in batches:
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            for doc, text in zip(batch.column(0).to_pylist(), values(batch, 1), strict=True):
                 w, k = _windows((text or "").encode("utf-8"), steps)
                 if not text or not any(map(str.isalpha, text)):
                     k = np.zeros_like(k)

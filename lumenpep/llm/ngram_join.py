@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import only, partitions, stage
+from .common import only, partitions, stage, values
 from .shingles import mix, shingle_sets
 
 SETS = "doc_id long, n long, node long, grp long, prefix binary"
@@ -68,7 +68,7 @@ def rarity(docs: DataFrame, rule: Rule, blocks: int = 64) -> np.ndarray:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         count = np.zeros(rule.counters, dtype="<i8")
         for batch in batches:
-            for s in shingle_sets(batch.column(0).to_pylist(), rule.size):
+            for s in shingle_sets(values(batch, 0), rule.size):
                 np.add.at(count, (s >> shift).astype(np.int64), 1)  # a set has a shingle once, but a range may have several
         if count.any():
             yield pa.RecordBatch.from_arrays([pa.array(range(blocks), pa.int32()), pa.array([b.tobytes() for b in np.split(count.astype("<f4"), blocks)], pa.binary())], names=["block", "data"])
@@ -88,7 +88,7 @@ def _prefixes(rule: Rule, rare: np.ndarray, seen_limit: int = 500_000):
         seen: set[int] = set()
         for batch in batches:
             rows = []
-            for doc, s in zip(batch.column(0).to_pylist(), shingle_sets(batch.column(1).to_pylist(), rule.size), strict=True):
+            for doc, s in zip(batch.column(0).to_pylist(), shingle_sets(values(batch, 1), rule.size), strict=True):
                 n = len(s)
                 if not n:
                     rows.append((doc, 0, None, None, None))
@@ -194,7 +194,7 @@ def _whole_sets(rule: Rule, table: np.ndarray, bits: int):
             for at in _places(ids, bits):
                 passed &= (table[at >> 3] >> (at & 7) & 1).astype(bool)
             some = batch.filter(pa.array(passed))
-            sets = list(shingle_sets(some.column(1).to_pylist(), rule.size))
+            sets = list(shingle_sets(values(some, 1), rule.size))
             if sets:
                 yield pa.RecordBatch.from_arrays([some.column(0), pa.array([_node(s) for s in sets], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())], names=["doc_id", "node", "shingles"])
 

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import tokens
-from .common import only, stage
+from .common import only, stage, values
 
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, task long, nth long"
 PLACED = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
@@ -88,7 +88,7 @@ def _cut(path: str, capacity: int, end_id: int):
         encoder = tokens.encoder(path)
         for batch in batches:
             rows = []
-            ids = encoder.encode(batch.column(1).to_pylist())
+            ids = encoder.encode(values(batch, 1))
             for doc, data in zip(batch.column(0).to_pylist(), ids, strict=True):
                 data += end
                 n = len(data) // 4

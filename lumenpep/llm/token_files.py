@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import tokens
-from .common import new_path, only, partitions, stage
+from .common import new_path, only, partitions, stage, values
 
 HEAD, TAIL = b"TOKSHARD", b"TOKINDEX"
 NO_ID = -(1 << 63)  # in the index, for a null doc_id
@@ -78,7 +78,7 @@ def _write(folder: str, path: str, width: int, trained: bytes, end_id: int):
                 out = fs.open_output_stream(draft)
                 out.write(HEAD + bytes([width]) + (hashlib.sha256(trained).digest() if trained else bytes(32)))
                 at = len(HEAD) + 33
-            for doc, data in zip(batch.column(0).to_pylist(), encoder.encode(batch.column(1).to_pylist()), strict=True):
+            for doc, data in zip(batch.column(0).to_pylist(), encoder.encode(values(batch, 1)), strict=True):
                 frame = press.compress(serialize(data + end, width))
                 out.write(frame)
                 at += len(frame)

@@ -32,7 +32,7 @@ _BYTE_LEVEL_CONF = {"type": "ByteLevel", "add_prefix_space": False, "trim_offset
 class Encoder:
     """encode(texts) yields the ids of each whole text as little-endian unsigned 32-bit integers, without special tokens."""
 
-    def __init__(self, path: str, memo: int = 1_000_000, block: int = 1_000_000):
+    def __init__(self, path: str, memo: int = 350_000, block: int = 1_000_000):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
@@ -40,7 +40,8 @@ class Encoder:
         with open(path, encoding="utf-8") as f:
             conf = json.load(f)
         self.vocabulary = self.tokenizer.get_vocab_size(with_added_tokens=True)
-        self.memo: dict[str, bytes] = {}
+        self.memo: dict[str, bytes] = {}  # two generations of at most `memo` pre-tokens; those in use move to the new one
+        self.old: dict[str, bytes] = {}
         self.limit, self.block = memo, block
         before, norm, model = conf.get("pre_tokenizer") or {}, conf.get("normalizer"), conf["model"]
         plain = model["type"] == "BPE" and not conf.get("post_processor") and all(a["content"].startswith("<|") for a in conf["added_tokens"])
@@ -62,9 +63,13 @@ class Encoder:
             else:
                 cuts.append(self.cut(text.lower() if self.lower else text))
         met = set().union(*(c for c in cuts if c))
-        if len(self.memo) + len(met) > self.limit:
-            self.memo.clear()
-        new = list(met.difference(self.memo))
+        if len(self.memo) > self.limit:
+            self.old, self.memo = self.memo, {}
+        met.difference_update(self.memo)
+        if self.old:
+            self.memo.update((w, self.old[w]) for w in met if w in self.old)
+            met.difference_update(self.memo)
+        new = list(met)
         self.memo.update(zip(new, self._ask(new), strict=True))
         whole = self._ask([t for t, c in zip(texts, cuts, strict=True) if c is None])
         for c in cuts:
