@@ -1,7 +1,7 @@
 """Token ids of whole texts by a public tokenizer of the `tokenizers` library.
 
 BPE treats each pre-token alone, so the ids of a text are those of its pre-tokens one after another. Texts repeat their
-words: each worker keeps the ids of the pre-tokens that it has met, and asks the library for the others. Cutting into
+words: each worker keeps the ids of the pre-tokens that it has met, and asks the library's model for the others. Cutting into
 pre-tokens is done here for texts made of Latin letters, ASCII and common punctuation, where Python's and the library's
 character classes agree; all other texts, and those that could hold special tokens, go to the library whole. Both ways
 give the same ids (tests/llm/test_tokens.py).
@@ -12,6 +12,7 @@ from __future__ import annotations
 import json
 import os
 import re
+import struct
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -27,6 +28,9 @@ _SUFFIX = "'s|'t|'re|'ve|'m|'ll|'d"
 _BYTE_LEVEL = re.compile(rf"{_SUFFIX}| ?[{_LETTER}]+| ?[0-9]+| ?[^{_BLANK}{_LETTER}0-9]+|[{_BLANK}]+(?![^{_BLANK}])|[{_BLANK}]+")
 _WORD_END = re.compile(rf"{_SUFFIX}|[{_LETTER}]+|[0-9]|[^{_BLANK}{_LETTER}0-9]+")
 _BYTE_LEVEL_CONF = {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": True}
+#: Byte-level models see each byte as a printable character: the printable ones of Latin-1 as themselves, others from 256 on.
+_PRINTABLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
+_SHOWN = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in _PRINTABLE)}
 
 
 class Encoder:
@@ -39,6 +43,7 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         with open(path, encoding="utf-8") as f:
             conf = json.load(f)
+        self.model = self.tokenizer.model
         self.vocabulary = self.tokenizer.get_vocab_size(with_added_tokens=True)
         self.memo: dict[str, bytes] = {}  # two generations of at most `memo` pre-tokens; those in use move to the new one
         self.old: dict[str, bytes] = {}
@@ -69,8 +74,9 @@ class Encoder:
         if self.old:
             self.memo.update((w, self.old[w]) for w in met if w in self.old)
             met.difference_update(self.memo)
-        new = list(met)
-        self.memo.update(zip(new, self._ask(new), strict=True))
+        for w in met:
+            ids = [t.id for t in self.model.tokenize(w.encode("utf-8").decode("latin-1").translate(_SHOWN))]
+            self.memo[w] = struct.pack(f"<{len(ids)}I", *ids)
         whole = self._ask([t for t, c in zip(texts, cuts, strict=True) if c is None])
         for c in cuts:
             yield next(whole) if c is None else b"".join(map(self.memo.__getitem__, c))
