@@ -33,64 +33,59 @@ _PRINTABLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
 _SHOWN = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in _PRINTABLE)}
 
 
+class _Memo(dict):
+    """Pre-token -> its ids as little-endian unsigned 32-bit integers. Two generations of at most `limit` pre-tokens: those
+    in use move from the old one to the new one."""
+
+    def __init__(self, model, limit: int):
+        super().__init__()
+        self.model, self.limit, self.old = model, limit, {}
+
+    def __missing__(self, piece: str) -> bytes:
+        ids = self.old.get(piece)
+        if ids is None:
+            found = [t.id for t in self.model.tokenize(piece.encode("utf-8").decode("latin-1").translate(_SHOWN))]
+            ids = struct.pack(f"<{len(found)}I", *found)
+        if len(piece) <= 64:
+            self[piece] = ids
+        return ids
+
+    def age(self) -> None:
+        if len(self) > self.limit:
+            self.old = dict(self)
+            self.clear()
+
+
 class Encoder:
     """encode(texts) yields the ids of each whole text as little-endian unsigned 32-bit integers, without special tokens."""
 
-    def __init__(self, path: str, memo: int = 350_000, block: int = 1_000_000):
+    def __init__(self, path: str, memo: int = 400_000):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         with open(path, encoding="utf-8") as f:
             conf = json.load(f)
-        self.model = self.tokenizer.model
         self.vocabulary = self.tokenizer.get_vocab_size(with_added_tokens=True)
-        self.memo: dict[str, bytes] = {}  # two generations of at most `memo` pre-tokens; those in use move to the new one
-        self.old: dict[str, bytes] = {}
-        self.limit, self.block = memo, block
+        self.memo = _Memo(self.tokenizer.model, memo)
         before, norm, model = conf.get("pre_tokenizer") or {}, conf.get("normalizer"), conf["model"]
         plain = model["type"] == "BPE" and not conf.get("post_processor") and all(a["content"].startswith("<|") for a in conf["added_tokens"])
-        self.cut = self.lower = None
+        self.cut, self.lower = None, False
         if plain and norm is None and before == _BYTE_LEVEL_CONF:
-            self.cut, self.lower = _BYTE_LEVEL.findall, False
+            self.cut = _BYTE_LEVEL.findall
         elif plain and [n["type"] for n in (norm or {}).get("normalizers", [])] == ["NFC", "Replace", "Lowercase"] and [p["type"] for p in before.get("pretokenizers", [])] == ["Split", "ByteLevel"]:
             self.cut, self.lower = _WORD_END.findall, True
 
-    def _ask(self, pieces: list[str]) -> Iterator[bytes]:
-        for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False):
-            yield np.asarray(e.ids, dtype="<u4").tobytes()
-
-    def _block(self, texts: list[str]) -> Iterator[bytes]:
-        cuts: list[list[str] | None] = []
-        for text in texts:
-            if self.cut is None or (_CONTROL if text.isascii() else _OTHER).search(text):
-                cuts.append(None)
-            else:
-                cuts.append(self.cut(text.lower() if self.lower else text))
-        met = set().union(*(c for c in cuts if c))
-        if len(self.memo) > self.limit:
-            self.old, self.memo = self.memo, {}
-        met.difference_update(self.memo)
-        if self.old:
-            self.memo.update((w, self.old[w]) for w in met if w in self.old)
-            met.difference_update(self.memo)
-        for w in met:
-            ids = [t.id for t in self.model.tokenize(w.encode("utf-8").decode("latin-1").translate(_SHOWN))]
-            self.memo[w] = struct.pack(f"<{len(ids)}I", *ids)
-        whole = self._ask([t for t, c in zip(texts, cuts, strict=True) if c is None])
-        for c in cuts:
-            yield next(whole) if c is None else b"".join(map(self.memo.__getitem__, c))
-
     def encode(self, texts: Iterable[str | None]) -> Iterator[bytes]:
-        """In blocks of about so many characters, so that memory doesn't grow with the number of texts."""
-        block, size = [], 0
+        known = self.memo.__getitem__
         for text in texts:
-            block.append(text or "")
-            size += len(block[-1])
-            if size >= self.block:
-                yield from self._block(block)
-                block, size = [], 0
-        yield from self._block(block)
+            if not text:
+                yield b""
+            elif self.cut is None or (_CONTROL if text.isascii() else _OTHER).search(text):
+                yield np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
+            else:
+                yield b"".join(map(known, self.cut(text.lower() if self.lower else text)))
+                self.memo.age()
 
 
 _encoders: dict[str, Encoder] = {}
