@@ -70,7 +70,10 @@ def _write(folder: str, path: str, width: int, trained: bytes, end_id: int):
 
         shard = TaskContext.get().partitionId()
         fs, base = _fs(folder)
-        press = zstandard.ZstdCompressor(level=3, dict_data=zstandard.ZstdCompressionDict(trained) if trained else None, write_content_size=True)
+        shared = zstandard.ZstdCompressionDict(trained) if trained else None
+        if shared:
+            shared.precompute_compress(level=3)  # once a task, not for each frame
+        press = zstandard.ZstdCompressor(level=3, dict_data=shared, write_content_size=True)
         encoder, out, ids, ends, counts, at = tokens.encoder(path), None, [], [], [], 0
         draft, name = f"{base}/draft-{uuid.uuid4().hex}", f"shard-{shard:06d}.tok"
         for batch in batches:
