@@ -19,7 +19,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import only, partitions, stage, values
@@ -243,25 +243,44 @@ def components(edges: DataFrame) -> DataFrame:
     return edges.selectExpr("a AS node", "b AS root") if labels is None else labels
 
 
-def _crossing(rule: Rule, key: list[str]):
-    """Of the entries of a block of a list, the pairs from two components that can be similar. Blocks are bounded."""
+def _crossing(rule: Rule):
+    """Entries (token, low, high, node, root, n, pos, side) sorted by token, low, high and n -> pairs of a block from two
+    components that can be similar. All lists of a batch go together: each entry meets the next, then the one after, and so
+    on while that is in the same list and of a fitting size."""
+
+    def pairs(columns: list[np.ndarray]) -> np.ndarray:
+        token, low, high, node, root, n, pos, side = columns
+        n, pos = n.astype(np.int64), pos.astype(np.int64)
+        edge = np.ones(len(token), dtype=bool)
+        edge[1:] = (token[1:] != token[:-1]) | (low[1:] != low[:-1]) | (high[1:] != high[:-1])
+        end = np.append(np.flatnonzero(edge)[1:], len(token))[np.cumsum(edge) - 1]
+        one, out, step = np.arange(len(token)), [np.zeros((2, 0), dtype=np.int64)], 0
+        while len(one):
+            step += 1
+            one = one[one + step < end[one]]
+            one = one[n[one] * rule.den >= n[one + step] * rule.num]
+            two = one + step
+            most = np.minimum(n[one] - pos[one], n[two] - pos[two])
+            fit = (root[one] != root[two]) & (most * (rule.num + rule.den) >= (n[one] + n[two]) * rule.num)
+            fit &= (low[one] == high[one]) | (side[one] != side[two])
+            out.append(np.stack((node[one[fit]], node[two[fit]])))
+        return np.unique(np.sort(np.concatenate(out, axis=1), axis=0), axis=1)
 
-    def run(pdf):
-        import pandas as pd
-
-        pdf = pdf.sort_values("n", kind="stable")
-        node, root, side = (pdf[c].to_numpy() for c in ("node", "root", "side"))
-        n, pos = (pdf[c].to_numpy().astype(np.int64) for c in ("n", "pos"))
-        two = pdf["two"].iloc[0]
-        out = []
-        for i in range(1, len(pdf)):
-            low = int(np.searchsorted(n, -(-n[i] * rule.num // rule.den)))
-            j = np.arange(low, i)
-            most = np.minimum(n[i] - pos[i], n[j] - pos[j])
-            j = j[(root[j] != root[i]) & (most * (rule.num + rule.den) >= (n[i] + n[j]) * rule.num) & (not two or side[j] != side[i])]
-            out.append(np.stack((node[j], np.full(len(j), node[i]))))
-        a, b = np.concatenate(out, axis=1) if out else np.zeros((2, 0), dtype=np.int64)
-        return pd.DataFrame({"a": a, "b": b}).drop_duplicates()
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[np.ndarray] | None = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            columns = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(8)]
+            if held:
+                columns = [np.concatenate((h, c)) for h, c in zip(held, columns, strict=True)]
+            last = (columns[0] == columns[0][-1]) & (columns[1] == columns[1][-1]) & (columns[2] == columns[2][-1])
+            at = len(last) - int(last[::-1].argmin()) if not last.all() else 0  # the last block may go on
+            found, held = pairs([c[:at] for c in columns]), [c[at:] for c in columns]
+            if found.shape[1]:
+                yield pa.RecordBatch.from_arrays([pa.array(found[0]), pa.array(found[1])], names=["a", "b"])
+        if held and (found := pairs(held)).shape[1]:
+            yield pa.RecordBatch.from_arrays([pa.array(found[0]), pa.array(found[1])], names=["a", "b"])
 
     return run
 
@@ -299,11 +318,12 @@ def near_duplicates(docs: DataFrame, rule: Rule = Rule(), block: int = 2048) ->
     lists = shared.select("token", "grp", "pos").distinct().join(members, "grp").select("token", "node", "n", "pos")
     inner = members.join(one.filter("many > 1").select("grp"), "grp").select(F.col("grp").alias("token"), "node", "n", F.lit(0).alias("pos"))
     lists = lists.union(inner).join(labels, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    open_ = lists.groupBy("token").agg(F.count("*").alias("many"), F.min("root").alias("low"), F.max("root").alias("high")).filter("low <> high").select("token", F.ceil(F.col("many") / block).cast("int").alias("parts"))
+    # a list of two nodes has no pair but the one of the first round
+    open_ = lists.groupBy("token").agg(F.count("*").alias("many"), F.min("root").alias("low"), F.max("root").alias("high")).filter("low <> high AND many > 2").select("token", F.ceil(F.col("many") / block).cast("int").alias("parts"))
     dealt = lists.join(open_, "token").withColumn("side", F.pmod(F.xxhash64("node"), "parts").cast("int"))
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).withColumn("low", F.least("side", "other")).withColumn("high", F.greatest("side", "other"))
-    crossing = dealt.select("token", "low", "high", "node", "root", "n", "pos", "side", (F.col("low") != F.col("high")).alias("two"))
-    more = links(crossing.groupBy("token", "low", "high").applyInPandas(_crossing(rule, ["token"]), "a long, b long"), nodes, docs, rule)
+    dealt = dealt.select("token", "low", "high", "node", "root", "n", "pos", "side").repartition(partitions(spark), "token", "low", "high").sortWithinPartitions("token", "low", "high", "n")
+    more = links(dealt.mapInArrow(_crossing(rule), "a long, b long"), nodes, docs, rule)
     labels = components(found.union(more))
 
     ids = nodes.select("node", "doc_id").join(labels, "node", "left").withColumn("root", F.coalesce("root", "node"))
