@@ -6,10 +6,11 @@ group: the groups are joined, and group pairs expand to their members for verifi
 of fixed size that tasks fill and Spark adds up; it decides only the order, never the result.
 
 A shingle that very many groups share would make a pair of each two of them, though links within a component need not be
-known one by one. So the join goes in two rounds. In the first each group of a shingle's list is compared with the list's
-pivot, which costs as many pairs as the list has entries. Verified links give components. In the second, lists whose entries
-lie in one component are done, and of the others every pair from two components is compared, in blocks of bounded size, so
-the components are exact.
+known one by one. So the join goes in rounds. In the first each group of a shingle's list is compared with the list's pivot,
+which costs as many pairs as the list has entries. Verified links give components, and lists whose entries lie in one
+component are done. In some rounds more, up to 16 nodes of each component of the other lists, others in each list, are
+compared with the next few of their size. In the last, every pair from two components is compared, in blocks of bounded size, so the
+components are exact.
 """
 
 from __future__ import annotations
@@ -213,20 +214,35 @@ def _common(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found, pa.int64()), pa.array([len(x) // 8 for x in a], pa.int64()), pa.array([len(y) // 8 for y in b], pa.int64())], names=["a", "b", "both", "a_n", "b_n"])
 
 
-def links(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, rule: Rule) -> DataFrame:
-    """Of node pairs (a, b), those that are similar, by their whole sets. Texts are read again for the nodes in pairs."""
-    pairs = stage(pairs.filter("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "pairs")
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(nodes, "node").select("node", "doc_id")
-    wanted = stage(wanted, "wanted")
-    count = wanted.count()
-    if not count:
-        return pairs
-    bits = 1 << min(29, max(16, (16 * count).bit_length()))
-    sets = docs.filter("doc_id IS NOT NULL").mapInArrow(_whole_sets(rule, _bloom(wanted.select("doc_id"), bits), bits), "doc_id long, node long, shingles binary")
-    sets = stage(sets.join(wanted, ["doc_id", "node"]).dropDuplicates(["node"]).select("node", "shingles"), "sets")
-    both = pairs.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("x")), "a").join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("y")), "b")
-    both = both.select("a", "b", "x", "y").mapInArrow(_common, "a long, b long, both long, a_n long, b_n long")
-    return stage(both.filter(F.col("both") * (rule.num + rule.den) >= (F.col("a_n") + F.col("b_n")) * rule.num).select("a", "b"), "links")
+class Verifier:
+    """Compares whole sets. Sets are read from the texts when their nodes first come up in a pair, and kept."""
+
+    def __init__(self, nodes: DataFrame, docs: DataFrame, rule: Rule):
+        self.nodes, self.docs, self.rule = nodes, docs, rule
+        self.sets: DataFrame | None = None
+
+    def _fetch(self, pairs: DataFrame) -> None:
+        wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+        if self.sets is not None:
+            wanted = wanted.join(self.sets.select("node"), "node", "left_anti")
+        wanted = stage(wanted.join(self.nodes, "node").select("node", "doc_id"), "wanted")
+        count = wanted.count()
+        if count:
+            bits = 1 << min(29, max(16, (16 * count).bit_length()))
+            run = _whole_sets(self.rule, _bloom(wanted.select("doc_id"), bits), bits)
+            sets = self.docs.filter("doc_id IS NOT NULL").mapInArrow(run, "doc_id long, node long, shingles binary")
+            sets = stage(sets.join(wanted, ["doc_id", "node"]).dropDuplicates(["node"]).select("node", "shingles"), "sets")
+            self.sets = sets if self.sets is None else self.sets.union(sets)
+
+    def links(self, pairs: DataFrame) -> DataFrame:
+        """Of node pairs (a, b), those that are similar."""
+        pairs = stage(pairs.filter("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "pairs")
+        self._fetch(pairs)
+        if self.sets is None:
+            return pairs
+        x, y = (self.sets.select(F.col("node").alias(k), F.col("shingles").alias(v)) for k, v in (("a", "x"), ("b", "y")))
+        both = pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y").mapInArrow(_common, "a long, b long, both long, a_n long, b_n long")
+        return stage(both.filter(F.col("both") * (self.rule.num + self.rule.den) >= (F.col("a_n") + F.col("b_n")) * self.rule.num).select("a", "b"), "links")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -243,10 +259,10 @@ def components(edges: DataFrame) -> DataFrame:
     return edges.selectExpr("a AS node", "b AS root") if labels is None else labels
 
 
-def _crossing(rule: Rule):
+def _crossing(rule: Rule, reach: int | None = None):
     """Entries (token, low, high, node, root, n, pos, side) sorted by token, low, high and n -> pairs of a block from two
     components that can be similar. All lists of a batch go together: each entry meets the next, then the one after, and so
-    on while that is in the same list and of a fitting size."""
+    on while that is in the same list and of a fitting size, or up to the reach-th."""
 
     def pairs(columns: list[np.ndarray]) -> np.ndarray:
         token, low, high, node, root, n, pos, side = columns
@@ -255,7 +271,7 @@ def _crossing(rule: Rule):
         edge[1:] = (token[1:] != token[:-1]) | (low[1:] != low[:-1]) | (high[1:] != high[:-1])
         end = np.append(np.flatnonzero(edge)[1:], len(token))[np.cumsum(edge) - 1]
         one, out, step = np.arange(len(token)), [np.zeros((2, 0), dtype=np.int64)], 0
-        while len(one):
+        while len(one) and step != reach:
             step += 1
             one = one[one + step < end[one]]
             one = one[n[one] * rule.den >= n[one + step] * rule.num]
@@ -285,7 +301,15 @@ def _crossing(rule: Rule):
     return run
 
 
-def near_duplicates(docs: DataFrame, rule: Rule = Rule(), block: int = 2048) -> DataFrame:
+def _open(lists: DataFrame, labels: DataFrame) -> DataFrame:
+    """Entries of the lists whose nodes lie in more than one component, with root and many, the list's length. A list of
+    two nodes has no pair but the one that the first round compared."""
+    lists = lists.join(labels, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    of = lists.groupBy("token").agg(F.count("*").alias("many"), F.min("root").alias("low"), F.max("root").alias("high")).filter("low <> high AND many > 2")
+    return lists.join(of.select("token", "many"), "token")
+
+
+def near_duplicates(docs: DataFrame, rule: Rule = Rule(), block: int = 2048, turns: int = 2) -> DataFrame:
     """One row for each row of docs (doc_id, text): doc_id, n_shingles, component_id.
 
     component_id is the smallest doc_id that links lead to, itself included. A null text or one without words has an empty
@@ -311,19 +335,26 @@ def near_duplicates(docs: DataFrame, rule: Rule = Rule(), block: int = 2048) ->
     rep = one.select("grp", F.col("node").alias("first"))
     within = members.join(rep, "grp").select(F.col("first").alias("a"), F.col("node").alias("b"))
     across = groups.join(rep.withColumnRenamed("first", "a"), "grp").join(rep.select(F.col("grp").alias("pivot"), F.col("first").alias("b")), "pivot").select("a", "b")
-    found = links(within.union(across), nodes, docs, rule)
-    labels = components(found)
+    verifier = Verifier(nodes, docs, rule)
+    found = verifier.links(within.union(across))
 
-    # second round: all pairs from two components
+    # lists of more than two nodes may have other pairs
     lists = shared.select("token", "grp", "pos").distinct().join(members, "grp").select("token", "node", "n", "pos")
     inner = members.join(one.filter("many > 1").select("grp"), "grp").select(F.col("grp").alias("token"), "node", "n", F.lit(0).alias("pos"))
-    lists = lists.union(inner).join(labels, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    # a list of two nodes has no pair but the one of the first round
-    open_ = lists.groupBy("token").agg(F.count("*").alias("many"), F.min("root").alias("low"), F.max("root").alias("high")).filter("low <> high AND many > 2").select("token", F.ceil(F.col("many") / block).cast("int").alias("parts"))
-    dealt = lists.join(open_, "token").withColumn("side", F.pmod(F.xxhash64("node"), "parts").cast("int"))
+    lists = lists.union(inner)
+    labels = components(found)
+    for turn in range(turns):
+        open_ = _open(lists, labels)
+        some = open_.groupBy("token", "root", F.pmod(F.xxhash64("node", F.lit(turn)), F.lit(16))).agg(F.max("many").alias("many"), F.min(F.struct(F.xxhash64("token", "node", F.lit(turn)).alias("h"), "node", "n", "pos")).alias("one"))
+        low = F.pmod(F.xxhash64("one.node", F.lit(turn)), F.ceil(F.col("many") / block)).cast("int")
+        some = some.select("token", low.alias("low"), low.alias("high"), "one.node", "root", "one.n", "one.pos", low.alias("side")).repartition(partitions(spark), "token", "low").sortWithinPartitions("token", "low", "high", "n")
+        pairs = some.mapInArrow(_crossing(rule, 8 << 2 * turn), "a long, b long")
+        found = found.union(verifier.links(pairs))
+        labels = components(found)
+    dealt = _open(lists, labels).withColumn("parts", F.ceil(F.col("many") / block).cast("int")).withColumn("side", F.pmod(F.xxhash64("node"), "parts").cast("int"))
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).withColumn("low", F.least("side", "other")).withColumn("high", F.greatest("side", "other"))
     dealt = dealt.select("token", "low", "high", "node", "root", "n", "pos", "side").repartition(partitions(spark), "token", "low", "high").sortWithinPartitions("token", "low", "high", "n")
-    more = links(dealt.mapInArrow(_crossing(rule), "a long, b long"), nodes, docs, rule)
+    more = verifier.links(dealt.mapInArrow(_crossing(rule), "a long, b long"))
     labels = components(found.union(more))
 
     ids = nodes.select("node", "doc_id").join(labels, "node", "left").withColumn("root", F.coalesce("root", "node"))
