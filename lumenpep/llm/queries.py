@@ -77,10 +77,10 @@ ORACLES = {
             FROM grams a JOIN grams b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL
         ), links AS (
             SELECT a, b FROM shared JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b WHERE 100 * k >= 80 * (x.n + y.n - k)
-        ), both AS (
+        ), ends AS (
             SELECT a, b FROM links UNION ALL SELECT b, a FROM links
         ), reach AS (
-            SELECT a AS doc_id, a AS other FROM both UNION SELECT r.doc_id, e.b FROM reach r JOIN both e ON e.a = r.other
+            SELECT a AS doc_id, a AS other FROM ends UNION SELECT r.doc_id, e.b FROM reach r JOIN ends e ON e.a = r.other
         ), least AS (
             SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id
         )
