@@ -1,4 +1,273 @@
-"""Queries of the engine over the driver's tables."""
+"""Queries of the engine over the driver's tables, and the DuckDB SQL that gives the same rows.
 
-QUERIES: dict = {}
-ORACLES: dict = {}
+The tables hold no peptides: letters of texts stand for proteins, ranks come from line items, scores from lengths of texts.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from .functions import alleles
+from .operators import curation, evaluate, features, hla, labels, peptides, similarity, stats
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+ORACLES: dict[str, str] = {}
+
+
+def query(sql: str | None = None):
+    def add(f):
+        QUERIES[f.__name__] = f
+        if sql:
+            ORACLES[f.__name__] = sql
+        return f
+
+    return add
+
+
+def _t(spark: SparkSession, d: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{d}/{name}.parquet")
+
+
+def _proteins(df: DataFrame, key: str) -> DataFrame:
+    return df.select(F.col(key).alias("transcript"), F.upper(F.regexp_replace("text", "[^A-Za-z]", "")).alias("seq"))
+
+
+_SEQ = "upper(regexp_replace(text, '[^A-Za-z]', '', 'g'))"
+_DOCS = f"orf AS (SELECT doc_id AS transcript, {_SEQ} AS seq FROM documents)"
+_BENCH = f"ref AS (SELECT item_id AS transcript, concat('g', item_id % 7) AS gene, {_SEQ} AS seq FROM benchmark)"
+_VALID = "regexp_matches(peptide, '^[ACDEFGHIKLMNPQRSTVWY]+$')"
+
+
+def _kmers(source: str, name: str, extra: str = "transcript", lengths: str = "[8, 9, 10, 11]") -> str:
+    return f"{name} AS (SELECT {extra}, peptide FROM (SELECT {extra}, k, unnest(range(1, greatest(length(seq) - k + 2, 1)::BIGINT)) AS i, substr(seq, i, k) AS peptide FROM (SELECT *, unnest({lengths}) AS k FROM {source})) WHERE {_VALID})"
+
+
+@query(f"WITH {_DOCS}, {_kmers('orf', 'km')} SELECT peptide, count(DISTINCT transcript) AS n, min(transcript) AS first, max(transcript) AS last FROM km GROUP BY peptide")
+def kmer_transcripts(spark, d):
+    of = peptides.transcripts(peptides.windows(_proteins(_t(spark, d, "documents"), "doc_id")))
+    return of.select("peptide", "n", F.col("transcripts")[0].alias("first"), F.element_at("transcripts", -1).alias("last"))
+
+
+@query(f"WITH {_DOCS}, {_BENCH}, {_kmers('orf', 'km')}, {_kmers('ref', 'known', 'gene')} SELECT peptide, count(DISTINCT transcript) AS n FROM km WHERE peptide NOT IN (SELECT peptide FROM known WHERE gene NOT IN ('g0', 'g3')) GROUP BY peptide")
+def kmer_novel(spark, d):
+    bench = _t(spark, d, "benchmark")
+    ref = _proteins(bench, "item_id").withColumn("gene", F.concat(F.lit("g"), (F.col("transcript") % 7).cast("string")))
+    out = spark.createDataFrame([("g0",), ("g3",)], "gene string")
+    found = peptides.novel(peptides.windows(_proteins(_t(spark, d, "documents"), "doc_id")), peptides.reference_set(ref, out))
+    return found.groupBy("peptide").agg(F.count("*").alias("n"))
+
+
+@query(f"WITH {_BENCH}, {_kmers('ref', 'known', 'gene')} SELECT DISTINCT peptide FROM known WHERE gene NOT IN ('g0', 'g3')")
+def kmer_reference_excluding_genes(spark, d):
+    ref = _proteins(_t(spark, d, "benchmark"), "item_id").withColumn("gene", F.concat(F.lit("g"), (F.col("transcript") % 7).cast("string")))
+    return peptides.reference_set(ref, spark.createDataFrame([("g0",), ("g3",)], "gene string"))
+
+
+@query(f"""WITH {_BENCH}, at AS (SELECT transcript, seq, unnest(range(1, length(seq) + 1)) AS pos FROM ref), cut AS (SELECT *, ((transcript * 31 + pos * 17) % 100) AS p FROM at),
+    k AS (SELECT *, unnest([8, 9, 10, 11]) AS k FROM cut WHERE p > 50 OR p = 0), w AS (SELECT transcript, substr(seq, pos - k, k) AS peptide FROM k WHERE pos - 1 - k >= 0)
+    SELECT DISTINCT transcript, peptide FROM w WHERE {_VALID}""")
+def kmer_cleaved(spark, d):
+    of = _proteins(_t(spark, d, "benchmark"), "item_id")
+    at = of.select("transcript", F.explode(F.sequence(F.lit(1), F.greatest(F.length("seq"), F.lit(1)))).alias("pos"))
+    p = (F.col("transcript") * 31 + F.col("pos") * 17) % 100
+    return peptides.cleaved(of, at.filter((p > 50) | (p == 0)))
+
+
+_COUNTS = f"""{_BENCH}, {_kmers('ref', 'pep', 'gene', '[9]')}, wanted AS (SELECT DISTINCT peptide FROM pep), rd AS (SELECT role AS file, {_SEQ} AS seq FROM conversations),
+    {_kmers('rd', 'hit', 'file', '[9]')}"""
+
+
+def _counts(spark, d, by=None):
+    wanted = peptides.windows(_proteins(_t(spark, d, "benchmark"), "item_id"), (9,)).select("peptide")
+    reads = _t(spark, d, "conversations").select(F.col("role").alias("file"), F.upper(F.regexp_replace("text", "[^A-Za-z]", "")).alias("seq"))
+    return peptides.occurrences(wanted, reads, (9,), by)
+
+
+@query(f"WITH {_COUNTS} SELECT w.peptide, count(h.peptide) AS count FROM wanted w LEFT JOIN hit h ON h.peptide = w.peptide GROUP BY ALL")
+def expression_counts(spark, d):
+    return _counts(spark, d)
+
+
+@query(f"WITH {_COUNTS} SELECT w.peptide, count_if(file = 'user')::BIGINT AS count_user, count_if(file = 'assistant')::BIGINT AS count_assistant, count(h.peptide) AS total FROM wanted w LEFT JOIN hit h ON h.peptide = w.peptide GROUP BY ALL")
+def expression_merged(spark, d):
+    return peptides.merged(_counts(spark, d, ["file"]), ["user", "assistant"])
+
+
+@query(f"WITH {_COUNTS} SELECT w.peptide, (count(h.peptide) > 5)::INT AS mtec_expression FROM wanted w LEFT JOIN hit h ON h.peptide = w.peptide GROUP BY ALL")
+def expression_class(spark, d):
+    return peptides.expression_class(_counts(spark, d).withColumnRenamed("count", "total"))
+
+
+_ALLELES = ["HLA-A01:01", "HLA-A02:01", "HLA-A03:01", "HLA-B07:02", "HLA-B08:01", "HLA-B15:01", "HLA-C04:01", "HLA-C07:02"]
+_TOOLS = ["NetMHCpan", "MixMHCpred", "MHCFlurry"]
+_RANKS = f"""r AS (SELECT l_partkey AS peptide, {_ALLELES}[(l_suppkey % 8 + 1)::INT] AS allele, {_TOOLS}[(l_linenumber % 3 + 1)::INT] AS tool, (l_suppkey % 8 * 3 + l_linenumber % 3)::INT AS col_ord,
+    round(min(l_discount * 20 + (l_suppkey % 5) * 0.1), 4) AS rank FROM lineitem GROUP BY ALL)"""
+
+
+def _ranks(spark, d):
+    li = _t(spark, d, "lineitem")
+    at = lambda xs, i: F.element_at(F.array(*map(F.lit, xs)), (i + 1).cast("int"))
+    s, n = F.col("l_suppkey") % 8, F.col("l_linenumber") % 3
+    return li.groupBy(F.col("l_partkey").alias("peptide"), at(_ALLELES, s).alias("allele"), at(_TOOLS, n).alias("tool"), (s * 3 + n).cast("int").alias("col_ord")).agg(F.round(F.min(F.col("l_discount") * 20 + (F.col("l_suppkey") % 5) * F.lit(0.1)), 4).alias("rank"))
+
+
+_NUM = ", ".join(f"count_if(near < {t})::BIGINT AS num_tools_{str(t).replace('.', '_')}" for t in hla.LEVELS)
+
+
+@query(f"""WITH {_RANKS}, t AS (SELECT peptide, tool, min(rank) AS best, min(rank) FILTER (allele IN ('HLA-B07:02', 'HLA-A02:01')) AS near FROM r GROUP BY ALL),
+    x AS (SELECT peptide, arg_min(allele, rank * 1000000 + col_ord) AS best_allele, count_if(rank < 0.5 AND allele IN ('HLA-B07:02', 'HLA-A02:01'))::BIGINT AS strong_binders_count, count_if(rank < 2 AND allele IN ('HLA-B07:02', 'HLA-A02:01'))::BIGINT AS weak_binders_count,
+    coalesce(string_agg(DISTINCT allele, ';' ORDER BY allele) FILTER (rank < 0.5), '') AS all_strong_binders, coalesce(string_agg(DISTINCT allele, ';' ORDER BY allele) FILTER (rank < 2), '') AS all_weak_binders FROM r GROUP BY peptide)
+    SELECT t.peptide, min(best) AS best_rank, round(avg(best), 6) AS avg_rank, any_value(x.best_allele) AS best_allele, any_value(strong_binders_count) AS strong_binders_count, any_value(weak_binders_count) AS weak_binders_count, any_value(all_strong_binders) AS all_strong_binders, any_value(all_weak_binders) AS all_weak_binders, {_NUM}
+    FROM t JOIN x ON x.peptide = t.peptide GROUP BY t.peptide""")
+def hla_consolidated(spark, d):
+    return hla.consolidate(_ranks(spark, d), ["HLA-B07:02", "HLA-A02:01"])
+
+
+@query(f"WITH {_RANKS} SELECT peptide, " + ", ".join(f"min(rank) FILTER (tool = '{t}') AS best_{t}_r, arg_min(allele, rank * 1000000 + col_ord) FILTER (tool = '{t}') AS {t}_a" for t in _TOOLS) + " FROM r GROUP BY peptide")
+def hla_wide_pivot(spark, d):
+    return hla.by_tool(_ranks(spark, d), _TOOLS)
+
+
+def _fragments(spark, d):
+    of = peptides.windows(_proteins(_t(spark, d, "benchmark"), "item_id"), (9, 10, 11)).select("peptide").distinct()
+    return peptides.fragments(of, spark.createDataFrame([("HLA-A02:01",), ("HLA-B07:02",), ("HLA-C07:04",)], "allele string"))
+
+
+_FRAGS = f"""{_BENCH}, {_kmers('ref', 'km', 'gene', '[9, 10, 11]')}, p AS (SELECT DISTINCT peptide FROM km), f AS (SELECT peptide AS parent, unnest(CASE WHEN length(peptide) = 11 THEN [substr(peptide, 1, 10), substr(peptide, 2, 10)] ELSE [peptide] END) AS fragment FROM p),
+    fa AS (SELECT *, unnest(['HLA-A*0201', 'HLA-B*0702', 'HLA-C*0704']) AS allele FROM f)"""
+
+
+@query(f"WITH {_FRAGS} SELECT parent, fragment, allele FROM fa")
+def fragment_expand(spark, d):
+    return _fragments(spark, d)
+
+
+@query(f"WITH {_FRAGS}, s AS (SELECT parent, allele, max(((ascii(fragment) * 7 + length(allele) * 13) % 100) / 100.0::DOUBLE) AS score FROM fa GROUP BY ALL) SELECT parent, max(score) AS best_immunogenicity, round(avg(score), 6) AS avg_immunogenicity, max(score) FILTER (allele LIKE 'HLA-A%') AS best_hla_a FROM s GROUP BY parent")
+def fragment_summary(spark, d):
+    s = _fragments(spark, d).withColumn("score", ((F.ascii("fragment") * 7 + F.length("allele") * 13) % 100) / F.lit(100.0))
+    s = peptides.regroup(s).withColumn("gene", alleles.gene(F.col("allele")))
+    return s.groupBy("parent").agg(F.max("score").alias("best_immunogenicity"), F.round(F.avg("score"), 6).alias("avg_immunogenicity"), F.max(F.when(F.col("gene") == "A", F.col("score"))).alias("best_hla_a"))
+
+
+def _similar(spark, d, **options):
+    name = lambda df, c: df.select(F.upper(F.regexp_replace(F.col(c).cast("string"), "[^A-Za-z]", "")).alias("seq"), F.lit(0).alias("transcript"))
+    few = peptides.windows(name(_t(spark, d, "benchmark"), "text"), (9,)).select("peptide").distinct()
+    ref = peptides.windows(name(_t(spark, d, "part").select(F.concat_ws("", "p_name", "p_type", "p_brand").alias("c")), "c"), (9,)).select(F.col("peptide").alias("seq")).distinct()
+    return similarity.similarity(few, ref, **options)
+
+
+@query()
+def similarity_excl_identity(spark, d):
+    return _similar(spark, d)
+
+
+@query()
+def similarity_identity(spark, d):
+    return _similar(spark, d, exclude_identity=False)
+
+
+@query()
+def similarity_raw(spark, d):
+    return _similar(spark, d, exclude_identity=False, normalised=False)
+
+
+@query("SELECT coalesce(a.k, b.k, c.k) AS peptide, a.qty, b.total, c.clicks FROM (SELECT l_partkey AS k, sum(l_quantity) AS qty FROM lineitem GROUP BY 1) a FULL JOIN (SELECT o_custkey AS k, round(sum(o_totalprice), 2) AS total FROM orders GROUP BY 1) b ON a.k = b.k FULL JOIN (SELECT user_id AS k, count(*) AS clicks FROM events GROUP BY 1) c ON coalesce(a.k, b.k) = c.k")
+def feature_table(spark, d):
+    a = _t(spark, d, "lineitem").groupBy(F.col("l_partkey").alias("peptide")).agg(F.sum("l_quantity").alias("qty"))
+    b = _t(spark, d, "orders").groupBy(F.col("o_custkey").alias("peptide")).agg(F.round(F.sum("o_totalprice"), 2).alias("total"))
+    c = _t(spark, d, "events").groupBy(F.col("user_id").alias("peptide")).agg(F.count("*").alias("clicks"))
+    return features.feature_table([a, b, c])
+
+
+@query("SELECT DISTINCT 'HLA-' || ['A', 'B', 'C'][(s_suppkey % 3 + 1)::INT] || lpad((s_nationkey % 20)::VARCHAR, 2, '0') || ':01' AS allele, 'HLA-' || ['A', 'B', 'C'][(s_suppkey % 3 + 1)::INT] || '*' || lpad((s_nationkey % 20)::VARCHAR, 2, '0') || '01' AS cnn, ['A', 'B', 'C'][(s_suppkey % 3 + 1)::INT] || lpad((s_nationkey % 20)::VARCHAR, 2, '0') || '01' AS prime FROM supplier")
+def allele_formats(spark, d):
+    a = F.concat(F.lit("HLA-"), F.element_at(F.array(F.lit("A"), F.lit("B"), F.lit("C")), (F.col("s_suppkey") % 3 + 1).cast("int")), F.lpad((F.col("s_nationkey") % 20).cast("string"), 2, "0"), F.lit(":01"))
+    return _t(spark, d, "supplier").select(a.alias("allele")).distinct().select("allele", alleles.to_cnn(F.col("allele")).alias("cnn"), alleles.to_prime(F.col("allele")).alias("prime"))
+
+
+def _scored(spark, d):
+    docs, lab = _t(spark, d, "documents"), _t(spark, d, "labels")
+    return labels.labelled(docs.select("doc_id", ((F.col("n_chars") % 1000) / F.lit(1000.0)).alias("score"), "lang"), lab.filter("quality = 1"), lab.filter("toxic = 1"), "doc_id").select(F.col("doc_id").alias("id"), "score", "label", "lang")
+
+
+_SCORED = """l AS (SELECT doc_id, min(one) AS label FROM (SELECT DISTINCT doc_id, 1 AS one FROM labels WHERE quality = 1 UNION ALL SELECT DISTINCT doc_id, 0 FROM labels WHERE toxic = 1) GROUP BY doc_id HAVING count(*) = 1),
+    s AS (SELECT d.doc_id AS id, (n_chars % 1000) / 1000.0::DOUBLE AS score, label, lang FROM documents d JOIN l ON l.doc_id = d.doc_id)"""
+
+
+@query(f"WITH {_SCORED} SELECT id, score, label, lang FROM s")
+def labelled_dataset(spark, d):
+    return _scored(spark, d)
+
+
+@query(f"WITH {_SCORED} SELECT label, lang, count(*) AS n FROM s GROUP BY ALL")
+def strata_sizes(spark, d):
+    return _scored(spark, d).groupBy("label", "lang").agg(F.count("*").alias("n"))
+
+
+@query()
+def stratified_folds(spark, d):
+    return labels.folds(_scored(spark, d), ["label", "lang"], "id")
+
+
+@query(f"WITH {_SCORED}, o AS (SELECT *, row_number() OVER (ORDER BY score DESC, id) AS rn, count(*) OVER () AS n, sum(label) OVER () AS pos FROM s), k AS (SELECT *, unnest([10, 25, 50, 70]) AS percent FROM o) SELECT percent, round(100.0 * sum(label) FILTER (rn <= greatest(1, ceil(n * percent / 100))) / any_value(pos), 6) AS capture, round(avg(label) FILTER (rn <= greatest(1, ceil(n * percent / 100))), 6) AS precision FROM k GROUP BY percent")
+def topk_capture(spark, d):
+    return evaluate.topk(_scored(spark, d), (10, 25, 50, 70))
+
+
+@query(f"WITH {_SCORED}, c AS (SELECT count_if(score >= 0.5 AND label = 1) AS tp, count_if(score >= 0.5 AND label = 0) AS fp, count_if(score < 0.5 AND label = 1) AS fn, count_if(score < 0.5 AND label = 0) AS tn FROM s) SELECT tp::BIGINT AS tp, fp::BIGINT AS fp, fn::BIGINT AS fn, tn::BIGINT AS tn, round(tp / (tp + fn), 6) AS recall, round(tn / (tn + fp), 6) AS specificity, round(tp / (tp + fp), 6) AS precision, round((tp + tn) / (tp + fp + fn + tn), 6) AS accuracy FROM c")
+def confusion_metrics(spark, d):
+    return evaluate.confusion(_scored(spark, d), 0.5)
+
+
+@query(f"WITH {_SCORED}, g AS (SELECT score, sum(label) AS p, sum(1 - label) AS q FROM s GROUP BY score) SELECT score, round(sum(p) OVER (ORDER BY score DESC) / sum(p) OVER (), 6) AS tpr, round(sum(q) OVER (ORDER BY score DESC) / sum(q) OVER (), 6) AS fpr FROM g")
+def roc_points(spark, d):
+    return evaluate.roc(_scored(spark, d))
+
+
+@query(f"WITH {_SCORED} SELECT round(avg(CASE WHEN a.score > b.score THEN 1.0 WHEN a.score = b.score THEN 0.5 ELSE 0.0 END::DOUBLE), 6) AS auroc FROM s a JOIN s b ON a.label = 1 AND b.label = 0")
+def auroc(spark, d):
+    return evaluate.auroc(_scored(spark, d))
+
+
+@query(f"WITH {_SCORED}, b AS (SELECT least(floor(score * 10), 9) AS bin, count(*) AS n, avg(score) AS p, avg(label) AS y, sum((score - label) ** 2) AS e FROM s GROUP BY 1) SELECT round(sum(e) / sum(n), 6) AS brier, round(sum(n * abs(p - y)) / sum(n), 6) AS ece FROM b")
+def brier_ece(spark, d):
+    return evaluate.brier_ece(_scored(spark, d))
+
+
+@query(f"WITH {_SCORED} SELECT least(floor(score / 0.1 + 1e-9), 9)::BIGINT AS bin, count(*) AS total, sum(label)::BIGINT AS positive FROM s GROUP BY 1")
+def score_histogram(spark, d):
+    return evaluate.histogram(_scored(spark, d)).withColumn("bin", F.col("bin").cast("long"))
+
+
+@query("WITH x AS (SELECT o_totalprice AS v, o_orderpriority LIKE '1%' AS a FROM orders WHERE o_orderpriority LIKE '1%' OR o_orderpriority LIKE '5%'), g AS (SELECT v, count_if(a)::DOUBLE AS a, count_if(NOT a)::DOUBLE AS b FROM x GROUP BY v), f AS (SELECT *, sum(a) OVER w / sum(a) OVER () AS fa, sum(b) OVER w / sum(b) OVER () AS fb, coalesce(sum(b) OVER (ORDER BY v ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS low, lead(v) OVER w - v AS gap FROM g WINDOW w AS (ORDER BY v)) SELECT round(2 * sum(a * (low + b / 2)) / (sum(a) * sum(b)) - 1, 6) AS cliffs_delta, round(max(abs(fa - fb)), 6) AS ks, round(sum(abs(fa - fb) * gap), 4) AS wasserstein FROM f")
+def effect_sizes(spark, d):
+    o = _t(spark, d, "orders").select(F.col("o_totalprice").alias("x"), F.substring("o_orderpriority", 1, 1).alias("p")).filter(F.col("p").isin("1", "5"))
+    return stats.effect_sizes(o.select("x", (F.col("p") == "1").cast("int").alias("side")))
+
+
+@query("WITH u AS (UNPIVOT (SELECT l_quantity, l_extendedprice, l_discount, l_tax FROM lineitem) ON COLUMNS(*) INTO NAME feature VALUE x) SELECT feature, round(quantile_cont(x, 0.5), 6) AS median, round(quantile_cont(x, 0.75) - quantile_cont(x, 0.25), 6) AS iqr, 0.0::DOUBLE AS missing FROM u GROUP BY feature")
+def robust_scaled(spark, d):
+    return stats.robust_limits(_t(spark, d, "lineitem"), ["l_quantity", "l_extendedprice", "l_discount", "l_tax"])
+
+
+@query("WITH c AS (SELECT lang AS class, count_if(source = 'src0') AS n_0, count_if(source = 'src1') AS n_1 FROM documents WHERE source IN ('src0', 'src1') GROUP BY lang) SELECT class, n_0::BIGINT AS n_0, n_1::BIGINT AS n_1, round(100.0 * n_0 / sum(n_0) OVER (), 6)::DOUBLE AS pct_0, round(100.0 * n_1 / sum(n_1) OVER (), 6)::DOUBLE AS pct_1 FROM c")
+def class_counts_aligned(spark, d):
+    return curation.class_counts(_t(spark, d, "documents"), "source", ("src0", "src1"), "lang")
+
+
+@query("WITH c AS (SELECT source, count(*) AS n FROM documents GROUP BY source), r AS (SELECT *, row_number() OVER (ORDER BY n DESC, source) AS rn FROM c) SELECT CASE WHEN rn <= 5 THEN source ELSE 'Other' END AS class, sum(n)::BIGINT AS n FROM r GROUP BY 1")
+def top_n_other(spark, d):
+    return curation.top_other(_t(spark, d, "documents"), "source", 5)
+
+
+@query("SELECT source, CASE WHEN count(DISTINCT lang = 'en') > 1 THEN 'shared' ELSE max((lang = 'en')::VARCHAR) END AS \"where\" FROM documents GROUP BY source")
+def allele_overlap(spark, d):
+    return curation.overlap(_t(spark, d, "documents").withColumn("en", F.col("lang") == "en"), "source", "en")
+
+
+@query("SELECT text, count(DISTINCT source) AS n FROM documents GROUP BY text HAVING count(DISTINCT source) > 1")
+def curation_multi_allele(spark, d):
+    return curation.multi(_t(spark, d, "documents"), "text", "source")
