@@ -66,7 +66,7 @@ def kmer_reference_excluding_genes(spark, d):
     return peptides.reference_set(ref, spark.createDataFrame([("g0",), ("g3",)], "gene string"))
 
 
-@query(f"""WITH {_BENCH}, at AS (SELECT transcript, seq, unnest(range(1, length(seq) + 1)) AS pos FROM ref), cut AS (SELECT *, ((transcript * 31 + pos * 17) % 100) AS p FROM at),
+@query(f"""WITH {_BENCH}, ats AS (SELECT transcript, seq, unnest(range(1, length(seq) + 1)) AS pos FROM ref), cut AS (SELECT *, ((transcript * 31 + pos * 17) % 100) AS p FROM ats),
     k AS (SELECT *, unnest([8, 9, 10, 11]) AS k FROM cut WHERE p > 50 OR p = 0), w AS (SELECT transcript, substr(seq, pos - k, k) AS peptide FROM k WHERE pos - 1 - k >= 0)
     SELECT DISTINCT transcript, peptide FROM w WHERE {_VALID}""")
 def kmer_cleaved(spark, d):
@@ -91,7 +91,7 @@ def expression_counts(spark, d):
     return _counts(spark, d)
 
 
-@query(f"WITH {_COUNTS} SELECT w.peptide, count_if(file = 'user')::BIGINT AS count_user, count_if(file = 'assistant')::BIGINT AS count_assistant, count(h.peptide) AS total FROM wanted w LEFT JOIN hit h ON h.peptide = w.peptide GROUP BY ALL")
+@query(f"WITH {_COUNTS} SELECT w.peptide, count(*) FILTER (file = 'user') AS count_user, count(*) FILTER (file = 'assistant') AS count_assistant, count(h.peptide) AS total FROM wanted w LEFT JOIN hit h ON h.peptide = w.peptide GROUP BY ALL")
 def expression_merged(spark, d):
     return peptides.merged(_counts(spark, d, ["file"]), ["user", "assistant"])
 
@@ -114,7 +114,7 @@ def _ranks(spark, d):
     return li.groupBy(F.col("l_partkey").alias("peptide"), at(_ALLELES, s).alias("allele"), at(_TOOLS, n).alias("tool"), (s * 3 + n).cast("int").alias("col_ord")).agg(F.round(F.min(F.col("l_discount") * 20 + (F.col("l_suppkey") % 5) * F.lit(0.1)), 4).alias("rank"))
 
 
-_NUM = ", ".join(f"count_if(near < {t})::BIGINT AS num_tools_{str(t).replace('.', '_')}" for t in hla.LEVELS)
+_NUM = ", ".join(f"count(*) FILTER (near < {t}) AS num_tools_{str(t).replace('.', '_')}" for t in hla.LEVELS)
 
 
 @query(f"""WITH {_RANKS}, t AS (SELECT peptide, tool, min(rank) AS best, min(rank) FILTER (allele IN ('HLA-B07:02', 'HLA-A02:01')) AS near FROM r GROUP BY ALL),
