@@ -11,6 +11,10 @@ which costs as many pairs as the list has entries. Verified links give component
 component are done. In some rounds more, up to 16 nodes of each component of the other lists, others in each list, are
 compared with the next few of their size. In the last, every pair from two components is compared, in blocks of bounded size, so the
 components are exact.
+
+Before the sets of a pair are read, their signatures are compared: a bit for each of about as many ranges of hashes as the set
+has shingles, that tells whether an odd number fell there. Every bit that differs stands for a shingle that one set lacks, so
+a pair with too many can't be similar; only the others' sets travel.
 """
 
 from __future__ import annotations
@@ -23,10 +27,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import only, partitions, stage, values
+from .common import discard, only, partitions, stage, values
 from .shingles import mix, shingle_sets
 
-SETS = "doc_id long, n long, node long, grp long, prefix binary"
+SETS = "doc_id long, n long, node long, grp long, prefix binary, sig binary"
 ENTRIES = "token long, grp long, n int, pos int"
 
 
@@ -82,27 +86,52 @@ def _node(s: np.ndarray) -> int:
     return int(mix(mix(s ^ np.uint64(0xA0761D6478BD642F)).sum(keepdims=True) + np.uint64(len(s))).view(np.int64)[0])
 
 
+def signature(s: np.ndarray) -> bytes:
+    """Whether an odd number of the set's hashes ends in each pattern of bits; the number of patterns is the power of two
+    above the set's size, 64 at least."""
+    bits = 1 << max(6, len(s).bit_length())
+    return np.packbits((np.bincount((s & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1).astype("u1"), bitorder="little").tobytes()
+
+
+def _may_link(rule: Rule):
+    """Pairs with sizes and signatures -> those whose sets can share enough."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n = batch.column(2).to_numpy() + batch.column(3).to_numpy()
+            differ = np.zeros(len(n), dtype=np.int64)
+            for i, (x, y) in enumerate(zip(batch.column(4).to_pylist(), batch.column(5).to_pylist(), strict=True)):
+                x, y = np.frombuffer(x, dtype="<u8"), np.frombuffer(y, dtype="<u8")
+                least = min(len(x), len(y))  # patterns of fewer bits: the parts of the longer signature add up
+                x, y = (np.bitwise_xor.reduce(v.reshape(-1, least), axis=0) for v in (x, y))
+                differ[i] = int(np.bitwise_count(x ^ y).sum())
+            yield batch.select([0, 1]).filter(pa.array((n - differ) * (rule.num + rule.den) >= 2 * n * rule.num))
+
+    return run
+
+
 def _prefixes(rule: Rule, rare: np.ndarray, seen_limit: int = 500_000):
     shift = np.uint64(64 - rule.counters.bit_length() + 1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[int] = set()
+        seen: set[int] = set()  # groups and nodes that this task has given a prefix or signature
         for batch in batches:
             rows = []
             for doc, s in zip(batch.column(0).to_pylist(), shingle_sets(values(batch, 1), rule.size), strict=True):
                 n = len(s)
                 if not n:
-                    rows.append((doc, 0, None, None, None))
+                    rows.append((doc, 0, None, None, None, None))
                     continue
                 order = np.lexsort((s, rare[(s >> shift).astype(np.int64)]))[: n - rule.least(n) + 1]
                 prefix = s[order]
                 group = int(mix((mix(prefix) * (2 * np.arange(len(prefix), dtype=np.uint64) + np.uint64(1))).sum(keepdims=True) + np.uint64(n)).view(np.int64)[0])
                 if len(seen) > seen_limit:
                     seen.clear()
-                rows.append((doc, n, _node(s), group, None if group in seen else prefix.tobytes()))
-                seen.add(group)
+                node = _node(s)
+                rows.append((doc, n, node, group, None if group in seen else prefix.tobytes(), None if node in seen else signature(s)))
+                seen.update((group, node))
             if rows:
-                kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary())
+                kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary())
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=[f.split()[0] for f in SETS.split(", ")])
 
     return run
@@ -122,8 +151,8 @@ def _explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _stars(rule: Rule):
-    """Entries sorted by token, n and grp -> those of tokens that more than one group has, each with its list's pivot:
-    the first group of the list that is large enough to be similar."""
+    """Entries sorted by token, n and grp, where a group's may repeat -> those of tokens that more than one group has, once
+    each, with their list's pivot: the first group of the list that is large enough to be similar."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: tuple[np.ndarray, ...] | None = None  # the last token's first entry, while it could go on
@@ -136,7 +165,9 @@ def _stars(rule: Rule):
             columns = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(4)]
             if held is not None:
                 columns = [np.concatenate((h, c)) for h, c in zip(held, columns, strict=True)]
-            token, group, n, pos = columns
+            once = np.ones(len(columns[0]), dtype=bool)
+            once[1:] = (columns[0][1:] != columns[0][:-1]) | (columns[1][1:] != columns[1][:-1])
+            token, group, n, pos = columns = [c[once] for c in columns]
             same = token[1:] == token[:-1]
             shared = np.zeros(len(token), dtype=bool)
             shared[1:] = same
@@ -215,34 +246,39 @@ def _common(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 class Verifier:
-    """Compares whole sets. Sets are read from the texts when their nodes first come up in a pair, and kept."""
+    """Compares whole sets, read from the texts, of the node pairs whose signatures allow it."""
 
     def __init__(self, nodes: DataFrame, docs: DataFrame, rule: Rule):
         self.nodes, self.docs, self.rule = nodes, docs, rule
-        self.sets: DataFrame | None = None
 
-    def _fetch(self, pairs: DataFrame) -> None:
+    def _sets(self, pairs: DataFrame) -> DataFrame | None:
+        """node, shingles of the nodes of the pairs."""
         wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-        if self.sets is not None:
-            wanted = wanted.join(self.sets.select("node"), "node", "left_anti")
-        wanted = stage(wanted.join(self.nodes, "node").select("node", "doc_id"), "wanted")
+        wanted = stage(wanted.join(self.nodes.select("node", "doc_id"), "node"), "wanted")
         count = wanted.count()
-        if count:
-            bits = 1 << min(29, max(16, (16 * count).bit_length()))
-            run = _whole_sets(self.rule, _bloom(wanted.select("doc_id"), bits), bits)
-            sets = self.docs.filter("doc_id IS NOT NULL").mapInArrow(run, "doc_id long, node long, shingles binary")
-            sets = stage(sets.join(wanted, ["doc_id", "node"]).dropDuplicates(["node"]).select("node", "shingles"), "sets")
-            self.sets = sets if self.sets is None else self.sets.union(sets)
+        if not count:
+            return None
+        bits = 1 << min(29, max(16, (16 * count).bit_length()))
+        run = _whole_sets(self.rule, _bloom(wanted.select("doc_id"), bits), bits)
+        sets = self.docs.filter("doc_id IS NOT NULL").mapInArrow(run, "doc_id long, node long, shingles binary")
+        # a node has one doc_id; rows that share it and the set are in the same place already
+        return stage(sets.join(wanted, ["doc_id", "node"]).dropDuplicates(["doc_id", "node"]).select("node", "shingles"), "sets")
 
     def links(self, pairs: DataFrame) -> DataFrame:
         """Of node pairs (a, b), those that are similar."""
-        pairs = stage(pairs.filter("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "pairs")
-        self._fetch(pairs)
-        if self.sets is None:
-            return pairs
-        x, y = (self.sets.select(F.col("node").alias(k), F.col("shingles").alias(v)) for k, v in (("a", "x"), ("b", "y")))
-        both = pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y").mapInArrow(_common, "a long, b long, both long, a_n long, b_n long")
-        return stage(both.filter(F.col("both") * (self.rule.num + self.rule.den) >= (F.col("a_n") + F.col("b_n")) * self.rule.num).select("a", "b"), "links")
+        rule = self.rule
+        pairs = pairs.filter("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+        x, y = (self.nodes.select(F.col("node").alias(k), F.col("n").alias(f"{k}_n"), F.col("sig").alias(f"{k}_sig")) for k in ("a", "b"))
+        near = pairs.join(x, "a").join(y, "b").select("a", "b", "a_n", "b_n", "a_sig", "b_sig")
+        near = stage(near.mapInArrow(_may_link(rule), "a long, b long"), "pairs")
+        sets = self._sets(near)
+        if sets is None:
+            return near
+        x, y = (sets.select(F.col("node").alias(k), F.col("shingles").alias(v)) for k, v in (("a", "x"), ("b", "y")))
+        both = near.join(x, "a").join(y, "b").select("a", "b", "x", "y").mapInArrow(_common, "a long, b long, both long, a_n long, b_n long")
+        links = stage(both.filter(F.col("both") * (rule.num + rule.den) >= (F.col("a_n") + F.col("b_n")) * rule.num).select("a", "b"), "links")
+        discard(sets)
+        return links
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -320,14 +356,15 @@ def near_duplicates(docs: DataFrame, rule: Rule = Rule(), block: int = 2048, tur
     spark = docs.sparkSession
     docs = only(docs, "doc_id", "text").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     wide = stage(docs.mapInArrow(_prefixes(rule, rarity(docs, rule)), SETS), "prefixes")
-    narrow = stage(wide.drop("prefix"), "nodes")
-    nodes = stage(narrow.filter("n > 0").groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.max("n").alias("n")), "classes").filter("doc_id IS NOT NULL")
+    narrow = stage(wide.drop("prefix", "sig"), "nodes")
+    nodes = stage(wide.filter("n > 0").groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.max("n").alias("n"), F.max("sig").alias("sig")), "classes").filter("doc_id IS NOT NULL")
     members = stage(narrow.filter("n > 0").groupBy("grp", "node").agg(F.max("n").cast("int").alias("n")), "members")
     one = members.groupBy("grp").agg(F.min("node").alias("node"), F.count("*").alias("many"))
 
     entries = wide.filter("prefix IS NOT NULL").select("grp", F.col("n").cast("int").alias("n"), "prefix").mapInArrow(_explode, ENTRIES)
     entries = entries.repartition(partitions(spark), "token").sortWithinPartitions("token", "n", "grp")
     shared = stage(entries.mapInArrow(_stars(rule), ENTRIES + ", pivot long, pivot_n int, pivot_pos int"), "shared")
+    discard(wide)
 
     fits = _possible(F.col("n"), F.col("pos"), F.col("pivot_n"), F.col("pivot_pos"), rule)
     groups = shared.filter((F.col("grp") != F.col("pivot")) & fits).select("grp", "pivot").distinct()
@@ -339,9 +376,10 @@ def near_duplicates(docs: DataFrame, rule: Rule = Rule(), block: int = 2048, tur
     found = verifier.links(within.union(across))
 
     # lists of more than two nodes may have other pairs
-    lists = shared.select("token", "grp", "pos").distinct().join(members, "grp").select("token", "node", "n", "pos")
+    lists = shared.select("token", "grp", "pos").join(members, "grp").select("token", "node", "n", "pos")
     inner = members.join(one.filter("many > 1").select("grp"), "grp").select(F.col("grp").alias("token"), "node", "n", F.lit(0).alias("pos"))
-    lists = lists.union(inner)
+    lists = stage(lists.union(inner), "lists")
+    discard(shared)
     labels = components(found)
     for turn in range(turns):
         open_ = _open(lists, labels)
