@@ -30,8 +30,9 @@ from pyspark.sql import functions as F
 from .common import discard, only, partitions, stage, values
 from .shingles import mix, shingle_sets
 
-SETS = "doc_id long, n long, node long, grp long, prefix binary, sig binary"
+SETS = "doc_id long, n long, node long, grp long, prefix binary, sig binary, mini binary"
 ENTRIES = "token long, grp long, n int, pos int"
+CROSSED = ("token", "low", "high", "node", "root", "n", "pos", "side", "mini")
 
 
 class Rule(NamedTuple):
@@ -93,6 +94,12 @@ def signature(s: np.ndarray) -> bytes:
     return np.packbits((np.bincount((s & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1).astype("u1"), bitorder="little").tobytes()
 
 
+def _mini(s: np.ndarray) -> bytes:
+    """A signature of 256 bits, whatever the set's size: it goes with every entry of a list that is still open. Of very long
+    sets it tells little, and their pairs are left to the whole signature."""
+    return np.packbits((np.bincount((s & np.uint64(255)).astype(np.int64), minlength=256) & 1).astype("u1"), bitorder="little").tobytes()
+
+
 def _may_link(rule: Rule):
     """Pairs with sizes and signatures -> those whose sets can share enough."""
 
@@ -120,7 +127,7 @@ def _prefixes(rule: Rule, rare: np.ndarray, seen_limit: int = 500_000):
             for doc, s in zip(batch.column(0).to_pylist(), shingle_sets(values(batch, 1), rule.size), strict=True):
                 n = len(s)
                 if not n:
-                    rows.append((doc, 0, None, None, None, None))
+                    rows.append((doc, 0, None, None, None, None, None))
                     continue
                 order = np.lexsort((s, rare[(s >> shift).astype(np.int64)]))[: n - rule.least(n) + 1]
                 prefix = s[order]
@@ -128,10 +135,11 @@ def _prefixes(rule: Rule, rare: np.ndarray, seen_limit: int = 500_000):
                 if len(seen) > seen_limit:
                     seen.clear()
                 node = _node(s)
-                rows.append((doc, n, node, group, None if group in seen else prefix.tobytes(), None if node in seen else signature(s)))
+                fresh = node not in seen
+                rows.append((doc, n, node, group, None if group in seen else prefix.tobytes(), signature(s) if fresh else None, _mini(s) if fresh else None))
                 seen.update((group, node))
             if rows:
-                kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary())
+                kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary())
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=[f.split()[0] for f in SETS.split(", ")])
 
     return run
@@ -296,12 +304,13 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def _crossing(rule: Rule, reach: int | None = None):
-    """Entries (token, low, high, node, root, n, pos, side) sorted by token, low, high and n -> pairs of a block from two
-    components that can be similar. All lists of a batch go together: each entry meets the next, then the one after, and so
-    on while that is in the same list and of a fitting size, or up to the reach-th."""
+    """Entries (token, low, high, node, root, n, pos, side, mini) sorted by token, low, high and n -> pairs of a block from
+    two components that can be similar, by sizes, places and small signatures. All lists of a batch go together: each entry
+    meets the next, then the one after, and so on while that is in the same list and of a fitting size, or up to the
+    reach-th."""
 
     def pairs(columns: list[np.ndarray]) -> np.ndarray:
-        token, low, high, node, root, n, pos, side = columns
+        token, low, high, node, root, n, pos, side, *mini = columns
         n, pos = n.astype(np.int64), pos.astype(np.int64)
         edge = np.ones(len(token), dtype=bool)
         edge[1:] = (token[1:] != token[:-1]) | (low[1:] != low[:-1]) | (high[1:] != high[:-1])
@@ -315,7 +324,11 @@ def _crossing(rule: Rule, reach: int | None = None):
             most = np.minimum(n[one] - pos[one], n[two] - pos[two])
             fit = (root[one] != root[two]) & (most * (rule.num + rule.den) >= (n[one] + n[two]) * rule.num)
             fit &= (low[one] == high[one]) | (side[one] != side[two])
-            out.append(np.stack((node[one[fit]], node[two[fit]])))
+            a, b = one[fit], two[fit]
+            differ = sum((np.bitwise_count(m[a] ^ m[b]).astype(np.int64) for m in mini), np.zeros(len(a), dtype=np.int64))
+            both = n[a] + n[b]
+            may = (both - differ) * (rule.num + rule.den) >= 2 * both * rule.num
+            out.append(np.stack((node[a[may]], node[b[may]])))
         return np.unique(np.sort(np.concatenate(out, axis=1), axis=0), axis=1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -324,6 +337,7 @@ def _crossing(rule: Rule, reach: int | None = None):
             if not batch.num_rows:
                 continue
             columns = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(8)]
+            columns += list(np.frombuffer(b"".join(batch.column(8).to_pylist()), dtype="<u8").reshape(-1, 4).T.copy())
             if held:
                 columns = [np.concatenate((h, c)) for h, c in zip(held, columns, strict=True)]
             last = (columns[0] == columns[0][-1]) & (columns[1] == columns[1][-1]) & (columns[2] == columns[2][-1])
@@ -339,10 +353,17 @@ def _crossing(rule: Rule, reach: int | None = None):
 
 def _open(lists: DataFrame, labels: DataFrame) -> DataFrame:
     """Entries of the lists whose nodes lie in more than one component, with root and many, the list's length. A list of
-    two nodes has no pair but the one that the first round compared."""
+    two nodes has no pair but the one that the first round compared. As components only grow, no other list opens later:
+    the next round reads these alone."""
     lists = lists.join(labels, "node", "left").withColumn("root", F.coalesce("root", "node"))
     of = lists.groupBy("token").agg(F.count("*").alias("many"), F.min("root").alias("low"), F.max("root").alias("high")).filter("low <> high AND many > 2")
-    return lists.join(of.select("token", "many"), "token")
+    of = stage(of.select("token", "many"), "of")
+    return stage(lists.join(of, "token"), "open")
+
+
+def _grown(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """Components of before, joined by links found since."""
+    return components(labels.select(F.col("node").alias("a"), F.col("root").alias("b")).filter("a <> b").union(links))
 
 
 def near_duplicates(docs: DataFrame, rule: Rule = Rule(), block: int = 2048, turns: int = 2) -> DataFrame:
@@ -356,8 +377,8 @@ def near_duplicates(docs: DataFrame, rule: Rule = Rule(), block: int = 2048, tur
     spark = docs.sparkSession
     docs = only(docs, "doc_id", "text").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     wide = stage(docs.mapInArrow(_prefixes(rule, rarity(docs, rule)), SETS), "prefixes")
-    narrow = stage(wide.drop("prefix", "sig"), "nodes")
-    nodes = stage(wide.filter("n > 0").groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.max("n").alias("n"), F.max("sig").alias("sig")), "classes").filter("doc_id IS NOT NULL")
+    narrow = stage(wide.drop("prefix", "sig", "mini"), "nodes")
+    nodes = stage(wide.filter("n > 0").groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.max("n").alias("n"), F.max("sig").alias("sig"), F.max("mini").alias("mini")), "classes").filter("doc_id IS NOT NULL")
     members = stage(narrow.filter("n > 0").groupBy("grp", "node").agg(F.max("n").cast("int").alias("n")), "members")
     one = members.groupBy("grp").agg(F.min("node").alias("node"), F.count("*").alias("many"))
 
@@ -381,19 +402,20 @@ def near_duplicates(docs: DataFrame, rule: Rule = Rule(), block: int = 2048, tur
     lists = stage(lists.union(inner), "lists")
     discard(shared)
     labels = components(found)
+    minis = nodes.select("node", "mini")
     for turn in range(turns):
         open_ = _open(lists, labels)
+        discard(lists)
         some = open_.groupBy("token", "root", F.pmod(F.xxhash64("node", F.lit(turn)), F.lit(16))).agg(F.max("many").alias("many"), F.min(F.struct(F.xxhash64("token", "node", F.lit(turn)).alias("h"), "node", "n", "pos")).alias("one"))
         low = F.pmod(F.xxhash64("one.node", F.lit(turn)), F.ceil(F.col("many") / block)).cast("int")
-        some = some.select("token", low.alias("low"), low.alias("high"), "one.node", "root", "one.n", "one.pos", low.alias("side")).repartition(partitions(spark), "token", "low").sortWithinPartitions("token", "low", "high", "n")
-        pairs = some.mapInArrow(_crossing(rule, 8 << 2 * turn), "a long, b long")
-        found = found.union(verifier.links(pairs))
-        labels = components(found)
-    dealt = _open(lists, labels).withColumn("parts", F.ceil(F.col("many") / block).cast("int")).withColumn("side", F.pmod(F.xxhash64("node"), "parts").cast("int"))
+        some = some.select("token", low.alias("low"), low.alias("high"), "one.node", "root", "one.n", "one.pos", low.alias("side")).join(minis, "node")
+        some = some.select(*CROSSED).repartition(partitions(spark), "token", "low").sortWithinPartitions("token", "low", "high", "n")
+        labels = _grown(labels, verifier.links(some.mapInArrow(_crossing(rule, 8 << 2 * turn), "a long, b long")))
+        lists = open_.select("token", "node", "n", "pos")
+    dealt = _open(lists, labels).join(minis, "node").withColumn("parts", F.ceil(F.col("many") / block).cast("int")).withColumn("side", F.pmod(F.xxhash64("node"), "parts").cast("int"))
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).withColumn("low", F.least("side", "other")).withColumn("high", F.greatest("side", "other"))
-    dealt = dealt.select("token", "low", "high", "node", "root", "n", "pos", "side").repartition(partitions(spark), "token", "low", "high").sortWithinPartitions("token", "low", "high", "n")
-    more = verifier.links(dealt.mapInArrow(_crossing(rule), "a long, b long"))
-    labels = components(found.union(more))
+    dealt = dealt.select(*CROSSED).repartition(partitions(spark), "token", "low", "high").sortWithinPartitions("token", "low", "high", "n")
+    labels = _grown(labels, verifier.links(dealt.mapInArrow(_crossing(rule), "a long, b long")))
 
     ids = nodes.select("node", "doc_id").join(labels, "node", "left").withColumn("root", F.coalesce("root", "node"))
     smallest = ids.groupBy("root").agg(F.min("doc_id").alias("component_id"))
