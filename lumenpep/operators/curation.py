@@ -26,3 +26,30 @@ def overlap(rows: DataFrame, value: str, side: str) -> DataFrame:
 
 def multi(rows: DataFrame, key: str, value: str) -> DataFrame:
     return rows.groupBy(key).agg(F.count_distinct(value).alias("n")).filter("n > 1")
+
+
+def origins(rows: DataFrame, organism: str, mutation: str, relation: str, human: str) -> DataFrame:
+    """rows with origin: self, neoantigen, viral or null."""
+    own = F.coalesce(F.col(organism).contains(human), F.lit(False))
+    changed = F.col(organism).isNull() | (own & F.col(mutation).isNotNull())
+    return rows.withColumn("origin", F.when(own & F.col(mutation).isNull(), "self").when(changed & F.col(relation).isNotNull(), "neoantigen").when(F.col(organism).isNotNull() & ~own, "viral"))
+
+
+def unsupported(alleles: DataFrame, supported: DataFrame, column: str) -> DataFrame:
+    """Alleles that a list of supported ones lacks, both without prefix, star and colon."""
+    plain = lambda c: F.regexp_replace(c, r"^HLA-|[*:]", "")
+    known = supported.select(plain(F.col(column)).alias("plain")).distinct()
+    return alleles.select(column, plain(F.col(column)).alias("plain")).distinct().join(known, "plain", "left_anti").select(column)
+
+
+def presence(wanted: DataFrame, found: DataFrame, column: str) -> DataFrame:
+    """Of the wanted values, how many there are, and how many were found and are missing."""
+    both = wanted.select(column).distinct().join(found.select(column, F.lit(1).alias("hit")).distinct(), column, "left")
+    return both.agg(F.count("*").alias("wanted"), F.count("hit").alias("found"), F.count_if(F.col("hit").isNull()).alias("missing"))
+
+
+def metric_summary(results: DataFrame, group: list[str], score: str) -> DataFrame:
+    """Mean and deviation of scores per group, and the group's rank by mean, ties sharing the smaller rank. There is one
+    row a group of models and metrics: a small window."""
+    by = results.groupBy(*group).agg(F.avg(score).alias("m"), F.stddev(score).alias("s"))
+    return by.select(*group, F.round("m", 6).alias("mean"), F.round("s", 6).alias("deviation"), F.rank().over(Window.orderBy(F.desc(F.round("m", 6)))).cast("long").alias("place"))

@@ -6,16 +6,22 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def _ordered(scored: DataFrame) -> DataFrame:
-    return scored.withColumn("rn", F.row_number().over(Window.orderBy(F.desc("score"), "id"))).withColumn("n", F.count("*").over(Window.partitionBy()))
-
-
 def topk(scored: DataFrame, percents=(10, 25, 50, 70)) -> DataFrame:
-    """percent, capture, precision of the first ceil(n * percent / 100) rows, at least one."""
-    of = _ordered(scored).withColumn("percent", F.explode(F.array(*(F.lit(p) for p in percents))))
-    of = of.withColumn("k", F.greatest(F.lit(1), F.ceil(F.col("n") * F.col("percent") / 100)))
-    inside = F.col("rn") <= F.col("k")
-    return of.groupBy("percent").agg(F.round(100 * F.try_divide(F.sum(F.when(inside, F.col("label"))), F.sum("label")), 6).alias("capture"), F.round(F.avg(F.when(inside, F.col("label"))), 6).alias("precision"))
+    """percent, capture, precision of the first ceil(n * percent / 100) rows, at least one, by falling score and then id.
+
+    Rows are counted by score first, and only counts are put in order. The one score at which a percent ends is joined
+    back: of its rows the first by id count."""
+    by = scored.groupBy("score").agg(F.count("*").alias("m"), F.sum("label").alias("p"))
+    down, all_ = Window.orderBy(F.desc("score")), Window.partitionBy()
+    by = by.select("score", "m", "p", (F.sum("m").over(down) - F.col("m")).alias("above"), F.sum("m").over(all_).alias("n"), F.sum("p").over(all_).alias("positives"))
+    by = by.withColumn("percent", F.explode(F.array(*(F.lit(p) for p in percents))))
+    by = by.withColumn("k", F.greatest(F.lit(1), F.ceil(F.col("n") * F.col("percent") / 100))).filter("above < k")
+    whole = by.filter("above + m <= k").select("percent", "p", "k", "positives")
+    ends = by.filter("above + m > k").select("percent", "score", (F.col("k") - F.col("above")).alias("room"), "k", "positives")
+    rn = F.row_number().over(Window.partitionBy("percent").orderBy("id"))
+    part = scored.join(F.broadcast(ends), "score").withColumn("rn", rn).filter("rn <= room").select("percent", F.col("label").alias("p"), "k", "positives")
+    out = whole.union(part).groupBy("percent").agg(F.sum("p").alias("p"), F.max("k").alias("k"), F.max("positives").alias("all"))
+    return out.select("percent", F.round(100 * F.try_divide("p", "all"), 6).alias("capture"), F.round(F.col("p") / F.col("k"), 6).alias("precision"))
 
 
 def confusion(scored: DataFrame, threshold: float) -> DataFrame:
@@ -48,3 +54,36 @@ def brier_ece(scored: DataFrame, bins: int = 10) -> DataFrame:
 def histogram(scored: DataFrame, width: float = 0.1) -> DataFrame:
     last = round(1 / width) - 1
     return scored.groupBy(F.least(F.floor(F.col("score") / width + 1e-9), F.lit(last)).alias("bin")).agg(F.count("*").alias("total"), F.sum("label").alias("positive"))
+
+
+def average_precision(scored: DataFrame) -> DataFrame:
+    """Sum over distinct scores, high ones first, of the recall each adds times the precision there."""
+    by = scored.groupBy("score").agg(F.sum("label").cast("double").alias("p"), F.count("*").alias("n"))
+    down = Window.orderBy(F.desc("score"))
+    by = by.withColumn("precision", F.sum("p").over(down) / F.sum("n").over(down))
+    return by.agg(F.round(F.try_divide(F.sum(F.col("p") * F.col("precision")), F.sum("p")), 6).alias("average_precision"))
+
+
+def calibration(scored: DataFrame, bins: int = 10) -> DataFrame:
+    """bin, n, mean, observed: bins between quantiles of the score, closed on the right, the first one on both sides; equal
+    edges are one. The edges are bins + 1 numbers."""
+    edges = scored.agg(F.percentile("score", F.array(*(F.lit(i / bins) for i in range(bins + 1))))).first()[0] or []
+    inner = sorted(set(edges))[1:-1]
+    at = sum(((F.col("score") > e).cast("long") for e in inner), F.lit(0).cast("long"))
+    return scored.filter("score IS NOT NULL").groupBy(at.alias("bin")).agg(F.count("*").alias("n"), F.round(F.avg("score"), 6).alias("mean"), F.round(F.avg("label"), 6).alias("observed"))
+
+
+def class_report(scored: DataFrame, threshold: float) -> DataFrame:
+    """class, n, precision, recall of both classes and of their unweighted mean (class -1)."""
+    guess = (F.col("score") >= threshold).cast("int")
+    cells = scored.groupBy("label", guess.alias("guess")).agg(F.count("*").alias("m"))
+    rates = [F.struct(F.lit(c).alias("class"), F.sum(F.when(F.col("label") == c, F.col("m"))).alias("n"), F.try_divide(F.sum(F.when((F.col("label") == c) & (F.col("guess") == c), F.col("m"))), F.sum(F.when(F.col("guess") == c, F.col("m")))).alias("precision"), F.try_divide(F.sum(F.when((F.col("label") == c) & (F.col("guess") == c), F.col("m"))), F.sum(F.when(F.col("label") == c, F.col("m")))).alias("recall")) for c in (0, 1)]
+    one = cells.agg(F.array(*rates).alias("r")).select(F.inline("r"))
+    mean = one.agg(F.lit(-1).alias("class"), F.sum("n").alias("n"), F.avg("precision").alias("precision"), F.avg("recall").alias("recall"))
+    return one.union(mean).select("class", "n", F.round("precision", 6).alias("precision"), F.round("recall", 6).alias("recall"))
+
+
+def positive_capture(scored: DataFrame, threshold: float) -> DataFrame:
+    """Percent of positives at or above the threshold, and the percent of rows there."""
+    up = F.col("score") >= threshold
+    return scored.agg(F.round(100 * F.try_divide(F.sum(F.when(up, F.col("label"))), F.sum("label")), 6).alias("captured"), F.round(100 * F.avg(up.cast("int")), 6).alias("selected"))

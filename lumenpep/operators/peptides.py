@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -93,3 +95,20 @@ def fragments(peptides: DataFrame, alleles: DataFrame) -> DataFrame:
 def regroup(scores: DataFrame) -> DataFrame:
     """parent, allele, score for scores (parent, fragment, allele, score): the better of a parent's fragments."""
     return scores.groupBy("parent", "allele").agg(F.max("score").alias("score"))
+
+
+def quotas(total: int, ratios: dict[int, float]) -> dict[int, int]:
+    """Whole numbers that add up to total, by largest remainder."""
+    share = {k: total * r / sum(ratios.values()) for k, r in ratios.items()}
+    out = {k: int(v) for k, v in share.items()}
+    for k in sorted(share, key=lambda k: (out[k] - share[k], k))[: total - sum(out.values())]:
+        out[k] += 1
+    return out
+
+
+def sampled(peptides: DataFrame, total: int, ratios: dict[int, float], seed: int = 42) -> DataFrame:
+    """Distinct peptides, as many of each length as its quota, or all there are: the first by a seeded hash, found as a top
+    k that tasks narrow down before they meet."""
+    distinct = peptides.select("peptide").distinct()
+    parts = [distinct.filter(F.length("peptide") == k).orderBy(F.xxhash64("peptide", F.lit(seed)), "peptide").limit(n) for k, n in quotas(total, ratios).items()]
+    return reduce(DataFrame.unionByName, parts)

@@ -26,3 +26,9 @@ def robust_limits(df: DataFrame, columns: list[str]) -> DataFrame:
 def clip(column: str, low: float, high: float):
     c = F.col(column)
     return F.when(c.isNotNull(), F.least(F.greatest(c, F.lit(low)), F.lit(high)))
+
+
+def median_filled(df: DataFrame, columns: list[str], key: str) -> DataFrame:
+    """key and the columns, nulls filled with the column's median; <column>_missing is 1 there. The medians are one row."""
+    medians = df.agg(*(F.median(c).alias(c) for c in columns)).first()
+    return df.select(key, *(F.coalesce(F.col(c).cast("double"), F.lit(medians[c]).cast("double")).alias(c) for c in columns), *(F.col(c).isNull().cast("int").alias(f"{c}_missing") for c in columns))

@@ -271,3 +271,69 @@ def allele_overlap(spark, d):
 @query("SELECT text, count(DISTINCT source) AS n FROM documents GROUP BY text HAVING count(DISTINCT source) > 1")
 def curation_multi_allele(spark, d):
     return curation.multi(_t(spark, d, "documents"), "text", "source")
+
+
+@query(f"WITH {_SCORED}, b AS (SELECT score, sum(label)::DOUBLE AS p, count(*) AS n FROM s GROUP BY score), c AS (SELECT p, sum(p) OVER w / sum(n) OVER w AS precision FROM b WINDOW w AS (ORDER BY score DESC)) SELECT round(sum(p * precision) / sum(p), 6) AS average_precision FROM c")
+def average_precision(spark, d):
+    return evaluate.average_precision(_scored(spark, d))
+
+
+@query(f"WITH {_SCORED}, e AS (SELECT list_sort(list_distinct(quantile_cont(score, [0.0, 0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9, 1.0]))) AS e FROM s), i AS (SELECT e[2:-2] AS e FROM e) SELECT len(list_filter(e, lambda x: x < score))::BIGINT AS bin, count(*) AS n, round(avg(score), 6) AS mean, round(avg(label), 6) AS observed FROM s, i GROUP BY 1")
+def calibration_bins(spark, d):
+    return evaluate.calibration(_scored(spark, d))
+
+
+@query(f"""WITH {_SCORED}, g AS (SELECT label, (score >= 0.5)::INT AS guess FROM s), c AS (SELECT unnest([0, 1]) AS class),
+    r AS (SELECT class, count_if(label = class) AS n, count_if(label = class AND guess = class) / count_if(guess = class) AS precision, count_if(label = class AND guess = class) / count_if(label = class) AS recall FROM g, c GROUP BY class)
+    SELECT class, n::BIGINT AS n, round(precision, 6) AS precision, round(recall, 6) AS recall FROM r UNION ALL SELECT -1, sum(n)::BIGINT, round(avg(precision), 6), round(avg(recall), 6) FROM r""")
+def class_report(spark, d):
+    return evaluate.class_report(_scored(spark, d), 0.5)
+
+
+@query(f"WITH {_SCORED} SELECT round(100.0 * count_if(score >= 0.5 AND label = 1) / sum(label), 6) AS captured, round(100.0 * count_if(score >= 0.5) / count(*), 6) AS selected FROM s")
+def pred_positive_capture(spark, d):
+    return evaluate.positive_capture(_scored(spark, d), 0.5)
+
+
+@query("SELECT d.doc_id, CASE WHEN y.doc_id IS NOT NULL AND z.doc_id IS NULL THEN 1 WHEN y.doc_id IS NULL AND z.doc_id IS NOT NULL THEN 0 END AS label FROM documents d LEFT JOIN (SELECT DISTINCT doc_id FROM labels WHERE quality = 1) y ON y.doc_id = d.doc_id LEFT JOIN (SELECT DISTINCT doc_id FROM labels WHERE toxic = 1) z ON z.doc_id = d.doc_id")
+def label_annotate(spark, d):
+    lab = _t(spark, d, "labels")
+    return labels.annotated(_t(spark, d, "documents").select("doc_id"), lab.filter("quality = 1"), lab.filter("toxic = 1"), "doc_id")
+
+
+_GAPS = "g AS (SELECT event_id, CASE WHEN event_id % 7 <> 0 THEN value END AS a, CASE WHEN event_id % 5 <> 0 THEN user_id END AS b FROM events)"
+
+
+@query(f"WITH {_GAPS}, m AS (SELECT median(a) AS ma, median(b) AS mb FROM g) SELECT event_id, coalesce(a, ma)::DOUBLE AS a, coalesce(b, mb)::DOUBLE AS b, (a IS NULL)::INT AS a_missing, (b IS NULL)::INT AS b_missing FROM g, m")
+def median_imputed(spark, d):
+    e = _t(spark, d, "events").selectExpr("event_id", "CASE WHEN event_id % 7 <> 0 THEN value END AS a", "CASE WHEN event_id % 5 <> 0 THEN user_id END AS b")
+    return stats.median_filled(e, ["a", "b"], "event_id")
+
+
+@query("SELECT doc_id, CASE WHEN contains(coalesce(source, ''), '0') AND lang IS NULL THEN 'self' WHEN (source IS NULL OR contains(source, '0') AND lang IS NOT NULL) AND n_chars IS NOT NULL THEN 'neoantigen' WHEN source IS NOT NULL AND NOT contains(source, '0') THEN 'viral' END AS origin FROM documents")
+def curation_sources(spark, d):
+    return curation.origins(_t(spark, d, "documents"), "source", "lang", "n_chars", "0").select("doc_id", "origin")
+
+
+@query("WITH a AS (SELECT DISTINCT concat('HLA-A*', lpad((s_suppkey % 90)::VARCHAR, 2, '0'), ':01') AS allele FROM supplier), k AS (SELECT concat('A', lpad((p_size)::VARCHAR, 2, '0'), '01') AS plain FROM part) SELECT allele FROM a WHERE regexp_replace(allele, '^HLA-|[*:]', '', 'g') NOT IN (SELECT plain FROM k)")
+def allele_support(spark, d):
+    a = _t(spark, d, "supplier").select(F.concat(F.lit("HLA-A*"), F.lpad((F.col("s_suppkey") % 90).cast("string"), 2, "0"), F.lit(":01")).alias("allele"))
+    known = _t(spark, d, "part").select(F.concat(F.lit("A"), F.lpad(F.col("p_size").cast("string"), 2, "0"), F.lit("01")).alias("allele"))
+    return curation.unsupported(a, known, "allele")
+
+
+@query("WITH w AS (SELECT DISTINCT p_brand AS gene FROM part), f AS (SELECT DISTINCT p_brand AS gene FROM part WHERE p_size > 48) SELECT count(*) AS wanted, count(f.gene) AS found, count(*) - count(f.gene) AS missing FROM w LEFT JOIN f ON f.gene = w.gene")
+def gene_presence(spark, d):
+    p = _t(spark, d, "part").withColumnRenamed("p_brand", "gene")
+    return curation.presence(p, p.filter("p_size > 48"), "gene")
+
+
+@query("WITH m AS (SELECT event_type, round(avg(value), 6) AS mean, round(stddev_samp(value), 6) AS deviation FROM events GROUP BY 1) SELECT event_type, mean, deviation, rank() OVER (ORDER BY mean DESC) AS place FROM m")
+def metric_leaderboard(spark, d):
+    return curation.metric_summary(_t(spark, d, "events"), ["event_type"], "value")
+
+
+@query()
+def quota_sample(spark, d):
+    found = peptides.windows(_proteins(_t(spark, d, "documents"), "doc_id"))
+    return peptides.sampled(found, 1000, {8: 350, 9: 6100, 10: 2400, 11: 800})
