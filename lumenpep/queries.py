@@ -295,10 +295,11 @@ def pred_positive_capture(spark, d):
     return evaluate.positive_capture(_scored(spark, d), 0.5)
 
 
-@query("SELECT d.doc_id, CASE WHEN y.doc_id IS NOT NULL AND z.doc_id IS NULL THEN 1 WHEN y.doc_id IS NULL AND z.doc_id IS NOT NULL THEN 0 END AS label FROM documents d LEFT JOIN (SELECT DISTINCT doc_id FROM labels WHERE quality = 1) y ON y.doc_id = d.doc_id LEFT JOIN (SELECT DISTINCT doc_id FROM labels WHERE toxic = 1) z ON z.doc_id = d.doc_id")
+@query("SELECT d.doc_id, CASE WHEN y.doc_id IS NOT NULL AND z.doc_id IS NULL THEN 1 WHEN y.doc_id IS NULL AND z.doc_id IS NOT NULL THEN 0 ELSE -1 END AS label FROM documents d LEFT JOIN (SELECT DISTINCT doc_id FROM labels WHERE quality = 1) y ON y.doc_id = d.doc_id LEFT JOIN (SELECT DISTINCT doc_id FROM labels WHERE toxic = 1) z ON z.doc_id = d.doc_id")
 def label_annotate(spark, d):
     lab = _t(spark, d, "labels")
-    return labels.annotated(_t(spark, d, "documents").select("doc_id"), lab.filter("quality = 1"), lab.filter("toxic = 1"), "doc_id")
+    found = labels.annotated(_t(spark, d, "documents").select("doc_id"), lab.filter("quality = 1"), lab.filter("toxic = 1"), "doc_id")
+    return found.select("doc_id", F.coalesce("label", F.lit(-1)).alias("label"))
 
 
 _GAPS = "g AS (SELECT event_id, CASE WHEN event_id % 7 <> 0 THEN value END AS a, CASE WHEN event_id % 5 <> 0 THEN user_id END AS b FROM events)"
