@@ -142,6 +142,32 @@ def test_pseudonyms(spark):
     assert n.distinct().count() == 1000 and n.agg(F.min("x"), F.max("x")).head() == (0, 999)
 
 
+def test_pseudonyms_of_neighbours(spark):
+    card, amex = "4111 1111 1111 1111", "3782 822463 10005"
+    cases = {
+        "2020-01-01 2020-12-31": {"date": 2},
+        "078-05-1120 1980-02-29": {"ssn": 1, "date": 1},
+        "078-05-1120 219-09-9999": {"ssn": 2},
+        "212-555-0100 2020-02-29": {"phone": 1, "date": 1},
+        "212-555-0100 646-555-0199": {"phone": 2},
+        "10.2.3.4 10.2.3.5 29.02.2020": {"ip": 2, "date": 1},
+        f"{card} 123": {"card": 1},
+        "4111111111111111 12/25": {"card": 1},
+        f"{card}-{amex} 078-05-1120": {"card": 2, "ssn": 1},
+        f"12 {card} {card} 7 2020-02-29 {card}": {"card": 3, "date": 1},
+        "41 11 11 11 11 11 11 11 123": {"card": 1},
+        f"{card} 2nd 2021-02-29 1999-02-29": {"card": 1},
+        "4111 1111 1111 1112 2021-02-29 112-555-0100 666-05-1120 999.1.1.1": {},
+    }
+    got = pii.pseudonymize(spark.createDataFrame([*enumerate(cases), (99, "1 2 " * 20_000)], "doc_id long, text string")).orderBy("doc_id").collect()
+    for (text, want), r in zip(cases.items(), got, strict=False):
+        assert {k: r[f"n_{k}"] for k in pii.KINDS if r[f"n_{k}"]} == want, text
+        assert len(r["text"]) == len(text) or want.get("ip")
+        for value in re.findall(r"4111[ 0-9]{12,15}|3782 822463 10005|41 11 11|[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{3}-[0-9]{2,3}-[0-9]{4}", text if want else ""):
+            assert value not in r["text"] or value in ("2021-02-29", "1999-02-29"), text
+    assert got[-2]["text"] == list(cases)[-1] and got[6]["text"].endswith(" 123") and got[7]["text"].endswith(" 12/25")
+
+
 def test_language(spark, docs, empty):
     assert langid.identify(empty).count() == 0
     en, de = "the house and the water with this and that ", "der Fluss und das Wasser mit nicht auch eine "
