@@ -5,7 +5,8 @@ x -> (x, sqrt(M^2 - |x|^2)) / M for stored vectors, M the largest norm; q -> (q,
 Centroids come from a bounded sample by k-means with a penalty on large lists. Tasks search the centroids by an in-memory
 neighbour graph. A vector near a boundary is stored with every centroid that is nearly as near as its nearest, unless an
 already chosen one is nearer to that centroid than the vector is. A query reads the lists whose centroids' distance is within
-a ratio of the nearest one's. Lists that are longer than a block (many equal vectors, say) are dealt in blocks of bounded
+a ratio of the nearest one's, `probes` at most, and as many of the nearest lists as a measured recall asks for: a bounded
+sample of the queries is compared with all vectors, and the lists are counted that hold what it should find. Lists that are longer than a block (many equal vectors, say) are dealt in blocks of bounded
 size, and so are the queries of a list. Scores are inner products of the original vectors in double precision.
 """
 
@@ -75,12 +76,12 @@ def neighbour_graph(c: np.ndarray, links: int = 16, hubs: int = 64) -> tuple[np.
 
 def search_centroids(index: Index, q: np.ndarray, most: int, beam: int | None = None) -> tuple[np.ndarray, np.ndarray]:
     """For lifted vectors (B, d + 1), the `most` nearest centroids found and their squared distances, nearest first: best
-    first over the graph, a whole batch a step."""
+    first over the graph, a whole batch a step. Where the beam is a large share of all centroids, all are compared."""
     k = len(index.centroids)
     most = min(most, k)
     beam = min(k, beam or max(2 * most, 32))
     batch = len(q)
-    start = index.hubs
+    start = index.hubs if 4 * beam < k else np.arange(k)
     sims = np.full((batch, k), -np.inf, dtype=np.float32) if k <= 1 << 14 else None
     assert sims is not None, "more centroids than an index has"
     sims[:, start] = q @ index.centroids[start].T
@@ -88,7 +89,7 @@ def search_centroids(index: Index, q: np.ndarray, most: int, beam: int | None =
     open_[:, start] = True
     each = np.arange(batch)
     active = each
-    for _ in range(4 * beam):
+    for _ in range(4 * beam if len(start) < k else 0):
         s = sims[active]
         worst = np.partition(s, k - beam, axis=1)[:, k - beam]
         s = np.where(open_[active], s, -np.inf)
@@ -160,8 +161,50 @@ def _store(index: Index, copies: int, ratio: float, step: int = 2048):
     return run
 
 
-def _probe(index: Index, sizes: np.ndarray, probes: int, ratio: float, enough: int, step: int = 1024):
-    """Each query with the lists that it reads: those within the ratio, and more until they hold `enough` vectors."""
+def _exact(names: np.ndarray, q: np.ndarray, k: int, step: int = 4096):
+    """A task's k best vectors for each of a few queries, by comparing all."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        score, ids = np.full((len(q), 0), 0.0), np.zeros((len(q), 0), dtype=np.int64)
+        for whole in batches:
+            for low in range(0, whole.num_rows, step):
+                batch = whole.slice(low, step)
+                own = batch.column(batch.schema.get_field_index("vec_id")).to_numpy(zero_copy_only=False)
+                new = q @ _vectors(batch, "embedding", q.shape[1]).T
+                new[names[:, None] == own[None, :]] = -np.inf
+                score, ids = np.concatenate((score, new), axis=1), np.concatenate((ids, np.broadcast_to(own, new.shape)), axis=1)
+                if score.shape[1] > k:
+                    at = np.argpartition(-score, k - 1, axis=1)[:, :k]
+                    score, ids = np.take_along_axis(score, at, axis=1), np.take_along_axis(ids, at, axis=1)
+        rows, cols = np.nonzero(np.isfinite(score))
+        yield pa.RecordBatch.from_arrays([pa.array(names[rows]), pa.array(ids[rows, cols]), pa.array(score[rows, cols])], names=["query_id", "vec_id", "score"])
+
+    return run
+
+
+def lists_for(vectors: DataFrame, queries: DataFrame, stored: DataFrame, index: Index, k: int, recall: float, asked: int = 200) -> int:
+    """How many of its nearest lists a query must read so that this share of the true k nearest is found, measured on the
+    `asked` queries with the smallest hash against all vectors. stored: the postings (list, vec_id)."""
+    few = queries.select("vec_id", "embedding", F.xxhash64(F.lit("recall"), "vec_id").alias("h")).orderBy("h", "embedding").limit(asked).collect()
+    if not few:
+        return 0
+    few = list({r["vec_id"]: r for r in few}.values())
+    names, q = np.array([r["vec_id"] for r in few], dtype=np.int64), np.array([r["embedding"] for r in few])
+    best = vectors.select("vec_id", "embedding").mapInArrow(_exact(names, q, k), "query_id long, vec_id long, score double").groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
+    best = best.withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))).filter(F.col("rank") <= k)
+    held = stored.select("list", "vec_id").join(F.broadcast(best.select("query_id", "vec_id")), "vec_id").collect()  # `asked` * k * copies rows
+    near, _ = search_centroids(index, np.concatenate((_unit(q), np.zeros((len(q), 1))), axis=1).astype(np.float32), len(index.centroids))
+    place, row = np.argsort(near, axis=1), {n: i for i, n in enumerate(names.tolist())}
+    needed: dict[tuple[int, int], int] = {}
+    for r in held:
+        at, key = int(place[row[r["query_id"]], r["list"]]) + 1, (r["query_id"], r["vec_id"])
+        needed[key] = min(at, needed.get(key, at))
+    return sorted(needed.values())[int(np.ceil(recall * len(needed))) - 1] if needed else 0
+
+
+def _probe(index: Index, sizes: np.ndarray, probes: int, ratio: float, enough: int, least: int, step: int = 1024):
+    """Each query with the lists that it reads: the `least` nearest, those of `probes` within the ratio, and more of these
+    until they hold `enough` vectors."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -169,9 +212,10 @@ def _probe(index: Index, sizes: np.ndarray, probes: int, ratio: float, enough: i
                 batch = whole.slice(low, step)
                 x = _vectors(batch, "embedding", index.dim)
                 q = np.concatenate((_unit(x), np.zeros((len(x), 1))), axis=1).astype(np.float32)
-                near, d = search_centroids(index, q, probes)
+                near, d = search_centroids(index, q, max(probes, least))
                 before = np.cumsum(sizes[near], axis=1) - sizes[near]
-                take = (d <= d[:, :1] * (1 + ratio) ** 2) | (before < enough)
+                at = np.arange(near.shape[1])
+                take = (((d <= d[:, :1] * (1 + ratio) ** 2) | (before < enough)) & (at < probes)) | (at < least)
                 rows, cols = np.nonzero(take)
                 yield pa.RecordBatch.from_arrays([pa.array(near[rows, cols].astype(np.int32)), *(c.take(pa.array(rows)) for c in batch.columns)], names=["list", "query_id", "query"])
 
@@ -202,12 +246,12 @@ def _scan(k: int):
     return run
 
 
-def search(vectors: DataFrame, queries: DataFrame, k: int = 20, index: Index | None = None, copies: int = 4, store_ratio: float = 0.1, probes: int = 128, ratio: float = 0.35, enough: int | None = None, block: int = 4096) -> DataFrame:
+def search(vectors: DataFrame, queries: DataFrame, k: int = 20, index: Index | None = None, copies: int = 4, store_ratio: float = 0.1, probes: int = 128, ratio: float = 0.35, enough: int | None = None, block: int = 4096, recall: float = 0.95) -> DataFrame:
     """query_id, rank, vec_id, score: for each query the k nearest found among all vectors but those with the query's id.
 
     vectors, queries: vec_id, embedding. Those that are null, zero, not finite or of another dimension take no part, nor do
     rows without vec_id. Ties go to the smaller vec_id. Rows that repeat a vec_id count as one, the nearest. Every vector is
-    in the index; the index itself is fitted on a bounded sample. Extra columns are ignored; empty tables give no rows.
+    in the index; the index itself is fitted on a bounded sample. recall is what the number of lists is fitted to. Extra columns are ignored; empty tables give no rows.
     """
     spark = vectors.sparkSession
     vectors, queries = usable(vectors), usable(queries)
@@ -221,7 +265,7 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 20, index: Index | N
     sizes = np.zeros(len(index.centroids), dtype=np.int64)
     for r in lengths.collect():  # a row for each list
         sizes[r["list"]] = r["n"]
-    asked = queries.repartition(partitions(spark)).mapInArrow(_probe(index, sizes, probes, ratio, enough), "list int, query_id long, query array<double>")
+    asked = queries.repartition(partitions(spark)).mapInArrow(_probe(index, sizes, probes, ratio, enough, lists_for(vectors, queries, stored, index, k, recall)), "list int, query_id long, query array<double>")
     asked = stage(asked, "probes")
     wanted = asked.groupBy("list").agg(F.count("*").alias("n"))
     parts = lengths.join(wanted.withColumnRenamed("n", "m"), "list").select("list", F.ceil(F.col("n") / block).cast("int").alias("parts"), F.ceil(F.col("m") / block).cast("int").alias("turns"))

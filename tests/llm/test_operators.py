@@ -83,6 +83,21 @@ def test_nearest(spark):
     assert ann.search(v.limit(0), v.limit(0)).count() == 0
 
 
+def test_nearest_reads_as_many_lists_as_recall_asks_for(spark):
+    r = np.random.default_rng(3)
+    x = r.standard_normal((6000, 32)) * r.uniform(0.5, 2, (6000, 1))
+    v = spark.createDataFrame([(i, [float(a) for a in e]) for i, e in enumerate(x)], "vec_id long, embedding array<double>")
+    got = defaultdict(list)
+    for row in ann.search(v, v.filter("vec_id % 60 = 0"), index=ann.fit(ann.usable(v), per_list=20), probes=4, enough=1).collect():
+        got[row["query_id"]].append(row["score"])
+    hit = 0
+    for i in range(0, 6000, 60):
+        s = x @ x[i]
+        s[i] = -np.inf
+        hit += (np.array(got[i]) >= np.sort(s)[-20] - 1e-9).sum()
+    assert hit / (100 * 20) >= 0.94
+
+
 def test_ngram_join(spark, docs, empty):
     got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in ngram_join.near_duplicates(docs).collect()}
     assert got[1] == (0, 1) and got[2] == (0, 2) and got[3] == (1, 3) and got[4][1] == got[5][1] == 4 and got[6][1] == got[7][1] == 6
