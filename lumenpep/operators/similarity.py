@@ -2,12 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from functools import reduce
-
 import numpy as np
-import pyarrow as pa
-from pyspark.sql import DataFrame
+import pandas as pd
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.alleles import valid
@@ -61,48 +58,58 @@ def encode(peptides: list[str]) -> np.ndarray:
     return place[np.frombuffer("".join(peptides).encode("ascii"), dtype=np.uint8)].reshape(len(peptides), -1)
 
 
-def _best(refs: dict[int, np.ndarray], exclude_identity: bool, block: int = 256):
+def _best(exclude_identity: bool, block: int = 256, slice_: int = 10_000):
+    """Best scores of a group's peptides, all of one length, among the group's references. One-hot tables are made for
+    slice_ references at once."""
     b = matrix()
-    tables = {k: np.eye(20, dtype=np.float32)[r].reshape(len(r), -1).T for k, r in refs.items()}
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            peptides = batch.column(0).to_pylist()
-            raw, own = np.full(len(peptides), -np.inf), np.zeros(len(peptides))
-            lengths = np.array([len(p) for p in peptides])
-            for k in set(lengths.tolist()) & set(WEIGHTS):
-                at = np.flatnonzero(lengths == k)
-                w = np.array(WEIGHTS[k])
-                for low in range(0, len(at), block):
-                    part = at[low : low + block]
-                    e = encode([peptides[i] for i in part])
-                    own[part] = (w * b[e, e]).sum(axis=1)
-                    if k in tables:
-                        s = (b[e] * w[None, :, None]).reshape(len(part), -1).astype(np.float32) @ tables[k]
-                        if exclude_identity:
-                            s = np.where(s < own[part, None], s, -np.inf)
-                        raw[part] = s.max(axis=1)
-            found = np.isfinite(raw)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(raw, mask=~found), pa.array(own)], names=["peptide", "raw", "own"])
+
+    def run(peptides: pd.DataFrame, refs: pd.DataFrame) -> pd.DataFrame:
+        peptides, refs = peptides["peptide"].tolist(), refs["seq"].tolist()
+        raw, own = np.full(len(peptides), -np.inf), np.zeros(len(peptides))
+        k = len(peptides[0]) if peptides else 0
+        if k in WEIGHTS:
+            w, e = np.array(WEIGHTS[k]), encode(peptides)
+            own = (w * b[e, e]).sum(axis=1).astype(float)
+            for at in range(0, len(refs), slice_):
+                r = encode(refs[at : at + slice_])
+                table = np.eye(20, dtype=np.float32)[r].reshape(len(r), -1).T
+                for low in range(0, len(e), block):
+                    part = slice(low, low + block)
+                    s = (b[e[part]] * w[None, :, None]).reshape(len(e[part]), -1).astype(np.float32) @ table
+                    if exclude_identity:
+                        s = np.where(s < own[part, None], s, -np.inf)
+                    raw[part] = np.maximum(raw[part], s.max(axis=1))
+        return pd.DataFrame({"peptide": pd.Series(peptides, dtype=object), "raw": pd.array(np.where(np.isfinite(raw), raw, np.nan), dtype="Float64"), "own": own})
 
     return run
 
 
-def similarity(peptides: DataFrame, references: DataFrame, exclude_identity: bool = True, normalised: bool = True, at_once: int = 500_000) -> DataFrame:
+def _parts(df: DataFrame, column: str, most: int) -> tuple[dict[int, int], Column]:
+    """By length of the column: how many parts of about `most` rows there are, one at least; and a row's part."""
+    counts = {r["k"]: r["n"] for r in df.groupBy(F.length(column).alias("k")).agg(F.count("*").alias("n")).collect()}  # a row for each length
+    many = {k: -(-n // most) for k, n in counts.items() if n > most}
+    return many, F.pmod(F.xxhash64(column), _of(many, F.length(column)).cast("long")).cast("int")
+
+
+def _of(many: dict[int, int], k: Column) -> Column:
+    """A length's number of parts, 1 where many has none."""
+    return F.coalesce(*(F.when(k == F.lit(length), F.lit(n)) for length, n in sorted(many.items())), F.lit(1))
+
+
+def similarity(peptides: DataFrame, references: DataFrame, exclude_identity: bool = True, normalised: bool = True, at_once: int = 500_000, share: int = 20_000) -> DataFrame:
     """peptide, similarity for peptides (peptide): the best score of a reference (seq) of its length over its own score;
     with exclude_identity only scores below its own count; null where no reference counts, or no weights fit the length.
 
-    References are sent to tasks at_once at most; more go in several rounds, each over other references, and the best of
-    the rounds counts. Pairs are scored in blocks and never become rows.
+    Both sides are keyed by length, block of about at_once references at most and part of about `share` peptides, and meet
+    in these groups on executors; the best of the blocks counts. Pairs are scored in slices and never become rows.
     """
     refs = references.select("seq").filter(valid(F.col("seq")) & F.length("seq").isin(*WEIGHTS)).distinct()
     wanted = peptides.select("peptide").filter(valid(F.col("peptide"))).distinct()
-    rounds = -(-refs.count() // at_once) or 1
-    parts = []
-    for i in range(rounds):
-        by: dict[int, list[str]] = {}
-        for r in refs.filter(F.pmod(F.xxhash64("seq"), F.lit(rounds)) == i).toLocalIterator():
-            by.setdefault(len(r["seq"]), []).append(r["seq"])
-        parts.append(wanted.mapInArrow(_best({k: encode(v) for k, v in by.items()}, exclude_identity), "peptide string, raw double, own double"))
-    best = reduce(DataFrame.union, parts).groupBy("peptide").agg(F.max("raw").alias("raw"), F.max("own").alias("own"))
+    (blocks, block), (turns, turn) = _parts(refs, "seq", at_once), _parts(wanted, "peptide", share)
+    each = lambda many, c: F.explode(F.sequence(F.lit(0), _of(many, F.length(c)) - 1))
+    left = wanted.select("peptide", F.length("peptide").alias("k"), turn.alias("turn"), each(blocks, "peptide").alias("block"))
+    right = refs.select("seq", F.length("seq").alias("k"), block.alias("block"), each(turns, "seq").alias("turn"))
+    keys = ("k", "block", "turn")
+    best = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(_best(exclude_identity), "peptide string, raw double, own double")
+    best = best.groupBy("peptide").agg(F.max("raw").alias("raw"), F.max("own").alias("own"))
     return best.select("peptide", (F.round(F.col("raw") / F.col("own"), 6) if normalised else F.col("raw")).alias("similarity"))

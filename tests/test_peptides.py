@@ -1,3 +1,5 @@
+import numpy as np
+
 from lumenpep.operators import hla, peptides, similarity
 from lumenpep.sources import files
 
@@ -42,3 +44,16 @@ def test_similarity(spark):
     for identity, at_once, want in ((True, 10, 0.985), (False, 1, 1.0)):
         got = {r["peptide"]: r["similarity"] for r in similarity.similarity(of, refs, identity, at_once=at_once).collect()}
         assert got == {"AAAAAAAA": want, "AAAAAAAAA": None}
+
+
+def test_similarity_keeps_references_off_the_driver(spark, monkeypatch):
+    r = np.random.default_rng(4)
+    words = lambda n: sorted({"".join(r.choice(list("ACDS"), k)) for k in r.integers(8, 12, n)})
+    few, many = words(60), words(300)
+    of, refs = spark.createDataFrame([(x,) for x in few], "peptide string"), spark.createDataFrame([(x,) for x in many], "seq string")
+    monkeypatch.setattr(type(refs), "toLocalIterator", None)
+    b = similarity.matrix()
+    score = lambda x, y: int((np.array(similarity.WEIGHTS[len(x)]) * b[similarity.encode([x]), similarity.encode([y])]).sum())
+    for options in ({"at_once": 20}, {"at_once": 20, "share": 7}):
+        got = {x["peptide"]: x["similarity"] for x in similarity.similarity(of, refs, normalised=False, **options).collect()}
+        assert got == {x: max((s for y in many if len(y) == len(x) and (s := score(x, y)) < score(x, x)), default=None) for x in few}
