@@ -46,6 +46,19 @@ def samples(n: int = 2000, seed: int = 7) -> list[tuple[str, int]]:
         if r.random() < 0.4:
             text += f"{r.choice('_-/')}{r.randint(0, 2030)}"
         out.append((text, 0))
+    plain = random.Random(seed + 1)  # ordinary words and numbers, and random strings of letters alone
+    foreign = (
+        "schaft gesellschaft versicherung rechts schutz dampf schiff fahrt donau haupt bahn hof arbeit zeit verkehr ordnung wissen land kraft werk stadt verwaltung freund lich keit ung "
+        "gouverne ment nation ale ment constitution elle developpe ment question histoire univers ite desarrollo comunica cion respon sabilidad inter nacional administra tiva mente"
+    ).split()
+    for i in range(n):
+        text = "".join(plain.choice((parts, foreign)[i % 2]) for _ in range(plain.randint(4, 9)))
+        out.append(((text, text.upper(), text.capitalize())[i % 3], 0))
+        start = plain.randint(1900, 2030)
+        numbers = ("-".join(str(start + j) for j in range(6)), "".join(str(plain.randint(0, 9)) for _ in range(plain.randint(20, 40))), f"{start}-{plain.randint(1, 12):02}-{plain.randint(1, 28):02}/{start}-{plain.randint(1, 12):02}-{plain.randint(1, 28):02}", "/".join(str(plain.randint(0, 999)) for _ in range(8)))
+        out += [(numbers[i % 4], 0)] * 2
+        letters = ("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ")[i % 3]
+        out.append(("".join(plain.choice(letters) for _ in range(plain.randint(20, 60))), 1))
     out += [(c * 40, 0) for c in "=-_/0aA1x"] + [("0123456789" * 4, 0), ("abcdefghijklmnopqrstuvwxyz" * 2, 0), ("ABCDEFGHIJKLMNOPQRSTUVWXYZ" * 2, 0)]
     return out
 
@@ -109,7 +122,8 @@ def _joined(spans: Column) -> Column:
 
 def scan(docs: DataFrame, threshold: float = 0.5, labelled: list[tuple[str, int]] | None = None) -> DataFrame:
     """One row for each row of docs (doc_id, text): doc_id, base and more, arrays of (start, kind, end, token), ends
-    exclusive, in code points. kind counts KINDS from 0. more holds the models' spans that no base span overlaps.
+    exclusive, in code points. kind counts KINDS from 0. more holds the models' spans that no base span overlaps: whole tokens,
+    and of a token that base spans cover in part the pieces between them, from 8 characters on. The ratio judges them all.
 
     A null text is the empty one, with two empty arrays. An empty table gives no rows; other columns are ignored.
     """
@@ -117,9 +131,16 @@ def scan(docs: DataFrame, threshold: float = 0.5, labelled: list[tuple[str, int]
     text = F.col("text")
     of = only(docs, "doc_id", "text").select("doc_id", text_or_empty().alias("text"))
     of = of.select("doc_id", "text", F.concat(_spans(text, ASSIGN, 0, 2, 6), _spans(text, ACCESS, 1), _spans(text, HEX, 2)).alias("base"), _spans(text, TOKEN, 3).alias("tokens"))
-    free = F.filter("tokens", lambda t: ~F.exists("base", lambda b: (b["start"] < t["end"]) & (t["start"] < b["end"])))
-    mixed = F.filter(free, lambda t: F.regexp_like(t["token"], F.lit("[0-9]")) & F.regexp_like(t["token"], F.lit("[A-Za-z]")))
-    return of.select("doc_id", "base", F.filter(mixed, lambda t: _ratio(t["token"], table) > threshold).alias("more"))
+    over = lambda b, low, high: (b["start"] < high) & (low < b["end"])
+
+    def pieces(t: Column) -> Column:
+        lows = F.array_distinct(F.concat(F.array(t["start"]), F.transform(F.filter("base", lambda b: over(b, t["start"], t["end"])), lambda b: b["end"])))
+        runs = F.transform(lows, lambda low: F.struct(low.alias("low"), F.least(t["end"], F.array_min(F.transform(F.filter("base", lambda b: b["start"] >= low), lambda b: b["start"]))).alias("high")))
+        runs = F.filter(runs, lambda r: (r["high"] - r["low"] >= 8) & ~F.exists("base", lambda b: over(b, r["low"], r["high"])))
+        return F.transform(runs, lambda r: F.struct(r["low"].alias("start"), F.lit(3).alias("kind"), r["high"].alias("end"), F.substring(t["token"], r["low"] - t["start"] + 1, r["high"] - r["low"]).alias("token")))
+
+    free = F.flatten(F.transform("tokens", pieces))
+    return of.select("doc_id", "base", F.filter(free, lambda t: _ratio(t["token"], table) > threshold).alias("more"))
 
 
 def report(docs: DataFrame, **options) -> DataFrame:

@@ -229,6 +229,12 @@ def test_secrets(spark):
     assert got[2]["spans"] == "assign:2:20" and got[0]["base_sha256"] == hashlib.sha256(b"").hexdigest()
 
 
+def test_secrets_of_letters_and_beside_patterns(spark):
+    texts = ["key qZkLxVbRtWmYpHsJdKwQzXvN end", "QZKXVBRTWMYPHSJDKWQZXVNJ", "antidisestablishmentarianism 12345678901234567890 /var/lib/some/long/path/name Donaudampfschifffahrtsgesellschaft", "q7Zk2LxV9bRtG" + "0a" * 12 + "X4WmYp0Hs8JdQ", "get_user_name_" + "0a" * 12]
+    got = {r["doc_id"]: r["spans"] for r in secrets.report(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    assert [got[i] for i in range(5)] == ["random:4:28", "random:0:24", "", "random:0:13,hex:13:37,random:37:50", "hex:14:38"]
+
+
 def test_pipeline_keeps_whole_columns(spark):
     import corpus_pipeline
 
