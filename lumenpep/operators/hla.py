@@ -10,10 +10,12 @@ LEVELS = (0.01, 0.02, 0.03, 0.04, 0.05, 0.1, 0.5, 1.0, 2.0)
 
 def batches(*frames: DataFrame) -> DataFrame:
     """Union of long batches; an (allele, tool) pair in two of them is an error when the result is read."""
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f)
-    return out
+    out, pairs = frames[0], frames[0].select("allele", "tool", F.lit(0).alias("batch"))
+    for i, f in enumerate(frames[1:], 1):
+        out, pairs = out.unionByName(f), pairs.union(f.select("allele", "tool", F.lit(i)))
+    said = F.concat(F.lit("in two batches: "), F.coalesce("allele", F.lit("")), F.lit(" "), F.coalesce("tool", F.lit("")))
+    fine = pairs.groupBy("allele", "tool").agg(F.count_distinct("batch").alias("n")).agg(F.count_if(F.when(F.col("n") > 1, F.raise_error(said)).otherwise(F.lit(True)).cast("boolean")).alias("_pairs"))
+    return out.crossJoin(F.broadcast(fine)).filter("_pairs >= 0").drop("_pairs")
 
 
 def consolidate(ranks: DataFrame, common: list[str], strong: float = 0.5, weak: float = 2.0) -> DataFrame:

@@ -1,4 +1,4 @@
-"""Feature statistics: effect sizes, imputation, scaling, missing values, rank correlation."""
+"""Feature statistics: effect sizes, imputation, limits for scaling, missing values."""
 
 from __future__ import annotations
 

@@ -1,4 +1,5 @@
 import numpy as np
+import pytest
 
 from lumenpep.operators import hla, peptides, similarity
 from lumenpep.sources import files
@@ -57,3 +58,12 @@ def test_similarity_keeps_references_off_the_driver(spark, monkeypatch):
     for options in ({"at_once": 20}, {"at_once": 20, "share": 7}):
         got = {x["peptide"]: x["similarity"] for x in similarity.similarity(of, refs, normalised=False, **options).collect()}
         assert got == {x: max((s for y in many if len(y) == len(x) and (s := score(x, y)) < score(x, x)), default=None) for x in few}
+
+
+def test_a_pair_in_two_batches_is_an_error(spark):
+    a, b = (spark.createDataFrame([("P", x, "T", 0, 0.1)], "peptide string, allele string, tool string, col_ord int, rank double") for x in ("A", "B"))
+    assert hla.batches(a, b).count() == 2 and hla.batches(a.union(a), b).count() == 3
+    with pytest.raises(Exception, match="in two batches: A T"):
+        hla.batches(a, b, a).collect()
+    with pytest.raises(Exception, match="in two batches: A T"):
+        hla.batches(a, b, a).count()
