@@ -3,11 +3,17 @@
 from __future__ import annotations
 
 import atexit
+import contextlib
+import ctypes
+import re
 import shutil
 import tempfile
 import uuid
 from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,10 +26,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """A folder that the driver and all executors see: spark.checkpoint.dir, or, where that is unset (tests in one
-    process), a temporary folder that is set as checkpoint folder for the session."""
+    """A folder that the driver and all executors see: spark.checkpoint.dir, or, where that is unset and all run in one
+    process (tests), a temporary folder that is set as checkpoint folder for the session. On any other master an unset
+    folder is an error, as each executor would write to a disk of its own."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not found:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir is unset: it must name a folder that the driver and all executors share")
         found = "file://" + tempfile.mkdtemp(prefix="lumenpep-")
         spark.sparkContext.setCheckpointDir(found)
         atexit.register(shutil.rmtree, found[len("file://"):], ignore_errors=True)
@@ -64,7 +73,45 @@ def only(df: DataFrame, *names: str) -> DataFrame:
     return df.select(*(F.col(f"`{n}`") for n in names))
 
 
-def values(batch, column: int, step: int = 500) -> Iterator:
-    """A column's values as Python objects, a few rows at a time: a batch of long texts isn't held twice."""
-    for low in range(0, batch.num_rows, step):
-        yield from batch.column(column).slice(low, step).to_pylist()
+def slices(batch: pa.RecordBatch, column: int, most: int = 2 << 20, rows: int = 500) -> Iterator[pa.RecordBatch]:
+    """The batch in parts whose texts in a column have about `most` bytes, one row at least."""
+    length = np.asarray(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+    low, held = 0, 0
+    for i, n in enumerate(length.tolist()):
+        if i > low and (held + n > most or i - low >= rows):
+            yield batch.slice(low, i - low)
+            low, held = i, 0
+        held += n
+    if batch.num_rows:
+        yield batch.slice(low)
+
+
+def values(batch: pa.RecordBatch, column: int) -> Iterator:
+    """A column's values as Python objects, a few at a time: a batch of long texts isn't held twice."""
+    if pa.types.is_string(batch.schema.field(column).type) or pa.types.is_binary(batch.schema.field(column).type):
+        for part in slices(batch, column):
+            yield from part.column(column).to_pylist()
+    else:
+        for low in range(0, batch.num_rows, 1000):
+            yield from batch.column(column).slice(low, 1000).to_pylist()
+
+
+def small_batches(spark: SparkSession, most: str = "8m") -> None:
+    """Bounds the bytes of Arrow batches, in the JVM and in Python, where the session has Spark's default of 64 MB."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(name) == "67108864b":
+        spark.conf.set(name, most)
+
+
+def released(run):
+    """A function of Arrow batches that gives memory back to the system when its task ends: workers live on after it."""
+
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            with contextlib.suppress(OSError, AttributeError):  # another C library than glibc
+                ctypes.CDLL(None).malloc_trim(0)
+
+    return whole

@@ -4,7 +4,8 @@ The key of a text is a 64-bit hash. A directory over the leading bits of keys po
 than their capacity are split, and the directory doubles where a bucket is as deep as the directory. Each bucket is a
 range of keys with one owner task. Map tasks first collapse equal texts, so a text that fills a third of the table reaches
 its owner as a few rows. An owner reads its rows in key order, keeps a chain of the different texts of one key, compares
-bytes, and writes the bucket's file. Documents then find their group by key and digest.
+bytes, and writes the bucket's file. Documents then find their group by key and digest; groups of over a thousandth of all
+rows, fewer than a thousand, are known beforehand and dealt over several tasks.
 """
 
 from __future__ import annotations
@@ -17,10 +18,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import new_path, only, text_or_empty, values
+from .common import new_path, only, released, small_batches, text_or_empty, values
 
 ENTRIES = "bucket int, key long, chain int, text_sha256 string, keep_id long, group_size long"
 COMBINED = "bucket int, key long, text string, n long, last long"
+HOT = 1000
 
 
 class Directory:
@@ -111,7 +113,7 @@ def _own(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     break
             else:
                 chain.append([data, n, last])
-        if len(done) > 20_000:
+        if len(done) > 5_000:
             yield out()
             done.clear()
     if at:
@@ -124,11 +126,13 @@ def _keyed(docs: DataFrame, key: Column | None) -> DataFrame:
     return only(docs, "doc_id", "text").select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text")).select("doc_id", (F.xxhash64("text") if key is None else key).alias("key"), "text")
 
 
-def build_index(docs: DataFrame, path: str | None = None, capacity: int = 16 << 20, finest: int = 16, held: int = 32 << 20, key: Column | None = None) -> tuple[str, Directory]:
+def build_index(docs: DataFrame, path: str | None = None, capacity: int = 16 << 20, finest: int = 16, held: int = 4 << 20, key: Column | None = None) -> tuple[str, Directory]:
     """Writes the index of docs (doc_id, text) and returns its folder and directory. Each bucket is a folder with one
-    file of chains: key, chain, text_sha256, keep_id, group_size. capacity: characters of different texts in a bucket; the
-    directory has at most 2**finest entries, whatever the table's size."""
+    file of chains: key, chain, text_sha256, keep_id, group_size. capacity: characters of different texts in a bucket, or,
+    where it is more, 2**(1 - finest) of all of them, so that files stay countable: an owner streams through its bucket in the
+    order of keys, whatever that holds. The directory has at most 2**finest entries."""
     spark = docs.sparkSession
+    small_batches(spark)
     path = path or new_path(spark, "dedup-index")
     keyed = _keyed(docs, key)
     loads = keyed.select("key", F.length("text").alias("n")).groupBy("key").agg(F.max("n").alias("n"))
@@ -136,10 +140,10 @@ def build_index(docs: DataFrame, path: str | None = None, capacity: int = 16 <<
     load = np.zeros(1 << finest, dtype=np.int64)
     for r in loads.toLocalIterator():  # at most 2**finest rows
         load[r["slot"]] = r["n"]
-    directory = Directory(load, capacity, finest)
-    combined = keyed.mapInArrow(_combine(directory, held), COMBINED)
+    directory = Directory(load, max(capacity, int(load.sum()) >> (finest - 1)), finest)
+    combined = keyed.mapInArrow(released(_combine(directory, held)), COMBINED)
     owned = combined.repartitionById(directory.buckets(), F.col("bucket")).sortWithinPartitions("bucket", "key")
-    owned.mapInArrow(_own, ENTRIES).write.partitionBy("bucket").parquet(path)
+    owned.mapInArrow(released(_own), ENTRIES).write.partitionBy("bucket").parquet(path)
     return path, directory
 
 
@@ -153,14 +157,25 @@ def dedup(docs: DataFrame, **options) -> DataFrame:
     path, _ = build_index(docs, **options)
     index = docs.sparkSession.read.schema("key long, text_sha256 string, keep_id long, group_size long").parquet(path)
     rows = _keyed(docs, options.get("key")).select("doc_id", "key", F.sha2(F.col("text").cast("binary"), 256).alias("text_sha256"))
-    return rows.join(index, ["key", "text_sha256"]).select("doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), "text_sha256")
+    # a group of over 1/HOT of all rows, of which there are fewer than HOT, is dealt over as many tasks as it has such shares
+    total = index.agg(F.coalesce(F.sum("group_size"), F.lit(0))).head()[0]
+    parts = F.when(F.col("group_size") * HOT > total, F.ceil(F.col("group_size") * HOT / F.lit(max(total, 1)))).otherwise(1).cast("int")
+    index = index.withColumn("parts", parts)
+    hot = index.filter("parts > 1").select("key", "text_sha256", "parts")
+    rows = rows.join(F.broadcast(hot), ["key", "text_sha256"], "left").withColumn("part", F.when(F.col("parts").isNull(), 0).otherwise(F.pmod(F.xxhash64("doc_id"), F.col("parts"))).cast("int")).drop("parts")
+    index = index.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).drop("parts")
+    return rows.join(index, ["key", "text_sha256", "part"]).select("doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), "text_sha256")
 
 
 def kept_rows(docs: DataFrame, **options) -> DataFrame:
-    """The rows of docs, with all their columns, that dedup() keeps; a single one where rows share text and doc_id."""
-    kept = dedup(docs, **options).filter("kept").select(F.col("doc_id").alias("_keep"), F.col("group_size").alias("_size"), "text_sha256").distinct()
-    of = docs.withColumn("_sha", F.sha2(text_or_empty().cast("binary"), 256))
-    joined = of.join(kept, of["_sha"].eqNullSafe(kept["text_sha256"]) & of["doc_id"].eqNullSafe(kept["_keep"])).drop("text_sha256")
-    plain = joined.filter("_size = 1")
-    repeated = joined.filter("_size > 1").dropDuplicates(["doc_id", "_sha"])
-    return plain.unionByName(repeated).select(*docs.columns)
+    """The rows of docs (doc_id, text, and any others), with all their columns, that dedup() keeps; a single one where rows
+    share text and doc_id.
+
+    A null text is the empty one and a null doc_id the smallest: of rows without doc_id and with equal texts one stays, if no
+    other row has the text. Names of other columns, whatever they are, stay; an empty table gives no rows.
+    """
+    given = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_given"), F.col("doc_id").cast("long").alias("_doc"), F.sha2(text_or_empty().cast("binary"), 256).alias("_sha"))
+    kept = dedup(docs, **options).filter("kept").groupBy(F.col("doc_id").alias("_keep"), F.col("text_sha256").alias("_text")).agg(F.count("*").alias("_many"))
+    joined = given.join(kept, F.col("_sha").eqNullSafe(F.col("_text")) & F.col("_doc").eqNullSafe(F.col("_keep")))
+    repeated = joined.filter("_many > 1").groupBy("_keep", "_text").agg(F.first("_given").alias("_given")).select("_given")
+    return joined.filter("_many = 1").select("_given").union(repeated).select(*(F.col(f"_given.`{c}`").alias(c) for c in docs.columns))

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
-from .common import only, values
+from .common import only, released, slices, small_batches, values
 
 #: Bytes as the network sees them: A-Z in lower case; digits, punctuation and white space of ASCII as one symbol.
 _SEEN = np.array([b + 32 if 65 <= b < 91 else b if 97 <= b < 123 or b >= 128 else 32 for b in range(256)], dtype=np.uint8)
@@ -201,14 +201,20 @@ def held_out() -> Column:
     return (F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 4) == 2
 
 
-def sample(docs: DataFrame, each: int = 300, longest: int = 20_000) -> tuple[list[bytes], list[str]]:
-    """Training texts: of each language the `each` documents with the smallest hash, among those that are not held out and
-    have at most `longest` characters. The bound keeps training on the driver within fixed memory."""
+def sample(docs: DataFrame, each: int = 300, longest: int = 20_000, labels: int = 200) -> tuple[list[bytes], list[str]]:
+    """Training texts: of each of the `labels` most common languages `each` different texts at most, those with the smallest
+    hash among documents that are not held out and have at most `longest` characters. The bounds keep training on the driver
+    within fixed memory. Hashes beyond about twice what a language needs are left out before anything is sorted, and
+    repeated rows are one before they meet, so no common language or row fills a task."""
     fit = only(docs, "doc_id", "text", "lang").filter(F.col("lang").isNotNull() & ~held_out() & F.length("text").between(1, longest))
-    by = Window.partitionBy("lang").orderBy(F.xxhash64(F.lit("language sample"), "doc_id"), "doc_id")
-    few = fit.select("doc_id", "lang").distinct().withColumn("nth", F.row_number().over(by)).filter(F.col("nth") <= each)
-    few = few.select(F.col("doc_id").alias("_d"), F.col("lang").alias("_l"))
-    rows = fit.join(F.broadcast(few), F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("lang") == F.col("_l")), "left_semi").collect()  # each * languages rows
+    counts = fit.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(labels).collect()
+    if not counts:
+        return [], []
+    span = 1 << 40
+    limit = F.element_at(F.create_map(*(F.lit(v) for r in counts for v in (r["lang"], min(span, span * 2 * each // r["count"] + 1)))), F.col("lang"))
+    few = fit.select("text", "lang", F.pmod(F.xxhash64(F.lit("language sample"), "doc_id", "text"), F.lit(span)).alias("h")).filter(F.col("h") < limit)
+    few = few.groupBy("lang", "h").agg(F.min("text").alias("text"))
+    rows = few.withColumn("nth", F.row_number().over(Window.partitionBy("lang").orderBy("h"))).filter(F.col("nth") <= each).select("text", "lang").collect()  # each * labels rows
     rows.sort(key=lambda r: (r["lang"], r["text"]))
     return [r["text"].encode("utf-8") for r in rows], [r["lang"] for r in rows]
 
@@ -221,6 +227,7 @@ def identify(docs: DataFrame, net: Net | None = None, steps: int = 96, block: in
     where no document has a label. Otherwise it is a label, and score its mean probability over the text's letters. Rows
     without doc_id, repeated rows and extra columns change nothing. An empty table gives no rows.
     """
+    small_batches(docs.sparkSession)
     if net is None:
         texts, labels = sample(docs)
         net = train(texts, labels, steps=steps, **options) if texts else None
@@ -228,32 +235,39 @@ def identify(docs: DataFrame, net: Net | None = None, steps: int = 96, block: in
     if net is None:
         out = of.select("doc_id", F.lit("und").alias("lang_pred"), F.lit(0.0).alias("score"))
     else:
-        out = of.mapInArrow(_apply(net, steps, block), "doc_id long, lang_pred string, score double")
+        out = of.mapInArrow(released(_apply(net, steps, block)), "doc_id long, lang_pred string, score double")
     return out.select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
 
 
 def accepted(docs: DataFrame, least: float = 0.4, net: Net | None = None, steps: int = 96, block: int = 1_500_000) -> DataFrame:
     """The rows of docs (doc_id, text, lang, and any others) with a language of score `least` or more.
 
-    Rows keep all their columns and pass through the network's tasks whole, so nothing is shuffled or joined by doc_id.
+    Rows keep all their columns, whatever their names, and pass through the network's tasks whole, so nothing is shuffled or
+    joined by doc_id. Null and empty texts and those without a letter go. Where no document has a label, nothing can be
+    learned, and all texts with a letter stay. Repeated rows are judged each; an empty table gives no rows.
     """
+    small_batches(docs.sparkSession)
     if net is None:
         texts, labels = sample(docs)
         net = train(texts, labels, steps=steps) if texts else None
-    if net is None:
-        return docs.limit(0)
     names, at = docs.columns, docs.columns.index("text")
-    judge = _apply(net, steps, block)
+    judge = _apply(net, steps, block) if net else _lettered
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if batch.num_rows:
-                one = pa.RecordBatch.from_arrays([pa.array(range(batch.num_rows), pa.int64()), batch.column(at)], names=["doc_id", "text"])
+            for part in slices(batch, at, rows=4000):
+                one = pa.RecordBatch.from_arrays([pa.array(range(part.num_rows), pa.int64()), part.column(at)], names=["doc_id", "text"])
                 score = np.concatenate([b.column(2).to_numpy(zero_copy_only=False) for b in judge(iter([one]))])
-                yield batch.filter(pa.array(score >= least))
+                yield part.filter(pa.array(score >= least))
+
+    return docs.toDF(*(f"c{i}" for i in range(len(names)))).mapInArrow(released(run), _renamed(docs.schema)).toDF(*names)
+
 
-    schema = docs.schema
-    return docs.toDF(*(f"c{i}" for i in range(len(names)))).mapInArrow(run, _renamed(schema)).toDF(*names)
+def _lettered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Score 1 for texts with a letter."""
+    for batch in batches:
+        score = [float(any(map(str.isalpha, t or ""))) for t in values(batch, 1)]
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(["und"] * len(score)), pa.array(score)], names=["doc_id", "lang_pred", "score"])
 
 
 def _renamed(schema: StructType) -> StructType:

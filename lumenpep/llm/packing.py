@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import tokens
-from .common import only, stage, values
+from .common import only, released, small_batches, stage, values
 
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, task long, nth long"
 PLACED = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
@@ -128,8 +128,9 @@ def pack(docs: DataFrame, tokenizer: str | None = None, capacity: int = 2048, en
     it. Long documents are cut after each `capacity` ids. Rows with equal or null doc_id are documents of their own. An
     empty table gives no rows. Sequences are numbered from 0; offsets in each are gapless from 0.
     """
+    small_batches(docs.sparkSession)
     path = tokenizer or tokens.public("byte_bpe_50k.json")
-    pieces = stage(only(docs, "doc_id", "text").select(F.col("doc_id").cast("long"), "text").mapInArrow(_cut(path, capacity, end_id), PIECES), "pieces")
+    pieces = stage(only(docs, "doc_id", "text").select(F.col("doc_id").cast("long"), "text").mapInArrow(released(_cut(path, capacity, end_id)), PIECES), "pieces")
     counts = pieces.groupBy("length", "task").agg(F.count("*").alias("n"))
     histogram = {r["length"]: r["n"] for r in counts.groupBy("length").agg(F.sum("n").alias("n")).collect()}  # at most `capacity` rows
     before = Window.partitionBy("length").orderBy("task").rowsBetween(Window.unboundedPreceding, -1)

@@ -4,7 +4,7 @@ BPE treats each pre-token alone, so the ids of a text are those of its pre-token
 words: each worker keeps the ids of the pre-tokens that it has met, and asks the library's model for the others. Cutting into
 pre-tokens is done here for texts made of Latin letters, ASCII and common punctuation, where Python's and the library's
 character classes agree; all other texts, and those that could hold special tokens, go to the library whole. Both ways
-give the same ids (tests/llm/test_tokens.py).
+give the same ids (tests/llm/test_operators.py).
 """
 
 from __future__ import annotations
@@ -59,7 +59,7 @@ class _Memo(dict):
 class Encoder:
     """encode(texts) yields the ids of each whole text as little-endian unsigned 32-bit integers, without special tokens."""
 
-    def __init__(self, path: str, memo: int = 400_000):
+    def __init__(self, path: str, memo: int = 150_000):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
