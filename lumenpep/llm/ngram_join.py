@@ -12,6 +12,8 @@ component are done. In some rounds more, up to 16 nodes of each component of the
 compared with the next few of their size. In the last, every pair from two components is compared, in blocks of bounded size, so the
 components are exact.
 
+Texts are found again by `at`, a hash of a row's doc_id and text: rows without a doc_id are rows like all others.
+
 Before the sets of a pair are read, their signatures are compared: a bit for each of about as many ranges of hashes as the set
 has shingles, that tells whether an odd number fell there. Every bit that differs stands for a shingle that one set lacks, so
 a pair with too many can't be similar; only the others' sets travel.
@@ -24,13 +26,13 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import discard, only, partitions, stage, values
+from .common import WORD, discard, only, partitions, released, small_batches, stage, values
 from .shingles import mix, shingle_sets
 
-SETS = "doc_id long, n long, node long, grp long, prefix binary, sig binary, mini binary"
+SETS = "doc_id long, at long, n long, node long, grp long, prefix binary, sig binary, mini binary"
 ENTRIES = "token long, grp long, n int, pos int"
 CROSSED = ("token", "low", "high", "node", "root", "n", "pos", "side", "mini")
 
@@ -124,10 +126,10 @@ def _prefixes(rule: Rule, rare: np.ndarray, seen_limit: int = 500_000):
         seen: set[int] = set()  # groups and nodes that this task has given a prefix or signature
         for batch in batches:
             rows = []
-            for doc, s in zip(batch.column(0).to_pylist(), shingle_sets(values(batch, 1), rule.size), strict=True):
+            for doc, at, s in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), shingle_sets(values(batch, 2), rule.size), strict=True):
                 n = len(s)
                 if not n:
-                    rows.append((doc, 0, None, None, None, None, None))
+                    rows.append((doc, at, 0, None, None, None, None, None))
                     continue
                 order = np.lexsort((s, rare[(s >> shift).astype(np.int64)]))[: n - rule.least(n) + 1]
                 prefix = s[order]
@@ -136,10 +138,10 @@ def _prefixes(rule: Rule, rare: np.ndarray, seen_limit: int = 500_000):
                     seen.clear()
                 node = _node(s)
                 fresh = node not in seen
-                rows.append((doc, n, node, group, None if group in seen else prefix.tobytes(), signature(s) if fresh else None, _mini(s) if fresh else None))
+                rows.append((doc, at, n, node, group, None if group in seen else prefix.tobytes(), signature(s) if fresh else None, _mini(s) if fresh else None))
                 seen.update((group, node))
             if rows:
-                kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary())
+                kinds = (*[pa.int64()] * 5, *[pa.binary()] * 3)
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=[f.split()[0] for f in SETS.split(", ")])
 
     return run
@@ -208,7 +210,7 @@ def _possible(a_n, a_pos, b_n, b_pos, rule: Rule):
 
 
 def _bloom(ids: DataFrame, bits: int, blocks: int = 16) -> np.ndarray:
-    """A bit table of doc_ids, filled by tasks. bits is at most 2**29 (64 MB); a fuller table only lets more rows pass."""
+    """A bit table of hashes, filled by tasks. bits is at most 2**29 (64 MB); a fuller table only lets more rows pass."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = np.zeros(bits // 8, dtype="u1")
@@ -227,16 +229,24 @@ def _places(ids: np.ndarray, bits: int) -> list[np.ndarray]:
 
 
 def _whole_sets(rule: Rule, table: np.ndarray, bits: int):
+    """Rows (at, text) that the bit table has -> their sets, once a task for rows that repeat."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        done: set[int] = set()
         for batch in batches:
             ids = batch.column(0).to_numpy(zero_copy_only=False)
             passed = np.ones(len(ids), dtype=bool)
             for at in _places(ids, bits):
                 passed &= (table[at >> 3] >> (at & 7) & 1).astype(bool)
+            for i in np.flatnonzero(passed).tolist():
+                passed[i] = int(ids[i]) not in done
+                done.add(int(ids[i]))
+            if len(done) > 1_000_000:
+                done.clear()
             some = batch.filter(pa.array(passed))
             sets = list(shingle_sets(values(some, 1), rule.size))
             if sets:
-                yield pa.RecordBatch.from_arrays([some.column(0), pa.array([_node(s) for s in sets], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())], names=["doc_id", "node", "shingles"])
+                yield pa.RecordBatch.from_arrays([some.column(0), pa.array([_node(s) for s in sets], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())], names=["at", "node", "shingles"])
 
     return run
 
@@ -262,15 +272,15 @@ class Verifier:
     def _sets(self, pairs: DataFrame) -> DataFrame | None:
         """node, shingles of the nodes of the pairs."""
         wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-        wanted = stage(wanted.join(self.nodes.select("node", "doc_id"), "node"), "wanted")
+        wanted = stage(wanted.join(self.nodes.select("node", "at"), "node"), "wanted")
         count = wanted.count()
         if not count:
             return None
         bits = 1 << min(29, max(16, (16 * count).bit_length()))
-        run = _whole_sets(self.rule, _bloom(wanted.select("doc_id"), bits), bits)
-        sets = self.docs.filter("doc_id IS NOT NULL").mapInArrow(run, "doc_id long, node long, shingles binary")
-        # a node has one doc_id; rows that share it and the set are in the same place already
-        return stage(sets.join(wanted, ["doc_id", "node"]).dropDuplicates(["doc_id", "node"]).select("node", "shingles"), "sets")
+        run = _whole_sets(self.rule, _bloom(wanted.select("at"), bits), bits)
+        sets = self.docs.select("at", "text").mapInArrow(released(run), "at long, node long, shingles binary")
+        # a node has one `at`; rows that share it and the set are in the same place already
+        return stage(sets.join(wanted, ["at", "node"]).dropDuplicates(["at", "node"]).select("node", "shingles"), "sets")
 
     def links(self, pairs: DataFrame) -> DataFrame:
         """Of node pairs (a, b), those that are similar."""
@@ -289,18 +299,46 @@ class Verifier:
         return links
 
 
-def components(edges: DataFrame) -> DataFrame:
+def _forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Edges a, b -> for every node of them the smallest node that the task's edges lead to."""
+    above: dict[int, int] = {}
+
+    def top(x: int) -> int:
+        while (y := above.setdefault(x, x)) != x:
+            above[x] = above[y]
+            x = y
+        return x
+
+    for batch in batches:
+        for a, b in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            a, b = top(a), top(b)
+            above[max(a, b)] = min(a, b)
+    nodes = list(above)
+    yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array([top(x) for x in nodes], pa.int64())], names=["node", "root"])
+
+
+def components(edges: DataFrame, small: int = 100_000) -> DataFrame:
     """node, root for every node of edges (a, b): each round every node moves to the smallest of its neighbours and
-    itself, and edges within a root vanish. Nodes are hashes, so the number of nodes falls by a factor each round."""
+    itself, and edges within a root vanish. Nodes are hashes, so the number of nodes falls by a factor each round. At most
+    `small` edges that are left are one task's work, whose memory this bounds."""
     labels = None
-    while not edges.isEmpty():
+    while (left := edges.count()) > small:
         both = edges.select("a", "b").union(edges.select("b", "a"))
         moved = stage(both.groupBy(F.col("a").alias("node")).agg(F.least("node", F.min("b")).alias("root")), "moved")
+        labels = moved if labels is None else _moved_on(labels, moved)
         step = moved.select(F.col("node").alias("root"), F.col("root").alias("to"))
-        labels = moved if labels is None else stage(labels.join(step, "root", "left").select("node", F.coalesce("to", "root").alias("root")), "labels")
         ends = edges.join(step.select(F.col("root").alias("a"), F.col("to").alias("x")), "a").join(step.select(F.col("root").alias("b"), F.col("to").alias("y")), "b")
         edges = stage(ends.filter("x <> y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct(), "edges")
-    return edges.selectExpr("a AS node", "b AS root") if labels is None else labels
+    if not left:
+        return edges.selectExpr("a AS node", "b AS root") if labels is None else labels
+    last = stage(edges.select("a", "b").coalesce(1).mapInArrow(_forest, "node long, root long"), "forest")
+    return last if labels is None else _moved_on(labels, last)
+
+
+def _moved_on(labels: DataFrame, moved: DataFrame) -> DataFrame:
+    """labels (node, root), where roots have moved (node, root)."""
+    step = moved.select(F.col("node").alias("root"), F.col("root").alias("to"))
+    return stage(labels.join(step, "root", "left").select("node", F.coalesce("to", "root").alias("root")), "labels")
 
 
 def _crossing(rule: Rule, reach: int | None = None):
@@ -363,22 +401,21 @@ def _open(lists: DataFrame, labels: DataFrame) -> DataFrame:
 
 def _grown(labels: DataFrame, links: DataFrame) -> DataFrame:
     """Components of before, joined by links found since."""
-    return components(labels.select(F.col("node").alias("a"), F.col("root").alias("b")).filter("a <> b").union(links))
+    return components(stage(labels.select(F.col("node").alias("a"), F.col("root").alias("b")).filter("a <> b").union(links), "edges"))
 
 
-def near_duplicates(docs: DataFrame, rule: Rule = Rule(), block: int = 2048, turns: int = 2) -> DataFrame:
-    """One row for each row of docs (doc_id, text): doc_id, n_shingles, component_id.
+def _at() -> Column:
+    return F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit("none")), "text")
 
-    component_id is the smallest doc_id that links lead to, itself included. A null text or one without words has an empty
-    set and no link. Rows that share a doc_id are documents of their own. A row without a doc_id is linked with rows of an
-    equal set alone, and has a null component_id where they have no doc_id either. Extra columns are ignored; an empty
-    table gives no rows.
-    """
+
+def _rooted(docs: DataFrame, rule: Rule, block: int, turns: int) -> DataFrame:
+    """doc_id, at, n, node and root (null where the set is empty) for each row of docs."""
     spark = docs.sparkSession
-    docs = only(docs, "doc_id", "text").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    wide = stage(docs.mapInArrow(_prefixes(rule, rarity(docs, rule)), SETS), "prefixes")
+    small_batches(spark)
+    docs = only(docs, "doc_id", "text").select(F.col("doc_id").cast("long").alias("doc_id"), _at().alias("at"), "text")
+    wide = stage(docs.mapInArrow(released(_prefixes(rule, rarity(docs, rule))), SETS), "prefixes")
     narrow = stage(wide.drop("prefix", "sig", "mini"), "nodes")
-    nodes = stage(wide.filter("n > 0").groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.max("n").alias("n"), F.max("sig").alias("sig"), F.max("mini").alias("mini")), "classes").filter("doc_id IS NOT NULL")
+    nodes = stage(wide.filter("n > 0").groupBy("node").agg(F.min("at").alias("at"), F.max("n").alias("n"), F.max("sig").alias("sig"), F.max("mini").alias("mini")), "classes")
     members = stage(narrow.filter("n > 0").groupBy("grp", "node").agg(F.max("n").cast("int").alias("n")), "members")
     one = members.groupBy("grp").agg(F.min("node").alias("node"), F.count("*").alias("many"))
 
@@ -417,14 +454,37 @@ def near_duplicates(docs: DataFrame, rule: Rule = Rule(), block: int = 2048, tur
     dealt = dealt.select(*CROSSED).repartition(partitions(spark), "token", "low", "high").sortWithinPartitions("token", "low", "high", "n")
     labels = _grown(labels, verifier.links(dealt.mapInArrow(_crossing(rule), "a long, b long")))
 
-    ids = nodes.select("node", "doc_id").join(labels, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    smallest = ids.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    by_node = ids.join(smallest, "root").select("node", "component_id")
-    out = narrow.join(by_node, "node", "left")
+    return narrow.select("doc_id", "at", "n", "node").join(labels, "node", "left").withColumn("root", F.coalesce("root", "node"))
+
+
+def near_duplicates(docs: DataFrame, rule: Rule = Rule(), block: int = 2048, turns: int = 1) -> DataFrame:
+    """One row for each row of docs (doc_id, text): doc_id, n_shingles, component_id.
+
+    component_id is the smallest doc_id that links lead to, itself included. A null text or one without words has an empty
+    set and no link. Rows that share a doc_id are documents of their own. A row without a doc_id is a document like all
+    others; component_id is null where links lead to no row with a doc_id. Extra columns are ignored; an empty table gives
+    no rows.
+    """
+    rows = _rooted(docs, rule, block, turns)
+    smallest = rows.filter("root IS NOT NULL").groupBy("root").agg(F.min("doc_id").alias("component_id"), F.count("*").alias("many")).filter("many > 1")
+    out = rows.join(smallest.select("root", "component_id"), "root", "left")
     return out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
 
 
-def representatives(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
-    """The rows of docs, with all their columns, that are the first of their component."""
-    kept = near_duplicates(docs, rule).filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
-    return docs.join(kept.withColumnRenamed("doc_id", "_kept"), docs["doc_id"].eqNullSafe(F.col("_kept")), "left_semi")
+def representatives(docs: DataFrame, rule: Rule = Rule(), block: int = 2048, turns: int = 1) -> DataFrame:
+    """The rows of docs (doc_id, text, and any others), with all their columns, that are the first of their component: the
+    one with the smallest doc_id, a null one last, and a single one where rows share doc_id and text.
+
+    Null texts and those without words are in no component and stay, repeated or not. Names of other columns, whatever they
+    are, stay; an empty table gives no rows.
+    """
+    rows = _rooted(docs, rule, block, turns)
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "at", "many"))
+    kept = rows.filter("root IS NOT NULL").groupBy("root", "doc_id", "at").agg(F.count("*").alias("many")).groupBy("root").agg(first.alias("one"))
+    kept = kept.select(F.col("one.doc_id").alias("_doc"), F.col("one.at").alias("_key"), F.col("one.many").alias("_many"))
+    worded = F.regexp_like(F.coalesce("text", F.lit("")), F.lit(WORD))
+    given = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_given"), F.col("doc_id").cast("long").alias("_id"), _at().alias("_at"), (~worded).alias("_empty"))
+    joined = given.filter("NOT _empty").join(kept, (F.col("_at") == F.col("_key")) & F.col("_id").eqNullSafe(F.col("_doc")))
+    repeated = joined.filter("_many > 1").groupBy("_id", "_at").agg(F.first("_given").alias("_given")).select("_given")
+    out = given.filter("_empty").select("_given").union(joined.filter("_many = 1").select("_given")).union(repeated)
+    return out.select(*(F.col(f"_given.`{c}`").alias(c) for c in docs.columns))
