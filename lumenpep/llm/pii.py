@@ -1,7 +1,7 @@
 """Personal data: validated numbers, dates and addresses become pseudonyms of their own format.
 
 A pseudonym is a keyed Feistel permutation within the set of valid values: equal values get equal pseudonyms in all
-documents, different values different ones, and the holder of the key can invert it. All work on texts is made of DataFrame
+documents, different values different ones, and restore() inverts it with the key. All work on texts is made of DataFrame
 functions.
 
 kind   what is taken                                              its set
@@ -19,6 +19,8 @@ other numbers: see _cards.
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -31,7 +33,7 @@ _ISO = "|".join([f"{_YEAR}-{m}-{d}" for m, d in _MONTHS] + [f"{_LEAP}-02-29"])
 _DAY_FIRST = "|".join(x for s in ("/", "[.]") for x in [f"{d}{s}{m}{s}{_YEAR}" for m, d in _MONTHS] + [f"29{s}02{s}{_LEAP}"])
 _OCTET = "(?:25[0-5]|2[0-4][0-9]|[01]?[0-9]{1,2})"
 PATTERNS = {
-    "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+@(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,24}",
+    "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,24}",
     "ssn": r"(?<![0-9A-Za-z-])(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)[0-9]{4}(?![0-9A-Za-z-])",
     "phone": r"(?<![0-9A-Za-z])(?:\+?1[ .-]?)?(?:\([2-9][0-9]{2}\) ?|[2-9][0-9]{2}[ .-])[2-9][0-9]{2}[ .-][0-9]{4}(?![0-9A-Za-z])",
     "ip": rf"(?<![0-9.])(?:{_OCTET}\.){{3}}{_OCTET}(?![0-9]|\.[0-9])",
@@ -51,30 +53,43 @@ def _hash(key: str, tweak: str, i: Column, half: Column) -> Column:
     return F.sha2(F.concat_ws("|", F.lit(key), F.lit(tweak), i.cast("string"), half).cast("binary"), 256)
 
 
-def feistel(value: Column, a: int, b: int, key: str, tweak: str) -> Column:
+class Key(NamedTuple):
+    """secret: known to those who may invert. back: whether pseudonyms are made or undone."""
+
+    secret: str
+    back: bool = False
+
+    def rounds(self) -> Column:
+        order = (F.lit(0), F.lit(ROUNDS - 1))
+        return F.sequence(*(order[::-1] if self.back else order))
+
+
+def feistel(value: Column, a: int, b: int, key: Key, tweak: str) -> Column:
     """A permutation of 0 .. a * b - 1: the halves of a mixed-radix number are in turn shifted by a hash of the other."""
 
     def turn(s: Column, i: Column) -> Column:
-        f = lambda half: F.conv(F.substring(_hash(key, tweak, i, half.cast("string")), 1, 14), 16, 10).cast("long")
-        return F.when(i % 2 == 0, F.struct(((s["l"] + f(s["r"])) % a).alias("l"), s["r"].alias("r"))).otherwise(F.struct(s["l"].alias("l"), ((s["r"] + f(s["l"])) % b).alias("r")))
+        sign = -1 if key.back else 1
+        f = lambda half: sign * F.conv(F.substring(_hash(key.secret, tweak, i, half.cast("string")), 1, 14), 16, 10).cast("long")
+        return F.when(i % 2 == 0, F.struct(F.pmod(s["l"] + f(s["r"]), F.lit(a)).cast("long").alias("l"), s["r"].alias("r"))).otherwise(F.struct(s["l"].alias("l"), F.pmod(s["r"] + f(s["l"]), F.lit(b)).cast("long").alias("r")))
 
     v = value.cast("long")
-    return F.aggregate(F.sequence(F.lit(0), F.lit(ROUNDS - 1)), F.struct(F.floor(v / b).cast("long").alias("l"), (v % b).alias("r")), turn, lambda s: s["l"] * b + s["r"])
+    return F.aggregate(key.rounds(), F.struct(F.floor(v / b).cast("long").alias("l"), (v % b).alias("r")), turn, lambda s: s["l"] * b + s["r"])
 
 
-def feistel_text(text: Column, key: str, tweak: str) -> Column:
+def feistel_text(text: Column, key: Key, tweak: str) -> Column:
     """A permutation of strings that keeps letter case, digits and all other characters in their places: the halves are in
-    turn shifted, each character within its class, by a hash of the other. At most 64 characters."""
+    turn shifted, each character within its class, by hashes of the other, one for 32 characters."""
     n = F.length(text)
     cut = F.floor(n / 2).cast("int")
 
     def shifted(half: Column, other: Column, i: Column) -> Column:
-        stream = _hash(key, tweak, i, F.concat_ws("|", n.cast("string"), other))
+        one = lambda k: _hash(key.secret, tweak, i, F.concat_ws("|", n.cast("string"), other) if k is None else F.concat_ws("|", n.cast("string"), other, k.cast("string")))
+        stream = F.when(F.length(half) <= 32, one(None)).otherwise(F.array_join(F.transform(F.sequence(F.lit(0), F.floor((F.length(half) - 1) / 32).cast("int")), one), ""))
 
         def move(c: Column, k: Column) -> Column:
             h = F.conv(F.substring(stream, (2 * k + 1).cast("int"), F.lit(2)), 16, 10).cast("int")
             code = F.ascii(c)
-            within = lambda first, size: F.char(((code - first + h) % size + first).cast("long"))
+            within = lambda first, size: F.char((F.pmod(code - first + (-h if key.back else h), F.lit(size)) + first).cast("long"))
             return F.when(c.rlike("^[a-z]$"), within(97, 26)).when(c.rlike("^[A-Z]$"), within(65, 26)).when(c.rlike("^[0-9]$"), within(48, 10)).otherwise(c)
 
         return F.array_join(F.transform(F.split(half, ""), move), "")
@@ -83,7 +98,7 @@ def feistel_text(text: Column, key: str, tweak: str) -> Column:
         return F.when(i % 2 == 0, F.struct(shifted(s["l"], s["r"], i).alias("l"), s["r"].alias("r"))).otherwise(F.struct(s["l"].alias("l"), shifted(s["r"], s["l"], i).alias("r")))
 
     start = F.struct(F.substring(text, F.lit(1), cut).alias("l"), F.substring(text, cut + 1, n).alias("r"))
-    return F.aggregate(F.sequence(F.lit(0), F.lit(ROUNDS - 1)), start, turn, lambda s: F.concat(s["l"], s["r"]))
+    return F.aggregate(key.rounds(), start, turn, lambda s: F.concat(s["l"], s["r"]))
 
 
 def _luhn(digits: Column) -> Column:
@@ -107,7 +122,7 @@ def _pad(n: Column, width: int) -> Column:
     return F.lpad(n.cast("string"), width, "0")
 
 
-def _card(m: Column, key: str) -> Column:
+def _card(m: Column, key: Key) -> Column:
     digits = F.regexp_replace(m, "[^0-9]", "")
     middle = feistel_text(F.substring(digits, F.lit(2), F.length(digits) - 2), key, "card")
     body = F.concat(F.substring(digits, 1, 1), middle)
@@ -120,7 +135,7 @@ def _bound(value: Column, f) -> Column:
     return F.get(F.transform(F.array(value), f), F.lit(0))
 
 
-def _cards(run: Column, key: str) -> Column:
+def _cards(run: Column, key: Key) -> Column:
     """(new, n) for a run of numbers. A card is made of whole numbers of the run, of 13 to 19 digits in all and Luhn-valid,
     either in a usual layout or from the start of what is left of the run or up to its end. At each number, from the left,
     usual layouts come first and then long cards; what isn't in a card stays."""
@@ -148,7 +163,7 @@ def _cards(run: Column, key: str) -> Column:
     return _bound(F.regexp_extract_all(run, F.lit("[0-9]+[ -]?"), F.lit(0)), of)
 
 
-def _gap(gap: Column, key: str) -> Column:
+def _gap(gap: Column, key: Key) -> Column:
     """(new, n) for text between other values."""
     runs = F.transform(F.regexp_extract_all(gap, F.lit(RUN), F.lit(0)), lambda r: _cards(r, key))
     filled = lambda rs: F.array_join(F.flatten(F.zip_with(F.split(gap, RUN, -1), rs, lambda g, r: F.array(g, F.coalesce(r["new"], F.lit(""))))), "")
@@ -156,7 +171,7 @@ def _gap(gap: Column, key: str) -> Column:
     return F.when(gap.rlike(RUN), _bound(runs, lambda rs: F.struct(filled(rs).alias("new"), many(rs).alias("n")))).otherwise(F.struct(gap.alias("new"), F.lit(0).alias("n")))
 
 
-def _pseudonym(m: Column, key: str) -> Column:
+def _pseudonym(m: Column, key: Key) -> Column:
     """(kind, new) for one match of ANY."""
     digits = F.regexp_replace(m, "[^0-9]", "")
     is_ = {k: m.rlike(f"^(?:{p})$") for k, p in PATTERNS.items()}
@@ -193,20 +208,34 @@ def _is_kind(i: int):
     return lambda p: p["kind"] == i
 
 
-def pseudonymize(docs: DataFrame, key: str = "lumenpep") -> DataFrame:
+def pseudonymize(docs: DataFrame, key: str) -> DataFrame:
     """docs (doc_id, text, and any others) with text replaced and n_email, n_card, n_ssn, n_phone, n_ip, n_date, the number
-    of values replaced. A null text stays null and has none. Other columns stay as they are, but for those of these names.
+    of values replaced. key: a secret of the caller's.
+
+    A null text stays null and has none, like an empty one. Texts are read whole, whatever their length; values that stand in
+    repeated rows or in several texts get one pseudonym. Other columns, whatever their names, stay as they are, but for
+    those of the counts' names, which are replaced. An empty table gives no rows.
     """
+    return _turned(docs, Key(key))
+
+
+def restore(docs: DataFrame, key: str) -> DataFrame:
+    """The inverse: rows that pseudonymize() made with this key, with their values in place of the pseudonyms."""
+    return _turned(docs, Key(key, back=True))
+
+
+def _turned(docs: DataFrame, key: Key) -> DataFrame:
     counts = [f"n_{k}" for k in KINDS]
     text = text_or_empty()
     has = F.regexp_like(text, F.lit("[0-9@]"))
-    found = F.when(has, F.regexp_extract_all(text, F.lit(ANY), F.lit(0))).otherwise(F.array().cast("array<string>"))
-    gaps = F.when(has, F.split(text, ANY, -1)).otherwise(F.array().cast("array<string>"))
-    given = docs.select(*(F.col(f"`{c}`") for c in docs.columns if c.lower() not in counts), found.alias("_found"), gaps.alias("_gaps"))
-    pairs = given.withColumn("_new", F.transform("_found", lambda m: _pseudonym(m, key))).withColumn("_gaps", F.transform("_gaps", lambda g: _gap(g, key)))
+    none = F.array().cast("array<string>")
+    found = F.when(has, F.regexp_extract_all(text, F.lit(ANY), F.lit(0))).otherwise(none)
+    gaps = F.when(has, F.split(text, ANY, -1)).otherwise(none)
+    rest = [c for c in docs.columns if c.lower() not in counts]
+    given = docs.select(F.struct(*(F.col(f"`{c}`") for c in rest)).alias("_given"), found.alias("_found"), gaps.alias("_gaps"))
+    pairs = given.select("_given", F.transform("_found", lambda m: _pseudonym(m, key)).alias("_new"), F.transform("_gaps", lambda g: _gap(g, key)).alias("_gaps"))
     cards = F.aggregate("_gaps", F.lit(0), lambda s, g: s + g["n"])
     filled = F.array_join(F.flatten(F.zip_with("_gaps", "_new", lambda g, p: F.array(g["new"], F.coalesce(p["new"], F.lit(""))))), "")
-    out = pairs.withColumn("text", F.when((F.size("_found") > 0) | (cards > 0), filled).otherwise(F.col("text")))
-    for i, c in enumerate(counts):
-        out = out.withColumn(c, (cards if c == "n_card" else F.size(F.filter("_new", _is_kind(i)))).cast("long"))
-    return out.drop("_found", "_gaps", "_new")
+    new = F.when((F.size("_new") > 0) | (cards > 0), filled).otherwise(F.col("_given.text"))
+    many = [(cards if c == "n_card" else F.size(F.filter("_new", _is_kind(i)))).cast("long").alias(c) for i, c in enumerate(counts)]
+    return pairs.select(*((new if c == "text" else F.col(f"_given.`{c}`")).alias(c) for c in rest), *many)

@@ -39,7 +39,7 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pii.pseudonymize(table(spark, sf_dir, "documents")).select("doc_id", "text", *(f"n_{k}" for k in pii.KINDS))
+    return pii.pseudonymize(table(spark, sf_dir, "documents"), "a key for the driver's tables").select("doc_id", "text", *(f"n_{k}" for k in pii.KINDS))
 
 
 def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
