@@ -19,8 +19,14 @@ ASSIGN = r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']
 #: For these two, leftmost matches that are long enough are the long ones among all leftmost matches: both take whole runs.
 ACCESS = r"AKIA[A-Z0-9]{16,}"
 HEX = r"[0-9a-f]{24,}"
-#: What the models judge: runs of these characters.
-TOKEN = r"[A-Za-z0-9+/_=-]{20,}"
+#: What the models judge, as group 1 at the end of a match: runs of token characters that no fixed pattern takes, from 20 on,
+#: or from 8 on next to what a fixed pattern takes.
+_FIXED = r"(?:(?i:password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']?[A-Za-z0-9+/_.=-]{6,}|AKIA[A-Z0-9]{16,}|[0-9a-f]{24,})"
+_CHAR = "[A-Za-z0-9+/_=-]"
+_FREE = f"(?:(?!{_FIXED}){_CHAR})"
+FREE = f"(?:{_FIXED}|(?<!{_CHAR})(?={_CHAR}{{8}})(?={_FREE}{{20}}|{_FREE}{{8,}}+{_FIXED}))({_FREE}{{8,}}+)?"
+#: Matches that are counted through one by one.
+RUN = 256
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 KINDS = ("assign", "access", "hex", "random")
 
@@ -96,23 +102,45 @@ def _ratio(token: Column, table: np.ndarray) -> Column:
     return F.aggregate(pairs, F.lit(0.0), lambda s, i: s + F.element_at(flat, i)) / F.size(at)
 
 
-def _spans(text: Column, pattern: str, kind: int, group: int | None = None, least: int = 0) -> Column:
+def _spans(text: Column, pattern: str, kind: int, group: int | None = None, least: int = 0, tail: bool = False) -> Column:
     """All leftmost matches in code points: array of (start, kind, end, token). Matches whose group is shorter than least
-    are dropped after matching, as they still consume their text."""
+    are dropped after matching, as they still consume their text. With tail, spans are the groups, at the ends of matches. Starts are sums over all matches before: they are added
+    up in runs of RUN matches first and then over the runs, so the work of a text does not grow with the square of its
+    matches."""
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     part = found if group is None else F.regexp_extract_all(text, F.lit(pattern), F.lit(group))
     gaps = F.transform(F.split(text, pattern, -1), F.length)
+    none = F.array().cast("array<struct<start:int,kind:int,end:int,token:string>>")
+
+    def of(rows: Column) -> Column:
+        n = F.size(rows)
+        runs = F.transform(F.sequence(F.lit(0), F.floor((n - 1) / RUN).cast("int")), lambda i: F.slice(rows, i * RUN + 1, F.lit(RUN)))
+        return _bound(F.transform(runs, within), joined)
+
+    def within(run: Column) -> Column:
+        """(length, out): what the run covers, and its matches with starts from 0."""
+        empty = F.struct(F.lit(0).alias("length"), none.alias("out"))
+
+        def turn(a: Column, r: Column) -> Column:
+            at = a["length"] + r["gap"]
+            start = at + F.length(r["all"]) - F.length(r["part"]) if tail else at
+            one = F.struct(start.alias("start"), F.lit(kind).alias("kind"), (at + F.length(r["all"])).alias("end"), r["part"].alias("token"))
+            return F.struct((at + F.coalesce(F.length(r["all"]), F.lit(0))).alias("length"), F.concat(a["out"], F.array(one)).alias("out"))
+
+        return F.aggregate(run, empty, turn)
+
+    def joined(runs: Column) -> Column:
+        starts = F.aggregate(runs, F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("out")), lambda a, r: F.struct((a["at"] + r["length"]).alias("at"), F.concat(a["out"], F.array(a["at"])).alias("out")))["out"]
+        moved = F.zip_with(runs, starts, lambda r, at: F.transform(r["out"], lambda m: F.struct((m["start"] + at).alias("start"), m["kind"].alias("kind"), (m["end"] + at).alias("end"), m["token"].alias("token"))))
+        return F.filter(F.flatten(moved), lambda m: F.length(m["token"]) >= least)
+
     rows = F.arrays_zip(gaps.alias("gap"), found.alias("all"), part.alias("part"))
-    kept = F.array().cast("array<struct<start:int,kind:int,end:int,token:string>>")
-    at = F.aggregate(
-        rows,
-        F.struct(F.lit(0).alias("at"), kept.alias("out")),
-        lambda a, r: F.struct(
-            (a["at"] + r["gap"] + F.coalesce(F.length(r["all"]), F.lit(0))).alias("at"),
-            F.when(F.length(r["part"]) >= least, F.concat(a["out"], F.array(F.struct((a["at"] + r["gap"]).alias("start"), F.lit(kind).alias("kind"), (a["at"] + r["gap"] + F.length(r["all"])).alias("end"), r["part"].alias("token"))))).otherwise(a["out"]).alias("out"),
-        ),
-    )
-    return F.when(F.regexp_like(text, F.lit(pattern)), at["out"]).otherwise(kept)
+    return F.when(F.regexp_like(text, F.lit(pattern)), _bound(rows, of)).otherwise(none)
+
+
+def _bound(value: Column, f) -> Column:
+    """f of a value that is computed once."""
+    return F.get(F.transform(F.array(value), f), F.lit(0))
 
 
 def _joined(spans: Column) -> Column:
@@ -122,25 +150,18 @@ def _joined(spans: Column) -> Column:
 
 def scan(docs: DataFrame, threshold: float = 0.5, labelled: list[tuple[str, int]] | None = None) -> DataFrame:
     """One row for each row of docs (doc_id, text): doc_id, base and more, arrays of (start, kind, end, token), ends
-    exclusive, in code points. kind counts KINDS from 0. more holds the models' spans that no base span overlaps: whole tokens,
-    and of a token that base spans cover in part the pieces between them, from 8 characters on. The ratio judges them all.
+    exclusive, in code points. kind counts KINDS from 0. more holds the models' spans, of what FREE takes; the ratio judges
+    all of it.
 
-    A null text is the empty one, with two empty arrays. An empty table gives no rows; other columns are ignored.
+    A null text is the empty one, with two empty arrays. Texts are read whole, whatever their length; repeated rows are
+    scanned each. An empty table gives no rows; other columns, whatever their names, are ignored.
     """
     table = train(labelled or samples())
     text = F.col("text")
     of = only(docs, "doc_id", "text").select("doc_id", text_or_empty().alias("text"))
-    of = of.select("doc_id", "text", F.concat(_spans(text, ASSIGN, 0, 2, 6), _spans(text, ACCESS, 1), _spans(text, HEX, 2)).alias("base"), _spans(text, TOKEN, 3).alias("tokens"))
-    over = lambda b, low, high: (b["start"] < high) & (low < b["end"])
-
-    def pieces(t: Column) -> Column:
-        lows = F.array_distinct(F.concat(F.array(t["start"]), F.transform(F.filter("base", lambda b: over(b, t["start"], t["end"])), lambda b: b["end"])))
-        runs = F.transform(lows, lambda low: F.struct(low.alias("low"), F.least(t["end"], F.array_min(F.transform(F.filter("base", lambda b: b["start"] >= low), lambda b: b["start"]))).alias("high")))
-        runs = F.filter(runs, lambda r: (r["high"] - r["low"] >= 8) & ~F.exists("base", lambda b: over(b, r["low"], r["high"])))
-        return F.transform(runs, lambda r: F.struct(r["low"].alias("start"), F.lit(3).alias("kind"), r["high"].alias("end"), F.substring(t["token"], r["low"] - t["start"] + 1, r["high"] - r["low"]).alias("token")))
+    of = of.select("doc_id", F.concat(_spans(text, ASSIGN, 0, 2, 6), _spans(text, ACCESS, 1), _spans(text, HEX, 2)).alias("base"), _spans(text, FREE, 3, 1, 1, tail=True).alias("runs"))
 
-    free = F.flatten(F.transform("tokens", pieces))
-    return of.select("doc_id", "base", F.filter(free, lambda t: _ratio(t["token"], table) > threshold).alias("more"))
+    return of.select("doc_id", "base", F.filter("runs", lambda t: _ratio(t["token"], table) > threshold).alias("more"))
 
 
 def report(docs: DataFrame, **options) -> DataFrame:
