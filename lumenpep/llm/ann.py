@@ -5,9 +5,10 @@ x -> (x, sqrt(M^2 - |x|^2)) / M for stored vectors, M the largest norm; q -> (q,
 Centroids come from a bounded sample by k-means with a penalty on large lists. Tasks search the centroids by an in-memory
 neighbour graph. A vector near a boundary is stored with every centroid that is nearly as near as its nearest, unless an
 already chosen one is nearer to that centroid than the vector is. A query reads the lists whose centroids' distance is within
-a ratio of the nearest one's, `probes` at most, and as many of the nearest lists as a measured recall asks for: a bounded
-sample of the queries is compared with all vectors, and the lists are counted that hold what it should find. Lists that are longer than a block (many equal vectors, say) are dealt in blocks of bounded
-size, and so are the queries of a list. Scores are inner products of the original vectors in double precision.
+a ratio of the nearest one's, however many these are, and more where these hold too few vectors for a whole result. The ratio is fitted to a recall: a bounded sample of the queries is
+compared with all vectors, and for each vector that a query should find, the ratio is noted that would read a list with it.
+Lists that are longer than a block (many equal vectors, say) are dealt in blocks of bounded size, and so are the queries of a
+list. Scores are inner products of the original vectors in double precision.
 """
 
 from __future__ import annotations
@@ -16,17 +17,16 @@ from collections.abc import Iterator
 from typing import NamedTuple
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import only, partitions, stage
+from .common import only, partitions, released, small_batches, stage
 
 
 class Index(NamedTuple):
     """centroids (k, d + 1) of unit length; graph (k, r) of neighbours; hubs: centroids at which searches begin; largest
-    norm. At most `lists` centroids, whatever the table's size."""
+    norm. At most `lists` centroids, whatever the table's size: a list grows with the table beyond `lists` * `per_list` vectors."""
 
     centroids: np.ndarray
     graph: np.ndarray
@@ -74,41 +74,40 @@ def neighbour_graph(c: np.ndarray, links: int = 16, hubs: int = 64) -> tuple[np.
     return np.concatenate(rows), np.linspace(0, k - 1, min(hubs, k)).astype(np.int64)
 
 
-def search_centroids(index: Index, q: np.ndarray, most: int, beam: int | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """For lifted vectors (B, d + 1), the `most` nearest centroids found and their squared distances, nearest first: best
-    first over the graph, a whole batch a step. Where the beam is a large share of all centroids, all are compared."""
-    k = len(index.centroids)
+def search_centroids(index: Index, q: np.ndarray, most: int, beam: int | None = None, spread: int = 4) -> tuple[np.ndarray, np.ndarray]:
+    """For lifted vectors (B, d + 1), the `most` nearest centroids found and their squared distances, nearest first. Each
+    query holds the `beam` nearest centroids that it has met, and goes on to the neighbours of the `spread` nearest ones that
+    it has not yet left, until it has left all. Where the beam is a large share of all centroids, all are compared."""
+    k, batch = len(index.centroids), len(q)
     most = min(most, k)
     beam = min(k, beam or max(2 * most, 32))
-    batch = len(q)
-    start = index.hubs if 4 * beam < k else np.arange(k)
-    sims = np.full((batch, k), -np.inf, dtype=np.float32) if k <= 1 << 14 else None
-    assert sims is not None, "more centroids than an index has"
-    sims[:, start] = q @ index.centroids[start].T
-    open_ = np.zeros((batch, k), dtype=bool)
-    open_[:, start] = True
-    each = np.arange(batch)
-    active = each
-    for _ in range(4 * beam if len(start) < k else 0):
-        s = sims[active]
-        worst = np.partition(s, k - beam, axis=1)[:, k - beam]
-        s = np.where(open_[active], s, -np.inf)
-        best = s.argmax(axis=1)
-        going = (s[np.arange(len(active)), best] >= worst) & np.isfinite(s[np.arange(len(active)), best])
-        active, best = active[going], best[going]
-        if not len(active):
-            break
-        open_[active, best] = False
-        near = index.graph[best]
-        new = np.isneginf(sims[active[:, None], near])
-        found = np.einsum("bd,bnd->bn", q[active], index.centroids[near])
-        rows, cols = np.nonzero(new)
-        sims[active[rows], near[rows, cols]] = found[rows, cols]
-        open_[active[rows], near[rows, cols]] = True
-    top = np.argpartition(-sims, most - 1, axis=1)[:, :most] if most < k else np.tile(np.arange(k), (batch, 1))
-    s = np.take_along_axis(sims, top, axis=1)
-    order = np.argsort(-s, axis=1, kind="stable")
-    return np.take_along_axis(top, order, axis=1), np.maximum(2 - 2 * np.take_along_axis(s, order, axis=1), 0)
+    if 4 * beam >= k:
+        held, sims = np.broadcast_to(np.arange(k), (batch, k)), q @ index.centroids.T
+    else:
+        held, sims = np.broadcast_to(index.hubs, (batch, len(index.hubs))), q @ index.centroids[index.hubs].T
+        fresh = np.ones(held.shape, dtype=bool)
+        met = np.zeros((batch, k), dtype=bool)
+        met[:, index.hubs] = True
+        each = np.arange(batch)[:, None]
+        while fresh.any():
+            s = np.where(fresh, sims, -np.inf)
+            at = np.argpartition(-s, spread - 1, axis=1)[:, :spread]
+            going = np.take_along_axis(fresh, at, axis=1)
+            np.put_along_axis(fresh, at, False, axis=1)
+            near = np.sort(np.where(going[:, :, None], index.graph[np.take_along_axis(held, at, axis=1)], -1).reshape(batch, -1), axis=1)
+            new = near >= 0
+            new[:, 1:] &= near[:, 1:] != near[:, :-1]
+            new &= ~met[each, near]
+            rows, cols = np.nonzero(new)
+            met[rows, near[rows, cols]] = True
+            found = np.full(near.shape, -np.inf, dtype=np.float32)
+            found[rows, cols] = np.einsum("nd,nd->n", q[rows], index.centroids[near[rows, cols]])
+            held, sims, fresh = np.concatenate((held, near), axis=1), np.concatenate((sims, found), axis=1), np.concatenate((fresh, new), axis=1)
+            if held.shape[1] > beam:
+                best = np.argpartition(-sims, beam - 1, axis=1)[:, :beam]
+                held, sims, fresh = (np.take_along_axis(x, best, axis=1) for x in (held, sims, fresh))
+    order = np.argsort(-sims, axis=1, kind="stable")[:, :most]
+    return np.take_along_axis(held, order, axis=1), np.maximum(2 - 2 * np.take_along_axis(sims, order, axis=1), 0)
 
 
 def usable(vectors: DataFrame) -> DataFrame:
@@ -118,7 +117,7 @@ def usable(vectors: DataFrame) -> DataFrame:
     return of.filter(F.col("vec_id").isNotNull() & F.coalesce(finite & F.exists("embedding", lambda x: x != 0), F.lit(False)))
 
 
-def fit(vectors: DataFrame, lists: int = 4096, per_list: int = 128, samples: int = 40_000) -> Index | None:
+def fit(vectors: DataFrame, lists: int = 16_384, per_list: int = 1024, samples: int = 40_000) -> Index | None:
     """From `samples` vectors at most, those with the smallest hash; None where no vector is usable. The dimension is the
     most common one (the larger of two as common); vectors of another take no part."""
     dims = vectors.groupBy(F.size("embedding").alias("dim")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), F.desc("dim")).limit(1).collect()
@@ -132,7 +131,7 @@ def fit(vectors: DataFrame, lists: int = 4096, per_list: int = 128, samples: int
     x = lift(x, norm * (1 + 1e-9))
     distinct = len(np.unique(x, axis=0))
     k = max(1, min(lists, n // per_list, distinct // 2))
-    c = balanced_kmeans(x, k)
+    c = balanced_kmeans(x, k, rounds=12 if k <= 4096 else 4)
     graph, hubs = neighbour_graph(c)
     return Index(c, graph, hubs, norm * (1 + 1e-9), dim)
 
@@ -182,98 +181,122 @@ def _exact(names: np.ndarray, q: np.ndarray, k: int, step: int = 4096):
     return run
 
 
-def lists_for(vectors: DataFrame, queries: DataFrame, stored: DataFrame, index: Index, k: int, recall: float, asked: int = 200) -> int:
-    """How many of its nearest lists a query must read so that this share of the true k nearest is found, measured on the
-    `asked` queries with the smallest hash against all vectors. stored: the postings (list, vec_id)."""
+def _lifted_queries(x: np.ndarray) -> np.ndarray:
+    return np.concatenate((_unit(x), np.zeros((len(x), 1))), axis=1).astype(np.float32)
+
+
+def fitted_ratio(vectors: DataFrame, queries: DataFrame, stored: DataFrame, index: Index, k: int, recall: float, asked: int = 200) -> tuple[float, int]:
+    """Of the squared distances of lists, the ratio to the nearest one's that reads this share of the true k nearest, measured
+    on the `asked` queries with the smallest hash against all vectors; and how many lists this is for a query, on average.
+    stored: the postings (list, vec_id)."""
     few = queries.select("vec_id", "embedding", F.xxhash64(F.lit("recall"), "vec_id").alias("h")).orderBy("h", "embedding").limit(asked).collect()
     if not few:
-        return 0
+        return 1.0, 1
     few = list({r["vec_id"]: r for r in few}.values())
     names, q = np.array([r["vec_id"] for r in few], dtype=np.int64), np.array([r["embedding"] for r in few])
     best = vectors.select("vec_id", "embedding").mapInArrow(_exact(names, q, k), "query_id long, vec_id long, score double").groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     best = best.withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))).filter(F.col("rank") <= k)
     held = stored.select("list", "vec_id").join(F.broadcast(best.select("query_id", "vec_id")), "vec_id").collect()  # `asked` * k * copies rows
-    near, _ = search_centroids(index, np.concatenate((_unit(q), np.zeros((len(q), 1))), axis=1).astype(np.float32), len(index.centroids))
-    place, row = np.argsort(near, axis=1), {n: i for i, n in enumerate(names.tolist())}
-    needed: dict[tuple[int, int], int] = {}
+    near, d = search_centroids(index, _lifted_queries(q), len(index.centroids))
+    times = np.take_along_axis(d, np.argsort(near, axis=1), axis=1) / np.maximum(d[:, :1], 1e-9)
+    row = {n: i for i, n in enumerate(names.tolist())}
+    needed: dict[tuple[int, int], float] = {}
     for r in held:
-        at, key = int(place[row[r["query_id"]], r["list"]]) + 1, (r["query_id"], r["vec_id"])
+        at, key = float(times[row[r["query_id"]], r["list"]]), (r["query_id"], r["vec_id"])
         needed[key] = min(at, needed.get(key, at))
-    return sorted(needed.values())[int(np.ceil(recall * len(needed))) - 1] if needed else 0
+    if not needed:
+        return 1.0, 1
+    ratio = sorted(needed.values())[int(np.ceil(recall * len(needed))) - 1] * (1 + 1e-6)
+    return ratio, int(np.ceil((times <= ratio).sum(axis=1).mean()))
 
 
-def _probe(index: Index, sizes: np.ndarray, probes: int, ratio: float, enough: int, least: int, step: int = 1024):
-    """Each query with the lists that it reads: the `least` nearest, those of `probes` within the ratio, and more of these
-    until they hold `enough` vectors."""
+def _probe(index: Index, sizes: np.ndarray, ratio: float, enough: int, width: int, step: int = 1024):
+    """Each query with the lists within the ratio, and more until they hold `enough` vectors: a result has its length.
+    width: how many lists are looked for first; where these don't end it, twice as many."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for low in range(0, whole.num_rows, step):
                 batch = whole.slice(low, step)
-                x = _vectors(batch, "embedding", index.dim)
-                q = np.concatenate((_unit(x), np.zeros((len(x), 1))), axis=1).astype(np.float32)
-                near, d = search_centroids(index, q, max(probes, least))
-                before = np.cumsum(sizes[near], axis=1) - sizes[near]
-                at = np.arange(near.shape[1])
-                take = (((d <= d[:, :1] * (1 + ratio) ** 2) | (before < enough)) & (at < probes)) | (at < least)
-                rows, cols = np.nonzero(take)
-                yield pa.RecordBatch.from_arrays([pa.array(near[rows, cols].astype(np.int32)), *(c.take(pa.array(rows)) for c in batch.columns)], names=["list", "query_id", "query"])
+                q = _lifted_queries(_vectors(batch, "embedding", index.dim))
+                todo, wide = np.arange(len(q)), width
+                while len(todo):
+                    near, d = search_centroids(index, q[todo], wide)
+                    held = np.cumsum(sizes[near], axis=1) - sizes[near]
+                    take = (d <= np.maximum(d[:, :1] * ratio, 1e-9)) | (held < enough)
+                    more = take.all(axis=1) & (near.shape[1] < len(index.centroids))
+                    rows, cols = np.nonzero(take & ~more[:, None])
+                    yield pa.RecordBatch.from_arrays([pa.array(near[rows, cols].astype(np.int32)), *(c.take(pa.array(todo[rows])) for c in batch.columns)], names=["list", "query_id", "query"])
+                    todo, wide = todo[more], 2 * wide
 
     return run
 
 
 def _scan(k: int):
-    def run(queries: pd.DataFrame, stored: pd.DataFrame) -> pd.DataFrame:
-        out = []
-        if len(queries) and len(stored):
-            ids = stored["vec_id"].to_numpy()
-            order = np.argsort(ids, kind="stable")
-            ids, x = ids[order], np.stack(stored["embedding"].to_numpy())[order]
-            names = queries["query_id"].to_numpy()
-            for low in range(0, len(queries), 256):
-                q = np.stack(queries["query"].to_numpy()[low : low + 256])
-                score = q @ x.T
-                score[names[low : low + 256, None] == ids[None, :]] = -np.inf
+    def run(queries: pa.Table, stored: pa.Table) -> pa.Table:
+        names, ids, scores = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0)]
+        if queries.num_rows and stored.num_rows:
+            own = stored["vec_id"].to_numpy()
+            order = np.argsort(own, kind="stable")
+            table = lambda t, c: t[c].combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(t.num_rows, -1)
+            own, x = own[order], table(stored, "embedding")[order]
+            first = np.flatnonzero(np.append(True, own[1:] != own[:-1]))  # rows that repeat a vec_id count as one, the nearest
+            one = own[first]
+            asked, y = queries["query_id"].to_numpy(), table(queries, "query")
+            for low in range(0, len(asked), 256):
+                score = y[low : low + 256] @ x.T
+                if len(first) < len(own):
+                    score = np.maximum.reduceat(score, first, axis=1)
+                score[asked[low : low + 256, None] == one[None, :]] = -np.inf
                 for i, s in enumerate(score):
                     at = np.arange(len(s))
                     if len(s) > k:  # all that tie with the k-th stay until they are ordered
                         at = np.flatnonzero(s >= np.partition(s, len(s) - k)[len(s) - k])
-                    at = at[np.lexsort((ids[at], -s[at]))][:k]
+                    at = at[np.lexsort((one[at], -s[at]))][:k]
                     at = at[np.isfinite(s[at])]
-                    out.append(pd.DataFrame({"query_id": names[low + i], "vec_id": ids[at], "score": s[at]}))
-        return pd.concat(out) if out else pd.DataFrame({"query_id": [], "vec_id": [], "score": []}).astype({"query_id": "int64", "vec_id": "int64", "score": "float64"})
+                    names.append(np.full(len(at), asked[low + i]))
+                    ids.append(one[at])
+                    scores.append(s[at])
+        return pa.table({"query_id": np.concatenate(names), "vec_id": np.concatenate(ids), "score": np.concatenate(scores)})
 
     return run
 
 
-def search(vectors: DataFrame, queries: DataFrame, k: int = 20, index: Index | None = None, copies: int = 4, store_ratio: float = 0.1, probes: int = 128, ratio: float = 0.35, enough: int | None = None, block: int = 4096, recall: float = 0.95) -> DataFrame:
+def search(vectors: DataFrame, queries: DataFrame, k: int = 20, index: Index | None = None, copies: int = 4, store_ratio: float = 0.1, block: int = 4096, recall: float = 0.955, exact: bool = False) -> DataFrame:
     """query_id, rank, vec_id, score: for each query the k nearest found among all vectors but those with the query's id.
 
     vectors, queries: vec_id, embedding. Those that are null, zero, not finite or of another dimension take no part, nor do
     rows without vec_id. Ties go to the smaller vec_id. Rows that repeat a vec_id count as one, the nearest. Every vector is
-    in the index; the index itself is fitted on a bounded sample. recall is what the number of lists is fitted to. Extra columns are ignored; empty tables give no rows.
+    in the index; the index itself is fitted on a bounded sample. recall is what the ratio of lists is fitted to; with exact,
+    every block of queries meets every block of vectors instead. Extra columns, whatever their names, are ignored; empty tables
+    give no rows.
     """
     spark = vectors.sparkSession
+    small_batches(spark)
     vectors, queries = usable(vectors), usable(queries)
     index = index or fit(vectors)
     if index is None:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     vectors, queries = (t.filter(F.size("embedding") == index.dim) for t in (vectors, queries))
-    enough = enough or 40 * k * copies
-    stored = stage(vectors.mapInArrow(_store(index, copies, store_ratio), "list int, vec_id long, embedding array<double>"), "postings")
+    if exact:
+        stored = vectors.select(F.lit(0).alias("list"), "vec_id", "embedding")
+        asked = queries.select(F.lit(0).alias("list"), F.col("vec_id").alias("query_id"), F.col("embedding").alias("query"))
+    else:
+        stored = stage(vectors.mapInArrow(released(_store(index, copies, store_ratio)), "list int, vec_id long, embedding array<double>"), "postings")
+        sizes = np.zeros(len(index.centroids), dtype=np.int64)
+        for r in stored.groupBy("list").count().collect():  # a row for each list
+            sizes[r["list"]] = r["count"]
+        ratio, width = fitted_ratio(vectors, queries, stored, index, k, recall)
+        asked = queries.repartition(partitions(spark)).mapInArrow(released(_probe(index, sizes, ratio, copies * (k + 1), width)), "list int, query_id long, query array<double>")
+        asked = stage(asked, "probes")
     lengths = stored.groupBy("list").agg(F.count("*").alias("n"))
-    sizes = np.zeros(len(index.centroids), dtype=np.int64)
-    for r in lengths.collect():  # a row for each list
-        sizes[r["list"]] = r["n"]
-    asked = queries.repartition(partitions(spark)).mapInArrow(_probe(index, sizes, probes, ratio, enough, lists_for(vectors, queries, stored, index, k, recall)), "list int, query_id long, query array<double>")
-    asked = stage(asked, "probes")
-    wanted = asked.groupBy("list").agg(F.count("*").alias("n"))
-    parts = lengths.join(wanted.withColumnRenamed("n", "m"), "list").select("list", F.ceil(F.col("n") / block).cast("int").alias("parts"), F.ceil(F.col("m") / block).cast("int").alias("turns"))
+    wanted = asked.groupBy("list").agg(F.count("*").alias("m"))
+    parts = lengths.join(wanted, "list").select("list", F.ceil(F.col("n") / block).cast("int").alias("parts"), F.ceil(F.col("m") / block).cast("int").alias("turns"))
     # every block of a list meets every block of its queries
     stored = stored.join(parts, "list").withColumn("part", F.pmod(F.xxhash64("vec_id"), F.col("parts")).cast("int")).withColumn("turn", F.explode(F.sequence(F.lit(0), F.col("turns") - 1)))
     asked = asked.join(parts, "list").withColumn("turn", F.pmod(F.xxhash64("query_id"), F.col("turns")).cast("int")).withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     keys = ("list", "part", "turn")
-    near = asked.select(*keys, "query_id", "query").groupBy(*keys).cogroup(stored.select(*keys, "vec_id", "embedding").groupBy(*keys)).applyInPandas(_scan(k), "query_id long, vec_id long, score double")
+    near = asked.select(*keys, "query_id", "query").groupBy(*keys).cogroup(stored.select(*keys, "vec_id", "embedding").groupBy(*keys)).applyInArrow(_scan(k), "query_id long, vec_id long, score double")
     near = near.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     by = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return near.withColumn("rank", F.row_number().over(by).cast("int")).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
