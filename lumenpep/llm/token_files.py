@@ -25,16 +25,19 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import tokens
-from .common import new_path, only, partitions, stage, values
+from .common import new_path, only, partitions, released, small_batches, stage, values
 
 HEAD, TAIL = b"TOKSHARD", b"TOKINDEX"
 NO_ID = -(1 << 63)  # in the index, for a null doc_id
-SHARDS = "shard long, path string, documents long, ids long"
+SHARDS = "shard long, path string, documents long, ids long, first long, last long"
+#: Names of one store that Hadoop and Arrow call differently.
+_SCHEMES = {"s3a": "s3", "s3n": "s3", "abfss": "abfs", "wasbs": "abfs", "wasb": "abfs"}
 ROWS = "doc_id long, start long, n_tokens long, ids_crc32 long"
 
 
 def _fs(uri: str) -> tuple[pa.fs.FileSystem, str]:
-    return pa.fs.FileSystem.from_uri(uri)
+    scheme, mark, rest = uri.partition("://")
+    return pa.fs.FileSystem.from_uri(f"{_SCHEMES.get(scheme, scheme)}{mark}{rest}" if mark else f"file://{uri}")
 
 
 def serialize(ids: bytes, width: int) -> bytes:
@@ -94,29 +97,31 @@ def _write(folder: str, path: str, width: int, trained: bytes, end_id: int):
             out.write(len(ids).to_bytes(8, "little") + TAIL)
             out.close()
             fs.move(draft, f"{base}/{name}")
-            yield pa.RecordBatch.from_arrays([pa.array([v]) for v in (shard, f"{folder}/{name}", len(ids), sum(counts))], names=["shard", "path", "documents", "ids"])
+            yield pa.RecordBatch.from_arrays([pa.array([v]) for v in (shard, f"{folder}/{name}", len(ids), sum(counts), ids[0], ids[-1])], names=[f.split()[0] for f in SHARDS.split(", ")])
 
     return run
 
 
 def write(docs: DataFrame, tokenizer: str | None = None, folder: str | None = None, end_id: int = 1, shards: int | None = None) -> DataFrame:
-    """Writes documents (doc_id, text) into shards and returns the table of shards: shard, path, documents, ids.
+    """Writes documents (doc_id, text) into shards and returns the table of shards: shard, path, documents, ids,
+    and the first and last doc_id.
 
     Null and empty texts are the end id alone. Rows with equal doc_id lie in one shard, one after another; a null doc_id
     comes before all others and is null again when read. An empty table gives no shards.
     """
     spark = docs.sparkSession
+    small_batches(spark)
     path = tokenizer or tokens.public("word_bpe_49k.json")
     folder = folder or new_path(spark, "tokens")
     docs = only(docs, "doc_id", "text").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     width = 2 if tokens.encoder(path).vocabulary <= 1 << 16 and end_id < 1 << 16 else 4
     trained = train_dictionary(docs, path, width)
-    fs, base = _fs(folder) if "://" in folder else _fs(f"file://{folder}")
+    fs, base = _fs(folder)
     fs.create_dir(base, recursive=True)
     with fs.open_output_stream(f"{base}/dictionary") as f:
         f.write(trained)
     dealt = docs.repartitionByRange(shards or partitions(spark), "doc_id").sortWithinPartitions("doc_id")
-    return stage(dealt.mapInArrow(_write(folder, path, width, trained, end_id), SHARDS), "shards")
+    return stage(dealt.mapInArrow(released(_write(folder, path, width, trained, end_id)), SHARDS), "shards")
 
 
 class Shard:
@@ -125,7 +130,7 @@ class Shard:
     def __init__(self, path: str):
         import zstandard
 
-        fs, where = _fs(path) if "://" in path else _fs(f"file://{path}")
+        fs, where = _fs(path)
         self.file = fs.open_input_file(where)
         size = self.file.size()
         tail = self.file.read_at(16, size - 16)
@@ -175,9 +180,7 @@ def read(shards: DataFrame) -> DataFrame:
 
 
 def lookup(spark: SparkSession, shards: DataFrame, doc_id: int) -> np.ndarray | None:
-    """The ids of one document: the one or two shards that can hold it are opened on the driver, and one frame is read."""
-    for r in shards.orderBy("shard").toLocalIterator():
-        s = Shard(r["path"])
-        if len(s.doc_ids) and s.doc_ids[0] <= doc_id <= s.doc_ids[-1] and (ids := s.find(doc_id)) is not None:
-            return ids
-    return None
+    """The ids of one document, of the first where rows share its doc_id: the table of shards tells which shard can hold it,
+    and of that its index and one frame are read."""
+    row = shards.filter((F.col("first") <= doc_id) & (F.col("last") >= doc_id)).orderBy("shard").head()
+    return Shard(row["path"]).find(doc_id) if row else None
