@@ -88,7 +88,7 @@ def test_nearest_reads_as_many_lists_as_recall_asks_for(spark):
     x = r.standard_normal((6000, 32)) * r.uniform(0.5, 2, (6000, 1))
     v = spark.createDataFrame([(i, [float(a) for a in e]) for i, e in enumerate(x)], "vec_id long, embedding array<double>")
     got = defaultdict(list)
-    for row in ann.search(v, v.filter("vec_id % 60 = 0"), index=ann.fit(ann.usable(v), per_list=20), probes=4, enough=1).collect():
+    for row in ann.search(v, v.filter("vec_id % 60 = 0"), index=ann.fit(ann.usable(v), per_list=20)).collect():
         got[row["query_id"]].append(row["score"])
     hit = 0
     for i in range(0, 6000, 60):
@@ -146,14 +146,14 @@ def test_mixing(spark, docs, empty):
 
 def test_pseudonyms(spark):
     text = "mail a.b7@x.example.com card 4111 1111 1111 1111 and 4111111111111111 bad 4111111111111112 tel +1 (212) 555-0100 ip 10.2.3.4 no 999.1.1.1 on 2020-02-29 or 29.02.2020 not 2021-02-29 id 078-05-1120"
-    one = pii.pseudonymize(spark.createDataFrame([(1, text, "k"), (2, text + "!", "k"), (3, None, "k"), (4, "", "k")], "doc_id long, text string, n_email string")).orderBy("doc_id").collect()
+    one = pii.pseudonymize(spark.createDataFrame([(1, text, "k"), (2, text + "!", "k"), (3, None, "k"), (4, "", "k")], "doc_id long, text string, n_email string"), "key").orderBy("doc_id").collect()
     a = one[0]
     assert [a[f"n_{k}"] for k in pii.KINDS] == [1, 2, 1, 1, 1, 2] and one[1]["text"] == a["text"] + "!" and one[2]["text"] is None and one[3]["text"] == ""
     for kept in ("4111111111111112", "999.1.1.1", "2021-02-29"):
         assert kept in a["text"]
     for gone in ("a.b7@", "4111 1111", "555-0100", "10.2.3.4", "2020-02-29", "078-05-1120"):
         assert gone not in a["text"]
-    n = spark.range(1000).select(pii.feistel(F.col("id"), 40, 25, "k", "t").alias("x"))
+    n = spark.range(1000).select(pii.feistel(F.col("id"), 40, 25, pii.Key("k"), "t").alias("x"))
     assert n.distinct().count() == 1000 and n.agg(F.min("x"), F.max("x")).head() == (0, 999)
 
 
@@ -174,7 +174,7 @@ def test_pseudonyms_of_neighbours(spark):
         f"{card} 2nd 2021-02-29 1999-02-29": {"card": 1},
         "4111 1111 1111 1112 2021-02-29 112-555-0100 666-05-1120 999.1.1.1": {},
     }
-    got = pii.pseudonymize(spark.createDataFrame([*enumerate(cases), (99, "1 2 " * 20_000)], "doc_id long, text string")).orderBy("doc_id").collect()
+    got = pii.pseudonymize(spark.createDataFrame([*enumerate(cases), (99, "1 2 " * 20_000)], "doc_id long, text string"), "key").orderBy("doc_id").collect()
     for (text, want), r in zip(cases.items(), got, strict=False):
         assert {k: r[f"n_{k}"] for k in pii.KINDS if r[f"n_{k}"]} == want, text
         assert len(r["text"]) == len(text) or want.get("ip")
