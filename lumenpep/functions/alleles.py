@@ -34,7 +34,12 @@ def of_column(name: Column) -> Column:
 
 
 def normalise(allele: Column) -> Column:
-    """Cw to C, a single last digit padded, and the star between gene and number."""
-    out = F.regexp_replace(allele, "HLA-Cw", "HLA-C")
-    out = F.regexp_replace(out, r"(?<![0-9])([0-9])$", "0$1")
-    return F.regexp_replace(out, r"^(HLA-[A-Z]+)([0-9])", "$1*$2")
+    """Cw to C, a single last digit after a letter padded, and the star between gene and number."""
+    out = F.regexp_replace(allele, "Cw", "C")
+    out = F.regexp_replace(out, r"(?<=[A-Za-z])([0-9])$", "0$1")
+    return F.regexp_replace(out, r"(?<=-)([A-Za-z]+)([0-9])", "$1*$2")
+
+
+def state(allele: Column) -> Column:
+    """whole (has a colon), broken (none, but a hyphen) or dropped."""
+    return F.when(F.contains(allele, F.lit(":")), "whole").when(F.contains(allele, F.lit("-")), "broken").otherwise("dropped")

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.alleles import state, valid
+
 
 def class_counts(rows: DataFrame, group: str, groups: tuple[str, str], cls: str) -> DataFrame:
     """class, and for both groups the count and percent; classes of either group."""
@@ -53,3 +55,39 @@ def metric_summary(results: DataFrame, group: list[str], score: str) -> DataFram
     row a group of models and metrics: a small window."""
     by = results.groupBy(*group).agg(F.avg(score).alias("m"), F.stddev(score).alias("s"))
     return by.select(*group, F.round("m", 6).alias("mean"), F.round("s", 6).alias("deviation"), F.rank().over(Window.orderBy(F.desc(F.round("m", 6)))).cast("long").alias("place"))
+
+
+def epitopes(rows: DataFrame, name: str = "peptide") -> DataFrame:
+    """Distinct epitopes of standard residues, one row each; names with blanks go."""
+    return rows.filter(~F.contains(F.col(name), F.lit(" ")) & valid(F.col(name))).select(name).distinct()
+
+
+def restricted(rows: DataFrame, assay: str, good: list[str], key: str = "peptide") -> DataFrame:
+    """Distinct keys of rows from one of the good assays."""
+    return rows.filter(F.col(assay).isin(good)).select(key).distinct()
+
+
+def mended(alleles: DataFrame, common: DataFrame) -> DataFrame:
+    """allele, whole: for each broken allele (no colon, but a hyphen) the common alleles that contain it, null where none does.
+    A common allele is cut into its own parts of an allele's form, so the join is one of equal strings."""
+    broken = alleles.filter(state(F.col("allele")) == "broken").select("allele").distinct()
+    n = F.length("allele")
+    parts = F.flatten(F.transform(F.sequence(F.lit(1), n), lambda i: F.transform(F.sequence(i, n), lambda j: F.substring(F.col("allele"), i, j - i + 1))))
+    parts = common.filter(n > 0).select(F.col("allele").alias("whole"), F.explode(F.array_distinct(parts)).alias("allele"))
+    return broken.join(parts, "allele", "left")
+
+
+def lengths(rows: DataFrame, group: str, name: str = "peptide") -> DataFrame:
+    return rows.groupBy(group, F.length(name).alias("length")).agg(F.count("*").alias("n"))
+
+
+def quality(rows: DataFrame, columns: list[str], word: str) -> DataFrame:
+    """feature, with, filled, different: how many values contain a word, aren't null, and are different."""
+    each = [F.struct(F.lit(c).alias("feature"), F.count_if(F.contains(F.col(c).cast("string"), F.lit(word))).alias("with"), F.count(c).alias("filled"), F.count_distinct(c).alias("different")) for c in columns]
+    return rows.agg(F.array(*each).alias("r")).select(F.inline("r"))
+
+
+def shares(rows: DataFrame, column: str, words: dict[str, str]) -> DataFrame:
+    """name, n, percent of the rows whose column contains a word, for each (name -> word)."""
+    each = [F.struct(F.lit(k).alias("name"), F.count_if(F.contains(F.col(column), F.lit(w))).alias("n"), F.count("*").alias("all")) for k, w in words.items()]
+    return rows.agg(F.array(*each).alias("r")).select(F.inline("r")).select("name", "n", F.round(100 * F.try_divide("n", "all"), 6).alias("percent"))

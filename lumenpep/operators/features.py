@@ -20,11 +20,51 @@ def scrub_headers(df: DataFrame, key: str = "peptide") -> DataFrame:
     return df.filter(~F.contains(F.col(key), F.lit("pep")))
 
 
-def drop_tolerant(df: DataFrame, *columns: str) -> DataFrame:
-    return df.drop(*columns)
-
-
 def require(df: DataFrame, *columns: str) -> DataFrame:
     if lost := [c for c in columns if c not in df.columns]:
         raise ValueError(f"missing columns: {', '.join(lost)}")
     return df
+
+
+#: Columns of the tools' outputs and what the feature table calls them.
+COLUMNS = {
+    "mtec": {"Peptide": "peptide", "Expression": "mtec_expression"},
+    "prime": {"Peptide": "peptide", "Score_bestAllele": "prime_score", "%Rank_bestAllele": "prime_rank"},
+    "tap": {"peptide": "peptide", "pred_score": "tap_score"},
+}
+
+
+def of_tool(df: DataFrame, tool: str, order: str | None = None) -> DataFrame:
+    """A tool's output with the feature table's names; where order is given, the first row of each peptide."""
+    names = COLUMNS[tool]
+    of = require(df, *names).select(*(F.col(f"`{a}`").alias(b) for a, b in names.items()), *([F.col(order)] if order else []))
+    return first_rows(of, "peptide", order).drop(order) if order else of
+
+
+def united(frames: list[DataFrame], key: str = "peptide") -> DataFrame:
+    """Rows of all frames, columns by name; of a key the row of the first frame that has it. An order within a frame is
+    column _ord, if it has one."""
+    tagged = [f.withColumn("_frame", F.lit(i)) for i, f in enumerate(frames)]
+    of = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tagged)
+    order = ["_frame", *(["_ord"] if "_ord" in of.columns else [])]
+    return of.withColumn("_rn", F.row_number().over(Window.partitionBy(key).orderBy(*order))).filter("_rn = 1").drop("_rn", "_frame", "_ord")
+
+
+def with_scores(df: DataFrame, scores: DataFrame, order: str, key: str = "peptide") -> DataFrame:
+    """Rows of df that have a row in scores, with its first one's columns."""
+    return df.join(first_rows(scores, key, order).drop(order), key)
+
+
+def grouped(df: DataFrame, groups: DataFrame, key: str = "peptide") -> DataFrame:
+    """df with group by groups (key, group, place): where a key is in several groups, the last place counts."""
+    return df.join(groups.groupBy(key).agg(F.max_by("group", "place").alias("group")), key, "left")
+
+
+def ranked_without_last(df: DataFrame, score: str) -> DataFrame:
+    """Rows by falling score, without the last column."""
+    return df.orderBy(F.desc(score)).drop(df.columns[-1])
+
+
+def scored_only(df: DataFrame, score: str) -> DataFrame:
+    """Rows whose score is a number."""
+    return df.withColumn(score, F.col(score).try_cast("double")).filter(F.col(score).isNotNull() & ~F.isnan(score))

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.alleles import to_cnn, valid
+from .running import running
 
 LENGTHS = (8, 9, 10, 11)
 
@@ -15,8 +16,7 @@ LENGTHS = (8, 9, 10, 11)
 def windows(proteins: DataFrame, lengths=LENGTHS, distinct: bool = True) -> DataFrame:
     """transcript, peptide for proteins (transcript, seq): all windows of standard residues, each once a protein where
     distinct. A sequence shorter than a length has none of it. Windows are made and made distinct within a row, without a
-    shuffle; proteins are dealt anew first where there are fewer partitions than the session's, as windows are 40 times as
-    many bytes."""
+    shuffle; proteins are dealt anew first, as windows are 40 times as many bytes."""
     seq = F.col("seq")
     all_ = [F.when(F.length(seq) >= k, F.transform(F.sequence(F.lit(1), F.length(seq) - (k - 1)), _window(seq, k))).otherwise(F.array().cast("array<string>")) for k in lengths]
     each = [F.array_distinct(a) for a in all_] if distinct else all_
@@ -51,7 +51,7 @@ def gene_name(header: Column) -> Column:
 
 
 def transcripts(peptides: DataFrame) -> DataFrame:
-    """peptide, transcripts (sorted), n."""
+    """peptide, transcripts (sorted), n. For a peptide of very many transcripts, count without the list."""
     return peptides.groupBy("peptide").agg(F.sort_array(F.collect_list("transcript")).alias("transcripts"), F.count("*").alias("n"))
 
 
@@ -84,9 +84,11 @@ def expression_class(totals: DataFrame, threshold: int = 5) -> DataFrame:
     return totals.select("peptide", (F.col("total") > threshold).cast("int").alias("mtec_expression"))
 
 
-def fragments(peptides: DataFrame, alleles: DataFrame) -> DataFrame:
-    """parent, fragment, allele: peptides of 9 and 10 as they are, 11 as its two runs of 10, with each allele (a short
-    list, checked by its caller)."""
+def fragments(peptides: DataFrame, alleles: DataFrame, most: int = 10_000) -> DataFrame:
+    """parent, fragment, allele: peptides of 9 and 10 as they are, 11 as its two runs of 10, with each allele. The alleles
+    are a list of `most` at most; more are an error."""
+    if len(alleles.limit(most + 1).collect()) > most:
+        raise ValueError(f"more than {most} alleles")
     p = F.col("peptide")
     parts = F.when(F.length(p) == 11, F.array(F.substring(p, 1, 10), F.substring(p, 2, 10))).when(F.length(p).isin(9, 10), F.array(p))
     return peptides.select(p.alias("parent"), F.explode(parts).alias("fragment")).crossJoin(F.broadcast(alleles.select(to_cnn(F.col("allele")).alias("allele"))))
@@ -110,5 +112,45 @@ def sampled(peptides: DataFrame, total: int, ratios: dict[int, float], seed: int
     """Distinct peptides, as many of each length as its quota, or all there are: the first by a seeded hash, found as a top
     k that tasks narrow down before they meet."""
     distinct = peptides.select("peptide").distinct()
-    parts = [distinct.filter(F.length("peptide") == k).orderBy(F.xxhash64("peptide", F.lit(seed)), "peptide").limit(n) for k, n in quotas(total, ratios).items()]
+    parts = [distinct.filter(F.length("peptide") == k).orderBy(F.md5(F.concat_ws("|", "peptide", F.lit(seed)).cast("binary")), "peptide").limit(n) for k, n in quotas(total, ratios).items()]
     return reduce(DataFrame.unionByName, parts)
+
+
+def of_length(peptides: DataFrame, low: int, high: int) -> DataFrame:
+    return peptides.filter(F.length("peptide").between(low, high))
+
+
+def chunks(proteins: DataFrame, k: int) -> DataFrame:
+    """transcript, phase, peptide: a protein cut into whole runs of k from each of the first k places; none is made distinct."""
+    seq = F.col("seq")
+    cut = F.when(F.length(seq) >= k, F.sequence(F.lit(1), F.length(seq) - (k - 1))).otherwise(F.array().cast("array<int>"))
+    return proteins.select("transcript", F.explode(cut).alias("_at"), "seq").select("transcript", ((F.col("_at") - 1) % k).alias("phase"), F.substring(seq, F.col("_at"), F.lit(k)).alias("peptide"))
+
+
+def not_within(peptides: DataFrame, proteins: DataFrame) -> DataFrame:
+    """Peptides that no protein (seq) contains: an anti-join with the proteins' windows of the peptides' lengths, which are a
+    handful."""
+    lengths = [r["k"] for r in peptides.select(F.length("peptide").alias("k")).distinct().collect()]
+    known = windows(proteins.select(F.lit(0).alias("transcript"), "seq"), lengths) if lengths else None
+    return novel(peptides, known) if lengths else peptides
+
+
+def excluded_found(proteins: DataFrame, excluded: DataFrame) -> DataFrame:
+    """The excluded genes that some protein has, for the log; sort where written."""
+    return excluded.select("gene").distinct().join(proteins.select("gene").distinct(), "gene", "left_semi")
+
+
+def naming(records: DataFrame, gene: str) -> DataFrame:
+    """FASTA records (header, seq) whose header names a gene."""
+    return records.filter(F.contains("header", F.lit(gene)))
+
+
+def paired(rows: DataFrame, order: str) -> DataFrame:
+    """mer11, allele, score of rows (fragment, allele, score), two by two in order: the first fragment and the second's last
+    residue, with the better score. Pairs of two alleles and a last odd row drop out. Places are
+    counted range by range; the order has no ties."""
+    at = running(rows.withColumn("_one", F.lit(1)), order, ["_one"])
+    of = at.withColumn("_pair", F.floor((F.col("_one_upto") - 1) / 2))
+    both = of.groupBy("_pair").agg(F.sort_array(F.collect_list(F.struct(F.col("_one_upto").alias("at"), "fragment", "allele", "score"))).alias("r"))
+    fits = both.filter((F.size("r") == 2) & (F.col("r")[0]["allele"] == F.col("r")[1]["allele"]))
+    return fits.select(F.concat(F.col("r")[0]["fragment"], F.right(F.col("r")[1]["fragment"], F.lit(1))).alias("mer11"), F.col("r")[0]["allele"].alias("allele"), F.greatest(F.col("r")[0]["score"], F.col("r")[1]["score"]).alias("score"))

@@ -43,13 +43,11 @@ def matrix(text: str = BLOSUM62) -> np.ndarray:
     return out
 
 
-#: Weights of positions for the four lengths in use.
-WEIGHTS = {
-    8: (1, 2, 9, 13, 13, 9, 2, 1),
-    9: (1, 2, 3, 13, 17, 13, 3, 2, 1),
-    10: (1, 2, 3, 13, 17, 17, 13, 3, 2, 1),
-    11: (1, 2, 3, 13, 17, 21, 17, 13, 3, 2, 1),
-}
+def weights(length: int, step: int = 4) -> list[int]:
+    """Of positions, by distance from the nearer end: 1, 2, 3 .. within a third of the length, and beyond it 1 more than
+    `step` times the distance. step: 2 or more."""
+    distance = [min(i, length - 1 - i) for i in range(length)]
+    return [d + 1 if d < length // 3 else 1 + step * d for d in distance]
 
 
 def encode(peptides: list[str]) -> np.ndarray:
@@ -65,10 +63,10 @@ def _best(exclude_identity: bool, block: int = 256, slice_: int = 10_000):
 
     def run(peptides: pd.DataFrame, refs: pd.DataFrame) -> pd.DataFrame:
         peptides, refs = peptides["peptide"].tolist(), refs["seq"].tolist()
-        raw, own = np.full(len(peptides), -np.inf), np.zeros(len(peptides))
+        raw, own = np.full(len(peptides), -np.inf), np.ones(len(peptides))
         k = len(peptides[0]) if peptides else 0
-        if k in WEIGHTS:
-            w, e = np.array(WEIGHTS[k]), encode(peptides)
+        if k and refs:
+            w, e = np.array(weights(k)), encode(peptides)
             own = (w * b[e, e]).sum(axis=1).astype(float)
             for at in range(0, len(refs), slice_):
                 r = encode(refs[at : at + slice_])
@@ -98,13 +96,15 @@ def _of(many: dict[int, int], k: Column) -> Column:
 
 def similarity(peptides: DataFrame, references: DataFrame, exclude_identity: bool = True, normalised: bool = True, at_once: int = 500_000, share: int = 20_000) -> DataFrame:
     """peptide, similarity for peptides (peptide): the best score of a reference (seq) of its length over its own score;
-    with exclude_identity only scores below its own count; null where no reference counts, or no weights fit the length.
+    with exclude_identity only scores below its own count; null where no reference counts. A peptide with anything but standard
+    residues is an error when the result is read; such references don't count. Weights follow from the length, any from 3 on.
 
     Both sides are keyed by length, block of about at_once references at most and part of about `share` peptides, and meet
     in these groups on executors; the best of the blocks counts. Pairs are scored in slices and never become rows.
     """
-    refs = references.select("seq").filter(valid(F.col("seq")) & F.length("seq").isin(*WEIGHTS)).distinct()
-    wanted = peptides.select("peptide").filter(valid(F.col("peptide"))).distinct()
+    refs = references.select("seq").filter(valid(F.col("seq")) & (F.length("seq") > 2)).distinct()
+    said = F.concat(F.lit("not a standard peptide: "), F.coalesce("peptide", F.lit("null")))
+    wanted = peptides.select(F.when(valid(F.col("peptide")) & (F.length("peptide") > 2), F.col("peptide")).otherwise(F.raise_error(said)).alias("peptide")).distinct()
     (blocks, block), (turns, turn) = _parts(refs, "seq", at_once), _parts(wanted, "peptide", share)
     each = lambda many, c: F.explode(F.sequence(F.lit(0), _of(many, F.length(c)) - 1))
     left = wanted.select("peptide", F.length("peptide").alias("k"), turn.alias("turn"), each(blocks, "peptide").alias("block"))
@@ -113,3 +113,8 @@ def similarity(peptides: DataFrame, references: DataFrame, exclude_identity: boo
     best = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(_best(exclude_identity), "peptide string, raw double, own double")
     best = best.groupBy("peptide").agg(F.max("raw").alias("raw"), F.max("own").alias("own"))
     return best.select("peptide", (F.round(F.col("raw") / F.col("own"), 6) if normalised else F.col("raw")).alias("similarity"))
+
+
+def in_order(peptides: DataFrame, scores: DataFrame, order: str) -> DataFrame:
+    """A score for each row of peptides (peptide, and a column to order by), repeated rows too; sort by it where written."""
+    return peptides.select(order, "peptide").join(scores, "peptide", "left").select(order, "peptide", "similarity")

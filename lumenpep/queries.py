@@ -114,7 +114,7 @@ def _ranks(spark, d):
     return li.groupBy(F.col("l_partkey").alias("peptide"), at(_ALLELES, s).alias("allele"), at(_TOOLS, n).alias("tool"), (s * 3 + n).cast("int").alias("col_ord")).agg(F.round(F.min(F.col("l_discount") * 20 + (F.col("l_suppkey") % 5) * F.lit(0.1)), 4).alias("rank"))
 
 
-_NUM = ", ".join(f"count(*) FILTER (near < {t}) AS num_tools_{str(t).replace('.', '_')}" for t in hla.LEVELS)
+_NUM = ", ".join(f"count(*) FILTER (near < {t}) AS {c}" for c, t in hla.LEVELS.items())
 
 
 @query(f"""WITH {_RANKS}, t AS (SELECT peptide, tool, min(rank) AS best, min(rank) FILTER (allele IN ('HLA-B07:02', 'HLA-A02:01')) AS near FROM r GROUP BY ALL),
@@ -126,7 +126,7 @@ def hla_consolidated(spark, d):
     return hla.consolidate(_ranks(spark, d), ["HLA-B07:02", "HLA-A02:01"])
 
 
-@query(f"WITH {_RANKS} SELECT peptide, " + ", ".join(f"min(rank) FILTER (tool = '{t}') AS best_{t}_r, arg_min(allele, rank * 1000000 + col_ord) FILTER (tool = '{t}') AS {t}_a" for t in _TOOLS) + " FROM r GROUP BY peptide")
+@query(f"WITH {_RANKS} SELECT peptide, " + ", ".join(f"min(rank) FILTER (tool = '{t}') AS best_{hla.NAMES[t]}_r, arg_min(allele, rank * 1000000 + col_ord) FILTER (tool = '{t}') AS {hla.NAMES[t]}_a" for t in _TOOLS) + " FROM r GROUP BY peptide")
 def hla_wide_pivot(spark, d):
     return hla.by_tool(_ranks(spark, d), _TOOLS)
 
@@ -207,7 +207,10 @@ def strata_sizes(spark, d):
     return _scored(spark, d).groupBy("label", "lang").agg(F.count("*").alias("n"))
 
 
-@query()
+_MD5 = "('0x' || substr(md5(concat_ws('|', id, 42, 0)), 1, 8))::BIGINT"
+
+
+@query(f"WITH {_SCORED} SELECT *, ((row_number() OVER (PARTITION BY label, lang ORDER BY {_MD5}, id) - 1) % 5)::INT AS fold FROM s")
 def stratified_folds(spark, d):
     return labels.folds(_scored(spark, d), ["label", "lang"], "id")
 
@@ -222,7 +225,7 @@ def confusion_metrics(spark, d):
     return evaluate.confusion(_scored(spark, d), 0.5)
 
 
-@query(f"WITH {_SCORED}, g AS (SELECT score, sum(label) AS p, sum(1 - label) AS q FROM s GROUP BY score) SELECT score, round(sum(p) OVER (ORDER BY score DESC) / sum(p) OVER (), 6) AS tpr, round(sum(q) OVER (ORDER BY score DESC) / sum(q) OVER (), 6) AS fpr FROM g")
+@query(f"WITH {_SCORED}, g AS (SELECT score, sum(label) AS p, sum(1 - label) AS q FROM s GROUP BY score) SELECT score, round(sum(p) OVER (ORDER BY score DESC) / sum(p) OVER (), 6) AS tpr, round(sum(q) OVER (ORDER BY score DESC) / sum(q) OVER (), 6) AS fpr FROM g UNION ALL SELECT NULL, 0, 0")
 def roc_points(spark, d):
     return evaluate.roc(_scored(spark, d))
 
@@ -237,7 +240,7 @@ def brier_ece(spark, d):
     return evaluate.brier_ece(_scored(spark, d))
 
 
-@query(f"WITH {_SCORED} SELECT least(floor(score / 0.1 + 1e-9), 9)::BIGINT AS bin, count(*) AS total, sum(label)::BIGINT AS positive FROM s GROUP BY 1")
+@query(f"WITH {_SCORED}, e AS (SELECT floor(min(score) / 0.1 + 1e-9) AS low, ceil(max(score) / 0.1 - 1e-9) AS high FROM s) SELECT least(floor(score / 0.1 + 1e-9) - low, greatest(high - low, 1) - 1)::BIGINT AS bin, count(*) AS total, sum(label)::BIGINT AS positive FROM s, e GROUP BY 1")
 def score_histogram(spark, d):
     return evaluate.histogram(_scored(spark, d)).withColumn("bin", F.col("bin").cast("long"))
 
@@ -334,7 +337,220 @@ def metric_leaderboard(spark, d):
     return curation.metric_summary(_t(spark, d, "events"), ["event_type"], "value")
 
 
-@query()
+@query(f"WITH {_DOCS}, {_kmers('orf', 'km')}, p AS (SELECT DISTINCT peptide FROM km), r AS (SELECT peptide, row_number() OVER (PARTITION BY length(peptide) ORDER BY md5(concat_ws('|', peptide, 42)), peptide) AS rn FROM p) SELECT peptide FROM r WHERE rn <= CASE length(peptide) WHEN 8 THEN 36 WHEN 9 THEN 632 WHEN 10 THEN 249 ELSE 83 END")
 def quota_sample(spark, d):
     found = peptides.windows(_proteins(_t(spark, d, "documents"), "doc_id"))
     return peptides.sampled(found, 1000, {8: 350, 9: 6100, 10: 2400, 11: 800})
+
+
+# ---- ranked evaluation where lower scores are better, curves, balance
+
+
+@query(f"WITH {_SCORED}, o AS (SELECT row_number() OVER w AS i, sum(label) OVER w AS c, count(*) OVER () AS n, sum(label) OVER () AS pos FROM s WINDOW w AS (ORDER BY score DESC, id ROWS UNBOUNDED PRECEDING)) SELECT round(100.0 * i / n, 6)::DOUBLE AS x, round(100.0 * c / pos, 6)::DOUBLE AS y FROM o UNION ALL SELECT 0, 0")
+def capture_curve(spark, d):
+    return evaluate.capture_curve(_scored(spark, d))
+
+
+@query(f"WITH {_SCORED} SELECT round(avg(label), 6) AS prevalence FROM s")
+def prevalence(spark, d):
+    return evaluate.prevalence(_scored(spark, d))
+
+
+@query(f"WITH {_SCORED}, o AS (SELECT *, row_number() OVER (ORDER BY score, id) AS rn, count(*) OVER () AS n, sum(label) OVER () AS pos FROM s), k AS (SELECT *, unnest([10, 25, 50, 70]) AS percent FROM o) SELECT percent, round(100.0 * sum(label) FILTER (rn <= greatest(1, ceil(n * percent / 100))) / any_value(pos), 6) AS capture, round(avg(label) FILTER (rn <= greatest(1, ceil(n * percent / 100))), 6) AS precision FROM k GROUP BY percent")
+def topk_capture_lower(spark, d):
+    return evaluate.topk(_scored(spark, d), (10, 25, 50, 70), lower_is_better=True)
+
+
+@query(f"WITH {_SCORED}, c AS (SELECT count_if(score <= 0.3 AND label = 1) AS tp, count_if(score <= 0.3 AND label = 0) AS fp, count_if(score > 0.3 AND label = 1) AS fn, count_if(score > 0.3 AND label = 0) AS tn FROM s) SELECT round((tp / (tp + fp) + tn / (tn + fn)) / 2, 6) AS balanced_precision, round((tp / (tp + fn) + tn / (tn + fp)) / 2, 6) AS balanced_recall, round((tp / (tp + fn) + tn / (tn + fp)) / 2, 6) AS balanced_accuracy FROM c")
+def balanced_metrics_lower(spark, d):
+    return evaluate.balanced(evaluate.confusion(_scored(spark, d), 0.3, lower_is_better=True))
+
+
+@query(f"WITH {_SCORED} SELECT round(avg(CASE WHEN a.score < b.score THEN 1.0 WHEN a.score = b.score THEN 0.5 ELSE 0.0 END::DOUBLE), 6) AS auroc FROM s a JOIN s b ON a.label = 1 AND b.label = 0")
+def auroc_lower(spark, d):
+    return evaluate.auroc(_scored(spark, d), lower_is_better=True)
+
+
+@query(f"WITH {_SCORED} SELECT (ceil(round(score * 10, 9)) - 1)::BIGINT AS bin, count(*) AS n, round(avg(score), 6) AS mean, round(avg(label), 6) AS observed FROM s WHERE score > 0 AND score <= 1 GROUP BY 1")
+def calibration_uniform(spark, d):
+    return evaluate.calibration_uniform(_scored(spark, d))
+
+
+@query(f"WITH {_SCORED} SELECT lang, count(*) AS n, round(count_if(score >= 0.5 AND label = 1) / nullif(count_if(score >= 0.5), 0), 6) AS precision, round(count_if(score >= 0.5 AND label = 1) / nullif(sum(label), 0), 6) AS recall, round(count_if((score >= 0.5) = (label = 1)) / count(*), 6) AS accuracy FROM s GROUP BY lang")
+def metrics_by_group(spark, d):
+    return evaluate.by_fold(_scored(spark, d), ["lang"])
+
+
+@query("WITH v AS (SELECT event_id, CASE event_id % 7 WHEN 0 THEN ' TRUE' WHEN 1 THEN 'positive ' WHEN 2 THEN '1' WHEN 3 THEN 'no' WHEN 4 THEN '0' WHEN 5 THEN 'Positive' END AS v FROM events) SELECT event_id, coalesce(lower(trim(v)) IN ('1', 'true', 'positive'), false) AS positive FROM v")
+def predicted_positive(spark, d):
+    v = F.element_at(F.array(*map(F.lit, (" TRUE", "positive ", "1", "no", "0", "Positive", None))), (F.col("event_id") % 7 + 1).cast("int"))
+    return _t(spark, d, "events").select("event_id", evaluate.predicted_positive(v).alias("positive"))
+
+
+# ---- ranks, fragments, similarity
+
+
+@query(f"WITH {_RANKS}, f AS (SELECT DISTINCT peptide FROM r), c AS (SELECT * FROM r WHERE allele IN ('HLA-A01:01', 'HLA-B07:02', 'HLA-C04:01') AND tool IN ('NetMHCpan', 'MHCFlurry')), t AS (SELECT peptide, tool, min(rank) AS best FROM c GROUP BY ALL), u AS (SELECT peptide, min(best) AS best_rank, round(avg(best), 6) AS avg_rank FROM t GROUP BY peptide), x AS (SELECT peptide, arg_min(allele, rank * 1000000 + col_ord) AS best_allele FROM c GROUP BY peptide) SELECT f.peptide, best_rank, avg_rank, best_allele FROM f LEFT JOIN u ON u.peptide = f.peptide LEFT JOIN x ON x.peptide = f.peptide")
+def hla_chosen(spark, d):
+    of = hla.chosen(_ranks(spark, d), ["HLA-A01:01", "HLA-B07:02", "HLA-C04:01"], ("NetMHCpan", "MHCFlurry"))
+    return hla.consolidate(of, ["HLA-B07:02"]).select("peptide", "best_rank", "avg_rank", "best_allele")
+
+
+_GENES = ", ".join(f"max(score) FILTER (allele LIKE 'HLA-{g}%') AS best_hla_{g.lower()}, round(avg(score) FILTER (allele LIKE 'HLA-{g}%'), 6) AS avg_hla_{g.lower()}" for g in "ABC")
+
+
+@query(f"WITH {_FRAGS}, s AS (SELECT parent, allele, max(((ascii(fragment) * 7 + length(allele) * 13) % 100) / 100.0::DOUBLE) AS score FROM fa GROUP BY ALL) SELECT parent, max(score) AS best_immunogenicity, round(avg(score), 6) AS avg_immunogenicity, {_GENES} FROM s GROUP BY parent")
+def fragment_by_gene(spark, d):
+    s = _fragments(spark, d).withColumn("score", ((F.ascii("fragment") * 7 + F.length("allele") * 13) % 100) / F.lit(100.0))
+    return hla.best_by_gene(peptides.regroup(s))
+
+
+@query("WITH n AS (SELECT left(o_orderpriority, 3) || o_orderkey % 10 AS fragment, 'HLA-' || (o_custkey % 2) AS allele, o_totalprice::DOUBLE AS score, row_number() OVER (ORDER BY o_orderkey) - 1 AS i FROM orders) SELECT a.fragment || right(b.fragment, 1) AS mer11, a.allele, greatest(a.score, b.score) AS score FROM n a JOIN n b ON a.i % 2 = 0 AND b.i = a.i + 1 AND a.allele = b.allele")
+def fragment_pairs(spark, d):
+    o = _t(spark, d, "orders")
+    fragment = F.concat(F.left("o_orderpriority", F.lit(3)), (F.col("o_orderkey") % 10).cast("string"))
+    return peptides.paired(o.select("o_orderkey", fragment.alias("fragment"), F.concat(F.lit("HLA-"), (F.col("o_custkey") % 2).cast("string")).alias("allele"), F.col("o_totalprice").cast("double").alias("score")), "o_orderkey")
+
+
+_SCORES = ", ".join(f"('{a}', '{b}', {similarity.matrix()[i, j]})" for i, a in enumerate(similarity.ORDER) for j, b in enumerate(similarity.ORDER))
+_WEIGHTS = ", ".join(f"({k}, {i + 1}, {w})" for k in (6, 8, 9, 11) for i, w in enumerate(similarity.weights(k)))
+_LETTERS = "upper(regexp_replace({}, '[^A-Za-z]', '', 'g'))"
+_NEAR = f"""b(x, y, s) AS (VALUES {_SCORES}), w(k, i, w) AS (VALUES {_WEIGHTS}),
+    pn AS (SELECT 0 AS transcript, {_LETTERS.format('p_name')} AS seq FROM part), rn AS (SELECT 0 AS transcript, {_LETTERS.format('text')} AS seq FROM benchmark),
+    {_kmers('pn', 'p0', 'transcript', '[6, 8, 9, 11]')}, {_kmers('rn', 'r0', 'transcript', '[6, 8, 9, 11]')}, p AS (SELECT DISTINCT peptide, length(peptide) AS k FROM p0), r AS (SELECT DISTINCT peptide AS ref, length(peptide) AS k FROM r0),
+    own AS (SELECT peptide, sum(w * s) AS own FROM p JOIN w USING (k) JOIN b ON x = substr(peptide, i, 1) AND y = x GROUP BY peptide),
+    pair AS (SELECT peptide, ref, sum(w * s) AS score FROM p JOIN r USING (k) JOIN w USING (k) JOIN b ON x = substr(peptide, i, 1) AND y = substr(ref, i, 1) GROUP BY peptide, ref)"""
+
+
+@query(f"WITH {_NEAR} SELECT p.peptide, round((max(score) FILTER (score < own) / any_value(own))::DOUBLE, 6) AS similarity FROM p JOIN own ON own.peptide = p.peptide LEFT JOIN pair ON pair.peptide = p.peptide GROUP BY p.peptide")
+def similarity_any_length(spark, d):
+    of = lambda t, c: peptides.windows(_t(spark, d, t).select(F.upper(F.regexp_replace(c, "[^A-Za-z]", "")).alias("seq"), F.lit(0).alias("transcript")), (6, 8, 9, 11)).select("peptide").distinct()
+    return similarity.similarity(of("part", "p_name"), of("benchmark", "text").withColumnRenamed("peptide", "seq"))
+
+
+# ---- peptides and features
+
+
+@query(f"WITH {_BENCH}, k AS (SELECT transcript, seq, unnest(range(1, greatest(length(seq) - 7, 1)::BIGINT)) AS i FROM ref) SELECT transcript, ((i - 1) % 9)::INT AS phase, substr(seq, i, 9) AS peptide FROM k WHERE length(seq) - i >= 8")
+def phase_chunks(spark, d):
+    return peptides.chunks(_proteins(_t(spark, d, "benchmark"), "item_id"), 9)
+
+
+@query("WITH p AS (SELECT DISTINCT upper(regexp_replace(p_name, '[^A-Za-z]', '', 'g')) AS peptide FROM part), q AS (SELECT upper(regexp_replace(p_type || p_brand, '[^A-Za-z]', '', 'g')) AS seq FROM part UNION SELECT upper(regexp_replace(text, '[^A-Za-z]', '', 'g')) FROM benchmark) SELECT peptide FROM p WHERE peptide <> '' AND NOT EXISTS (SELECT 1 FROM q WHERE contains(seq, peptide))")
+def not_within(spark, d):
+    letters = lambda c: F.upper(F.regexp_replace(c, "[^A-Za-z]", ""))
+    part = _t(spark, d, "part")
+    of = part.select(letters(F.col("p_name")).alias("peptide")).distinct().filter("peptide <> ''")
+    return peptides.not_within(of, part.select(letters(F.concat("p_type", "p_brand")).alias("seq")).union(_t(spark, d, "benchmark").select(letters(F.col("text")))))
+
+
+@query(f"WITH {_BENCH}, {_kmers('ref', 'km', 'gene')} SELECT DISTINCT peptide FROM km WHERE length(peptide) BETWEEN 9 AND 10")
+def length_filter(spark, d):
+    return peptides.of_length(peptides.windows(_proteins(_t(spark, d, "benchmark"), "item_id")).select("peptide").distinct(), 9, 10)
+
+
+@query("SELECT DISTINCT p_brand AS gene FROM part WHERE p_size > 45 AND p_brand IN (SELECT p_brand FROM part WHERE p_size < 3)")
+def genes_excluded_found(spark, d):
+    p = _t(spark, d, "part").withColumnRenamed("p_brand", "gene")
+    return peptides.excluded_found(p.filter("p_size < 3"), p.filter("p_size > 45").select("gene"))
+
+
+@query("WITH u AS (SELECT o_custkey AS k, o_totalprice AS a, NULL::BIGINT AS b, 0 AS f, o_orderkey AS o FROM orders UNION ALL SELECT user_id, NULL, length(event_type), 1, event_id FROM events) SELECT k AS peptide, a, b FROM u QUALIFY row_number() OVER (PARTITION BY k ORDER BY f, o) = 1")
+def features_united(spark, d):
+    a = _t(spark, d, "orders").select(F.col("o_custkey").alias("peptide"), F.col("o_totalprice").alias("a"), F.col("o_orderkey").alias("_ord"))
+    b = _t(spark, d, "events").select(F.col("user_id").alias("peptide"), F.length("event_type").cast("long").alias("b"), F.col("event_id").alias("_ord"))
+    return features.united([a, b])
+
+
+@query("WITH p AS (SELECT user_id AS peptide, value AS prime_score FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY event_id) = 1) SELECT c_custkey AS peptide, c_acctbal AS x, prime_score FROM customer JOIN p ON p.peptide = c_custkey")
+def features_with_scores(spark, d):
+    prime = _t(spark, d, "events").select(F.col("user_id").alias("peptide"), F.col("value").alias("prime_score"), "event_id")
+    return features.with_scores(_t(spark, d, "customer").select(F.col("c_custkey").alias("peptide"), F.col("c_acctbal").alias("x")), prime, "event_id")
+
+
+@query('WITH g AS (SELECT o_custkey AS k, arg_max(o_orderpriority, o_orderkey) AS g FROM orders GROUP BY 1) SELECT c_custkey AS peptide, g AS "group" FROM customer LEFT JOIN g ON k = c_custkey')
+def features_grouped(spark, d):
+    g = _t(spark, d, "orders").select(F.col("o_custkey").alias("peptide"), F.col("o_orderpriority").alias("group"), F.col("o_orderkey").alias("place"))
+    return features.grouped(_t(spark, d, "customer").select(F.col("c_custkey").alias("peptide")), g)
+
+
+@query("WITH y AS (SELECT event_id, CASE WHEN event_id % 3 = 0 THEN 'x' || value WHEN event_id % 3 = 1 THEN value::VARCHAR END AS score FROM events) SELECT event_id, round(try_cast(score AS DOUBLE), 6) AS score FROM y WHERE try_cast(score AS DOUBLE) IS NOT NULL")
+def features_scored_only(spark, d):
+    v = F.col("value").cast("string")
+    of = _t(spark, d, "events").select("event_id", F.when(F.col("event_id") % 3 == 0, F.concat(F.lit("x"), v)).when(F.col("event_id") % 3 == 1, v).alias("score"))
+    return features.scored_only(of, "score").withColumn("score", F.round("score", 6))
+
+
+# ---- statistics, labels, curation
+
+
+@query("WITH m AS (SELECT median(l_quantity) AS m, quantile_cont(l_quantity, 0.75) - quantile_cont(l_quantity, 0.25) AS i, avg(l_extendedprice) AS a, stddev_pop(l_extendedprice) AS s FROM lineitem) SELECT l_orderkey, l_linenumber, round((l_quantity - m) / i, 5) AS q, round((l_extendedprice - a) / s, 5) AS p FROM lineitem, m")
+def scaled_features(spark, d):
+    li = _t(spark, d, "lineitem").select("l_orderkey", "l_linenumber", F.col("l_quantity").cast("double").alias("q"), F.col("l_extendedprice").cast("double").alias("p"))
+    of = stats.scaled(stats.scaled(li, ["q"]), ["p"], "standard")
+    return of.select("l_orderkey", "l_linenumber", F.round("q", 5).alias("q"), F.round("p", 5).alias("p"))
+
+
+_MID = "rank() OVER (ORDER BY {0}) + (count(*) OVER (PARTITION BY {0}) - 1) / 2 AS {0}"
+
+
+@query(f"WITH x AS (SELECT l_quantity, l_extendedprice, l_discount FROM lineitem), r AS (SELECT {', '.join(map(_MID.format, ('l_quantity', 'l_extendedprice', 'l_discount')))} FROM x), c AS (SELECT unnest(['l_quantity', 'l_extendedprice', 'l_discount']) AS c), p AS (SELECT corr(l_quantity, l_extendedprice) AS qe, corr(l_quantity, l_discount) AS qd, corr(l_extendedprice, l_discount) AS ed FROM r) SELECT a.c AS a, b.c AS b, round(CASE WHEN a.c = b.c THEN 1 WHEN 'l_discount' NOT IN (a.c, b.c) THEN qe WHEN 'l_extendedprice' NOT IN (a.c, b.c) THEN qd ELSE ed END, 6) AS rho FROM c a, c b, p")
+def spearman_matrix(spark, d):
+    return stats.spearman(_t(spark, d, "lineitem"), ["l_quantity", "l_extendedprice", "l_discount"])
+
+
+@query("SELECT doc_id, CASE WHEN bool_or(quality = 1) THEN 1 ELSE 0 END AS label FROM labels WHERE quality = 1 OR toxic = 1 GROUP BY doc_id")
+def label_winning(spark, d):
+    lab = _t(spark, d, "labels")
+    return labels.winning(lab.filter("quality = 1"), lab.filter("toxic = 1"), 1, "doc_id")
+
+
+@query(f"WITH {_SCORED} SELECT *, row_number() OVER (PARTITION BY label, lang ORDER BY {_MD5}, id) - 1 < ceil(count(*) OVER (PARTITION BY label, lang) * 0.2) AS held_out FROM s")
+def holdout_split(spark, d):
+    return labels.holdout(_scored(spark, d), ["label", "lang"], "id")
+
+
+_NAMES = "n AS (SELECT s_suppkey, CASE s_suppkey % 4 WHEN 0 THEN 'HLA-Cw' || s_nationkey WHEN 1 THEN 'HLA-A' || s_nationkey % 10 WHEN 2 THEN 'HLA-B*' || lpad(s_nationkey::VARCHAR, 2, '0') || ':01' ELSE 'H2-Kb' END AS a FROM supplier)"
+
+
+@query(f"WITH {_NAMES}, p AS (SELECT s_suppkey, a, regexp_replace(replace(a, 'Cw', 'C'), '([A-Za-z])([0-9])$', '\\10\\2') AS b FROM n) SELECT s_suppkey, regexp_replace(b, '(-[A-Za-z]+)([0-9])', '\\1*\\2') AS allele FROM p")
+def alleles_normalised(spark, d):
+    return _alleles(spark, d).select("s_suppkey", alleles.normalise(F.col("allele")).alias("allele"))
+
+
+def _alleles(spark, d):
+    n = F.col("s_nationkey")
+    a = F.when(F.col("s_suppkey") % 4 == 0, F.concat(F.lit("HLA-Cw"), n.cast("string"))).when(F.col("s_suppkey") % 4 == 1, F.concat(F.lit("HLA-A"), (n % 10).cast("string")))
+    a = a.when(F.col("s_suppkey") % 4 == 2, F.concat(F.lit("HLA-B*"), F.lpad(n.cast("string"), 2, "0"), F.lit(":01"))).otherwise("H2-Kb")
+    return _t(spark, d, "supplier").select("s_suppkey", a.alias("allele"))
+
+
+@query(f"WITH {_NAMES}, b AS (SELECT DISTINCT replace(a, 'Cw', 'B*0') AS allele FROM n WHERE NOT contains(a, ':') AND contains(a, '-')), c AS (SELECT DISTINCT a AS whole FROM n WHERE contains(a, ':')) SELECT b.allele, whole FROM b LEFT JOIN c ON contains(whole, b.allele)")
+def alleles_mended(spark, d):
+    of = _alleles(spark, d)
+    return curation.mended(of.select(F.regexp_replace("allele", "Cw", "B*0").alias("allele")), of.filter(F.contains("allele", F.lit(":"))).select("allele").distinct())
+
+
+@query("SELECT DISTINCT upper(name) AS peptide FROM (SELECT CASE WHEN p_partkey % 2 = 0 THEN replace(p_name, ' ', '') ELSE p_name END AS name FROM part) WHERE regexp_matches(upper(name), '^[ACDEFGHIKLMNPQRSTVWY]+$')")
+def curation_epitopes(spark, d):
+    return curation.epitopes(_t(spark, d, "part").select(F.upper(F.when(F.col("p_partkey") % 2 == 0, F.replace("p_name", F.lit(" "), F.lit(""))).otherwise(F.col("p_name"))).alias("peptide")))
+
+
+@query("SELECT DISTINCT l_partkey FROM lineitem WHERE l_returnflag IN ('A', 'N')")
+def curation_restricted(spark, d):
+    return curation.restricted(_t(spark, d, "lineitem"), "l_returnflag", ["A", "N"], "l_partkey")
+
+
+@query("SELECT lang, length(text) AS length, count(*) AS n FROM documents GROUP BY ALL")
+def curation_lengths(spark, d):
+    return curation.lengths(_t(spark, d, "documents"), "lang", "text")
+
+
+@query('SELECT \'text\' AS feature, count_if(contains(text, \'the\'))::BIGINT AS "with", count(text) AS filled, count(DISTINCT text) AS different FROM documents UNION ALL SELECT \'source\', count_if(contains(source, \'the\'))::BIGINT, count(source), count(DISTINCT source) FROM documents')
+def curation_quality(spark, d):
+    return curation.quality(_t(spark, d, "documents"), ["text", "source"], "the")
+
+
+@query("SELECT k AS name, count_if(contains(p_type, w))::BIGINT AS n, round(100.0 * count_if(contains(p_type, w)) / count(*), 6)::DOUBLE AS percent FROM part, (VALUES ('t', 'ECON'), ('b', 'M')) v(k, w) GROUP BY k")
+def curation_shares(spark, d):
+    return curation.shares(_t(spark, d, "part"), "p_type", {"t": "ECON", "b": "M"})

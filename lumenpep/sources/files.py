@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import re
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -86,8 +87,36 @@ def write_fasta(df: DataFrame, path: str) -> None:
     df.select(F.concat(F.lit(">"), "header", F.lit("\n"), wrapped(F.col("seq")))).write.text(path)
 
 
+def common_alleles(pages: DataFrame, column: str = "html") -> DataFrame:
+    """allele: what the labels of `common` list items hold, in stored pages."""
+    items = F.regexp_extract_all(F.col(column), F.lit(r"(?s)<li[^>]*class=[\"'][^\"']*common[^\"']*[\"'][^>]*>.*?<label[^>]*>(.*?)</label>"), F.lit(1))
+    return pages.select(F.explode(items).alias("allele")).select(F.trim("allele").alias("allele")).filter("allele <> ''")
+
+
+def with_length_of_file(df: DataFrame) -> DataFrame:
+    """df, read from files, with the length that a file's name tells (`9mers`)."""
+    return df.withColumn("length", F.regexp_extract(F.col("_metadata.file_name"), r"(\d+)mers", 1).try_cast("int"))
+
+
+def folder_of(name: str) -> str:
+    """Where a result goes: the file's name without ending, up to its first underscore."""
+    return name.rsplit("/", 1)[-1].split(".", 1)[0].split("_", 1)[0]
+
+
+def json_file(spark: SparkSession, path: str) -> dict:
+    """A small JSON file from any store that Spark reads: metadata of a model, or settings."""
+    return json.loads("\n".join(r[0] for r in spark.read.text(path, wholetext=True).collect()))
+
+
+def merged_settings(base: dict, over: dict) -> dict:
+    """Settings of all, with those of one on top, level by level."""
+    return base | {k: merged_settings(base[k], v) if isinstance(v, dict) and isinstance(base.get(k), dict) else v for k, v in over.items()}
+
+
 def write_by_length(df: DataFrame, path: str, column: str = "peptide") -> None:
-    """One folder a length; lengths without rows get none."""
+    """One folder a length; lengths without rows get none, and no rows at all are an error."""
+    if df.isEmpty():
+        raise ValueError("nothing to write")
     df.withColumn("length", F.length(column)).write.partitionBy("length").csv(path)
 
 

@@ -36,7 +36,7 @@ def test_consolidated_ranks(spark):
     rows = [("P1", "HLA-A01:01", "NetMHCpan", 0, 0.4), ("P1", "HLA-A01:01", "MixMHCpred", 1, 0.6), ("P1", "HLA-B07:02", "NetMHCpan", 2, 1.5), ("P1", "HLA-B07:02", "MixMHCpred", 3, None)]
     r = hla.consolidate(spark.createDataFrame(rows, "peptide string, allele string, tool string, col_ord int, rank double"), ["HLA-B07:02"]).head()
     assert (r["best_rank"], r["avg_rank"], r["best_allele"], r["strong_binders_count"], r["weak_binders_count"]) == (0.4, 0.5, "HLA-A01:01", 0, 1)
-    assert (r["all_strong_binders"], r["all_weak_binders"], r["num_tools_1_0"], r["num_tools_2_0"]) == ("HLA-A01:01", "HLA-A01:01;HLA-B07:02", 0, 1)
+    assert (r["all_strong_binders"], r["all_weak_binders"], r["Num_Tools_1"], r["Num_Tools_2"]) == ("HLA-A01:01", "HLA-A01:01;HLA-B07:02", 0, 1)
 
 
 def test_similarity(spark):
@@ -54,7 +54,7 @@ def test_similarity_keeps_references_off_the_driver(spark, monkeypatch):
     of, refs = spark.createDataFrame([(x,) for x in few], "peptide string"), spark.createDataFrame([(x,) for x in many], "seq string")
     monkeypatch.setattr(type(refs), "toLocalIterator", None)
     b = similarity.matrix()
-    score = lambda x, y: int((np.array(similarity.WEIGHTS[len(x)]) * b[similarity.encode([x]), similarity.encode([y])]).sum())
+    score = lambda x, y: int((np.array(similarity.weights(len(x))) * b[similarity.encode([x]), similarity.encode([y])]).sum())
     for options in ({"at_once": 20}, {"at_once": 20, "share": 7}):
         got = {x["peptide"]: x["similarity"] for x in similarity.similarity(of, refs, normalised=False, **options).collect()}
         assert got == {x: max((s for y in many if len(y) == len(x) and (s := score(x, y)) < score(x, x)), default=None) for x in few}
@@ -67,3 +67,16 @@ def test_a_pair_in_two_batches_is_an_error(spark):
         hla.batches(a, b, a).collect()
     with pytest.raises(Exception, match="in two batches: A T"):
         hla.batches(a, b, a).count()
+
+
+def test_weights():
+    assert [similarity.weights(k) for k in (8, 9, 10, 11)] == [[1, 2, 9, 13, 13, 9, 2, 1], [1, 2, 3, 13, 17, 13, 3, 2, 1], [1, 2, 3, 13, 17, 17, 13, 3, 2, 1], [1, 2, 3, 13, 17, 21, 17, 13, 3, 2, 1]]
+
+
+def test_a_bad_residue_is_an_error_and_order_keeps_repeats(spark):
+    of = spark.createDataFrame([(1, "AAAAAA"), (2, "SAAAAA"), (3, "AAAAAA")], "at long, peptide string")
+    refs = spark.createDataFrame([("SAAAAA",), ("AXAAAA",)], "seq string")
+    got = similarity.in_order(of, similarity.similarity(of, refs, exclude_identity=False), "at").orderBy("at").collect()
+    assert [r["peptide"] for r in got] == ["AAAAAA", "SAAAAA", "AAAAAA"] and got[1]["similarity"] == 1.0
+    with pytest.raises(Exception, match="not a standard peptide: AXA"):
+        similarity.similarity(spark.createDataFrame([("AXAAAA",)], "peptide string"), refs).collect()
