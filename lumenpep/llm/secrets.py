@@ -25,6 +25,8 @@ _FIXED = r"(?:(?i:password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"'
 _CHAR = "[A-Za-z0-9+/_=-]"
 _FREE = f"(?:(?!{_FIXED}){_CHAR})"
 FREE = f"(?:{_FIXED}|(?<!{_CHAR})(?={_CHAR}{{8}})(?={_FREE}{{20}}|{_FREE}{{8,}}+{_FIXED}))({_FREE}{{8,}}+)?"
+#: What a text with such a run has at least; cheap to look for.
+GATE = f"{_CHAR}{{20}}|{_CHAR}{{8}}(?i:pass|secret|token|api)"
 #: Matches that are counted through one by one.
 RUN = 256
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
@@ -102,7 +104,7 @@ def _ratio(token: Column, table: np.ndarray) -> Column:
     return F.aggregate(pairs, F.lit(0.0), lambda s, i: s + F.element_at(flat, i)) / F.size(at)
 
 
-def _spans(text: Column, pattern: str, kind: int, group: int | None = None, least: int = 0, tail: bool = False) -> Column:
+def _spans(text: Column, pattern: str, kind: int, group: int | None = None, least: int = 0, tail: bool = False, gate: str | None = None) -> Column:
     """All leftmost matches in code points: array of (start, kind, end, token). Matches whose group is shorter than least
     are dropped after matching, as they still consume their text. With tail, spans are the groups, at the ends of matches. Starts are sums over all matches before: they are added
     up in runs of RUN matches first and then over the runs, so the work of a text does not grow with the square of its
@@ -135,7 +137,8 @@ def _spans(text: Column, pattern: str, kind: int, group: int | None = None, leas
         return F.filter(F.flatten(moved), lambda m: F.length(m["token"]) >= least)
 
     rows = F.arrays_zip(gaps.alias("gap"), found.alias("all"), part.alias("part"))
-    return F.when(F.regexp_like(text, F.lit(pattern)), _bound(rows, of)).otherwise(none)
+    has = F.regexp_like(text, F.lit(pattern))
+    return F.when(has if gate is None else F.regexp_like(text, F.lit(gate)) & has, _bound(rows, of)).otherwise(none)
 
 
 def _bound(value: Column, f) -> Column:
@@ -159,7 +162,7 @@ def scan(docs: DataFrame, threshold: float = 0.5, labelled: list[tuple[str, int]
     table = train(labelled or samples())
     text = F.col("text")
     of = only(docs, "doc_id", "text").select("doc_id", text_or_empty().alias("text"))
-    of = of.select("doc_id", F.concat(_spans(text, ASSIGN, 0, 2, 6), _spans(text, ACCESS, 1), _spans(text, HEX, 2)).alias("base"), _spans(text, FREE, 3, 1, 1, tail=True).alias("runs"))
+    of = of.select("doc_id", F.concat(_spans(text, ASSIGN, 0, 2, 6), _spans(text, ACCESS, 1), _spans(text, HEX, 2)).alias("base"), _spans(text, FREE, 3, 1, 1, tail=True, gate=GATE).alias("runs"))
 
     return of.select("doc_id", "base", F.filter("runs", lambda t: _ratio(t["token"], table) > threshold).alias("more"))
 
