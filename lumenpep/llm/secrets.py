@@ -26,7 +26,7 @@ _CHAR = "[A-Za-z0-9+/_=-]"
 _FREE = f"(?:(?!{_FIXED}){_CHAR})"
 FREE = f"(?:{_FIXED}|(?<!{_CHAR})(?={_CHAR}{{8}})(?={_FREE}{{20}}|{_FREE}{{8,}}+{_FIXED}))({_FREE}{{8,}}+)?"
 #: What a text with such a run has at least; cheap to look for.
-GATE = f"{_CHAR}{{20}}|{_CHAR}{{8}}(?i:pass|secret|token|api)"
+GATE = f"(?<!{_CHAR})(?:{_CHAR}{{20}}|{_CHAR}{{8,}}?(?i:pass|secret|token|api))"
 #: Matches that are counted through one by one.
 RUN = 256
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
