@@ -152,6 +152,23 @@ def fragment_summary(spark, d):
     return s.groupBy("parent").agg(F.max("score").alias("best_immunogenicity"), F.round(F.avg("score"), 6).alias("avg_immunogenicity"), F.max(F.when(F.col("gene") == "A", F.col("score"))).alias("best_hla_a"))
 
 
+_SCORES = ", ".join(f"('{a}', '{b}', {similarity.matrix()[i, j]})" for i, a in enumerate(similarity.ORDER) for j, b in enumerate(similarity.ORDER))
+_LETTERS = "upper(regexp_replace({}, '[^A-Za-z]', '', 'g'))"
+
+
+def _near(wanted: str, known: str, lengths: tuple[int, ...]) -> str:
+    """CTEs: own (peptide, own) and pair (peptide, ref, score) for the windows of two selects of seq."""
+    w = ", ".join(f"({k}, {i + 1}, {w})" for k in lengths for i, w in enumerate(similarity.weights(k)))
+    return f"""b(x, y, s) AS (VALUES {_SCORES}), w(k, i, w) AS (VALUES {w}), pn AS (SELECT 0 AS transcript, seq FROM ({wanted})), rn AS (SELECT 0 AS transcript, seq FROM ({known})),
+    {_kmers('pn', 'p0', 'transcript', str(list(lengths)))}, {_kmers('rn', 'r0', 'transcript', str(list(lengths)))}, p AS (SELECT DISTINCT peptide, length(peptide) AS k FROM p0), r AS (SELECT DISTINCT peptide AS ref, length(peptide) AS k FROM r0),
+    own AS (SELECT peptide, sum(w * s) AS own FROM p JOIN w USING (k) JOIN b ON x = substr(peptide, i, 1) AND y = x GROUP BY peptide),
+    pair AS (SELECT peptide, ref, sum(w * s) AS score FROM p JOIN r USING (k) JOIN w USING (k) JOIN b ON x = substr(peptide, i, 1) AND y = substr(ref, i, 1) GROUP BY peptide, ref)"""
+
+
+_NEAR = _near(f"SELECT {_LETTERS.format('p_name')} AS seq FROM part", f"SELECT {_LETTERS.format('text')} AS seq FROM benchmark", (6, 8, 9, 11))
+_NEAR9 = _near(f"SELECT {_LETTERS.format('text')} AS seq FROM benchmark", f"SELECT {_LETTERS.format('p_name || p_type || p_brand')} AS seq FROM part", (9,))
+
+
 def _similar(spark, d, **options):
     name = lambda df, c: df.select(F.upper(F.regexp_replace(F.col(c).cast("string"), "[^A-Za-z]", "")).alias("seq"), F.lit(0).alias("transcript"))
     few = peptides.windows(name(_t(spark, d, "benchmark"), "text"), (9,)).select("peptide").distinct()
@@ -159,17 +176,17 @@ def _similar(spark, d, **options):
     return similarity.similarity(few, ref, **options)
 
 
-@query()
+@query(f"WITH {_NEAR9} SELECT peptide, round((max(score) FILTER (score < own) / any_value(own))::DOUBLE, 6) AS similarity FROM own LEFT JOIN pair USING (peptide) GROUP BY peptide")
 def similarity_excl_identity(spark, d):
     return _similar(spark, d)
 
 
-@query()
+@query(f"WITH {_NEAR9} SELECT peptide, round((max(score) / any_value(own))::DOUBLE, 6) AS similarity FROM own LEFT JOIN pair USING (peptide) GROUP BY peptide")
 def similarity_identity(spark, d):
     return _similar(spark, d, exclude_identity=False)
 
 
-@query()
+@query(f"WITH {_NEAR9} SELECT peptide, max(score)::DOUBLE AS similarity FROM own LEFT JOIN pair USING (peptide) GROUP BY peptide")
 def similarity_raw(spark, d):
     return _similar(spark, d, exclude_identity=False, normalised=False)
 
@@ -412,16 +429,6 @@ def fragment_pairs(spark, d):
     return peptides.paired(o.select("o_orderkey", fragment.alias("fragment"), F.concat(F.lit("HLA-"), (F.col("o_custkey") % 2).cast("string")).alias("allele"), F.col("o_totalprice").cast("double").alias("score")), "o_orderkey")
 
 
-_SCORES = ", ".join(f"('{a}', '{b}', {similarity.matrix()[i, j]})" for i, a in enumerate(similarity.ORDER) for j, b in enumerate(similarity.ORDER))
-_WEIGHTS = ", ".join(f"({k}, {i + 1}, {w})" for k in (6, 8, 9, 11) for i, w in enumerate(similarity.weights(k)))
-_LETTERS = "upper(regexp_replace({}, '[^A-Za-z]', '', 'g'))"
-_NEAR = f"""b(x, y, s) AS (VALUES {_SCORES}), w(k, i, w) AS (VALUES {_WEIGHTS}),
-    pn AS (SELECT 0 AS transcript, {_LETTERS.format('p_name')} AS seq FROM part), rn AS (SELECT 0 AS transcript, {_LETTERS.format('text')} AS seq FROM benchmark),
-    {_kmers('pn', 'p0', 'transcript', '[6, 8, 9, 11]')}, {_kmers('rn', 'r0', 'transcript', '[6, 8, 9, 11]')}, p AS (SELECT DISTINCT peptide, length(peptide) AS k FROM p0), r AS (SELECT DISTINCT peptide AS ref, length(peptide) AS k FROM r0),
-    own AS (SELECT peptide, sum(w * s) AS own FROM p JOIN w USING (k) JOIN b ON x = substr(peptide, i, 1) AND y = x GROUP BY peptide),
-    pair AS (SELECT peptide, ref, sum(w * s) AS score FROM p JOIN r USING (k) JOIN w USING (k) JOIN b ON x = substr(peptide, i, 1) AND y = substr(ref, i, 1) GROUP BY peptide, ref)"""
-
-
 @query(f"WITH {_NEAR} SELECT p.peptide, round((max(score) FILTER (score < own) / any_value(own))::DOUBLE, 6) AS similarity FROM p JOIN own ON own.peptide = p.peptide LEFT JOIN pair ON pair.peptide = p.peptide GROUP BY p.peptide")
 def similarity_any_length(spark, d):
     of = lambda t, c: peptides.windows(_t(spark, d, t).select(F.upper(F.regexp_replace(c, "[^A-Za-z]", "")).alias("seq"), F.lit(0).alias("transcript")), (6, 8, 9, 11)).select("peptide").distinct()
