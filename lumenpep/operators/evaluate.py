@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .running import positions, running
+from .running import percentile_row, positions, running
 
 
 def topk(scored: DataFrame, percents=(10, 25, 50, 70), lower_is_better: bool = False) -> DataFrame:
@@ -110,10 +110,11 @@ def by_fold(scored: DataFrame, group: list[str], threshold: float = 0.5) -> Data
 def calibration(scored: DataFrame, bins: int = 10) -> DataFrame:
     """bin, n, mean, observed: bins between quantiles of the score, closed on the right, the first one on both sides; equal
     edges are one. The edges are bins + 1 numbers."""
-    edges = scored.agg(F.percentile("score", F.array(*(F.lit(i / bins) for i in range(bins + 1))))).first()[0] or []
-    inner = sorted(set(edges))[1:-1]
-    at = sum(((F.col("score") > e).cast("long") for e in inner), F.lit(0).cast("long"))
-    return scored.filter("score IS NOT NULL").groupBy(at.alias("bin")).agg(F.count("*").alias("n"), F.round(F.avg("score"), 6).alias("mean"), F.round(F.avg("label"), 6).alias("observed"))
+    edges = F.array_sort(F.array_distinct("_score"))
+    inner = percentile_row(scored, ["score"], [i / bins for i in range(bins + 1)]).select(F.slice(edges, F.lit(2), F.greatest(F.size(edges) - 2, F.lit(0))).alias("_inner"))
+    of = scored.filter("score IS NOT NULL").crossJoin(F.broadcast(inner))
+    at = F.size(F.filter("_inner", lambda e: F.col("score") > e)).cast("long")
+    return of.groupBy(at.alias("bin")).agg(F.count("*").alias("n"), F.round(F.avg("score"), 6).alias("mean"), F.round(F.avg("label"), 6).alias("observed"))
 
 
 def class_report(scored: DataFrame, threshold: float) -> DataFrame:

@@ -2,12 +2,27 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
 RANGES = 200
 _BEFORE = (Window.unboundedPreceding, -1)
+#: Edges are looked up in blocks of this many.
+_STEP = 14
+
+
+def _ends(edges: DataFrame) -> DataFrame:
+    """edges with _ends, the last edge of each block."""
+    return edges.withColumn("_ends", F.filter("_edges", lambda e, i: i % _STEP == _STEP - 1))
+
+
+def _below(x: Column) -> Column:
+    """How many of _edges are below x: whole blocks, then edges of one block."""
+    whole = F.size(F.filter("_ends", lambda e: e < x)) * _STEP
+    return whole + F.size(F.filter(F.slice("_edges", whole + 1, F.lit(_STEP)), lambda e: e < x))
 
 
 def ranged(rows: DataFrame, column: str, to: str, null_range: int = RANGES + 1) -> DataFrame:
@@ -17,8 +32,7 @@ def ranged(rows: DataFrame, column: str, to: str, null_range: int = RANGES + 1)
         return rows.withColumn(to, F.when(F.col(column).isNull(), null_range).otherwise(0))
     x = F.col(column).cast("double")
     edges = rows.agg(F.array_distinct(F.coalesce(F.percentile_approx(x, F.array(*(F.lit(i / RANGES) for i in range(1, RANGES))), 10_000), F.array().cast("array<double>"))).alias("_edges"))
-    at = F.size(F.filter("_edges", lambda e: e < x))
-    return rows.crossJoin(F.broadcast(edges)).withColumn(to, F.when(F.col(column).isNull(), null_range).otherwise(at)).drop("_edges")
+    return rows.crossJoin(F.broadcast(_ends(edges))).withColumn(to, F.when(F.col(column).isNull(), null_range).otherwise(_below(x))).drop("_edges", "_ends")
 
 
 def running(rows: DataFrame, column: str, sums: list[str], descending: bool = False) -> DataFrame:
@@ -49,3 +63,36 @@ def positions(scored: DataFrame, lower_is_better: bool = False) -> DataFrame:
     at: Column = F.col("_before") + F.row_number().over(Window.partitionBy("score", "_part").orderBy("id"))
     n = scored.agg(F.count("*").alias("n"))
     return out.select(*scored.columns, at.alias("at")).crossJoin(F.broadcast(n))
+
+
+def percentiles(df: DataFrame, columns: list[str], fractions: list[float]) -> DataFrame:
+    """feature, q: for each column that has a value, its exact percentiles, between two values in proportion; nulls don't
+    count. Values are counted, and only the ranges of values that hold a wanted place are put in order, each in a task of its
+    own; edges and totals are RANGES numbers a column."""
+    cells = F.inline(F.array(*(F.struct(F.lit(c).alias("feature"), F.col(f"`{c}`").cast("double").alias("x")) for c in columns)))
+    by = df.select(cells).filter("x IS NOT NULL").groupBy("feature", "x").agg(F.count("*").alias("m")).filter("m > 0")  # all uses need m, so they share one exchange
+    cuts = F.percentile_approx("x", F.array(*(F.lit(i / RANGES) for i in range(1, RANGES))), 10_000)
+    edges = by.groupBy("feature").agg(F.array_distinct(cuts).alias("_edges"))
+    of = by.join(F.broadcast(_ends(edges)), "feature").select("feature", "x", "m", _below(F.col("x")).alias("range"))
+    each = Window.partitionBy("feature")
+    totals = of.groupBy("feature", "range").agg(F.sum("m").alias("total"))
+    before = F.coalesce(F.sum("total").over(each.orderBy("range").rowsBetween(*_BEFORE)), F.lit(0))
+    totals = totals.select("feature", "range", before.alias("low"), (before + F.col("total")).alias("high"), F.sum("total").over(each).alias("n"))
+    place = lambda f, n: f * (n - 1)
+    within = lambda at: (F.col("low") <= at) & (at < F.col("high"))
+    wanted = reduce(Column.__or__, (within(end(place(f, F.col("n")))) for f in fractions for end in (F.floor, F.ceil)))
+    upto = F.col("low") + F.sum("m").over(Window.partitionBy("feature", "range").orderBy("x"))
+    found = of.join(F.broadcast(totals.filter(wanted)), ["feature", "range"]).select("feature", "x", "n", (upto - F.col("m")).alias("low"), upto.alias("high"))
+    value = lambda at: F.max(F.when(within(at), F.col("x")))
+
+    def percentile(f: float) -> Column:
+        at = place(f, F.col("n"))
+        low, high = value(F.floor(at)), value(F.ceil(at))
+        return F.when(low == high, low).otherwise(low + (place(f, F.max("n")) - F.floor(place(f, F.max("n")))) * (high - low))
+
+    return found.groupBy("feature").agg(F.array(*(percentile(f) for f in fractions)).alias("q"))
+
+
+def percentile_row(df: DataFrame, columns: list[str], fractions: list[float]) -> DataFrame:
+    """One row: percentiles() as an array under each column's name after `_`, null where a column has no value."""
+    return percentiles(df, columns, fractions).agg(*(F.max(F.when(F.col("feature") == c, F.col("q"))).alias(f"_{c}") for c in columns))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .running import running
+from .running import percentile_row, percentiles, running
 
 
 def effect_sizes(rows: DataFrame) -> DataFrame:
@@ -20,9 +20,9 @@ def effect_sizes(rows: DataFrame) -> DataFrame:
 
 def robust_limits(df: DataFrame, columns: list[str]) -> DataFrame:
     """feature, median, iqr, missing (percent)."""
-    cells = F.inline(F.array(*(F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("x")) for c in columns)))
-    q = F.percentile("x", F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
-    return df.select(cells).groupBy("feature").agg(q.alias("q"), (100 * F.avg(F.col("x").isNull().cast("int"))).alias("missing")).select("feature", F.round(F.col("q")[1], 6).alias("median"), F.round(F.col("q")[2] - F.col("q")[0], 6).alias("iqr"), F.round("missing", 6).alias("missing"))
+    missing = df.agg(*((100 * F.avg(F.col(f"`{c}`").isNull().cast("int"))).alias(c) for c in columns)).select(F.inline(F.array(*(F.struct(F.lit(c).alias("feature"), F.col(f"`{c}`").alias("missing")) for c in columns))))
+    of = missing.filter("missing IS NOT NULL").join(percentiles(df, columns, [0.25, 0.5, 0.75]), "feature", "left")
+    return of.select("feature", F.round(F.col("q")[1], 6).alias("median"), F.round(F.col("q")[2] - F.col("q")[0], 6).alias("iqr"), F.round("missing", 6).alias("missing"))
 
 
 def clip(column: str, low: float, high: float):
@@ -32,8 +32,8 @@ def clip(column: str, low: float, high: float):
 
 def median_filled(df: DataFrame, columns: list[str], key: str) -> DataFrame:
     """key and the columns, nulls filled with the column's median; <column>_missing is 1 there. The medians are one row."""
-    medians = df.agg(*(F.median(c).alias(c) for c in columns)).first()
-    return df.select(key, *(F.coalesce(F.col(c).cast("double"), F.lit(medians[c]).cast("double")).alias(c) for c in columns), *(F.col(c).isNull().cast("int").alias(f"{c}_missing") for c in columns))
+    of = df.select(key, *columns).crossJoin(F.broadcast(percentile_row(df, columns, [0.5])))
+    return of.select(key, *(F.coalesce(F.col(c).cast("double"), F.col(f"_{c}")[0]).alias(c) for c in columns), *(F.col(c).isNull().cast("int").alias(f"{c}_missing") for c in columns))
 
 
 def scaled(df: DataFrame, columns: list[str], kind: str = "robust", fit: DataFrame | None = None) -> DataFrame:
@@ -41,8 +41,11 @@ def scaled(df: DataFrame, columns: list[str], kind: str = "robust", fit: DataFra
     (robust), or less the mean over the population's deviation (standard). A spread of 0 counts as 1e-7. The limits are one
     row."""
     of = fit if fit is not None else df
-    ends = [(F.median(c), F.percentile(c, 0.75) - F.percentile(c, 0.25)) if kind == "robust" else (F.avg(c), F.stddev_pop(c)) for c in columns]
-    limits = of.agg(*(F.struct(a.alias("mid"), F.greatest(b, F.lit(1e-7)).alias("spread")).alias(f"_{c}") for c, (a, b) in zip(columns, ends, strict=True)))
+    if kind == "robust":
+        row, of_row = percentile_row(of, columns, [0.25, 0.5, 0.75]), lambda c: (F.col(f"_{c}")[1], F.col(f"_{c}")[2] - F.col(f"_{c}")[0])
+    else:
+        row, of_row = of.agg(*(F.struct(F.avg(c).alias("mid"), F.stddev_pop(c).alias("spread")).alias(f"_{c}") for c in columns)), lambda c: (F.col(f"_{c}.mid"), F.col(f"_{c}.spread"))
+    limits = row.select(*(F.struct(of_row(c)[0].alias("mid"), F.greatest(of_row(c)[1], F.lit(1e-7)).alias("spread")).alias(f"_{c}") for c in columns))
     out = df.crossJoin(F.broadcast(limits))
     return out.select(*(((F.col(c) - F.col(f"_{c}.mid")) / F.col(f"_{c}.spread")).alias(c) if c in columns else F.col(f"`{c}`") for c in df.columns))
 
@@ -57,10 +60,10 @@ def spearman(df: DataFrame, columns: list[str]) -> DataFrame:
     """a, b, rho for every pair of columns: correlation of middle ranks, nulls filled with the median. Ranks come from
     counts by value along the order, so no task sorts a whole column."""
     df = df.select(*(F.col(c).cast("double").alias(c) for c in columns))
-    medians = df.agg(*(F.median(c).alias(f"_{c}") for c in columns))
-    of = df.crossJoin(F.broadcast(medians)).select(*(F.coalesce(c, f"_{c}").alias(c) for c in columns))
+    medians = percentile_row(df, columns, [0.5]).head()  # one row, read first as every rank needs it
+    filled = of = df.select(*(F.coalesce(F.col(c), F.lit((medians[f"_{c}"] or [None])[0]).cast("double")).alias(c) for c in columns))
     for c in columns:
-        by = running(of.groupBy(c).agg(F.count("*").alias("m")), c, ["m"])
+        by = running(filled.groupBy(c).agg(F.count("*").alias("m")), c, ["m"])
         by = by.select(F.col(c).alias("_x"), (F.col("m_upto") - (F.col("m") - 1) / 2).alias(f"_r_{c}"))
         of = of.join(by, F.col(c) == F.col("_x")).drop("_x")
     pairs = [(a, b) for a in columns for b in columns]

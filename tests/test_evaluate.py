@@ -1,4 +1,7 @@
+import numpy as np
+
 from lumenpep.operators import curation, evaluate, peptides, stats
+from lumenpep.operators.running import percentile_row, percentiles
 
 
 def scored(spark):
@@ -41,3 +44,15 @@ def test_origins(spark):
 def test_median_filled(spark):
     df = spark.createDataFrame([(1, 1.0), (2, None), (3, 3.0)], "id long, x double")
     assert [tuple(r) for r in stats.median_filled(df, ["x"], "id").orderBy("id").collect()] == [(1, 1.0, 0), (2, 2.0, 1), (3, 3.0, 0)]
+
+
+def test_percentiles_are_exact(spark):
+    rng = np.random.default_rng(0)
+    sets = {"a": rng.normal(size=3000), "b": np.where(rng.random(3000) < 0.4, 7.0, rng.integers(0, 5, 3000)), "c": np.full(3000, np.nan), "d": np.r_[[2.5, 4.0], np.full(2998, np.nan)]}
+    df = spark.createDataFrame([tuple(None if np.isnan(x) else float(x) for x in r) for r in zip(*sets.values(), strict=True)], "a double, b double, c double, d double")
+    at = [0.0, 0.1, 0.25, 0.5, 0.75, 0.999, 1.0]
+    got = {r["feature"]: r["q"] for r in percentiles(df, list(sets), at).collect()}
+    assert sorted(got) == ["a", "b", "d"]
+    for c in got:
+        assert np.allclose(got[c], np.nanquantile(sets[c], at), rtol=0, atol=1e-12)
+    assert percentiles(df.limit(0), ["a"], at).collect() == [] and percentile_row(df, ["a", "c"], [0.5]).head()["_c"] is None
