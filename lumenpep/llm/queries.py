@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, exact_dedup, langid, mixing, ngram_join, packing, pii, secrets, token_files, url_filter
+from . import alignment, ann, best_fit, divergence, exact_dedup, langid, mixing, ngram_join, packing, pii, secrets, token_files, url_filter
 from .common import table
 
 RULES = [("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/")]
@@ -54,7 +54,20 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.report(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_packing, op2_token_files, op3_nearest, op4_ngram_join, op5_url_filter, op6_mixing, op7_pseudonyms, op8_language, op9_exact_dedup, op10_secrets)}
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    digest = lambda g: F.when(g == "", g).otherwise(F.sha2(g, 256))
+    return alignment.align(table(spark, sf_dir, "documents"), groups=digest).withColumnRenamed("groups", "groups_sha256")
+
+
+def op12_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return best_fit.pack(table(spark, sf_dir, "documents"))
+
+
+def op13_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_packing, op2_token_files, op3_nearest, op4_ngram_join, op5_url_filter, op6_mixing, op7_pseudonyms, op8_language, op9_exact_dedup, op10_secrets, op11_alignment, op12_best_fit, op13_divergence)}
 
 ORACLES = {
     "op9_exact_dedup": """
@@ -87,4 +100,39 @@ ORACLES = {
         SELECT d.doc_id, coalesce(s.n, 0) AS n_shingles, coalesce(l.component_id, d.doc_id) AS component_id
         FROM documents d LEFT JOIN sizes s ON s.doc_id = d.doc_id LEFT JOIN least l ON l.doc_id = d.doc_id
     """,
+    "op13_divergence": """
+        WITH d AS (
+            SELECT row_number() OVER () AS row, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+                   translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text
+            FROM documents
+        ), words AS (
+            SELECT row, lang, source, unnest(regexp_extract_all(text, '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS term FROM d
+        ), kept AS (
+            SELECT lang, term, count(*) AS n FROM words GROUP BY ALL HAVING count(DISTINCT row) >= 10
+        ), langs AS (
+            SELECT lang, count(*) AS v, sum(n) AS n FROM kept GROUP BY lang
+        ), groups AS (
+            SELECT DISTINCT lang, source FROM d
+        ), counts AS (
+            SELECT lang, source, term, count(*) AS n FROM words SEMI JOIN kept USING (lang, term) GROUP BY ALL
+        ), totals AS (
+            SELECT lang, source, sum(n) AS n FROM counts GROUP BY ALL
+        ), shares AS (
+            SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n, 1 + (1000000000::HUGEINT * (coalesce(c.n, 0) + 2)) // (coalesce(t.n, 0) + 2 * l.v) AS p,
+                   1 + (1000000000::HUGEINT * (k.n + 2)) // (l.n + 2 * l.v) AS q
+            FROM groups g JOIN kept k ON k.lang = g.lang JOIN langs l ON l.lang = g.lang
+            LEFT JOIN counts c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term LEFT JOIN totals t ON t.lang = g.lang AND t.source = g.source
+        ), pairs AS (
+            SELECT a.lang, a.source, b.source AS item, sum(((a.p - b.p) * (a.p - b.p)) // (a.p + b.p)) AS value
+            FROM shares a JOIN shares b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL
+        ), found AS (
+            SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(p.value, 0)::BIGINT AS value
+            FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source LEFT JOIN pairs p ON p.lang = a.lang AND p.source = a.source AND p.item = b.source
+            UNION ALL
+            SELECT lang, source, 'term', term, (((p - q) * (p - q)) // (p + q))::BIGINT FROM shares WHERE n > 0 AND p > q
+        ), ranked AS (
+            SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INT AS rank FROM found
+        )
+        SELECT lang, source, part, item, value, rank FROM ranked WHERE part = 'pair' OR rank <= 10
+    """,
 }
