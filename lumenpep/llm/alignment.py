@@ -55,7 +55,8 @@ class Pieces:
         self.bytes = [bytes([int(n[3:5], 16)]) if self.model.is_byte(i) else n.replace(_SPACE, " ").encode("utf-8") for i, n in enumerate(names)]
         by_words = not any(re.search(f"[^{_SPACE}]{_SPACE}", n) for n in names) and [self.bytes[i] for i in self.model.encode("a  b")][0].startswith(b" ")
         self.words = re.compile(r" +[^ ]*").findall if by_words else None
-        self.memo, self.limit = {}, memo
+        self.alone = {" ": [self.model.piece_to_id(_SPACE)]}  # the model gives nothing for the empty text
+        self.memo, self.limit = dict(self.alone), memo
 
     def _known(self, word: str) -> list[int]:
         ids = self.memo.get(word)
@@ -63,7 +64,7 @@ class Pieces:
             ids = self.model.encode(word[1:])
             if len(word) <= 64:
                 if len(self.memo) >= self.limit:
-                    self.memo.clear()
+                    self.memo = dict(self.alone)
                 self.memo[word] = ids
         return ids
 
