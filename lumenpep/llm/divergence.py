@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import only, released, slices, small_batches, stage
+from .common import only, partitions, released, slices, small_batches, stage
 
 SCALE = 1_000_000_000
 #: A byte of a term as it counts (A to Z in lower case, letters and all beyond ASCII as they are), any other one as a blank.
@@ -200,6 +200,15 @@ def counted(docs: DataFrame, most: int = 500_000) -> DataFrame:
     return stage(parts.groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs")), "terms")
 
 
+def _dealt(kept: DataFrame, langs: DataFrame) -> DataFrame:
+    """kept (lang, term) with its language's row of langs. The terms of a language are dealt over as many parts as there are
+    partitions, and its row goes to each, so a language that has most terms isn't one task's."""
+    parts = partitions(kept.sparkSession)
+    left = kept.withColumn("_part", F.pmod(F.xxhash64("term", F.lit(1)), F.lit(parts)))
+    right = langs.withColumn("_part", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(parts - 1).cast("long"))))
+    return left.join(right, ["lang", "_part"]).drop("_part")
+
+
 def audit(docs: DataFrame, least: int = 10, tops: int = 10, slab: int = 250_000, block: int = 8) -> DataFrame:
     """lang, source, part, item, value, rank for documents (lang, source, text).
 
@@ -216,7 +225,7 @@ def audit(docs: DataFrame, least: int = 10, tops: int = 10, slab: int = 250_000,
     kept = counts.filter("term IS NOT NULL").groupBy("lang", "term").agg(F.sum("docs").alias("docs"), F.sum("n").alias("of_lang")).filter(F.col("docs") >= least).drop("docs")
     langs = kept.groupBy("lang").agg(F.count("*").alias("terms"), F.sum("of_lang").alias("lang_total"))
     cut = F.ceil(F.col("terms") / slab)
-    slabs = kept.join(langs, "lang").withColumn("slab", F.pmod(F.xxhash64("term"), cut))
+    slabs = _dealt(kept, langs).withColumn("slab", F.pmod(F.xxhash64("term"), cut))
     slabs = slabs.withColumn("id", F.row_number().over(Window.partitionBy("lang", "slab").orderBy("term")).cast("long") - 1)
     cells = stage(counts.filter("term IS NOT NULL").select("lang", "source", "term", "n").join(slabs, ["lang", "term"]), "cells")
 
@@ -226,10 +235,11 @@ def audit(docs: DataFrame, least: int = 10, tops: int = 10, slab: int = 250_000,
     block_of = F.floor((F.row_number().over(by.orderBy("source")) - 1) / block)
     groups = stage(groups.select("lang", "source", *(F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("total", "terms", "lang_total")), block_of.alias("block"), F.ceil(F.count("*").over(by) / block).alias("blocks")), "groups")
 
-    vectors = cells.join(groups.select("lang", "source", "total"), ["lang", "source"]).groupBy("lang", "slab", "source").applyInArrow(_vector(tops), VECTORS)
+    grid = groups.withColumn("slab", F.explode(F.sequence(F.lit(0).cast("long"), F.greatest(cut, F.lit(1)) - 1)))
+    # by slab too, so the terms of a large group meet its total in many tasks
+    vectors = cells.join(grid.select("lang", "slab", "source", "total"), ["lang", "slab", "source"]).groupBy("lang", "slab", "source").applyInArrow(_vector(tops), VECTORS)
     vectors = stage(vectors, "vectors")
     widths = cells.select("lang", "slab", "id").groupBy("lang", "slab").agg((F.max("id") + 1).alias("width"))
-    grid = groups.withColumn("slab", F.explode(F.sequence(F.lit(0).cast("long"), F.greatest(cut, F.lit(1)) - 1)))
     grid = grid.join(widths, ["lang", "slab"], "left").join(vectors.drop("top"), ["lang", "slab", "source"], "left")
     grid = grid.select("lang", "slab", "source", "data", "total", "terms", F.coalesce("width", F.lit(0)).alias("width"), F.explode(schedule(F.col("block"), F.col("blocks"))).alias("to"))
     grid = grid.select("lang", "slab", "to.host", "to.round", "source", "data", "total", "terms", "width")
