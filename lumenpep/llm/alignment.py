@@ -11,7 +11,7 @@ counts come back to the chunk, so links themselves are never shuffled.
 from __future__ import annotations
 
 import re
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -27,6 +27,20 @@ _NAMES = [f.split()[0] for f in _ALIGNED.split(", ")]
 _TYPES = [*[pa.int64()] * 6, pa.string(), pa.binary(), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.int64())]
 
 
+class Strings:
+    """Byte strings by number, and numbers' strings joined without a step for each."""
+
+    def __init__(self, parts: list[bytes]):
+        self.length = np.array([len(p) for p in parts], dtype=np.int64)
+        self.start = np.cumsum(self.length) - self.length
+        self.flat = np.frombuffer(b"".join(parts), dtype=np.uint8)
+
+    def join(self, numbers: np.ndarray) -> np.ndarray:
+        length = self.length[numbers]
+        end = np.cumsum(length)
+        return self.flat[np.arange(end[-1] if len(end) else 0) + np.repeat(self.start[numbers] - end + length, length)]
+
+
 class ByteLevel:
     """Tokenizer A: ids and bytes of a text with a space before it; strings of special tokens are plain text."""
 
@@ -35,58 +49,44 @@ class ByteLevel:
         self.encoder.tokenizer.encode_special_tokens = True
         raw = {chr(tokens._SHOWN.get(b, b)): b for b in range(256)}
         shown = (self.encoder.tokenizer.id_to_token(i) for i in range(self.encoder.vocabulary))
-        self.bytes = [bytes(raw[c] for c in t) if t and all(c in raw for c in t) else (t or "").encode("utf-8") for t in shown]
+        self.bytes = Strings([bytes(raw[c] for c in t) if t and all(c in raw for c in t) else (t or "").encode("utf-8") for t in shown])
 
-    def encode(self, texts: Iterable[str]) -> Iterator[np.ndarray]:
-        for data in self.encoder.encode(" " + t for t in texts):
-            yield np.frombuffer(data, dtype="<u4").astype(np.int64)
+    def encode(self, text: str) -> np.ndarray:
+        return np.frombuffer(next(iter(self.encoder.encode([" " + text]))), dtype="<u4").astype(np.int64)
 
 
 class Pieces:
     """Tokenizer B: ids and bytes of a text; the model puts a space before it. Where no piece has a space after another
-    character, merges never pass from a word to the spaces before the next one, so a text's ids are those of its words, each
-    with the spaces before it; these are kept in a memo. Any other model encodes texts whole."""
+    character, merges never pass from a word to the spaces before the next one, and a long text is encoded in parts that begin
+    with such spaces. Any other model encodes texts whole."""
 
-    def __init__(self, path: str, memo: int = 150_000):
+    def __init__(self, path: str, part: int = 100_000):
         import sentencepiece
 
         self.model = sentencepiece.SentencePieceProcessor(model_file=path)
         names = [self.model.id_to_piece(i) for i in range(self.model.get_piece_size())]
-        self.bytes = [bytes([int(n[3:5], 16)]) if self.model.is_byte(i) else n.replace(_SPACE, " ").encode("utf-8") for i, n in enumerate(names)]
-        by_words = not any(re.search(f"[^{_SPACE}]{_SPACE}", n) for n in names) and [self.bytes[i] for i in self.model.encode("a  b")][0].startswith(b" ")
-        self.words = re.compile(r" +[^ ]*").findall if by_words else None
-        self.alone = {" ": [self.model.piece_to_id(_SPACE)]}  # the model gives nothing for the empty text
-        self.memo, self.limit = dict(self.alone), memo
-
-    def _known(self, word: str) -> list[int]:
-        ids = self.memo.get(word)
-        if ids is None:
-            ids = self.model.encode(word[1:])
-            if len(word) <= 64:
-                if len(self.memo) >= self.limit:
-                    self.memo = dict(self.alone)
-                self.memo[word] = ids
-        return ids
-
-    def encode(self, texts: Iterable[str]) -> Iterator[np.ndarray]:
-        for text in texts:
-            # a literal space sign is a space to the model, so words would be cut elsewhere
-            if self.words is None or _SPACE in text:
-                yield np.array(self.model.encode(text), dtype=np.int64)
-            else:
-                yield np.array([i for w in self.words(" " + text) for i in self._known(w)], dtype=np.int64)
+        parts = [bytes([int(n[3:5], 16)]) if self.model.is_byte(i) else n.replace(_SPACE, " ").encode("utf-8") for i, n in enumerate(names)]
+        self.bytes = Strings(parts)
+        self.cut = re.compile(r"(?<! ) +(?=[^ ])").search if not any(re.search(f"[^{_SPACE}]{_SPACE}", n) for n in names) and parts[self.model.encode("a")[0]][:1] == b" " else None
+        self.part = part
+
+    def encode(self, text: str) -> np.ndarray:
+        out, low = [], 0
+        # a literal space sign is a space to the model, so words would begin elsewhere
+        while self.cut and len(text) - low > self.part and _SPACE not in text and (at := self.cut(text, low + self.part)):
+            out += self.model.encode(text[low : at.start()])
+            low = at.start() + 1  # the model puts the space back
+        return np.array(out + self.model.encode(text[low:]), dtype=np.int64)
 
 
 _kept: dict[tuple[str, str], tuple] = {}
 
 
 def tokenizers(a: str, b: str) -> tuple:
-    """Both tokenizers, their tokens' lengths in bytes, and the ids as text with what follows them; one a worker process."""
+    """Both tokenizers, and the ids as text with what follows them; one a worker process."""
     if (a, b) not in _kept:
         one, two = ByteLevel(a), Pieces(b)
-        lengths = [np.array([len(x) for x in t.bytes], dtype=np.int64) for t in (one, two)]
-        texts = [f"{i}{end}" for t, ends in ((one, ",|"), (two, ",;")) for end in ends for i in range(len(t.bytes))]
-        _kept[a, b] = one, two, *lengths, texts
+        _kept[a, b] = one, two, Strings([f"{i}{end}".encode() for t, ends in ((one, ",|"), (two, ",;")) for end in ends for i in range(len(t.bytes.length))])
     return _kept[a, b]
 
 
@@ -106,14 +106,14 @@ def grouped(first: np.ndarray, last: np.ndarray, n_b: int) -> tuple[np.ndarray,
     return of_b[first], of_b
 
 
-def _written(a: np.ndarray, b: np.ndarray, of_a: np.ndarray, of_b: np.ndarray, sizes: tuple[int, int], texts: list[str]) -> str:
+def _written(a: np.ndarray, b: np.ndarray, of_a: np.ndarray, of_b: np.ndarray, sizes: tuple[int, int], texts: Strings) -> str:
     """`a1,a2|b1;a3|b2,b3`: the groups' ids in order."""
     n = int(of_b[-1]) + 1
     per_a, per_b = np.bincount(of_a, minlength=n), np.bincount(of_b, minlength=n)
     code = np.empty(len(a) + len(b), dtype=np.int64)
     code[np.arange(len(a)) + (np.cumsum(per_b) - per_b)[of_a]] = a + sizes[0] * np.append(of_a[1:] != of_a[:-1], True)
     code[np.arange(len(b)) + np.cumsum(per_a)[of_b]] = b + 2 * sizes[0] + sizes[1] * np.append(of_b[1:] != of_b[:-1], True)
-    return "".join(map(texts.__getitem__, code.tolist()))[:-1]
+    return texts.join(code).tobytes()[:-1].decode("ascii")
 
 
 def _align(path_a: str, path_b: str, most: int):
@@ -124,7 +124,8 @@ def _align(path_a: str, path_b: str, most: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        one, two, length_a, length_b, texts = tokenizers(path_a, path_b)
+        one, two, texts = tokenizers(path_a, path_b)
+        length_a, length_b = one.bytes.length, two.bytes.length
         chunk, held, size = TaskContext.get().partitionId() << 32, [], 0
 
         def links(text: str | None):
@@ -132,10 +133,10 @@ def _align(path_a: str, path_b: str, most: int):
             nothing = 0, 0, 0, 0, "", np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
             if not text:
                 return nothing
-            (a,), (b,), whole = one.encode([text]), two.encode([text]), b" " + text.encode("utf-8")
+            a, b, whole = one.encode(text), two.encode(text), np.frombuffer(b" " + text.encode("utf-8"), dtype=np.uint8)
             ends_a, ends_b = np.cumsum(length_a[a]), np.cumsum(length_b[b])
             same = len(a) and len(b) and ends_a[-1] == ends_b[-1] == len(whole)
-            if not same or any(b"".join(map(t.bytes.__getitem__, ids.tolist())) != whole for t, ids in ((one, a), (two, b))):
+            if not same or any((t.bytes.join(ids) != whole).any() for t, ids in ((one, a), (two, b))):
                 return nothing
             first, last = overlaps(ends_a, ends_b)
             of_a, of_b = grouped(first, last, len(b))

@@ -83,16 +83,17 @@ def test_alignment_takes_null_and_equal_ids_very_long_texts_and_no_rows(spark):
     docs = spark.createDataFrame([(None, "one two"), (None, "one two"), (7, "one"), (7, None), (8, long)], "doc_id long, text string")
     got = sorted(((r["doc_id"], r["n_a"], r["n_links"], r["groups"]) for r in alignment.align(docs, groups=lambda g: F.substring(g, 1, 9)).collect()), key=repr)
     assert [r[:3] for r in got if r[0] is None] == [(None, 2, 2)] * 2 and (7, 0, 0, "") in got
-    assert next(r[1] for r in got if r[0] == 8) == len(next(iter(alignment.ByteLevel(tokens.public("byte_bpe_50k.json")).encode([long]))))
+    assert next(r[1] for r in got if r[0] == 8) == len(alignment.ByteLevel(tokens.public("byte_bpe_50k.json")).encode(long))
     assert alignment.align(docs.limit(0)).collect() == []
 
 
-def test_words_with_their_spaces_give_the_model_s_own_ids():
-    one = alignment.Pieces(tokens.public("piece_bpe_32k.model"))
-    assert one.words is not None
+def test_parts_of_a_long_text_give_the_model_s_own_ids():
     random.seed(3)
     texts = [t for t in ODD if t] + ["".join(random.choice(["  ", " ", "a", "B", "é", "\n", "▁", "the", "ing", "日", "0", ".", "'"]) for _ in range(60)) for _ in range(400)]
-    assert [x.tolist() for x in one.encode(texts)] == [one.model.encode(t) for t in texts]
+    for part in (1, 7):
+        one = alignment.Pieces(tokens.public("piece_bpe_32k.model"), part=part)
+        assert one.cut is not None
+        assert [one.encode(t).tolist() for t in texts] == [one.model.encode(t) for t in texts]
 
 
 def test_boundaries_are_the_common_ends():
