@@ -14,9 +14,12 @@ def valid(peptide: Column) -> Column:
 
 
 def to_cnn(allele: Column) -> Column:
-    """`HLA-C07:04` -> `HLA-C*0704`; null for another form."""
-    ok = r"^HLA-([A-Z]+)([0-9]+):([0-9]+)$"
-    return F.when(allele.rlike(ok), F.regexp_replace(allele, ok, "HLA-$1*$2$3"))
+    """`HLA-C07:04` -> `HLA-C*0704`: letters of the gene, a star, and the rest from its first digit on without colons. Any other
+    form is an error when the result is read; null stays null."""
+    form = r"^(HLA-[A-Za-z]+)([0-9].*)$"
+    said = F.concat(F.lit("not HLA-<gene><digits>: "), allele)
+    made = F.concat(F.regexp_extract(allele, form, 1), F.lit("*"), F.replace(F.regexp_extract(allele, form, 2), F.lit(":")))
+    return F.when(allele.isNull() | allele.rlike(form), made).otherwise(F.raise_error(said))
 
 
 def to_prime(allele: Column) -> Column:

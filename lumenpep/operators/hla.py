@@ -29,8 +29,9 @@ def chosen(ranks: DataFrame, alleles: list[str] | None = None, tools: tuple[str,
     return ranks.withColumn("rank", F.when(fits, F.col("rank"))).withColumn("tool", F.when(fits, F.col("tool"))).withColumn("allele", F.when(fits, F.col("allele")))
 
 
-def consolidate(ranks: DataFrame, common: list[str], strong: float = 0.5, weak: float = 2.0) -> DataFrame:
-    """Two aggregations: by peptide and tool, then by peptide. A null rank counts nowhere."""
+def consolidate(ranks: DataFrame, common: list[str], strong: float = 0.5, weak: float = 2.0, tools: list[str] = ()) -> DataFrame:
+    """Two aggregations: by peptide and tool, then by peptide. A null rank counts nowhere. For each of tools, its best rank and
+    allele, as by_tool() names them."""
     r, near = F.col("rank"), F.col("allele").isin(common)
     sure = F.when(r.isNotNull(), F.struct(r.alias("rank"), F.col("col_ord").alias("ord"), F.col("allele").alias("allele")))
     names = lambda t: F.collect_set(F.when(r < t, F.col("allele")))
@@ -39,14 +40,18 @@ def consolidate(ranks: DataFrame, common: list[str], strong: float = 0.5, weak:
     return by_tool.groupBy("peptide").agg(
         F.min("best").alias("best_rank"), F.round(F.avg("best"), 6).alias("avg_rank"), F.min("arg")["allele"].alias("best_allele"), F.sum("ns").alias("strong_binders_count"), F.sum("nw").alias("weak_binders_count"),
         joined("s").alias("all_strong_binders"), joined("w").alias("all_weak_binders"), *(F.count_if(F.col("near") < t).alias(c) for c, t in LEVELS.items()),
+        *(c for t in tools for c in (F.max(F.when(F.col("tool") == t, F.col("arg")["rank"])).alias(f"best_{_short(t)}_r"), F.max(F.when(F.col("tool") == t, F.col("arg")["allele"])).alias(f"{_short(t)}_a"))),
     )
 
 
+def _short(tool: str) -> str:
+    return NAMES.get(tool, tool.lower())
+
+
 def by_tool(ranks: DataFrame, tools: list[str]) -> DataFrame:
     """peptide, and for each tool its best rank and allele, under its short name where it has one."""
     of = lambda t: F.min(F.when((F.col("tool") == t) & F.col("rank").isNotNull(), F.struct("rank", "col_ord", "allele")))
-    short = lambda t: NAMES.get(t, t.lower())
-    return ranks.groupBy("peptide").agg(*(c for t in tools for c in (of(t)["rank"].alias(f"best_{short(t)}_r"), of(t)["allele"].alias(f"{short(t)}_a"))))
+    return ranks.groupBy("peptide").agg(*(c for t in tools for c in (of(t)["rank"].alias(f"best_{_short(t)}_r"), of(t)["allele"].alias(f"{_short(t)}_a"))))
 
 
 def best_by_gene(scores: DataFrame, genes: str = "ABC") -> DataFrame:

@@ -6,11 +6,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def labelled(features: DataFrame, yes: DataFrame, no: DataFrame, key: str = "peptide") -> DataFrame:
-    """Features with label 1 or 0; keys of both lists are in neither class."""
+def labelled(features: DataFrame, yes: DataFrame, no: DataFrame, key: str = "peptide", order: str | None = None) -> DataFrame:
+    """Features with label 1 or 0; keys of both lists are in neither class. Of rows with the same key the first by order
+    counts; where none is given, the least by all columns, so that reruns agree."""
     lists = yes.select(key, F.lit(1).alias("one")).distinct().union(no.select(key, F.lit(0)).distinct())
     one = lists.groupBy(key).agg(F.min("one").alias("label"), F.count("*").alias("n")).filter("n = 1").drop("n")
-    return features.dropDuplicates([key]).join(one, key)
+    rest = [c for c in features.columns if c != key]
+    first = features.groupBy(key).agg(F.min_by(F.struct(*rest), order) if order else F.min(F.struct(*rest))).toDF(key, "_row")
+    return first.select(key, "_row.*").select(*features.columns).join(one, key)
 
 
 def annotated(scored: DataFrame, yes: DataFrame, no: DataFrame, key: str = "peptide") -> DataFrame:

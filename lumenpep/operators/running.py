@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
 RANGES = 200
+#: How many values the edges of a column without numbers are taken from at most.
+SAMPLE = 20_000
 _BEFORE = (Window.unboundedPreceding, -1)
 #: Edges are looked up in blocks of this many.
 _STEP = 14
@@ -27,11 +29,17 @@ def _below(x: Column) -> Column:
 
 def ranged(rows: DataFrame, column: str, to: str, null_range: int = RANGES + 1) -> DataFrame:
     """rows with the number of the range, 0 to RANGES, that the column falls in; nulls are a range of their own. Edges are
-    approximate quantiles, one row of RANGES numbers; a column that isn't numeric is one range."""
-    if not isinstance(rows.schema[column].dataType, NumericType):
-        return rows.withColumn(to, F.when(F.col(column).isNull(), null_range).otherwise(0))
-    x = F.col(column).cast("double")
-    edges = rows.agg(F.array_distinct(F.coalesce(F.percentile_approx(x, F.array(*(F.lit(i / RANGES) for i in range(1, RANGES))), 10_000), F.array().cast("array<double>"))).alias("_edges"))
+    approximate quantiles, one row of RANGES values: of numbers by a sketch of all rows, of any other type that has an order
+    from one value of each of SAMPLE classes of hashes, so a repeated value counts once and every use of the edges agrees."""
+    if isinstance(rows.schema[column].dataType, NumericType):
+        x = F.col(column).cast("double")
+        found = F.percentile_approx(x, F.array(*(F.lit(i / RANGES) for i in range(1, RANGES))), 10_000)
+        edges = rows.agg(F.array_distinct(F.coalesce(found, F.array().cast("array<double>"))).alias("_edges"))
+    else:
+        x = F.col(column)
+        some = rows.select(x.alias("_x")).filter("_x IS NOT NULL").groupBy(F.pmod(F.xxhash64("_x"), F.lit(SAMPLE))).agg(F.min_by("_x", F.xxhash64("_x", F.lit(1))).alias("_x"))
+        every = lambda a: F.filter(a, lambda _, i: F.floor((i + 1) * RANGES / F.size(a)) > F.floor(i * RANGES / F.size(a)))
+        edges = some.agg(F.sort_array(F.collect_list("_x")).alias("_a")).select(F.array_distinct(every(F.col("_a"))).alias("_edges"))
     return rows.crossJoin(F.broadcast(_ends(edges))).withColumn(to, F.when(F.col(column).isNull(), null_range).otherwise(_below(x))).drop("_edges", "_ends")
 
 

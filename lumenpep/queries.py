@@ -5,13 +5,20 @@ The tables hold no peptides: letters of texts stand for proteins, ranks come fro
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import scorers
 from .functions import alleles
+from .ml import linear
 from .operators import curation, evaluate, features, hla, labels, peptides, similarity, stats
+from .plans import candidates
+from .plans.stages import Stages
+from .session import new_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -561,3 +568,109 @@ def curation_quality(spark, d):
 @query("SELECT k AS name, count_if(contains(p_type, w))::BIGINT AS n, round(100.0 * count_if(contains(p_type, w)) / count(*), 6)::DOUBLE AS percent FROM part, (VALUES ('t', 'ECON'), ('b', 'M')) v(k, w) GROUP BY k")
 def curation_shares(spark, d):
     return curation.shares(_t(spark, d, "part"), "p_type", {"t": "ECON", "b": "M"})
+
+
+_PLAN_MODEL = linear.Linear(
+    ("best_rank", "avg_rank", "strong_binders_count", "mtec_expression_count", "pathogenicity", "selfsimilarity", "di_best_score", "PRIME_%Rank_bestAllele", "tap_score", "length"),
+    (-0.6, -0.2, 0.15, 0.05, 1.2, -1.4, 1.1, -0.02, 0.8, -0.1), 0.3, fill=(2.0, 2.0, 0.0, 0.0, 0.5, 0.5, 0.5, 50.0, 0.5, 9.0),
+)
+
+
+def _md5_parts(text: str, of: int) -> float:
+    return int(hashlib.md5(text.encode()).hexdigest()[:8], 16) % of
+
+
+def _stub_scorers() -> dict:
+    """Stand-ins for the tools: numbers from a hash of the peptide (and allele, and tool), which SQL gives too."""
+
+    def ranks(_, batch):
+        peptides_ = batch.column(0).to_pylist()
+        rows = [(p, a, t, i * 3 + j, _md5_parts(f"{p}|{a}|{t}", 5000) / 1000) for p in peptides_ for i, a in enumerate(_ALLELES) for j, t in enumerate(_TOOLS)]
+        return _batch(rows, scorers.RANKS)
+
+    def cnn(_, batch):
+        return _batch([(p, a, _md5_parts(f"cnn|{p}|{a}", 1000) / 1000) for p, a in zip(*(c.to_pylist() for c in batch.columns), strict=True)], scorers.CNN)
+
+    def one(name, of, by, schema):
+        return scorers.Scorer(f"stub-{name}", schema, lambda: None, lambda _, b: _batch([(p, _md5_parts(f"{name}|{p}", of) / by) for p in b.column(0).to_pylist()], schema))
+
+    return {"ranks": scorers.Scorer("stub-ranks", scorers.RANKS, lambda: None, ranks, 1000), "deepimmuno": scorers.Scorer("stub-cnn", scorers.CNN, lambda: None, cnn), "tap": one("tap", 1000, 1000, scorers.TAP), "prime": one("prime", 1000, 10, scorers.PRIME)}
+
+
+def _batch(rows: list[tuple], schema: str) -> pa.RecordBatch:
+    kinds = {"string": pa.string(), "int": pa.int32(), "double": pa.float64()}
+    fields = [f.split() for f in schema.split(", ")]
+    columns = zip(*rows, strict=True) if rows else [[] for _ in fields]
+    return pa.RecordBatch.from_arrays([pa.array(c, kinds[t]) for c, (_, t) in zip(columns, fields, strict=True)], names=[n for n, _ in fields])
+
+
+def _candidate_sources(spark, d) -> dict:
+    """Proteins from benchmark texts, the reference proteome from types and brands of parts, listed peptides from names of parts, pathogens
+    from urls, reads from conversations."""
+    letters = lambda c: F.upper(F.regexp_replace(c, "[^A-Za-z]", ""))
+    part, alleles_ = _t(spark, d, "part"), spark.createDataFrame([(a,) for a in _ALLELES], "allele string")
+    refs = lambda df, c: peptides.windows(df.select(F.lit("").alias("transcript"), letters(c).alias("seq"))).select(F.col("peptide").alias("seq"))
+    kind = F.concat("p_type", "p_brand")
+    return {
+        "inputFasta": lambda: _t(spark, d, "benchmark").select(F.concat(F.col("item_id").cast("string"), F.lit("|x")).alias("header"), letters(F.col("text")).alias("seq")),
+        "refProteome": lambda: part.select(F.concat(F.lit(">sp a=b=c="), F.concat(F.lit("g"), (F.col("p_partkey") % 7).cast("string")), F.lit(" e")).alias("header"), letters(kind).alias("seq")),
+        "genesToRemoveFromRef": lambda: spark.createDataFrame([("g0",), ("g3",)], "gene string"),
+        "customPeptides": lambda: peptides.windows(part.select(F.lit("").alias("transcript"), letters(F.col("p_name")).alias("seq"))).select("peptide"),
+        "commonAlleles": lambda: alleles_.filter("allele IN ('HLA-B07:02', 'HLA-A02:01')"),
+        "inputAlleles": lambda: alleles_,
+        "mtec_files": lambda: _t(spark, d, "conversations").select(letters(F.col("text")).alias("seq")),
+        "iedb_peptides": lambda: refs(_t(spark, d, "pages"), F.col("url")),
+        "benign_self_peptides": lambda: refs(part, kind),
+        "model": _PLAN_MODEL,
+        **_stub_scorers(),
+    }
+
+
+def _hash(text: str, of: int) -> str:
+    return f"(('0x' || substr(md5({text}), 1, 8))::BIGINT % {of})"
+
+
+def _linear_sql(model: linear.Linear) -> str:
+    terms = " + ".join(f"({w}) * coalesce(\"{f}\"::DOUBLE, {v})" for f, w, v in zip(model.features, model.weights, model.fill, strict=True))
+    return f"({model.intercept} + {terms})"
+
+
+_CANDIDATES = f"""{_BENCH}, part_ref AS (SELECT concat('g', p_partkey % 7) AS gene, upper(regexp_replace(p_type || p_brand, '[^A-Za-z]', '', 'g')) AS seq FROM part), part_name AS (SELECT 0 AS transcript, {_LETTERS.format('p_name')} AS seq FROM part),
+    url AS (SELECT 0 AS transcript, {_LETTERS.format('url')} AS seq FROM pages), reads AS (SELECT 0 AS transcript, {_LETTERS.format('text')} AS seq FROM conversations),
+    {_kmers('ref', 'made', 'transcript')}, {_kmers('part_ref', 'known', 'gene')}, {_kmers('part_name', 'listed')}, {_kmers('url', 'path0')}, {_kmers('reads', 'hit')},
+    wanted AS (SELECT peptide FROM made WHERE peptide NOT IN (SELECT peptide FROM known WHERE gene NOT IN ('g0', 'g3')) UNION SELECT peptide FROM listed),
+    rk AS (SELECT peptide, a AS allele, t AS tool, ((i - 1) * 3 + j - 1) AS col_ord, {_hash("peptide || '|' || a || '|' || t", 5000)} / 1000.0::DOUBLE AS rank
+        FROM wanted, (SELECT unnest({_ALLELES}) AS a, unnest(range(1, 9)) AS i), (SELECT unnest({_TOOLS}) AS t, unnest(range(1, 4)) AS j)),
+    bt AS (SELECT peptide, tool, min(rank) AS best, min(rank) FILTER (allele IN ('HLA-B07:02', 'HLA-A02:01')) AS near FROM rk GROUP BY ALL),
+    h AS (SELECT peptide, min(best) AS best_rank, round(avg(best), 6) AS avg_rank, count_if(near < 0.05)::BIGINT AS "Num_Tools_0_05", {', '.join(f"min(best) FILTER (tool = '{t}') AS best_{hla.NAMES[t]}_r" for t in _TOOLS)} FROM bt GROUP BY peptide),
+    hc AS (SELECT peptide, count_if(rank < 0.5 AND allele IN ('HLA-B07:02', 'HLA-A02:01'))::BIGINT AS strong_binders_count, {', '.join(f"arg_min(allele, rank * 1000000 + col_ord) FILTER (tool = '{t}') AS {hla.NAMES[t]}_a" for t in _TOOLS)} FROM rk GROUP BY peptide),
+    cf AS (SELECT peptide, unnest(CASE WHEN length(peptide) = 11 THEN [substr(peptide, 1, 10), substr(peptide, 2, 10)] WHEN length(peptide) = 8 THEN [] ELSE [peptide] END) AS fragment FROM wanted),
+    cs AS (SELECT peptide, a, max({_hash("'cnn|' || fragment || '|' || a", 1000)} / 1000.0::DOUBLE) AS score FROM cf, (SELECT replace(regexp_replace(unnest({_ALLELES}), '-([A-C])', '-\\1*'), ':', '') AS a) GROUP BY ALL),
+    di AS (SELECT peptide, max(score) AS di_best_score, round(avg(score), 6) AS di_avg_score, max(score) FILTER (a LIKE 'HLA-A%') AS di_best_a_score FROM cs GROUP BY peptide),
+    mt AS (SELECT w.peptide, count(x.peptide) AS mtec_expression_count FROM wanted w LEFT JOIN hit x ON x.peptide = w.peptide GROUP BY ALL),
+    b(x, y, s) AS (VALUES {_SCORES}), wt(k, i, w) AS (VALUES {', '.join(f'({k}, {i + 1}, {w})' for k in (8, 9, 10, 11) for i, w in enumerate(similarity.weights(k)))}),
+    own AS (SELECT peptide, sum(w * s) AS own FROM wanted JOIN wt ON k = length(peptide) JOIN b ON x = substr(peptide, i, 1) AND y = x GROUP BY peptide)"""
+
+
+def _similar_sql(name: str, refs: str, column: str) -> str:
+    return f"""{name}r AS (SELECT DISTINCT peptide AS r FROM {refs}), {name}s AS (SELECT peptide, r, sum(w * s) AS score FROM wanted JOIN {name}r ON length(r) = length(peptide) JOIN wt ON k = length(peptide) JOIN b ON x = substr(peptide, i, 1) AND y = substr(r, i, 1) GROUP BY ALL),
+    {name} AS (SELECT peptide, round((max(score) FILTER (score < own) / any_value(own))::DOUBLE, 6) AS {column} FROM own LEFT JOIN {name}s USING (peptide) GROUP BY peptide)"""
+
+
+@query(f"""WITH {_CANDIDATES}, {_similar_sql('pa', 'path0', 'pathogenicity')}, {_similar_sql('se', 'known', 'selfsimilarity')},
+    f AS (SELECT *, {_hash("'prime|' || peptide", 1000)} / 10.0::DOUBLE AS "PRIME_%Rank_bestAllele", {_hash("'tap|' || peptide", 1000)} / 1000.0::DOUBLE AS tap_score, length(peptide)::INT AS length
+        FROM wanted LEFT JOIN h USING (peptide) LEFT JOIN hc USING (peptide) LEFT JOIN di USING (peptide) LEFT JOIN mt USING (peptide) LEFT JOIN pa USING (peptide) LEFT JOIN se USING (peptide)),
+    m AS (SELECT *, 1 / (1 + exp(-{_linear_sql(_PLAN_MODEL)})) AS p FROM f)
+    SELECT peptide, (p >= 0.5)::INT AS prediction, round(p, 6) AS probability_immunogenic, {', '.join(f'"{c}"' for c in _PLAN_MODEL.features)} FROM m""")
+def candidate_ranking(spark, d):
+    config = candidates.Config(use_generatePeptides=True, filter="noRefPeps")
+    ranked = candidates.pipeline(config, _candidate_sources(spark, d), Stages(spark, new_folder(spark, "candidates")))["ranked"]
+    return ranked.drop("rank").withColumn("probability_immunogenic", F.round("probability_immunogenic", 6))
+
+
+@query(f"""WITH {_CANDIDATES} SELECT peptide, best_rank, avg_rank, strong_binders_count, "Num_Tools_0_05", {', '.join(f"best_{hla.NAMES[t]}_r, {hla.NAMES[t]}_a" for t in _TOOLS)}, mtec_expression_count, di_best_score, di_avg_score, di_best_a_score
+    FROM wanted LEFT JOIN h USING (peptide) LEFT JOIN hc USING (peptide) LEFT JOIN di USING (peptide) LEFT JOIN mt USING (peptide)""")
+def candidate_features(spark, d):
+    off = dict.fromkeys(("use_tap", "use_prime", "use_pathogenicity", "use_selfsimilarity", "use_ml_model"), False)
+    table = candidates.pipeline(candidates.Config(use_generatePeptides=True, filter="noRefPeps", **off), _candidate_sources(spark, d), Stages(spark, new_folder(spark, "candidates")))["feature_table"]
+    return table.select("peptide", "best_rank", "avg_rank", "strong_binders_count", "Num_Tools_0_05", *(c for t in _TOOLS for c in (f"best_{hla.NAMES[t]}_r", f"{hla.NAMES[t]}_a")), "mtec_expression_count", "di_best_score", "di_avg_score", "di_best_a_score")

@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import re
+import shutil
 import tempfile
+import uuid
 import zipfile
 
 from pyspark.sql import SparkSession
@@ -19,6 +23,23 @@ def session(name: str = "lumenpep", master: str | None = None, **conf: str) -> S
     return builder.getOrCreate()
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that the driver and all executors share: spark.checkpoint.dir, or a temporary one where that is unset and
+    all run in one process. On any other master an unset folder is an error."""
+    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not found:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir is unset: it must name a folder that the driver and all executors share")
+        found = "file://" + tempfile.mkdtemp(prefix="lumenpep-")
+        spark.sparkContext.setCheckpointDir(found)
+        atexit.register(shutil.rmtree, found[len("file://"):], ignore_errors=True)
+    return found.rstrip("/")
+
+
+def new_folder(spark: SparkSession, name: str) -> str:
+    return f"{shared_folder(spark)}/lumenpep/{name}-{uuid.uuid4().hex}"
+
+
 def ship(spark: SparkSession, root: str) -> None:
     """Sends the package to the executors, once a session, unless their Python path has it: workers start in the driver's
     folder on one machine, and take its PYTHONPATH."""

@@ -37,13 +37,16 @@ def reference(spark: SparkSession, path: str) -> DataFrame:
     return peptides(spark, path).filter(valid(F.col("peptide"))).withColumnRenamed("peptide", "seq")
 
 
-def cleavage(spark: SparkSession, path: str, threshold: float) -> DataFrame:
-    """transcript, pos of the lines (position, residue, probability, flag, protein) that count as cut: above the threshold
-    or exactly 0, which marks an end."""
+def cut_sites(spark: SparkSession, path: str) -> DataFrame:
+    """transcript, pos, p of the lines (position, residue, probability, flag, protein); one that begins with p is the header."""
     part = F.split(F.trim("value"), r"\s+")
     rows = spark.read.text(path).filter(~F.startswith(F.col("value"), F.lit("p")) & (F.trim("value") != ""))
-    rows = rows.select(F.get(part, 4).alias("transcript"), F.expr("try_cast(get(split(trim(value), '\\\\s+'), 0) AS int)").alias("pos"), F.expr("try_cast(get(split(trim(value), '\\\\s+'), 2) AS double)").alias("p"))
-    return rows.filter((F.col("p") > threshold) | (F.col("p") == 0)).select("transcript", "pos")
+    return rows.select(F.get(part, 4).alias("transcript"), F.get(part, 0).try_cast("int").alias("pos"), F.get(part, 2).try_cast("double").alias("p"))
+
+
+def cleavage(spark: SparkSession, path: str, threshold: float) -> DataFrame:
+    """transcript, pos of the sites that count as cut: above the threshold or exactly 0, which marks an end."""
+    return cut_sites(spark, path).filter((F.col("p") > threshold) | (F.col("p") == 0)).select("transcript", "pos")
 
 
 def ranks(spark: SparkSession, path: str) -> DataFrame:
@@ -71,6 +74,36 @@ def table(spark: SparkSession, path: str, sep: str = ",", comment: str | None =
     return r.csv(path, sep=sep, header=True, **({"comment": comment} if comment else {}))
 
 
+def tap(spark: SparkSession, path: str) -> DataFrame:
+    """peptide, tap_score; cells that hold no number as null."""
+    return table(spark, path).select("peptide", F.col("pred_score").try_cast("double").alias("tap_score"))
+
+
+def prime(spark: SparkSession, path: str) -> DataFrame:
+    """Peptide and %Rank_bestAllele, under these names."""
+    return table(spark, path, "\t", "#").select("Peptide", F.col("`%Rank_bestAllele`").try_cast("double").alias("%Rank_bestAllele"))
+
+
+def cnn(spark: SparkSession, path: str) -> DataFrame:
+    """fragment, allele, score of the network's table (peptide, HLA, immunogenicity); rows without a number go."""
+    of = table(spark, path, "\t").select(F.trim("peptide").alias("fragment"), F.trim("HLA").alias("allele"), F.col("immunogenicity").try_cast("double").alias("score"))
+    return of.filter("fragment <> '' AND allele <> '' AND score IS NOT NULL")
+
+
+def yaml_file(spark: SparkSession, path: str) -> dict:
+    """A small YAML file of settings from any store that Spark reads; needs PyYAML."""
+    try:
+        import yaml
+    except ImportError as e:
+        raise RuntimeError("reading YAML needs PyYAML; json_file reads the same settings as JSON") from e
+    return yaml.safe_load("\n".join(r[0] for r in spark.read.text(path, wholetext=True).collect())) or {}
+
+
+def strict_reference(spark: SparkSession, path: str) -> DataFrame:
+    """seq of FASTA records, upper case or not as written; records with anything but standard residues go."""
+    return fasta(spark, path).select("seq").filter(valid(F.col("seq")))
+
+
 def feature_list(path: str) -> list[str]:
     with open(path, encoding="utf-8") as f:
         out = [x for x in (line.split("#")[0].strip() for line in f) if x]
@@ -88,9 +121,13 @@ def write_fasta(df: DataFrame, path: str) -> None:
 
 
 def common_alleles(pages: DataFrame, column: str = "html") -> DataFrame:
-    """allele: what the labels of `common` list items hold, in stored pages."""
-    items = F.regexp_extract_all(F.col(column), F.lit(r"(?s)<li[^>]*class=[\"'][^\"']*common[^\"']*[\"'][^>]*>.*?<label[^>]*>(.*?)</label>"), F.lit(1))
-    return pages.select(F.explode(items).alias("allele")).select(F.trim("allele").alias("allele")).filter("allele <> ''")
+    """allele: the first label's text of each list item of class `common` (as a word of its own), in the first list of a
+    stored page that has the attribute data-alleles-container."""
+    lists = F.regexp_extract(F.col(column), r"(?is)<ul\b(?=[^>]*\sdata-alleles-container[\s=>])[^>]*>(.*?)</ul>", 1)
+    item = r"(?is)<li\b(?=[^>]*\sclass\s*=\s*(?:\"(?:[^\">]*\s)?common(?:\s[^\">]*)?\"|'(?:[^'>]*\s)?common(?:\s[^'>]*)?'|common[\s>]))[^>]*>((?:(?!<li\b).)*?<label[^>]*>.*?)</label>"
+    items = F.regexp_extract_all(lists, F.lit(item), F.lit(1))
+    text = F.regexp_replace(F.regexp_replace("item", r"(?is)^.*<label[^>]*>", ""), r"(?s)<[^>]*>", "")
+    return pages.select(F.explode(items).alias("item")).select(F.trim(text).alias("allele")).filter("allele <> ''")
 
 
 def with_length_of_file(df: DataFrame) -> DataFrame:
