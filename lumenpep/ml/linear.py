@@ -51,8 +51,9 @@ class Linear:
 
 def of_pipeline(model: PipelineModel, features: list[str]) -> Linear:
     """A fitted pipeline of imputer, assembler, robust scaler and a linear classifier as settings."""
-    imputer, _, scaler, last = model.stages
+    last = model.stages[-1]
     if not hasattr(last, "coefficients"):
         raise ValueError(f"not a linear model: {type(last).__name__}")
+    imputer, _, scaler, _ = model.stages
     fill = imputer.surrogateDF.head().asDict()
     return Linear(tuple(features), tuple(map(float, last.coefficients)), float(last.intercept), tuple(map(float, scaler.median)), tuple(map(float, scaler.range)), tuple(float(fill[f]) for f in features))

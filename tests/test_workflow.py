@@ -109,11 +109,11 @@ def test_hla_of_chosen_alleles_keeps_peptides(spark):
 
 
 def test_tool_outputs(spark):
-    df = spark.createDataFrame([("P", "0.5", 1), ("P", "0.7", 2), ("Q", "bad", 3)], "Peptide string, total string, n int")
+    df = spark.createDataFrame([("P", "0.5", 1), ("P", "0.7", 2), ("Q", "bad", 3)], "peptide string, total string, n int")
     assert sorted(map(tuple, features.of_tool(df, "mtec", "n").collect())) == [("P", "0.5"), ("Q", "bad")]
     with pytest.raises(ValueError, match="%Rank_bestAllele"):
         features.of_tool(df, "prime")
-    assert [tuple(r) for r in features.ranked_without_last(df.select("Peptide", "n", "total"), "n").collect()] == [("Q", 3), ("P", 2), ("P", 1)]
+    assert [tuple(r) for r in features.ranked_without_last(df.select("peptide", "n", "total"), "n").collect()] == [("Q", 3), ("P", 2), ("P", 1)]
 
 
 def test_readers(spark, tmp_path):
