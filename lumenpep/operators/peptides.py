@@ -64,13 +64,18 @@ def novel(peptides: DataFrame, known: DataFrame) -> DataFrame:
     return peptides.join(known.select("peptide"), "peptide", "left_anti")
 
 
-def occurrences(peptides: DataFrame, reads: DataFrame, lengths=LENGTHS, by: list[str] | None = None) -> DataFrame:
+def occurrences(peptides: DataFrame, reads: DataFrame, lengths=LENGTHS, by: list[str] | None = None, most: int = 1_000_000) -> DataFrame:
     """How often each peptide occurs in the reads (seq, and the columns of by), overlaps counted; zero where it doesn't.
-    Reads turn into windows and meet the peptides by equality, before they are counted."""
+    Reads turn into windows and meet the peptides by equality. Up to `most` peptides go to every task, which drops all other windows
+    before any are shuffled; more meet the windows' counts in a join of both."""
     wanted = peptides.select("peptide").distinct()
+    few = wanted.limit(most + 1).count() <= most
     at = reads.select(*(by or []), "seq", F.explode(F.array(*(F.lit(k) for k in lengths))).alias("k")).filter("length(seq) >= k")
     at = at.select(*(by or []), F.explode(F.transform(F.sequence(F.lit(1), F.length("seq") - F.col("k") + 1), lambda i: F.substring(F.col("seq"), i, F.col("k")))).alias("peptide"))
-    counts = at.groupBy(*(by or []), "peptide").count().join(wanted, "peptide", "left_semi")
+    if few:
+        counts = at.join(F.broadcast(wanted), "peptide", "left_semi").groupBy(*(by or []), "peptide").count()
+    else:
+        counts = at.groupBy(*(by or []), "peptide").count().join(wanted, "peptide", "left_semi")
     return wanted.join(counts, "peptide", "left") if by else wanted.join(counts, "peptide", "left").select("peptide", F.coalesce("count", F.lit(0)).alias("count"))
 
 

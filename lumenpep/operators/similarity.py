@@ -56,28 +56,76 @@ def encode(peptides: list[str]) -> np.ndarray:
     return place[np.frombuffer("".join(peptides).encode("ascii"), dtype=np.uint8)].reshape(len(peptides), -1)
 
 
-def _best(exclude_identity: bool, block: int = 256, slice_: int = 10_000):
-    """Best scores of a group's peptides, all of one length, among the group's references. One-hot tables are made for
-    slice_ references at once."""
+class Trie:
+    """References of one length by their residues, positions of most weight first: level d has a node for each different run of
+    the first d + 1 residues. A node's children are neighbours in the next level."""
+
+    def __init__(self, refs: np.ndarray, w: np.ndarray):
+        self.order = np.argsort(-w, kind="stable")
+        at = np.unique(refs[:, self.order], axis=0)
+        self.size, first = len(at), np.concatenate(([0], np.argmax(at[1:] != at[:-1], axis=1))) if len(at) else np.zeros(0, dtype=np.int64)
+        first[:1] = -1
+        starts = [np.flatnonzero(first <= d) for d in range(at.shape[1])]  # rows where a node of the level begins
+        self.residue = [at[s, d] for d, s in enumerate(starts)]
+        self.child = [np.searchsorted(later, np.append(s, len(at))) for s, later in zip(starts, starts[1:], strict=False)]
+
+    def best(self, gain: np.ndarray, own: np.ndarray, floor: np.ndarray, exclude: bool, most: int) -> tuple[np.ndarray, np.ndarray]:
+        """For each peptide the best score over its floor (of those below own, with exclude), -inf where there is none; and how
+        many pairs were scored to the end. gain: peptide, level, residue -> what the residue adds. Pairs of peptide and node
+        go down level by level while the node's score and the most that the rest can add are over the floor. Where more than
+        `most` pairs are met at once, half of the peptides go first."""
+        rest = np.concatenate((np.cumsum(gain.max(axis=2)[:, ::-1], axis=1)[:, ::-1], np.zeros((len(own), 1))), axis=1)
+        who, node, score = np.repeat(np.arange(len(own)), len(self.residue[0])), np.tile(np.arange(len(self.residue[0])), len(own)), np.zeros(len(own) * len(self.residue[0]))
+        for d, residue in enumerate(self.residue):
+            if d:
+                low, many = self.child[d - 1][node], np.diff(self.child[d - 1])[node]
+                total = int(many.sum())
+                if total > most and len(own) > 1:
+                    half = len(own) // 2
+                    parts = [self.best(gain[s], own[s], floor[s], exclude, most) for s in (slice(half), slice(half, None))]
+                    return tuple(np.concatenate(x) for x in zip(*parts, strict=True))
+                node = np.arange(total) + np.repeat(low - np.cumsum(many) + many, many)
+                who, score = np.repeat(who, many), np.repeat(score, many)
+            score = score + gain[who, d, residue[node]]
+            on = score + rest[who, d + 1] > floor[who]
+            who, node, score = who[on], node[on], score[on]
+        done = np.bincount(who, minlength=len(own))
+        out = np.full(len(own), -np.inf)
+        if exclude:
+            on = score < own[who]
+            who, score = who[on], score[on]
+        np.maximum.at(out, who, score)
+        return out, done
+
+
+#: Floors that are tried one after another, as shares of a peptide's own score; what is left has no floor.
+FLOORS = (0.85, 0.7, 0.6, 0.5, 0.4, 0.25)
+
+
+def _best(exclude_identity: bool, block: int = 256, most: int = 2_000_000):
+    """Best scores of a group's peptides, all of one length, among the group's references, and how many pairs were scored for
+    them. A score over the floor is exact, as all that reach it are met; peptides without one go on to the next floor."""
     b = matrix()
 
     def run(peptides: pd.DataFrame, refs: pd.DataFrame) -> pd.DataFrame:
         peptides, refs = peptides["peptide"].tolist(), refs["seq"].tolist()
-        raw, own = np.full(len(peptides), -np.inf), np.ones(len(peptides))
+        raw, own, scored = np.full(len(peptides), -np.inf), np.ones(len(peptides)), np.zeros(len(peptides), dtype=np.int64)
         k = len(peptides[0]) if peptides else 0
         if k and refs:
             w, e = np.array(weights(k)), encode(peptides)
             own = (w * b[e, e]).sum(axis=1).astype(float)
-            for at in range(0, len(refs), slice_):
-                r = encode(refs[at : at + slice_])
-                table = np.eye(20, dtype=np.float32)[r].reshape(len(r), -1).T
-                for low in range(0, len(e), block):
-                    part = slice(low, low + block)
-                    s = (b[e[part]] * w[None, :, None]).reshape(len(e[part]), -1).astype(np.float32) @ table
-                    if exclude_identity:
-                        s = np.where(s < own[part, None], s, -np.inf)
-                    raw[part] = np.maximum(raw[part], s.max(axis=1))
-        return pd.DataFrame({"peptide": pd.Series(peptides, dtype=object), "raw": pd.array(np.where(np.isfinite(raw), raw, np.nan), dtype="Float64"), "own": own})
+            trie = Trie(encode(refs), w)
+            for low in range(0, len(e), block):
+                left = np.arange(low, min(low + block, len(e)))
+                for share in (*FLOORS, -np.inf):
+                    if not len(left):
+                        break
+                    gain = (b[e[left]] * w[None, :, None]).astype(np.float64)[:, trie.order]
+                    floor = np.full(len(left), -np.inf) if share < 0 else share * own[left]
+                    found, done = trie.best(gain, own[left], floor, exclude_identity, most)
+                    raw[left], scored[left] = found, scored[left] + done
+                    left = left[np.isneginf(found)]
+        return pd.DataFrame({"peptide": pd.Series(peptides, dtype=object), "raw": pd.array(np.where(np.isfinite(raw), raw, np.nan), dtype="Float64"), "own": own, "scored": scored, "pairs": np.full(len(peptides), len(refs), dtype=np.int64)})
 
     return run
 
@@ -94,13 +142,15 @@ def _of(many: dict[int, int], k: Column) -> Column:
     return F.coalesce(*(F.when(k == F.lit(length), F.lit(n)) for length, n in sorted(many.items())), F.lit(1))
 
 
-def similarity(peptides: DataFrame, references: DataFrame, exclude_identity: bool = True, normalised: bool = True, at_once: int = 500_000, share: int = 20_000) -> DataFrame:
+def similarity(peptides: DataFrame, references: DataFrame, exclude_identity: bool = True, normalised: bool = True, at_once: int = 500_000, share: int = 20_000, counts: bool = False) -> DataFrame:
     """peptide, similarity for peptides (peptide): the best score of a reference (seq) of its length over its own score;
     with exclude_identity only scores below its own count; null where no reference counts. A peptide with anything but standard
     residues is an error when the result is read; such references don't count. Weights follow from the length, any from 3 on.
 
     Both sides are keyed by length, block of about at_once references at most and part of about `share` peptides, and meet
-    in these groups on executors; the best of the blocks counts. Pairs are scored in slices and never become rows.
+    in these groups on executors; the best of the blocks counts. A group's references are a trie over positions by falling
+    weight, in which a peptide leaves a branch whose residues so far and the best substitution of all others can't reach
+    what is asked for; results are exact. With counts, also scored, the pairs scored to the end, and pairs, all that there are.
     """
     refs = references.select("seq").filter(valid(F.col("seq")) & (F.length("seq") > 2)).distinct()
     said = F.concat(F.lit("not a standard peptide: "), F.coalesce("peptide", F.lit("null")))
@@ -110,9 +160,9 @@ def similarity(peptides: DataFrame, references: DataFrame, exclude_identity: boo
     left = wanted.select("peptide", F.length("peptide").alias("k"), turn.alias("turn"), each(blocks, "peptide").alias("block"))
     right = refs.select("seq", F.length("seq").alias("k"), block.alias("block"), each(turns, "seq").alias("turn"))
     keys = ("k", "block", "turn")
-    best = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(_best(exclude_identity), "peptide string, raw double, own double")
-    best = best.groupBy("peptide").agg(F.max("raw").alias("raw"), F.max("own").alias("own"))
-    return best.select("peptide", (F.round(F.col("raw") / F.col("own"), 6) if normalised else F.col("raw")).alias("similarity"))
+    best = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(_best(exclude_identity), "peptide string, raw double, own double, scored long, pairs long")
+    best = best.groupBy("peptide").agg(F.max("raw").alias("raw"), F.max("own").alias("own"), F.sum("scored").alias("scored"), F.sum("pairs").alias("pairs"))
+    return best.select("peptide", (F.round(F.col("raw") / F.col("own"), 6) if normalised else F.col("raw")).alias("similarity"), *(("scored", "pairs") if counts else ()))
 
 
 def in_order(peptides: DataFrame, scores: DataFrame, order: str) -> DataFrame:

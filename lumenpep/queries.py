@@ -83,19 +83,20 @@ def kmer_cleaved(spark, d):
     return peptides.cleaved(of, at.filter((p > 50) | (p == 0)))
 
 
-_COUNTS = f"""{_BENCH}, {_kmers('ref', 'pep', 'gene', '[9]')}, wanted AS (SELECT DISTINCT peptide FROM pep), rd AS (SELECT role AS file, {_SEQ} AS seq FROM conversations),
-    {_kmers('rd', 'hit', 'file', '[9]')}"""
+_COUNTS = f"""{_BENCH}, {_kmers('ref', 'pep', 'gene')}, wanted AS (SELECT DISTINCT peptide FROM pep), rd AS (SELECT role AS file, {_SEQ} AS seq FROM conversations),
+    {_kmers('rd', 'hit', 'file')}"""
 
 
-def _counts(spark, d, by=None):
-    wanted = peptides.windows(_proteins(_t(spark, d, "benchmark"), "item_id"), (9,)).select("peptide")
+def _counts(spark, d, by=None, of="benchmark", key="item_id"):
+    wanted = peptides.windows(_proteins(_t(spark, d, of), key)).select("peptide")
     reads = _t(spark, d, "conversations").select(F.col("role").alias("file"), F.upper(F.regexp_replace("text", "[^A-Za-z]", "")).alias("seq"))
-    return peptides.occurrences(wanted, reads, (9,), by)
+    return peptides.occurrences(wanted, reads, by=by)
 
 
-@query(f"WITH {_COUNTS} SELECT w.peptide, count(h.peptide) AS count FROM wanted w LEFT JOIN hit h ON h.peptide = w.peptide GROUP BY ALL")
+@query(f"""WITH {_DOCS}, {_kmers('orf', 'pep')}, wanted AS (SELECT DISTINCT peptide FROM pep), rd AS (SELECT 0 AS file, {_SEQ} AS seq FROM conversations), {_kmers('rd', 'hit0', 'file')},
+    hit AS (SELECT peptide, count(*) AS n FROM hit0 GROUP BY peptide) SELECT w.peptide, coalesce(n, 0) AS count FROM wanted w LEFT JOIN hit h ON h.peptide = w.peptide""")
 def expression_counts(spark, d):
-    return _counts(spark, d)
+    return _counts(spark, d, of="documents", key="doc_id")
 
 
 @query(f"WITH {_COUNTS} SELECT w.peptide, count(*) FILTER (file = 'user') AS count_user, count(*) FILTER (file = 'assistant') AS count_assistant, count(h.peptide) AS total FROM wanted w LEFT JOIN hit h ON h.peptide = w.peptide GROUP BY ALL")
@@ -173,27 +174,36 @@ def _near(wanted: str, known: str, lengths: tuple[int, ...]) -> str:
 
 
 _NEAR = _near(f"SELECT {_LETTERS.format('p_name')} AS seq FROM part", f"SELECT {_LETTERS.format('text')} AS seq FROM benchmark", (6, 8, 9, 11))
-_NEAR9 = _near(f"SELECT {_LETTERS.format('text')} AS seq FROM benchmark", f"SELECT {_LETTERS.format('p_name || p_type || p_brand')} AS seq FROM part", (9,))
+_NEAR_PART = _near(f"SELECT {_LETTERS.format('text')} AS seq FROM benchmark", f"SELECT {_LETTERS.format('p_name || p_type || p_brand')} AS seq FROM part", (8, 9, 10, 11))
 
 
 def _similar(spark, d, **options):
     name = lambda df, c: df.select(F.upper(F.regexp_replace(F.col(c).cast("string"), "[^A-Za-z]", "")).alias("seq"), F.lit(0).alias("transcript"))
-    few = peptides.windows(name(_t(spark, d, "benchmark"), "text"), (9,)).select("peptide").distinct()
-    ref = peptides.windows(name(_t(spark, d, "part").select(F.concat_ws("", "p_name", "p_type", "p_brand").alias("c")), "c"), (9,)).select(F.col("peptide").alias("seq")).distinct()
+    few = peptides.windows(name(_t(spark, d, "benchmark"), "text")).select("peptide").distinct()
+    ref = peptides.windows(name(_t(spark, d, "part").select(F.concat_ws("", "p_name", "p_type", "p_brand").alias("c")), "c")).select(F.col("peptide").alias("seq")).distinct()
     return similarity.similarity(few, ref, **options)
 
 
-@query(f"WITH {_NEAR9} SELECT peptide, round((max(score) FILTER (score < own) / any_value(own))::DOUBLE, 6) AS similarity FROM own LEFT JOIN pair USING (peptide) GROUP BY peptide")
+@query()
+def similarity_documents(spark, d):
+    """All windows of documents against all of benchmark texts, with the pairs scored for each and those there are. SQL would
+    score every pair, which takes too long on whole tables; tests compare with brute force."""
+    letters = lambda df: df.select(F.upper(F.regexp_replace("text", "[^A-Za-z]", "")).alias("seq"), F.lit(0).alias("transcript"))
+    of, ref = (peptides.windows(letters(_t(spark, d, t))) for t in ("documents", "benchmark"))
+    return similarity.similarity(of.select("peptide"), ref.select(F.col("peptide").alias("seq")), counts=True)
+
+
+@query(f"WITH {_NEAR_PART} SELECT peptide, round((max(score) FILTER (score < own) / any_value(own))::DOUBLE, 6) AS similarity FROM own LEFT JOIN pair USING (peptide) GROUP BY peptide")
 def similarity_excl_identity(spark, d):
     return _similar(spark, d)
 
 
-@query(f"WITH {_NEAR9} SELECT peptide, round((max(score) / any_value(own))::DOUBLE, 6) AS similarity FROM own LEFT JOIN pair USING (peptide) GROUP BY peptide")
+@query(f"WITH {_NEAR_PART} SELECT peptide, round((max(score) / any_value(own))::DOUBLE, 6) AS similarity FROM own LEFT JOIN pair USING (peptide) GROUP BY peptide")
 def similarity_identity(spark, d):
     return _similar(spark, d, exclude_identity=False)
 
 
-@query(f"WITH {_NEAR9} SELECT peptide, max(score)::DOUBLE AS similarity FROM own LEFT JOIN pair USING (peptide) GROUP BY peptide")
+@query(f"WITH {_NEAR_PART} SELECT peptide, max(score)::DOUBLE AS similarity FROM own LEFT JOIN pair USING (peptide) GROUP BY peptide")
 def similarity_raw(spark, d):
     return _similar(spark, d, exclude_identity=False, normalised=False)
 
