@@ -10,7 +10,7 @@ import tempfile
 import uuid
 import zipfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def session(name: str = "lumenpep", master: str | None = None, **conf: str) -> SparkSession:
@@ -40,6 +40,13 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/lumenpep/{name}-{uuid.uuid4().hex}"
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """A table written to the shared folder and read again: made once, however often it is read."""
+    path = new_folder(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def ship(spark: SparkSession, root: str) -> None:
     """Sends the package to the executors, once a session, unless their Python path has it: workers start in the driver's
     folder on one machine, and take its PYTHONPATH."""
