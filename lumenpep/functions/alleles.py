@@ -9,6 +9,10 @@ from pyspark.sql import functions as F
 RESIDUES = "ACDEFGHIKLMNPQRSTVWY"
 
 
+#: What figures call a result whose name contains a feature's.
+FIGURE_NAMES = {"avg_rank": "HLA Rank", "weak_binders_count": "HLA WBC", "mtec_expression_count": "mTEC Expr.", "pathogenicity": "Viral Similarity", "di_best_score": "DeepImmuno", "PRIME_%Rank_bestAllele": "PRIME Rank"}
+
+
 def valid(peptide: Column) -> Column:
     return peptide.rlike(f"^[{RESIDUES}]+$")
 
@@ -46,3 +50,12 @@ def normalise(allele: Column) -> Column:
 def state(allele: Column) -> Column:
     """whole (has a colon), broken (none, but a hyphen) or dropped."""
     return F.when(F.contains(allele, F.lit(":")), "whole").when(F.contains(allele, F.lit("-")), "broken").otherwise("dropped")
+
+
+def shown_name(name: Column, names: dict[str, str] | None = None) -> Column:
+    """A result's name in a figure: that of the first feature that it contains, `HGB model` for one that contains hgb or full, and
+    any other as it is."""
+    out = F.when(F.lit(False), F.lit(""))
+    for part, shown in (names or FIGURE_NAMES).items():
+        out = out.when(F.contains(name, F.lit(part)), shown)
+    return out.when(name.rlike("hgb|full"), "HGB model").otherwise(name)

@@ -91,3 +91,38 @@ def shares(rows: DataFrame, column: str, words: dict[str, str]) -> DataFrame:
     """name, n, percent of the rows whose column contains a word, for each (name -> word)."""
     each = [F.struct(F.lit(k).alias("name"), F.count_if(F.contains(F.col(column), F.lit(w))).alias("n"), F.count("*").alias("all")) for k, w in words.items()]
     return rows.agg(F.array(*each).alias("r")).select(F.inline("r")).select("name", "n", F.round(100 * F.try_divide("n", "all"), 6).alias("percent"))
+
+
+def broken_report(alleles: DataFrame, common: DataFrame) -> DataFrame:
+    """label, allele, status, replacements for the alleles of each set (label, allele) without a colon: `dropped` where there is no
+    hyphen either, `replaced` with the common alleles that contain it, sorted, or `still_broken`."""
+    of = alleles.select("label", "allele").distinct().withColumn("_state", state(F.col("allele"))).filter("_state <> 'whole'")
+    found = mended(of, common).groupBy(F.col("allele").alias("_allele")).agg(F.sort_array(F.collect_set("whole")).alias("_found"))
+    of = of.join(found, F.col("allele") == F.col("_allele"), "left").withColumn("replacements", F.coalesce("_found", F.array().cast("array<string>")))
+    status = F.when(F.col("_state") == "dropped", "dropped").when(F.size("replacements") > 0, "replaced").otherwise("still_broken")
+    return of.select("label", "allele", status.alias("status"), "replacements")
+
+
+def against_common(alleles: DataFrame, common: DataFrame) -> DataFrame:
+    """label, allele, where: of each set's alleles, with its broken ones replaced, which are common (`matching`), which aren't
+    (`extra`), and which common ones it lacks (`missing`). Dropped and still broken alleles count nowhere."""
+    whole = alleles.select("label", "allele").filter(state(F.col("allele")) == "whole")
+    mended_ = broken_report(alleles, common).select("label", F.explode("replacements").alias("allele"))
+    own = whole.union(mended_).distinct().withColumn("_own", F.lit(True))
+    every = alleles.select("label").distinct().crossJoin(F.broadcast(common.select("allele").distinct())).withColumn("_common", F.lit(True))
+    where = F.when(F.col("_own") & F.col("_common"), "matching").when(F.col("_own"), "extra").otherwise("missing")
+    return own.join(every, ["label", "allele"], "full").select("label", "allele", where.alias("where"))
+
+
+def subset_sources(rows: DataFrame, subset: DataFrame, name: str, source: str, own: str) -> DataFrame:
+    """kind, n: how many different (name, source) of the names in subset are Viral (another source), Neoantigen (none) and Self (a
+    source that contains the word `own`)."""
+    pairs = rows.join(subset.select(name).distinct(), name, "left_semi").select(name, source).distinct()
+    has, self_ = F.col(source).isNotNull(), F.coalesce(F.contains(F.col(source), F.lit(own)), F.lit(False))
+    counts = pairs.agg(F.count_if(has & ~self_).alias("Viral"), F.count_if(~has).alias("Neoantigen"), F.count_if(self_).alias("Self"))
+    return counts.select(F.inline(F.array(*(F.struct(F.lit(k).alias("kind"), F.col(k).alias("n")) for k in ("Viral", "Neoantigen", "Self")))))
+
+
+def top_starred(rows: DataFrame, column: str, n: int) -> DataFrame:
+    """The n most common values with a star, with their counts, ties by name; sort where written."""
+    return rows.filter(F.contains(F.col(column), F.lit("*"))).groupBy(column).agg(F.count("*").alias("n")).orderBy(F.desc("n"), column).limit(n)

@@ -14,11 +14,11 @@ from pyspark.sql import functions as F
 
 from . import scorers
 from .functions import alleles
-from .ml import linear
+from .ml import calibration, linear, resample, selection
 from .operators import curation, evaluate, features, hla, labels, peptides, similarity, stats
 from .plans import candidates
 from .plans.stages import Stages
-from .session import new_folder
+from .session import new_folder, written
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -684,3 +684,91 @@ def candidate_features(spark, d):
     off = dict.fromkeys(("use_tap", "use_prime", "use_pathogenicity", "use_selfsimilarity", "use_ml_model"), False)
     table = candidates.pipeline(candidates.Config(use_generatePeptides=True, filter="noRefPeps", **off), _candidate_sources(spark, d), Stages(spark, new_folder(spark, "candidates")))["feature_table"]
     return table.select("peptide", "best_rank", "avg_rank", "strong_binders_count", "Num_Tools_0_05", *(c for t in _TOOLS for c in (f"best_{hla.NAMES[t]}_r", f"{hla.NAMES[t]}_a")), "mtec_expression_count", "di_best_score", "di_avg_score", "di_best_a_score")
+
+
+_PARTS = f"""{_SCORED}, pr AS (SELECT s.id, s.score, s.label, (d.n_chars % 89) / 10.0::DOUBLE AS size, length(d.source)::DOUBLE AS source, (s.id % 3)::INT AS fold FROM s JOIN documents d ON d.doc_id = s.id)"""
+_PART_NAMES = ["score", "size", "source"]
+
+
+def _parted(spark, d):
+    docs = _t(spark, d, "documents").select(F.col("doc_id").alias("id"), ((F.col("n_chars") % 89) / F.lit(10.0)).alias("size"), F.length("source").cast("double").alias("source"))
+    return _scored(spark, d).join(docs, "id").withColumn("fold", (F.col("id") % 3).cast("int"))
+
+
+_CELLS = [*(f"({i}, {j}, sum({a} * {b}))" for i, a in enumerate(["1.0::DOUBLE", *_PART_NAMES, "label"]) for j, b in enumerate(["1.0::DOUBLE", *_PART_NAMES, "label"]) if j >= i)]
+
+
+@query(f"""WITH {_PARTS}, c AS (SELECT fold, label, unnest([{', '.join(f"{{'i': {x.split(',')[0][1:]}, 'j': {x.split(',')[1].strip()}, 'v': {x.split(',', 2)[2].strip()[:-1]}}}" for x in _CELLS)}]) AS c FROM pr GROUP BY fold, label)
+    SELECT fold, label, c.i::INT AS i, c.j::INT AS j, round(c.v, 6)::DOUBLE AS value FROM c""")
+def gram_sums(spark, d):
+    return selection.products(_parted(spark, d), _PART_NAMES, "fold").withColumn("value", F.round("value", 6))
+
+
+@query(f"""WITH {_PARTS}, u AS (UNPIVOT (SELECT label, score, size, source FROM pr) ON score, size, source INTO NAME feature VALUE x),
+    c AS (SELECT feature, label, count(*) AS n, sum(x) AS s, sum(x * x) AS q FROM u GROUP BY ALL)
+    SELECT feature, round((sum(s * s / n) - sum(s) ** 2 / sum(n)) / ((sum(q) - sum(s * s / n)) / (sum(n) - 2)), 4) AS f FROM c GROUP BY feature""")
+def f_values(spark, d):
+    found = selection.Gram(_parted(spark, d), _PART_NAMES).f_values()
+    return spark.createDataFrame([(k, round(v, 4)) for k, v in found.items()], "feature string, f double")
+
+
+@query(f"""WITH RECURSIVE {_SCORED}, n AS (SELECT sum(label) AS n1, count(*) AS n FROM s), t AS (SELECT score AS m, CASE WHEN label = 1 THEN (n1 + 1) / (n1 + 2) ELSE 1 / (n - n1 + 2) END::DOUBLE AS t FROM s, n),
+    it AS (SELECT 0 AS step, 0.0::DOUBLE AS a, 0.0::DOUBLE AS b UNION ALL
+        SELECT step + 1, a - (hb * ga - hab * gb) / (ha * hb - hab * hab), b - (ha * gb - hab * ga) / (ha * hb - hab * hab)
+        FROM (SELECT step, a, b, sum(m * (p - t)) AS ga, sum(p - t) AS gb, sum(m * m * p * (1 - p)) AS ha, sum(m * p * (1 - p)) AS hab, sum(p * (1 - p)) AS hb
+            FROM (SELECT step, a, b, m, t, 1 / (1 + exp(-(a * m + b))) AS p FROM it, t WHERE step < 12) GROUP BY step, a, b))
+    SELECT round(a, 5) AS slope, round(b, 5) AS shift FROM it WHERE step = 12""")
+def platt_sigmoid(spark, d):
+    slope, shift = calibration.sigmoid(written(_scored(spark, d).select(F.col("score").alias("margin"), "label"), "margins"))
+    return spark.createDataFrame([(round(slope, 5), round(shift, 5))], "slope double, shift double")
+
+
+_DRAWS = " + ".join(f"(u >= {x})::INT" for x in resample.LIMITS)
+
+
+@query(f"""WITH {_SCORED}, u AS (SELECT resample, score, label, ('0x' || substr(md5(concat_ws('|', id, 42, resample)), 1, 8))::BIGINT / 4294967296.0::DOUBLE AS u FROM s, (SELECT unnest(range(1, 51)) AS resample)),
+    g AS (SELECT resample, score, sum(({_DRAWS}) * label)::DOUBLE AS p, sum(({_DRAWS}) * (1 - label))::DOUBLE AS q FROM u GROUP BY ALL),
+    c AS (SELECT *, coalesce(sum(q) OVER (PARTITION BY resample ORDER BY score ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS below FROM g)
+    SELECT resample::INT AS resample, round(sum(p * (below + q / 2)) / (sum(p) * sum(q)), 6) AS auroc FROM c GROUP BY resample""")
+def bootstrap_auroc(spark, d):
+    return resample.auroc(_scored(spark, d), 50)
+
+
+_SETS = """a AS (SELECT CASE WHEN s_nationkey < 12 THEN 'one' ELSE 'two' END AS label, 'HLA-' || ['A', 'B', 'C'][(s_suppkey % 3 + 1)::INT] || '*0' || (s_nationkey % 7)::VARCHAR AS stem, s_suppkey % 4 AS k FROM supplier),
+    al AS (SELECT DISTINCT label, CASE k WHEN 0 THEN stem || ':01' WHEN 1 THEN stem WHEN 2 THEN substr(stem, 5) ELSE stem || 'x' END AS allele FROM a),
+    co AS (SELECT DISTINCT 'HLA-' || ['A', 'B', 'C'][(p_size % 3 + 1)::INT] || '*0' || (p_size % 5)::VARCHAR || ':01' AS allele FROM part)"""
+
+
+def _allele_sets(spark, d):
+    letter = lambda c: F.element_at(F.array(F.lit("A"), F.lit("B"), F.lit("C")), (F.col(c) % 3 + 1).cast("int"))
+    stem = F.concat(F.lit("HLA-"), letter("s_suppkey"), F.lit("*0"), (F.col("s_nationkey") % 7).cast("string"))
+    k = F.col("s_suppkey") % 4
+    allele = F.when(k == 0, F.concat(stem, F.lit(":01"))).when(k == 1, stem).when(k == 2, F.substring(stem, 5, 100)).otherwise(F.concat(stem, F.lit("x")))
+    sets = _t(spark, d, "supplier").select(F.when(F.col("s_nationkey") < 12, "one").otherwise("two").alias("label"), allele.alias("allele"))
+    common = _t(spark, d, "part").select(F.concat(F.lit("HLA-"), letter("p_size"), F.lit("*0"), (F.col("p_size") % 5).cast("string"), F.lit(":01")).alias("allele")).distinct()
+    return sets, common
+
+
+@query(f"""WITH {_SETS}, r AS (SELECT label, al.allele, list_sort(list(co.allele) FILTER (co.allele IS NOT NULL)) AS found FROM al LEFT JOIN co ON contains(co.allele, al.allele) AND contains(al.allele, '-') WHERE NOT contains(al.allele, ':') GROUP BY ALL)
+    SELECT label, allele, CASE WHEN NOT contains(allele, '-') THEN 'dropped' WHEN found IS NOT NULL THEN 'replaced' ELSE 'still_broken' END AS status, coalesce(array_to_string(found, ';'), '') AS replacements FROM r""")
+def broken_alleles(spark, d):
+    return curation.broken_report(*_allele_sets(spark, d)).withColumn("replacements", F.array_join("replacements", ";"))
+
+
+@query(f"""WITH {_SETS}, own AS (SELECT label, allele FROM al WHERE contains(allele, ':') UNION SELECT label, co.allele FROM al JOIN co ON contains(co.allele, al.allele) WHERE contains(al.allele, '-') AND NOT contains(al.allele, ':')),
+    ev AS (SELECT label, co.allele FROM (SELECT DISTINCT label FROM al), co)
+    SELECT coalesce(o.label, e.label) AS label, coalesce(o.allele, e.allele) AS allele, CASE WHEN o.label IS NOT NULL AND e.label IS NOT NULL THEN 'matching' WHEN o.label IS NOT NULL THEN 'extra' ELSE 'missing' END AS "where"
+    FROM own o FULL JOIN ev e ON o.label = e.label AND o.allele = e.allele""")
+def alleles_against_common(spark, d):
+    return curation.against_common(*_allele_sets(spark, d))
+
+
+@query("""WITH p AS (SELECT DISTINCT doc_id, source FROM documents WHERE doc_id IN (SELECT doc_id FROM labels WHERE quality = 1))
+    SELECT unnest(['Viral', 'Neoantigen', 'Self']) AS kind, unnest([count(*) FILTER (source IS NOT NULL AND NOT contains(source, 'src1')), count(*) FILTER (source IS NULL), count(*) FILTER (contains(source, 'src1'))]) AS n FROM p""")
+def subset_sources(spark, d):
+    return curation.subset_sources(_t(spark, d, "documents"), _t(spark, d, "labels").filter("quality = 1"), "doc_id", "source", "src1")
+
+
+@query(f"WITH {_SETS} SELECT allele, count(*) AS n FROM (SELECT CASE k WHEN 0 THEN stem || ':01' WHEN 1 THEN stem WHEN 2 THEN substr(stem, 5) ELSE stem || 'x' END AS allele FROM a) WHERE contains(allele, '*') GROUP BY allele ORDER BY n DESC, allele LIMIT 10")
+def top_starred(spark, d):
+    return curation.top_starred(_allele_sets(spark, d)[0], "allele", 10)

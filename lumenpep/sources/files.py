@@ -120,6 +120,11 @@ def write_fasta(df: DataFrame, path: str) -> None:
     df.select(F.concat(F.lit(">"), "header", F.lit("\n"), wrapped(F.col("seq")))).write.text(path)
 
 
+def write_lines(df: DataFrame, path: str, column: str = "peptide") -> None:
+    """One value a line; rows without one get none."""
+    df.filter(F.col(column).isNotNull()).select(F.col(column).cast("string")).write.text(path)
+
+
 def common_alleles(pages: DataFrame, column: str = "html") -> DataFrame:
     """allele: the first label's text of each list item of class `common` (as a word of its own), in the first list of a
     stored page that has the attribute data-alleles-container."""

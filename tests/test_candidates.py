@@ -245,6 +245,14 @@ def test_allele_forms(spark):
             spark.createDataFrame([(bad,)], "a string").select(alleles.to_cnn(F.col("a"))).collect()
 
 
+def test_names_in_figures_and_lines_of_text(spark, tmp_path):
+    of = spark.createDataFrame([("hgb_avg_rank",), ("single PRIME_%Rank_bestAllele",), ("full_set",), ("logreg",), (None,)], "n string")
+    assert [r[0] for r in of.select(alleles.shown_name(F.col("n"))).collect()] == ["HLA Rank", "PRIME Rank", "HGB model", "logreg", None]
+    files.write_lines(of.withColumnRenamed("n", "peptide"), str(tmp_path / "lines"))
+    assert sorted(r[0] for r in files.peptides(spark, str(tmp_path / "lines")).collect()) == ["full_set", "hgb_avg_rank", "logreg", "single PRIME_%Rank_bestAllele"]
+    assert [r[0] for r in files.strict_reference(spark, put(tmp_path, "r.fasta", ">a\nACD\nEF\n>b\nAXZ\n")).collect()] == ["ACDEF"]
+
+
 def test_common_alleles_are_of_the_marked_list_and_class(spark):
     page = """<ul class="menu"><li class="common"><label>not this list</label></li></ul>
       <UL id="u" data-alleles-container="1"><li class="uncommon"><label>HLA-A*99:99</label></li><li class="row common x"><input><label for="a"> HLA-A*01:01 </label></li>
