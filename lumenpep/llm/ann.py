@@ -61,8 +61,9 @@ def balanced_kmeans(x: np.ndarray, k: int, rounds: int = 12, seed: int = 5) -> n
 
 
 def neighbour_graph(c: np.ndarray, links: int = 16, hubs: int = 64) -> tuple[np.ndarray, np.ndarray]:
-    """Each centroid's nearest others, and evenly chosen centroids to begin at."""
+    """Each centroid's nearest others, and evenly chosen centroids to begin at: as many as the root of all, `hubs` at most."""
     k = len(c)
+    hubs = min(hubs, int(np.ceil(np.sqrt(k))))
     links = min(links, k - 1)
     if links < 1:
         return np.zeros((k, 1), dtype=np.int64), np.zeros(1, dtype=np.int64)
@@ -77,37 +78,49 @@ def neighbour_graph(c: np.ndarray, links: int = 16, hubs: int = 64) -> tuple[np.
 def search_centroids(index: Index, q: np.ndarray, most: int, beam: int | None = None, spread: int = 4) -> tuple[np.ndarray, np.ndarray]:
     """For lifted vectors (B, d + 1), the `most` nearest centroids found and their squared distances, nearest first. Each
     query holds the `beam` nearest centroids that it has met, and goes on to the neighbours of the `spread` nearest ones that
-    it has not yet left, until it has left all. Where the beam is a large share of all centroids, all are compared."""
+    it has not yet left, until it has left all. The graph is walked at every size, unless all centroids are asked for."""
     k, batch = len(index.centroids), len(q)
     most = min(most, k)
     beam = min(k, beam or max(2 * most, 32))
-    if 4 * beam >= k:
-        held, sims = np.broadcast_to(np.arange(k), (batch, k)), q @ index.centroids.T
-    else:
-        held, sims = np.broadcast_to(index.hubs, (batch, len(index.hubs))), q @ index.centroids[index.hubs].T
-        fresh = np.ones(held.shape, dtype=bool)
-        met = np.zeros((batch, k), dtype=bool)
-        met[:, index.hubs] = True
-        each = np.arange(batch)[:, None]
-        while fresh.any():
-            s = np.where(fresh, sims, -np.inf)
-            at = np.argpartition(-s, spread - 1, axis=1)[:, :spread]
-            going = np.take_along_axis(fresh, at, axis=1)
-            np.put_along_axis(fresh, at, False, axis=1)
-            near = np.sort(np.where(going[:, :, None], index.graph[np.take_along_axis(held, at, axis=1)], -1).reshape(batch, -1), axis=1)
-            new = near >= 0
-            new[:, 1:] &= near[:, 1:] != near[:, :-1]
-            new &= ~met[each, near]
-            rows, cols = np.nonzero(new)
-            met[rows, near[rows, cols]] = True
-            found = np.full(near.shape, -np.inf, dtype=np.float32)
-            found[rows, cols] = np.einsum("nd,nd->n", q[rows], index.centroids[near[rows, cols]])
-            held, sims, fresh = np.concatenate((held, near), axis=1), np.concatenate((sims, found), axis=1), np.concatenate((fresh, new), axis=1)
-            if held.shape[1] > beam:
-                best = np.argpartition(-sims, beam - 1, axis=1)[:, :beam]
-                held, sims, fresh = (np.take_along_axis(x, best, axis=1) for x in (held, sims, fresh))
+    if most == k:  # all are asked for
+        return _nearest(q @ index.centroids.T, most)
+    held, sims = np.broadcast_to(index.hubs, (batch, len(index.hubs))), q @ index.centroids[index.hubs].T
+    fresh = np.ones(held.shape, dtype=bool)
+    met = np.zeros((batch, k), dtype=bool)
+    met[:, index.hubs] = True
+    each = np.arange(batch)[:, None]
+    while fresh.any():
+        s, wide = np.where(fresh, sims, -np.inf), min(spread, held.shape[1])
+        at = np.argpartition(-s, wide - 1, axis=1)[:, :wide]
+        going = np.take_along_axis(fresh, at, axis=1)
+        np.put_along_axis(fresh, at, False, axis=1)
+        near = np.sort(np.where(going[:, :, None], index.graph[np.take_along_axis(held, at, axis=1)], -1).reshape(batch, -1), axis=1)
+        new = near >= 0
+        new[:, 1:] &= near[:, 1:] != near[:, :-1]
+        new &= ~met[each, near]
+        rows, cols = np.nonzero(new)
+        met[rows, near[rows, cols]] = True
+        found = np.full(near.shape, -np.inf, dtype=np.float32)
+        found[rows, cols] = np.einsum("nd,nd->n", q[rows], index.centroids[near[rows, cols]])
+        held, sims, fresh = np.concatenate((held, near), axis=1), np.concatenate((sims, found), axis=1), np.concatenate((fresh, new), axis=1)
+        if held.shape[1] > beam:
+            best = np.argpartition(-sims, beam - 1, axis=1)[:, :beam]
+            held, sims, fresh = (np.take_along_axis(x, best, axis=1) for x in (held, sims, fresh))
+    order, d = _nearest(sims, min(most, sims.shape[1]))
+    out = np.take_along_axis(held, order, axis=1)
+    few = np.flatnonzero(~np.isfinite(d).all(axis=1)) if out.shape[1] == most else each.ravel()
+    if len(few):  # the graph led to fewer than asked for: all are compared
+        every = _nearest(q[few] @ index.centroids.T, most)
+        if len(few) == batch:
+            return every
+        out, d = out.copy(), d.copy()
+        out[few], d[few] = every
+    return out, d
+
+
+def _nearest(sims: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
     order = np.argsort(-sims, axis=1, kind="stable")[:, :most]
-    return np.take_along_axis(held, order, axis=1), np.maximum(2 - 2 * np.take_along_axis(sims, order, axis=1), 0)
+    return order, np.maximum(2 - 2 * np.take_along_axis(sims, order, axis=1), 0)
 
 
 def usable(vectors: DataFrame) -> DataFrame:

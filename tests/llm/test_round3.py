@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from lumenpep.llm import alignment, best_fit, divergence, packing, tokens
+from lumenpep.llm import alignment, ann, best_fit, divergence, packing, tokens
 
 SF = "/root/testdata/sf0.001"
 ODD = [None, "", " ", "  ", "a", "x ", " x  y ", "<|endoftext|> x <s> </s> <unk> <0x41>", "▁x y", "ﬁ ½ 　 é é", "日本語 テキスト", "\x00\x01 \x85 \xa0 a", "\n\n  \t x \n", "😀😀 a😀", "a" * 3000, " " * 500 + "x" + " " * 500, "\r\n", "مرحبا  بالعالم", "same text", "same text"]
@@ -260,3 +260,20 @@ def test_digest_of_groups_as_the_query_gives_it(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     for doc, row in plain_alignment([(r["doc_id"], r["text"]) for r in docs.select("doc_id", "text").collect()]).items():
         assert got[doc] == (hashlib.sha256(row[4].encode()).hexdigest() if row[4] else "")
+
+
+@pytest.mark.parametrize("lists", [1, 2, 7, 50, 300])
+def test_the_graph_is_walked_at_every_size_and_finds_near_centroids(lists, monkeypatch):
+    r = np.random.default_rng(lists)
+    unit = lambda n: ann._unit(r.normal(size=(n, 12))).astype(np.float32)
+    c, q = unit(lists), unit(200)
+    index = ann.Index(c, *ann.neighbour_graph(c), 1.0, 11)
+    assert len(index.hubs) <= np.ceil(np.sqrt(lists))
+    for most in sorted({1, max(1, lists // 3), lists}):
+        found, d = ann.search_centroids(index, q, most)
+        best = np.argsort(-(q @ c.T), axis=1)[:, :most]
+        assert found.shape == (200, most) and all(len(set(row)) == most for row in found.tolist()) and (np.diff(d, axis=1) >= 0).all()
+        assert np.mean([len(set(a) & set(b)) / most for a, b in zip(found.tolist(), best.tolist(), strict=True)]) > 0.93
+    alone = index._replace(graph=np.zeros((lists, 1), dtype=np.int64))  # leads nowhere: all are compared
+    want = max(1, lists - 1)
+    assert (np.sort(ann.search_centroids(alone, q, want)[0], axis=1) >= 0).all()
