@@ -48,7 +48,7 @@ def interval(values: DataFrame, column: str = "auroc", level: float = 0.95) -> D
 def nested(rows: DataFrame, name: str, features: list[str], params: list[dict], key: str, outer: int = 5, inner: int = 5, metric: str = "precision", seed: int = 42) -> DataFrame:
     """fold, params, metric, value: for each outer fold the parameters that do best over inner folds of the other rows, and what a
     classifier with them scores on the fold."""
-    of, out = written(labels.folds(rows, ["label"], key, outer, seed=seed), "outer"), []
+    of, out = written(labels.folds(rows.drop("fold"), ["label"], key, outer, seed=seed), "outer"), []
     for k in range(outer):
         train, test = of.filter(F.col("fold") != k).drop("fold"), of.filter(F.col("fold") == k).drop("fold")
         found = workflow.validate(labels.folds(train, ["label"], key, inner, repeat=k + 1, seed=seed), name, features, params)

@@ -10,7 +10,9 @@ from __future__ import annotations
 import itertools
 import json
 from functools import reduce
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LinearSVC, LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import Imputer, RobustScaler, SQLTransformer, VectorAssembler
@@ -19,6 +21,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import evaluate
+from ..session import written
 from .kernel import RandomFourier
 
 #: name -> (classifier, whether features are scaled, grid of its parameters). The grids are fixed values, but for the depth 40 of
@@ -102,17 +105,22 @@ def metrics(scored: DataFrame, threshold: float = 0.5) -> DataFrame:
     return one.select(F.inline(F.array(*(F.struct(F.lit(s).alias("metric"), F.col(c).cast("double").alias("value")) for s, c in zip(SCORERS, names, strict=True)))))
 
 
-def validate(rows: DataFrame, name: str, features: list[str], params: list[dict] | None = None, fold: str = "fold") -> DataFrame:
+def validate(rows: DataFrame, name: str, features: list[str], params: list[dict] | None = None, fold: str = "fold", at_once: int = 3) -> DataFrame:
     """model, params, fold, metric, value: for each set of parameters (the registry's grid, if none is given) and each fold, a
-    classifier fitted on the other folds and measured on it. A loop over few fits, each of which is a distributed job."""
+    classifier fitted on the other folds and measured on it. Rows with their folds are written once, and so are each fit's
+    scores, from which all five metrics come; at_once fits run side by side, each of which is a distributed job."""
     params = params if params is not None else combinations(REGISTRY[name][2])
-    out = []
-    for k in sorted(r[0] for r in rows.select(fold).distinct().collect()):
-        train, test = rows.filter(F.col(fold) != k).drop(fold), rows.filter(F.col(fold) == k).drop(fold)
-        for p in params:
-            found = metrics(predict(fit(train, name, features, p), test, features))
-            out.append(found.select(F.lit(name).alias("model"), F.lit(json.dumps(p, sort_keys=True)).alias("params"), F.lit(k).alias("fold"), "metric", "value"))
-    return reduce(DataFrame.unionByName, out)
+    of = written(rows, "folds")
+
+    def one(task: tuple[int, dict]) -> DataFrame:
+        k, p = task
+        model = fit(of.filter(F.col(fold) != k).drop(fold), name, features, p)
+        scored = written(predict(model, of.filter(F.col(fold) == k), features).select("score", "label"), "scores")
+        return metrics(scored).select(F.lit(name).alias("model"), F.lit(json.dumps(p, sort_keys=True)).alias("params"), F.lit(k).alias("fold"), "metric", "value")
+
+    tasks = [(k, p) for k in sorted(r[0] for r in of.select(fold).distinct().collect()) for p in params]
+    with ThreadPool(at_once) as pool:
+        return reduce(DataFrame.unionByName, pool.map(inheritable_thread_target(of.sparkSession)(one), tasks))
 
 
 def best(results: DataFrame, metric: str = "precision") -> tuple[str, dict]:

@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from lumenpep.ml import calibration, kernel, resample, selection, workflow
+from lumenpep.ml import calibration, kernel, network, resample, selection, workflow
 from lumenpep.operators import evaluate, labels
 
 
@@ -194,3 +194,28 @@ def test_boosting_learns_from_what_is_missing(spark):
     model = workflow.fit(rows, "hgb", ["a", "b"], {"maxIter": 3, "maxDepth": 2})
     assert evaluate.auroc(workflow.predict(model, rows, ["a", "b"])).head()[0] > 0.99
     assert evaluate.auroc(workflow.predict(workflow.fit(rows, "logreg", ["a", "b"], {"C": 1}), rows, ["a", "b"])).head()[0] < 0.8
+
+
+def test_gradients_are_those_of_the_loss():
+    r = np.random.default_rng(9)
+    x, y, w, flat = r.normal(size=(7, 3)), r.integers(0, 2, 7), r.uniform(1, 2, 7), network.started(3, 1)
+    masks = [(r.random((7, h)) >= 0.3) / 0.7 for h in network.HIDDEN]
+    g, loss = network.gradient(x, y, w, flat, masks)
+    for i in r.choice(len(flat), 40, replace=False):
+        more = flat.copy()
+        more[i] += 1e-6
+        assert (network.gradient(x, y, w, more, masks)[1] - loss) / 1e-6 == pytest.approx(g[i], abs=1e-3)
+
+
+def test_a_network_learns_what_no_line_parts_and_one_seed_gives_one_network(spark):
+    r = np.random.default_rng(10)
+    x = r.uniform(-1, 1, (240, 2))
+    rows = spark.createDataFrame([(i, float(a), None if i == 5 else float(b), int((a > 0) != (b > 0))) for i, (a, b) in enumerate(x)], "id int, a double, b double, label int").repartition(2).cache()
+    made, losses = network.fit(rows, ["a", "b"], epochs=60, rate=0.03, dropout=0.0)
+    assert losses[-1] < 0.25 < losses[0] and evaluate.auroc(made.predict(rows)).head()[0] > 0.95
+    few = [network.fit(of, ["a", "b"], epochs=2, batches=2, dropout=d)[0].weights for of, d in ((rows, 0.0), (rows, 0.0), (rows, 0.3))]
+    assert few[0] == few[1] != few[2]
+    again = network.Network.of_json(made.to_json())
+    assert again == made
+    with pytest.raises(ValueError, match="missing features: b"):
+        made.predict(rows.drop("b"))
