@@ -1,8 +1,8 @@
 """Personal data: validated numbers, dates and addresses become pseudonyms of their own format.
 
 A pseudonym is a keyed Feistel permutation within the set of valid values: equal values get equal pseudonyms in all
-documents, different values different ones, and restore() inverts it with the key. All work on texts is made of DataFrame
-functions.
+documents, different values different ones. restore() inverts it with the key where a text is cut into the same values before and after;
+see there. All work on texts is made of DataFrame functions.
 
 kind   what is taken                                              its set
 email  local part of an address                                   same length, each letter case and digit in its place
@@ -220,7 +220,12 @@ def pseudonymize(docs: DataFrame, key: str) -> DataFrame:
 
 
 def restore(docs: DataFrame, key: str) -> DataFrame:
-    """The inverse: rows that pseudonymize() made with this key, with their values in place of the pseudonyms."""
+    """The inverse: rows that pseudonymize() made with this key, with their values in place of the pseudonyms.
+
+    It isn't whole: where a card stands in a run with further digits, its pseudonym and these may happen to be valid in another
+    usual layout, and are then read otherwise than the text was (of 300 texts with a card and three more digits, 18); and octets
+    with leading zeros come back without them.
+    """
     return _turned(docs, Key(key, back=True))
 
 
