@@ -102,9 +102,10 @@ def _write(folder: str, path: str, width: int, trained: bytes, end_id: int):
     return run
 
 
-def write(docs: DataFrame, tokenizer: str | None = None, folder: str | None = None, end_id: int = 1, shards: int | None = None) -> DataFrame:
+def write(docs: DataFrame, tokenizer: str | None = None, folder: str | None = None, end_id: int = 1, shards: int | None = None, per_shard: int = 128 << 20) -> DataFrame:
     """Writes documents (doc_id, text) into shards and returns the table of shards: shard, path, documents, ids,
-    and the first and last doc_id.
+    and the first and last doc_id. Without a number of shards there are as many as shuffles have partitions, or, where it is more,
+    one for each per_shard characters (64 more for each document): a shard and its index keep their size as tables grow.
 
     Null and empty texts are the end id alone. Rows with equal doc_id lie in one shard, one after another; a null doc_id
     comes before all others and is null again when read. An empty table gives no shards.
@@ -120,7 +121,10 @@ def write(docs: DataFrame, tokenizer: str | None = None, folder: str | None = No
     fs.create_dir(base, recursive=True)
     with fs.open_output_stream(f"{base}/dictionary") as f:
         f.write(trained)
-    dealt = docs.repartitionByRange(shards or partitions(spark), "doc_id").sortWithinPartitions("doc_id")
+    if shards is None:
+        total = docs.agg(F.sum(F.coalesce(F.length("text"), F.lit(0)) + 64)).head()[0] or 0
+        shards = max(partitions(spark), -(-total // per_shard))
+    dealt = docs.repartitionByRange(shards, "doc_id").sortWithinPartitions("doc_id")
     return stage(dealt.mapInArrow(released(_write(folder, path, width, trained, end_id)), SHARDS), "shards")
 
 

@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from lumenpep.llm import alignment, ann, best_fit, divergence, packing, tokens
+from lumenpep.llm import alignment, ann, best_fit, divergence, packing, token_files, tokens
 
 SF = "/root/testdata/sf0.001"
 ODD = [None, "", " ", "  ", "a", "x ", " x  y ", "<|endoftext|> x <s> </s> <unk> <0x41>", "▁x y", "ﬁ ½ 　 é é", "日本語 テキスト", "\x00\x01 \x85 \xa0 a", "\n\n  \t x \n", "😀😀 a😀", "a" * 3000, " " * 500 + "x" + " " * 500, "\r\n", "مرحبا  بالعالم", "same text", "same text"]
@@ -277,3 +277,11 @@ def test_the_graph_is_walked_at_every_size_and_finds_near_centroids(lists, monke
     alone = index._replace(graph=np.zeros((lists, 1), dtype=np.int64))  # leads nowhere: all are compared
     want = max(1, lists - 1)
     assert (np.sort(ann.search_centroids(alone, q, want)[0], axis=1) >= 0).all()
+
+
+def test_shards_grow_in_number_with_the_table(spark):
+    docs = spark.range(400).select(F.col("id").alias("doc_id"), F.repeat(F.lit("word "), 20).alias("text"), F.lit("x").alias("start"), F.lit(1).alias("ids"))
+    few, many = token_files.write(docs), token_files.write(docs, per_shard=2000)
+    assert few.count() <= 4 and 20 <= many.count() <= 60 and many.agg(F.max("documents")).head()[0] < 40
+    assert sorted(map(tuple, token_files.read(few).collect())) == sorted(map(tuple, token_files.read(many).collect()))
+    assert token_files.write(docs.limit(0)).count() == 0
