@@ -45,10 +45,13 @@ def matrix(text: str = BLOSUM62) -> np.ndarray:
 
 
 def weights(length: int, step: int = 4) -> list[int]:
-    """Of positions, by distance from the nearer end: 1, 2, 3 .. within a third of the length, and beyond it 1 more than
-    `step` times the distance. step: 2 or more."""
-    distance = [min(i, length - 1 - i) for i in range(length)]
-    return [d + 1 if d < length // 3 else 1 + step * d for d in distance]
+    """Of positions: 1, 2, 3 .. from either end within a third of the length. Between them a ramp of `step` from 1 on, up and down
+    again; with a step of 1 the ramp lacks its top, so that what is left of it stands a place further to the left."""
+    if step == 1 and length == 4:
+        raise ValueError("a step of 1 leaves a place of four without a weight")
+    top, third = -(-length // 2) - (step == 1), length // 3
+    place = lambda i: i if i < top else top + min(top, length // 2) - 1 - i
+    return [i + 1 if i < third else length - i if i >= length - third else 1 + step * place(i) for i in range(length)]
 
 
 def encode(peptides: list[str]) -> np.ndarray:
@@ -103,7 +106,7 @@ class Trie:
 FLOORS = (0.85, 0.7, 0.6, 0.5, 0.4, 0.25)
 
 
-def _best(exclude_identity: bool, block: int = 256, most: int = 2_000_000):
+def _best(exclude_identity: bool, block: int = 256, most: int = 2_000_000, step: int = 4):
     """Best scores of a group's peptides, all of one length, among the group's references, and how many pairs were scored for
     them. A score over the floor is exact, as all that reach it are met; peptides without one go on to the next floor."""
     b = matrix()
@@ -113,7 +116,7 @@ def _best(exclude_identity: bool, block: int = 256, most: int = 2_000_000):
         raw, own, scored = np.full(len(peptides), -np.inf), np.ones(len(peptides)), np.zeros(len(peptides), dtype=np.int64)
         k = len(peptides[0]) if peptides else 0
         if k and refs:
-            w, e = np.array(weights(k)), encode(peptides)
+            w, e = np.array(weights(k, step)), encode(peptides)
             own = (w * b[e, e]).sum(axis=1).astype(float)
             trie = Trie(encode(refs), w)
             for low in range(0, len(e), block):
@@ -143,10 +146,11 @@ def _of(many: dict[int, int], k: Column) -> Column:
     return F.coalesce(*(F.when(k == F.lit(length), F.lit(n)) for length, n in sorted(many.items())), F.lit(1))
 
 
-def similarity(peptides: DataFrame, references: DataFrame, exclude_identity: bool = True, normalised: bool = True, at_once: int = 500_000, share: int = 20_000, counts: bool = False) -> DataFrame:
+def similarity(peptides: DataFrame, references: DataFrame, exclude_identity: bool = True, normalised: bool = True, at_once: int = 500_000, share: int = 20_000, counts: bool = False, step: int = 4) -> DataFrame:
     """peptide, similarity for peptides (peptide): the best score of a reference (seq) of its length over its own score;
     with exclude_identity only scores below its own count; null where no reference counts. A peptide with anything but standard
-    residues is an error when the result is read; such references don't count. Weights follow from the length, any from 3 on.
+    residues is an error when the result is read; such references don't count. Weights follow from the length, any from 3 on, and the step. The oldest form, a raw maximum, is
+    normalised=False without exclude_identity.
 
     Both sides are keyed by length, block of about at_once references at most and part of about `share` peptides, and meet
     in these groups on executors; the best of the blocks counts. A group's references are a trie over positions by falling
@@ -162,7 +166,7 @@ def similarity(peptides: DataFrame, references: DataFrame, exclude_identity: boo
     left = wanted.select("peptide", F.length("peptide").alias("k"), turn.alias("turn"), each(blocks, "peptide").alias("block"))
     right = refs.select("seq", F.length("seq").alias("k"), block.alias("block"), each(turns, "seq").alias("turn"))
     keys = ("k", "block", "turn")
-    best = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(_best(exclude_identity), "peptide string, raw double, own double, scored long, pairs long")
+    best = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(_best(exclude_identity, step=step), "peptide string, raw double, own double, scored long, pairs long")
     best = best.groupBy("peptide").agg(F.max("raw").alias("raw"), F.max("own").alias("own"), F.sum("scored").alias("scored"), F.sum("pairs").alias("pairs"))
     return best.select("peptide", (F.round(F.col("raw") / F.col("own"), 6) if normalised else F.col("raw")).alias("similarity"), *(("scored", "pairs") if counts else ()))
 

@@ -49,3 +49,17 @@ def test_all_windows_of_documents_are_compared_and_few_pairs_scored(spark):
         best = every_pair(peptides, [r for r in refs if len(r) == k], True) / (w * similarity.matrix()[e, e]).sum(axis=1)
         assert np.allclose(best, rows["similarity"].to_numpy(dtype=float), atol=1e-6)
     got.unpersist()
+
+
+def test_weights_by_step():
+    assert similarity.weights(8) == [1, 2, 9, 13, 13, 9, 2, 1] and similarity.weights(9) == [1, 2, 3, 13, 17, 13, 3, 2, 1]
+    assert similarity.weights(10) == [1, 2, 3, 13, 17, 17, 13, 3, 2, 1] and similarity.weights(11) == [1, 2, 3, 13, 17, 21, 17, 13, 3, 2, 1]
+    assert similarity.weights(8, 1) == [1, 2, 3, 3, 2, 1, 2, 1] and similarity.weights(9, 1) == [1, 2, 3, 4, 4, 3, 3, 2, 1]
+    assert similarity.weights(10, 1) == [1, 2, 3, 4, 4, 3, 2, 3, 2, 1] and similarity.weights(11, 1) == [1, 2, 3, 4, 5, 5, 4, 3, 3, 2, 1]
+    assert similarity.weights(9, 2) == [1, 2, 3, 7, 9, 7, 3, 2, 1]
+
+
+def test_the_oldest_form_and_another_step(spark):
+    of, ref = spark.createDataFrame([("AAAAAAAA",)], "peptide string"), spark.createDataFrame([("AAAAAAAA",), ("SAAAAAAA",)], "seq string")
+    one = lambda **o: similarity.similarity(of, ref, **o).head()["similarity"]
+    assert one(normalised=False, exclude_identity=False) == 200 and one(normalised=False) == 197 and one(normalised=False, step=1) == 4 * 15 - 3
