@@ -34,7 +34,7 @@ def _products(names: list[str]):
 
 def products(rows: DataFrame, features: list[str], fold: str | None = None) -> DataFrame:
     """SUMS for rows (label 0 or 1, the features, and perhaps a fold): i and j are places in (1, the features, the label). Rows
-    with a missing feature don't count; fill them before, as stats.imputed() does."""
+    with a missing feature don't count; fill them before, as stats.median_filled() does."""
     of = rows.select(*(F.col(f"`{f}`").cast("double").alias(f"x{i}") for i, f in enumerate(features)), F.col("label").cast("double").alias("label"), (F.col(fold) if fold else F.lit(0)).cast("int").alias("fold"))
     of = of.dropna().mapInArrow(_products([f"x{i}" for i in range(len(features))]), SUMS)
     return of.groupBy("fold", "label", "i", "j").agg(F.sum("value").alias("value"))
