@@ -40,3 +40,23 @@ def test_a_long_sequence_takes_time_in_proportion(spark):
 def test_counts_of_transcripts_without_lists(spark):
     of = spark.createDataFrame([("P", 3), ("P", 1), ("P", 2), ("Q", 7)], "peptide string, transcript long")
     assert {tuple(r) for r in peptides.transcript_counts(of).collect()} == {("P", 3, 1, 3), ("Q", 1, 7, 7)}
+
+
+def seen(spark, rows):
+    """Rows as a table, and a counter of those that were made."""
+    counter = spark.sparkContext.accumulator(0)
+
+    def run(batches):
+        for b in batches:
+            counter.add(b.num_rows)
+            yield b
+
+    return spark.createDataFrame([(x,) for x in rows], "peptide string").mapInArrow(run, "peptide string"), counter
+
+
+def test_many_peptides_meet_reads_in_one_shuffle(spark):
+    rows = ["AAA", "CCC", "AAA", "XÉX", None]
+    of, made = seen(spark, rows)
+    reads = spark.createDataFrame([("AAAAA",), ("XÉXÉX",), (None,)], "seq string")
+    assert {tuple(r) for r in peptides.occurrences(of, reads, (3,), most=0).collect()} == {("AAA", 3), ("CCC", 0), ("XÉX", 2), (None, 0)}
+    assert made.value == len(rows)
