@@ -1,3 +1,4 @@
+import hashlib
 import time
 
 import numpy as np
@@ -60,3 +61,15 @@ def test_many_peptides_meet_reads_in_one_shuffle(spark):
     reads = spark.createDataFrame([("AAAAA",), ("XÉXÉX",), (None,)], "seq string")
     assert {tuple(r) for r in peptides.occurrences(of, reads, (3,), most=0).collect()} == {("AAA", 3), ("CCC", 0), ("XÉX", 2), (None, 0)}
     assert made.value == len(rows)
+
+
+@pytest.mark.parametrize("repeats", [1, 40])
+def test_quotas_from_small_hashes(spark, repeats):
+    r = np.random.default_rng(2)
+    words = ["".join(r.choice(list("ACDEFGHIKL"), k)) for k in (8, 9, 10, 11) for _ in range(1500)]
+    rows = words + words[:20] * (repeats * 100)  # few of a length's rows differ: the first bound leaves too few
+    of, made = seen(spark, rows)
+    want = peptides.quotas(40, {8: 1, 9: 2, 10: 1, 11: 0.5})
+    md5 = lambda x: (hashlib.md5(f"{x}|42".encode()).hexdigest(), x)
+    assert sorted(x[0] for x in peptides.sampled(of, 40, {8: 1, 9: 2, 10: 1, 11: 0.5}).collect()) == sorted(x for k, n in want.items() for x in sorted({w for w in words if len(w) == k}, key=md5)[:n])
+    assert made.value <= (2 if repeats == 1 else 3) * len(rows)
