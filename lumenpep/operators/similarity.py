@@ -106,7 +106,7 @@ class Trie:
 FLOORS = (0.85, 0.7, 0.6, 0.5, 0.4, 0.25)
 
 
-def _best(exclude_identity: bool, block: int = 256, most: int = 2_000_000, step: int = 4):
+def _best(exclude_identity: bool, block: int = 2048, most: int = 2_000_000, step: int = 4):
     """Best scores of a group's peptides, all of one length, among the group's references, and how many pairs were scored for
     them. A score over the floor is exact, as all that reach it are met; peptides without one go on to the next floor."""
     b = matrix()
@@ -134,10 +134,12 @@ def _best(exclude_identity: bool, block: int = 256, most: int = 2_000_000, step:
     return run
 
 
-def _parts(df: DataFrame, column: str, most: int) -> tuple[dict[int, int], Column]:
-    """By length of the column: how many parts of about `most` rows there are, one at least; and a row's part."""
+def _parts(df: DataFrame, column: str, most: int, turns: int = 1, upto: int = 0) -> tuple[dict[int, int], Column]:
+    """By length of the column: how many parts of about `most` rows there are, one at least; and a row's part. A length of more
+    than `turns` such parts has larger ones, of up to `upto` rows."""
     counts = {r["k"]: r["n"] for r in df.groupBy(F.length(column).alias("k")).agg(F.count("*").alias("n")).collect()}  # a row for each length
-    many = {k: -(-n // most) for k, n in counts.items() if n > most}
+    rows = lambda n: max(most, min(-(-n // turns), upto))
+    many = {k: -(-n // rows(n)) for k, n in counts.items() if n > most}
     return many, F.pmod(F.xxhash64(column), _of(many, F.length(column)).cast("long")).cast("int")
 
 
@@ -152,8 +154,8 @@ def similarity(peptides: DataFrame, references: DataFrame, exclude_identity: boo
     residues is an error when the result is read; such references don't count. Weights follow from the length, any from 3 on, and the step. The oldest form, a raw maximum, is
     normalised=False without exclude_identity.
 
-    Both sides are keyed by length, block of about at_once references at most and part of about `share` peptides, and meet
-    in these groups on executors; the best of the blocks counts. A group's references are a trie over positions by falling
+    Both sides are keyed by length, block of about at_once references at most and part of about `share` peptides (ten times as
+    many where these would be more parts than tasks, as each part takes the references once more), and meet in these groups on executors; the best of the blocks counts. A group's references are a trie over positions by falling
     weight, in which a peptide leaves a branch whose residues so far and the best substitution of all others can't reach
     what is asked for; results are exact. With counts, also scored, the pairs scored to the end, and pairs, all that there are.
     """
@@ -161,13 +163,14 @@ def similarity(peptides: DataFrame, references: DataFrame, exclude_identity: boo
     said = F.concat(F.lit("not a standard peptide: "), F.coalesce("peptide", F.lit("null")))
     wanted = peptides.select(F.when(valid(F.col("peptide")) & (F.length("peptide") > 2), F.col("peptide")).otherwise(F.raise_error(said)).alias("peptide")).distinct()
     refs, wanted = written(refs, "references"), written(wanted, "wanted")
-    (blocks, block), (turns, turn) = _parts(refs, "seq", at_once), _parts(wanted, "peptide", share)
+    (blocks, block), (turns, turn) = _parts(refs, "seq", at_once), _parts(wanted, "peptide", share, 2 * int(wanted.sparkSession.conf.get("spark.sql.shuffle.partitions")), 10 * share)
     each = lambda many, c: F.explode(F.sequence(F.lit(0), _of(many, F.length(c)) - 1))
     left = wanted.select("peptide", F.length("peptide").alias("k"), turn.alias("turn"), each(blocks, "peptide").alias("block"))
     right = refs.select("seq", F.length("seq").alias("k"), block.alias("block"), each(turns, "seq").alias("turn"))
     keys = ("k", "block", "turn")
     best = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(_best(exclude_identity, step=step), "peptide string, raw double, own double, scored long, pairs long")
-    best = best.groupBy("peptide").agg(F.max("raw").alias("raw"), F.max("own").alias("own"), F.sum("scored").alias("scored"), F.sum("pairs").alias("pairs"))
+    if blocks:  # else each peptide is in one group
+        best = best.groupBy("peptide").agg(F.max("raw").alias("raw"), F.max("own").alias("own"), F.sum("scored").alias("scored"), F.sum("pairs").alias("pairs"))
     return best.select("peptide", (F.round(F.col("raw") / F.col("own"), 6) if normalised else F.col("raw")).alias("similarity"), *(("scored", "pairs") if counts else ()))
 
 

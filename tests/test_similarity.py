@@ -63,3 +63,19 @@ def test_the_oldest_form_and_another_step(spark):
     of, ref = spark.createDataFrame([("AAAAAAAA",)], "peptide string"), spark.createDataFrame([("AAAAAAAA",), ("SAAAAAAA",)], "seq string")
     one = lambda **o: similarity.similarity(of, ref, **o).head()["similarity"]
     assert one(normalised=False, exclude_identity=False) == 200 and one(normalised=False) == 197 and one(normalised=False, step=1) == 4 * 15 - 3
+
+
+def test_parts_of_a_long_list_grow_before_their_number_does(spark):
+    of = spark.range(3000).selectExpr("concat('A', lpad(translate(id, '0123456789', 'ACDEFGHIKL'), 7, 'M')) AS peptide")
+    for options, parts in ((dict(most=10), 300), (dict(most=10, turns=30, upto=200), 30), (dict(most=10, turns=4, upto=200), 15), (dict(most=5000, turns=4, upto=50000), 1)):
+        many, part = similarity._parts(of, "peptide", **options)
+        assert many.get(8, 1) == parts and of.select(part).distinct().count() == parts
+
+
+def test_parts_of_more_rows_give_the_same_scores(spark):
+    r = np.random.default_rng(9)
+    words = lambda n: sorted({"".join(r.choice(list("ACDSWY"), k)) for k in r.integers(8, 10, n)})
+    few, many = words(400), words(300)
+    of, refs = spark.createDataFrame([(x,) for x in few], "peptide string"), spark.createDataFrame([(x,) for x in many], "seq string")
+    one, two, three = ({tuple(x) for x in similarity.similarity(of, refs, counts=True, **o).select("peptide", "similarity", "pairs").collect()} for o in ({}, {"share": 5}, {"share": 3, "at_once": 50}))
+    assert one == two == three and len(one) == len(few)
