@@ -6,7 +6,7 @@ import pytest
 
 from lumenpep.functions.alleles import RESIDUES
 from lumenpep.operators import peptides
-from lumenpep.operators.windows import cut
+from lumenpep.operators.windows import cut, marks
 
 
 def plain(rows, lengths, distinct, standard=True):
@@ -73,3 +73,14 @@ def test_quotas_from_small_hashes(spark, repeats):
     md5 = lambda x: (hashlib.md5(f"{x}|42".encode()).hexdigest(), x)
     assert sorted(x[0] for x in peptides.sampled(of, 40, {8: 1, 9: 2, 10: 1, 11: 0.5}).collect()) == sorted(x for k, n in want.items() for x in sorted({w for w in words if len(w) == k}, key=md5)[:n])
     assert made.value <= (2 if repeats == 1 else 3) * len(rows)
+
+
+def test_windows_of_reads_that_no_peptide_is_are_not_made(spark):
+    r = np.random.default_rng(6)
+    reads = ["".join(r.choice(list(RESIDUES), 400)) for _ in range(50)]
+    wanted = sorted({x[i : i + k] for x in reads[:3] for k in (8, 9, 12) for i in (0, 50, 388)})
+    of, texts = spark.createDataFrame([(x,) for x in wanted], "peptide string"), spark.createDataFrame([(x,) for x in reads], "seq string")
+    made = [x[0] for x in cut(texts, (8, 9, 12), distinct=False, marked=marks(wanted)).collect()]
+    assert set(wanted) <= set(made) and len(made) < 2000  # of 58,500 or so
+    assert marks(["ACDEFGHIKLMNP"]) is None
+    assert {tuple(x) for x in peptides.occurrences(of, texts, (8, 9, 12)).collect()} == {(w, sum(x.startswith(w, i) for x in reads for i in range(400))) for w in wanted}
