@@ -9,8 +9,8 @@ A shingle that very many groups share would make a pair of each two of them, tho
 known one by one. So the join goes in rounds. In the first each group of a shingle's list is compared with the list's pivot,
 which costs as many pairs as the list has entries. Verified links give components, and lists whose entries lie in one
 component are done. In some rounds more, up to 16 nodes of each component of the other lists, others in each list, are
-compared with the next few of their size. In the last, every pair from two components is compared, in blocks of bounded size, so the
-components are exact.
+compared with the most similar of the next few of their size. In the last, every pair from two components is compared in the task
+where it meets, in blocks of bounded size, so the components are exact; a task returns only the links that join its components.
 
 Texts are found again by `at`, a hash of a row's doc_id and text: rows without a doc_id are rows like all others.
 
@@ -35,6 +35,10 @@ from .shingles import mix, shingle_sets
 SETS = "doc_id long, at long, n long, node long, grp long, prefix binary, sig binary, mini binary"
 ENTRIES = "token long, grp long, n int, pos int"
 CROSSED = ("token", "low", "high", "node", "root", "n", "pos", "side", "mini")
+#: So many of a node's first open lists tell whether a pair has met before.
+FIRST = 16
+#: Shingles of whole sets in a part of a list: 16 MB.
+SHINGLES = 1 << 21
 
 
 class Rule(NamedTuple):
@@ -269,9 +273,8 @@ class Verifier:
     def __init__(self, nodes: DataFrame, docs: DataFrame, rule: Rule):
         self.nodes, self.docs, self.rule = nodes, docs, rule
 
-    def _sets(self, pairs: DataFrame) -> DataFrame | None:
-        """node, shingles of the nodes of the pairs."""
-        wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    def sets(self, wanted: DataFrame) -> DataFrame | None:
+        """node, shingles of the nodes wanted, each given once; None where there are none."""
         wanted = stage(wanted.join(self.nodes.select("node", "at"), "node"), "wanted")
         count = wanted.count()
         if not count:
@@ -289,7 +292,7 @@ class Verifier:
         x, y = (self.nodes.select(F.col("node").alias(k), F.col("n").alias(f"{k}_n"), F.col("sig").alias(f"{k}_sig")) for k in ("a", "b"))
         near = pairs.join(x, "a").join(y, "b").select("a", "b", "a_n", "b_n", "a_sig", "b_sig")
         near = stage(near.mapInArrow(_may_link(rule), "a long, b long"), "pairs")
-        sets = self._sets(near)
+        sets = self.sets(near.select(F.explode(F.array("a", "b")).alias("node")).distinct())
         if sets is None:
             return near
         x, y = (sets.select(F.col("node").alias(k), F.col("shingles").alias(v)) for k, v in (("a", "x"), ("b", "y")))
@@ -299,22 +302,27 @@ class Verifier:
         return links
 
 
+def _similar(x: bytes, y: bytes, rule: Rule) -> bool:
+    x, y = np.frombuffer(x, dtype="<u8"), np.frombuffer(y, dtype="<u8")
+    return len(np.intersect1d(x, y, assume_unique=True)) * (rule.num + rule.den) >= (len(x) + len(y)) * rule.num
+
+
+def _top(above: dict[int, int], x: int) -> int:
+    while (y := above.setdefault(x, x)) != x:
+        above[x] = above[y]
+        x = y
+    return x
+
+
 def _forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Edges a, b -> for every node of them the smallest node that the task's edges lead to."""
     above: dict[int, int] = {}
-
-    def top(x: int) -> int:
-        while (y := above.setdefault(x, x)) != x:
-            above[x] = above[y]
-            x = y
-        return x
-
     for batch in batches:
         for a, b in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            a, b = top(a), top(b)
+            a, b = _top(above, a), _top(above, b)
             above[max(a, b)] = min(a, b)
     nodes = list(above)
-    yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array([top(x) for x in nodes], pa.int64())], names=["node", "root"])
+    yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array([_top(above, x) for x in nodes], pa.int64())], names=["node", "root"])
 
 
 def components(edges: DataFrame, small: int = 100_000) -> DataFrame:
@@ -341,54 +349,158 @@ def _moved_on(labels: DataFrame, moved: DataFrame) -> DataFrame:
     return stage(labels.join(step, "root", "left").select("node", F.coalesce("to", "root").alias("root")), "labels")
 
 
-def _crossing(rule: Rule, reach: int | None = None):
-    """Entries (token, low, high, node, root, n, pos, side, mini) sorted by token, low, high and n -> pairs of a block from
-    two components that can be similar, by sizes, places and small signatures. All lists of a batch go together: each entry
-    meets the next, then the one after, and so on while that is in the same list and of a fitting size, or up to the
-    reach-th."""
-
-    def pairs(columns: list[np.ndarray]) -> np.ndarray:
-        token, low, high, node, root, n, pos, side, *mini = columns
-        n, pos = n.astype(np.int64), pos.astype(np.int64)
-        edge = np.ones(len(token), dtype=bool)
-        edge[1:] = (token[1:] != token[:-1]) | (low[1:] != low[:-1]) | (high[1:] != high[:-1])
-        end = np.append(np.flatnonzero(edge)[1:], len(token))[np.cumsum(edge) - 1]
-        one, out, step = np.arange(len(token)), [np.zeros((2, 0), dtype=np.int64)], 0
-        while len(one) and step != reach:
-            step += 1
-            one = one[one + step < end[one]]
-            one = one[n[one] * rule.den >= n[one + step] * rule.num]
-            two = one + step
-            most = np.minimum(n[one] - pos[one], n[two] - pos[two])
-            fit = (root[one] != root[two]) & (most * (rule.num + rule.den) >= (n[one] + n[two]) * rule.num)
-            fit &= (low[one] == high[one]) | (side[one] != side[two])
-            a, b = one[fit], two[fit]
-            differ = sum((np.bitwise_count(m[a] ^ m[b]).astype(np.int64) for m in mini), np.zeros(len(a), dtype=np.int64))
-            both = n[a] + n[b]
-            may = (both - differ) * (rule.num + rule.den) >= 2 * both * rule.num
-            out.append(np.stack((node[a[may]], node[b[may]])))
-        return np.unique(np.sort(np.concatenate(out, axis=1), axis=0), axis=1)
+def _columns(batch: pa.RecordBatch) -> list[np.ndarray]:
+    """A batch of CROSSED, and of what may follow them, as arrays with a row for each entry: the eight numbers, mini as four words, earlier tokens
+    and how many these are, whole sets as bytes."""
+    columns = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(8)]
+    columns.append(np.frombuffer(b"".join(batch.column(8).to_pylist()), dtype="<u8").reshape(-1, 4))
+    if batch.num_columns > 9:
+        many = batch.column(9).value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+        earlier = np.zeros((len(many), FIRST), dtype=np.int64)
+        earlier[np.arange(FIRST) < many[:, None]] = batch.column(9).flatten().to_numpy(zero_copy_only=False)
+        columns += [earlier, many]
+    if batch.num_columns > 10:
+        sets = np.empty(batch.num_rows, dtype=object)
+        sets[:] = batch.column(10).to_pylist()
+        columns.append(sets)
+    return columns
+
+
+def _whole_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[list[np.ndarray]]:
+    """Entries sorted by token, low and high -> their columns, cut where a block ends."""
+    held: list[np.ndarray] | None = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        columns = _columns(batch)
+        if held:
+            columns = [np.concatenate((h, c)) for h, c in zip(held, columns, strict=True)]
+        last = (columns[0] == columns[0][-1]) & (columns[1] == columns[1][-1]) & (columns[2] == columns[2][-1])
+        at = len(last) - int(last[::-1].argmin()) if not last.all() else 0  # the last block may go on
+        if at:
+            yield [c[:at] for c in columns]
+        held = [c[at:] for c in columns]
+    if held:
+        yield held
+
+
+def _fitting(rule: Rule, columns: list[np.ndarray], reach: int | None = None) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Of blocks of entries sorted by n, the places of pairs from two components that can be similar by sizes, places and small
+    signatures, and the share of bits that differ. All lists go together: each entry meets the next, then the one after, and so
+    on while that is in the same list and of a fitting size, or up to the reach-th. With earlier tokens a pair is met in the
+    first list that both are in: there its places allow the most."""
+    token, low, high, _, root, n, pos, side, mini, *more = columns
+    n, pos = n.astype(np.int64), pos.astype(np.int64)
+    edge = np.ones(len(token), dtype=bool)
+    edge[1:] = (token[1:] != token[:-1]) | (low[1:] != low[:-1]) | (high[1:] != high[:-1])
+    end = np.append(np.flatnonzero(edge)[1:], len(token))[np.cumsum(edge) - 1]
+    one, step = np.arange(len(token)), 0
+    while len(one) and step != reach:
+        step += 1
+        one = one[one + step < end[one]]
+        one = one[n[one] * rule.den >= n[one + step] * rule.num]
+        two = one + step
+        most = np.minimum(n[one] - pos[one], n[two] - pos[two])
+        fit = (root[one] != root[two]) & (most * (rule.num + rule.den) >= (n[one] + n[two]) * rule.num)
+        fit &= (low[one] == high[one]) | (side[one] != side[two])
+        a, b = one[fit], two[fit]
+        differ, both = np.bitwise_count(mini[a] ^ mini[b]).sum(axis=1, dtype=np.int64), n[a] + n[b]
+        may = (both - differ) * (rule.num + rule.den) >= 2 * both * rule.num
+        a, b, differ = a[may], b[may], differ[may] / both[may]
+        if more and len(a):
+            earlier, many = more[:2]
+            met = np.zeros(len(a), dtype=bool)
+            for k in range(int(many[a].max())):
+                met |= (k < many[a]) & ((earlier[b] == earlier[a, k][:, None]) & (np.arange(FIRST) < many[b][:, None])).any(axis=1)
+            a, b, differ = a[~met], b[~met], differ[~met]
+        if len(a):
+            yield a, b, differ
+
+
+def _nearest(rule: Rule, reach: int):
+    """CROSSED, sorted -> for each entry the one of the next few that is most like it by small signatures, if any can be
+    similar: as many pairs as entries at most."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[np.ndarray] | None = None
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            columns = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(8)]
-            columns += list(np.frombuffer(b"".join(batch.column(8).to_pylist()), dtype="<u8").reshape(-1, 4).T.copy())
-            if held:
-                columns = [np.concatenate((h, c)) for h, c in zip(held, columns, strict=True)]
-            last = (columns[0] == columns[0][-1]) & (columns[1] == columns[1][-1]) & (columns[2] == columns[2][-1])
-            at = len(last) - int(last[::-1].argmin()) if not last.all() else 0  # the last block may go on
-            found, held = pairs([c[:at] for c in columns]), [c[at:] for c in columns]
+        for columns in _whole_blocks(batches):
+            node = columns[3]
+            to, least = np.full(len(node), -1), np.full(len(node), np.inf)
+            for a, b, differ in _fitting(rule, columns, reach):
+                nearer = differ < least[a]
+                to[a[nearer]], least[a[nearer]] = b[nearer], differ[nearer]
+            found = np.unique(np.sort(np.stack((node[to >= 0], node[to[to >= 0]])), axis=0), axis=1)
             if found.shape[1]:
                 yield pa.RecordBatch.from_arrays([pa.array(found[0]), pa.array(found[1])], names=["a", "b"])
-        if held and (found := pairs(held)).shape[1]:
-            yield pa.RecordBatch.from_arrays([pa.array(found[0]), pa.array(found[1])], names=["a", "b"])
 
     return run
 
 
+def _meeting(rule: Rule):
+    """CROSSED and earlier, sorted -> the entries, once each, that meet any they can be similar to."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for columns in _whole_blocks(batches):
+            some = np.zeros(len(columns[0]), dtype=bool)
+            for a, b, _ in _fitting(rule, columns):
+                some[a] = some[b] = True
+            if some.any():
+                yield pa.RecordBatch.from_arrays([pa.array(columns[0][some]), pa.array(columns[3][some])], names=["token", "node"])
+
+    return run
+
+
+def _linking(rule: Rule):
+    """CROSSED, earlier and whole sets, sorted -> links that join components. Sets are compared here, and only where no links
+    found before in the task join the two: a task has fewer links than components."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        above: dict[int, int] = {}
+        for columns in _whole_blocks(batches):
+            node, root, sets = columns[3], columns[4], columns[-1]
+            links = []
+            for a, b, differ in _fitting(rule, columns):
+                order = np.argsort(differ, kind="stable")
+                for i, j in zip(a[order].tolist(), b[order].tolist(), strict=True):
+                    x, y = _top(above, int(root[i])), _top(above, int(root[j]))
+                    if x != y and _similar(sets[i], sets[j], rule):
+                        above[max(x, y)] = min(x, y)
+                        links.append((int(node[i]), int(node[j])))
+            if links:
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*links, strict=True)], names=["a", "b"])
+
+    return run
+
+
+def _dealt(entries: DataFrame, parts: Column) -> DataFrame:
+    """Entries of each list in blocks: each pair of its parts is one, so that any two entries meet in one block."""
+    dealt = entries.withColumn("parts", parts.cast("int")).withColumn("side", F.pmod(F.xxhash64("node"), "parts").cast("int"))
+    return dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).withColumn("low", F.least("side", "other")).withColumn("high", F.greatest("side", "other"))
+
+
+def _sorted(dealt: DataFrame, *more: str) -> DataFrame:
+    return dealt.select(*CROSSED, *more).repartition(partitions(dealt.sparkSession), "token", "low", "high").sortWithinPartitions("token", "low", "high", "n")
+
+
+def _last_links(lists: DataFrame, labels: DataFrame, minis: DataFrame, verifier: Verifier, block: int) -> DataFrame | None:
+    """Links that join all components which any list's entries link. First the entries that meet none they can be similar to go;
+    the others come with their whole sets, in blocks of as many shingles as memory allows, and are compared where they meet. So
+    rows are as many as entries in blocks, not pairs."""
+    open_ = _open(lists, labels)
+    first = open_.groupBy("node").agg(F.slice(F.sort_array(F.collect_list(F.struct("pos", "token"))), 1, FIRST).alias("first"))
+    earlier = F.expr("transform(filter(first, x -> x.pos < pos OR (x.pos = pos AND x.token < token)), x -> x.token)").alias("earlier")
+    entries = stage(open_.join(first, "node").join(minis, "node").select("token", "node", "root", "n", "pos", "many", "mini", earlier), "entries")
+    met = stage(_sorted(_dealt(entries, F.ceil(F.col("many") / block)), "earlier").mapInArrow(_meeting(verifier.rule), "token long, node long").distinct(), "met")
+    sets = verifier.sets(met.select("node").distinct())
+    if sets is None:
+        return None
+    entries = entries.drop("many").join(met, ["token", "node"])
+    sizes = entries.groupBy("token").agg(F.greatest(F.count("*") / block, F.sum("n") / SHINGLES).alias("blocks"))
+    dealt = _dealt(entries.join(sizes, "token"), F.ceil("blocks")).join(sets, "node")
+    links = stage(_sorted(dealt, "earlier", "shingles").mapInArrow(released(_linking(verifier.rule)), "a long, b long"), "links")
+    discard(sets)
+    return links
+
+
 def _open(lists: DataFrame, labels: DataFrame) -> DataFrame:
     """Entries of the lists whose nodes lie in more than one component, with root and many, the list's length. A list of
     two nodes has no pair but the one that the first round compared. As components only grow, no other list opens later:
@@ -446,13 +558,10 @@ def _rooted(docs: DataFrame, rule: Rule, block: int, turns: int) -> DataFrame:
         some = open_.groupBy("token", "root", F.pmod(F.xxhash64("node", F.lit(turn)), F.lit(16))).agg(F.max("many").alias("many"), F.min(F.struct(F.xxhash64("token", "node", F.lit(turn)).alias("h"), "node", "n", "pos")).alias("one"))
         low = F.pmod(F.xxhash64("one.node", F.lit(turn)), F.ceil(F.col("many") / block)).cast("int")
         some = some.select("token", low.alias("low"), low.alias("high"), "one.node", "root", "one.n", "one.pos", low.alias("side")).join(minis, "node")
-        some = some.select(*CROSSED).repartition(partitions(spark), "token", "low").sortWithinPartitions("token", "low", "high", "n")
-        labels = _grown(labels, verifier.links(some.mapInArrow(_crossing(rule, 8 << 2 * turn), "a long, b long")))
+        labels = _grown(labels, verifier.links(_sorted(some).mapInArrow(_nearest(rule, 8 << 2 * turn), "a long, b long")))
         lists = open_.select("token", "node", "n", "pos")
-    dealt = _open(lists, labels).join(minis, "node").withColumn("parts", F.ceil(F.col("many") / block).cast("int")).withColumn("side", F.pmod(F.xxhash64("node"), "parts").cast("int"))
-    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).withColumn("low", F.least("side", "other")).withColumn("high", F.greatest("side", "other"))
-    dealt = dealt.select(*CROSSED).repartition(partitions(spark), "token", "low", "high").sortWithinPartitions("token", "low", "high", "n")
-    labels = _grown(labels, verifier.links(dealt.mapInArrow(_crossing(rule), "a long, b long")))
+    last = _last_links(lists, labels, minis, verifier, block)
+    labels = labels if last is None else _grown(labels, last)
 
     return narrow.select("doc_id", "at", "n", "node").join(labels, "node", "left").withColumn("root", F.coalesce("root", "node"))
 
