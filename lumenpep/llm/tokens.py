@@ -23,14 +23,17 @@ _BLANK = r"\t\n\x0b\x0c\r "
 _OTHER = re.compile(rf"[^\x00-\x1b\x20-\x7e¡-¬®-±´-¸»¿{_LETTER}×÷‐-‧€™]|<\|")
 #: The same for texts that are ASCII.
 _CONTROL = re.compile(r"[\x1c-\x1f\x7f]|<\|")
-_SUFFIX = "'s|'t|'re|'ve|'m|'ll|'d"
-#: The two pre-tokenizers of the public files: byte level with its own pattern, and lower case with word ends.
-_BYTE_LEVEL = re.compile(rf"{_SUFFIX}| ?[{_LETTER}]+| ?[0-9]+| ?[^{_BLANK}{_LETTER}0-9]+|[{_BLANK}]+(?![^{_BLANK}])|[{_BLANK}]+")
-_WORD_END = re.compile(rf"{_SUFFIX}|[{_LETTER}]+|[0-9]|[^{_BLANK}{_LETTER}0-9]+")
+_SUFFIX = "'(?:[stmd]|re|ve|ll)"
+#: The two pre-tokenizers of the public files: byte level with its own pattern, and lower case with word ends. Words, the commonest, are tried
+#: first: no other part can begin where they do.
+_BYTE_LEVEL = re.compile(rf" ?[{_LETTER}]+| ?[0-9]+|{_SUFFIX}| ?[^{_BLANK}{_LETTER}0-9]+|[{_BLANK}]+(?![^{_BLANK}])|[{_BLANK}]+")
+_WORD_END = re.compile(rf"[{_LETTER}]+|[0-9]|{_SUFFIX}|[^{_BLANK}{_LETTER}0-9]+")
 _BYTE_LEVEL_CONF = {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": True}
 #: Byte-level models see each byte as a printable character: the printable ones of Latin-1 as themselves, others from 256 on.
 _PRINTABLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
 _SHOWN = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in _PRINTABLE)}
+_BLANK_SHOWN = chr(_SHOWN[32])
+_PACK = [struct.Struct(f"<{n}I").pack for n in range(65)]
 
 
 class _Memo(dict):
@@ -44,8 +47,12 @@ class _Memo(dict):
     def __missing__(self, piece: str) -> bytes:
         ids = self.old.get(piece)
         if ids is None:
-            found = [t.id for t in self.model.tokenize(piece.encode("utf-8").decode("latin-1").translate(_SHOWN))]
-            ids = struct.pack(f"<{len(found)}I", *found)
+            if piece.isascii() and piece.isprintable():  # all but the blank are shown as themselves
+                shown = piece.replace(" ", _BLANK_SHOWN)
+            else:
+                shown = piece.encode("utf-8").decode("latin-1").translate(_SHOWN)
+            found = [t.id for t in self.model.tokenize(shown)]
+            ids = _PACK[len(found)](*found) if len(found) < len(_PACK) else np.array(found, dtype="<u4").tobytes()
         if len(piece) <= 64:
             self[piece] = ids
         return ids
@@ -59,7 +66,7 @@ class _Memo(dict):
 class Encoder:
     """encode(texts) yields the ids of each whole text as little-endian unsigned 32-bit integers, without special tokens."""
 
-    def __init__(self, path: str, memo: int = 150_000):
+    def __init__(self, path: str, memo: int = 300_000):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 

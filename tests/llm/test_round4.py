@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import numpy as np
 import pytest
 
-from lumenpep.llm import ngram_join
+from lumenpep.llm import ngram_join, tokens
 
 
 def near_misses(spark, m: int):
@@ -37,3 +38,20 @@ def test_last_round_without_others(spark, monkeypatch, shingles):
     monkeypatch.setattr(ngram_join, "SHINGLES", shingles)
     got = {r["doc_id"]: r["component_id"] for r in ngram_join.near_duplicates(near_misses(spark, 40), block=7, turns=0).collect()}
     assert got == {i: i % 16 for i in range(40)}
+
+
+def test_words_that_come_again_are_kept():
+    """320,000 words in 16 texts: the second time none is asked of the model."""
+    e = tokens.Encoder(tokens.public("word_bpe_49k.json"))
+    ends = [f"{b}{x}{y}{z}" for b in "aeiouyàéèö" for x in "aeiou" for y in "bcdfghjklmnpqrstvwxz" for z in "abcdefghijklmnopqrst"]
+    texts = [" ".join(a + end for end in ends) for a in "bcdfghjklmnpqrst"]
+    first = list(e.encode(texts))
+    e.memo.model = None
+    assert list(e.encode(texts)) == first
+
+
+@pytest.mark.parametrize("name", ["word_bpe_49k.json", "byte_bpe_50k.json"])
+def test_cut_and_bytes_as_the_library(name):
+    e = tokens.Encoder(tokens.public(name), memo=3)
+    for text in ("it's we'll I'm 'd 're've 'x' ''s", "a'sb 's1 12's  'S 'LL", " \t\n x  y \r\n", "\x00\x01a \x1bb ~!", "é'é «l'été» œuvre's", "a" * 300, "-_ '" * 40):
+        assert next(e.encode([text])) == np.asarray(e.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
