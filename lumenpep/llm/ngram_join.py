@@ -6,7 +6,7 @@ group: the groups are joined, and group pairs expand to their members for verifi
 of fixed size that tasks fill and Spark adds up; it decides only the order, never the result.
 
 A shingle that very many groups share would make a pair of each two of them, though links within a component need not be
-known one by one. So the join goes in rounds. In the first each group of a shingle's list is compared with the list's pivot,
+known one by one. So the join goes in rounds. Entries of short lists that fit no other by size and place go at once. In the first round each group of a shingle's list is compared with the list's pivot,
 which costs as many pairs as the list has entries. Verified links give components, and lists whose entries lie in one
 component are done. In some rounds more, up to 16 nodes of each component of the other lists, others in each list, are
 compared with the most similar of the next few of their size. In the last, every pair from two components is compared in the task
@@ -106,18 +106,21 @@ def _mini(s: np.ndarray) -> bytes:
     return np.packbits((np.bincount((s & np.uint64(255)).astype(np.int64), minlength=256) & 1).astype("u1"), bitorder="little").tobytes()
 
 
+def _differing(x: bytes, y: bytes) -> int:
+    """How many bits of two signatures differ."""
+    x, y = np.frombuffer(x, dtype="<u8"), np.frombuffer(y, dtype="<u8")
+    least = min(len(x), len(y))  # patterns of fewer bits: the parts of the longer signature add up
+    x, y = (np.bitwise_xor.reduce(v.reshape(-1, least), axis=0) for v in (x, y))
+    return int(np.bitwise_count(x ^ y).sum())
+
+
 def _may_link(rule: Rule):
     """Pairs with sizes and signatures -> those whose sets can share enough."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             n = batch.column(2).to_numpy() + batch.column(3).to_numpy()
-            differ = np.zeros(len(n), dtype=np.int64)
-            for i, (x, y) in enumerate(zip(batch.column(4).to_pylist(), batch.column(5).to_pylist(), strict=True)):
-                x, y = np.frombuffer(x, dtype="<u8"), np.frombuffer(y, dtype="<u8")
-                least = min(len(x), len(y))  # patterns of fewer bits: the parts of the longer signature add up
-                x, y = (np.bitwise_xor.reduce(v.reshape(-1, least), axis=0) for v in (x, y))
-                differ[i] = int(np.bitwise_count(x ^ y).sum())
+            differ = np.array([_differing(x, y) for x, y in zip(batch.column(4).to_pylist(), batch.column(5).to_pylist(), strict=True)], dtype=np.int64)
             yield batch.select([0, 1]).filter(pa.array((n - differ) * (rule.num + rule.den) >= 2 * n * rule.num))
 
     return run
@@ -164,15 +167,49 @@ def _explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(token), pa.array(np.repeat(groups[low : low + 500], lengths)), pa.array(np.repeat(sizes[low : low + 500], lengths).astype(np.int32)), pa.array(pos.astype(np.int32))], names=[f.split()[0] for f in ENTRIES.split(", ")])
 
 
-def _stars(rule: Rule):
+def _beside(rule: Rule, n: np.ndarray, pos: np.ndarray, end: np.ndarray, one: np.ndarray, reach: int | None = None) -> Iterator[tuple[np.ndarray, ...]]:
+    """Of entries sorted by n in lists that end at `end`, the places of pairs of fitting sizes, and whether their own places let them
+    share enough. All lists go together: each entry of `one` meets the next, then the one after, and so on while that is in the
+    same list and of a fitting size, or up to the reach-th."""
+    step = 0
+    while len(one) and step != reach:
+        step += 1
+        one = one[one + step < end[one]]
+        one = one[n[one] * rule.den >= n[one + step] * rule.num]
+        two = one + step
+        yield one, two, np.minimum(n[one] - pos[one], n[two] - pos[two]) * (rule.num + rule.den) >= (n[one] + n[two]) * rule.num
+
+
+def _stars(rule: Rule, short: int = 64):
     """Entries sorted by token, n and grp, where a group's may repeat -> those of tokens that more than one group has, once
-    each, with their list's pivot: the first group of the list that is large enough to be similar."""
+    each, with their list's pivot: the first group of the list that is large enough to be similar. Lists of at most `short` groups
+    are seen whole, and entries there that sizes and places let be similar to no other stay behind: no round would link them."""
+    names = ["token", "grp", "n", "pos", "pivot", "pivot_n", "pivot_pos"]
+
+    def starred(columns: list[np.ndarray], pivot: tuple[int, ...] | None) -> tuple[pa.RecordBatch | None, tuple[int, ...] | None]:
+        """pivot: of the first list, which goes on from entries given before; its first entry here is the last of these."""
+        token, group, n, pos = columns[0], columns[1], columns[2].astype(np.int64), columns[3].astype(np.int64)
+        first = np.flatnonzero(np.append(True, token[1:] != token[:-1]))
+        lengths = np.diff(np.append(first, len(token)))
+        kept = np.repeat(lengths > short, lengths)
+        if pivot:
+            kept[: lengths[0]] = True
+        for one, two, fit in _beside(rule, n, pos, np.repeat(first + lengths, lengths), np.flatnonzero(~kept)):
+            kept[one[fit]] = kept[two[fit]] = True
+        if pivot:
+            kept[0] = False
+        rows = np.flatnonzero(kept)
+        out = np.zeros((3, len(rows)), dtype=np.int64)
+        for k, (t, g, m, p) in enumerate(zip(token[rows].tolist(), group[rows].tolist(), n[rows].tolist(), pos[rows].tolist(), strict=True)):
+            if pivot is None or pivot[0] != t or pivot[2] * rule.den < m * rule.num:
+                pivot = (t, g, m, p)
+            out[:, k] = pivot[1:]
+        made = pa.RecordBatch.from_arrays([pa.array(c[rows]) for c in columns] + [pa.array(out[0]), pa.array(out[1].astype(np.int32)), pa.array(out[2].astype(np.int32))], names=names)
+        return made if len(rows) else None, pivot
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: tuple[np.ndarray, ...] | None = None  # the last token's first entry, while it could go on
-        names = ["token", "grp", "n", "pos", "pivot", "pivot_n", "pivot_pos"]
-        pivot: tuple[int, ...] | None = None  # of the list that goes on
-
+        held: list[np.ndarray] | None = None  # the last list while it is short, or the last entry given of a longer one
+        pivot: tuple[int, ...] | None = None  # of that longer one
         for batch in batches:
             if not batch.num_rows:
                 continue
@@ -181,27 +218,20 @@ def _stars(rule: Rule):
                 columns = [np.concatenate((h, c)) for h, c in zip(held, columns, strict=True)]
             once = np.ones(len(columns[0]), dtype=bool)
             once[1:] = (columns[0][1:] != columns[0][:-1]) | (columns[1][1:] != columns[1][:-1])
-            token, group, n, pos = columns = [c[once] for c in columns]
-            same = token[1:] == token[:-1]
-            shared = np.zeros(len(token), dtype=bool)
-            shared[1:] = same
-            shared[:-1] |= same
-            carried = held is not None and pivot is not None
-            if carried:
-                shared[0] = True
-            rows = np.flatnonzero(shared)
-            out = np.zeros((3, len(rows)), dtype=np.int64)
-            for k, (t, g, m, p) in enumerate(zip(token[rows].tolist(), group[rows].tolist(), n[rows].tolist(), pos[rows].tolist(), strict=True)):
-                if pivot is None or pivot[0] != t or pivot[2] * rule.den < m * rule.num:
-                    pivot = (t, g, m, p)
-                out[:, k] = pivot[1:]
-            fresh = rows > 0 if carried else rows >= 0  # the held entry has been emitted before
-            keep = rows[fresh]
-            if len(keep):
-                yield pa.RecordBatch.from_arrays([pa.array(c[keep]) for c in columns] + [pa.array(out[0][fresh]), pa.array(out[1][fresh].astype(np.int32)), pa.array(out[2][fresh].astype(np.int32))], names=names)
-            held = tuple(c[-1:] for c in columns)
-            if not shared[-1]:
+            columns = [c[once] for c in columns]
+            last = int(np.argmax(columns[0] == columns[0][-1]))  # where the last list begins
+            more = len(columns[0]) - last > short or (pivot is not None and not last)
+            now, held = ([c[:last] for c in columns], [c[last:] for c in columns]) if not more else (columns, [c[-1:] for c in columns])
+            if len(now[0]):
+                made, pivot = starred(now, pivot)
+                if made:
+                    yield made
+            if not more:
                 pivot = None
+        if held is not None and pivot is None:
+            made, _ = starred(held, None)
+            if made:
+                yield made
 
     return run
 
@@ -351,7 +381,7 @@ def _moved_on(labels: DataFrame, moved: DataFrame) -> DataFrame:
 
 def _columns(batch: pa.RecordBatch) -> list[np.ndarray]:
     """A batch of CROSSED, and of what may follow them, as arrays with a row for each entry: the eight numbers, mini as four words, earlier tokens
-    and how many these are, whole sets as bytes."""
+    and how many these are, whole signatures and sets as bytes."""
     columns = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(8)]
     columns.append(np.frombuffer(b"".join(batch.column(8).to_pylist()), dtype="<u8").reshape(-1, 4))
     if batch.num_columns > 9:
@@ -359,10 +389,9 @@ def _columns(batch: pa.RecordBatch) -> list[np.ndarray]:
         earlier = np.zeros((len(many), FIRST), dtype=np.int64)
         earlier[np.arange(FIRST) < many[:, None]] = batch.column(9).flatten().to_numpy(zero_copy_only=False)
         columns += [earlier, many]
-    if batch.num_columns > 10:
-        sets = np.empty(batch.num_rows, dtype=object)
-        sets[:] = batch.column(10).to_pylist()
-        columns.append(sets)
+    for i in range(10, batch.num_columns):
+        columns.append(np.empty(batch.num_rows, dtype=object))
+        columns[-1][:] = batch.column(i).to_pylist()
     return columns
 
 
@@ -386,23 +415,15 @@ def _whole_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[list[np.ndarray
 
 def _fitting(rule: Rule, columns: list[np.ndarray], reach: int | None = None) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """Of blocks of entries sorted by n, the places of pairs from two components that can be similar by sizes, places and small
-    signatures, and the share of bits that differ. All lists go together: each entry meets the next, then the one after, and so
-    on while that is in the same list and of a fitting size, or up to the reach-th. With earlier tokens a pair is met in the
-    first list that both are in: there its places allow the most."""
+    signatures, and the share of bits that differ. With earlier tokens a pair is met in the first list that both are in: there its
+    places allow the most."""
     token, low, high, _, root, n, pos, side, mini, *more = columns
     n, pos = n.astype(np.int64), pos.astype(np.int64)
     edge = np.ones(len(token), dtype=bool)
     edge[1:] = (token[1:] != token[:-1]) | (low[1:] != low[:-1]) | (high[1:] != high[:-1])
     end = np.append(np.flatnonzero(edge)[1:], len(token))[np.cumsum(edge) - 1]
-    one, step = np.arange(len(token)), 0
-    while len(one) and step != reach:
-        step += 1
-        one = one[one + step < end[one]]
-        one = one[n[one] * rule.den >= n[one + step] * rule.num]
-        two = one + step
-        most = np.minimum(n[one] - pos[one], n[two] - pos[two])
-        fit = (root[one] != root[two]) & (most * (rule.num + rule.den) >= (n[one] + n[two]) * rule.num)
-        fit &= (low[one] == high[one]) | (side[one] != side[two])
+    for one, two, fit in _beside(rule, n, pos, end, np.arange(len(token)), reach):
+        fit &= (root[one] != root[two]) & ((low[one] == high[one]) | (side[one] != side[two]))
         a, b = one[fit], two[fit]
         differ, both = np.bitwise_count(mini[a] ^ mini[b]).sum(axis=1, dtype=np.int64), n[a] + n[b]
         may = (both - differ) * (rule.num + rule.den) >= 2 * both * rule.num
@@ -435,13 +456,25 @@ def _nearest(rule: Rule, reach: int):
     return run
 
 
+def _near(rule: Rule, columns: list[np.ndarray], i: int, j: int) -> bool:
+    """Whether two entries' sets can be similar by their sizes and whole signatures."""
+    both = int(columns[5][i]) + int(columns[5][j])
+    return (both - _differing(columns[11][i], columns[11][j])) * (rule.num + rule.den) >= 2 * both * rule.num
+
+
 def _meeting(rule: Rule):
-    """CROSSED and earlier, sorted -> the entries, once each, that meet any they can be similar to."""
+    """CROSSED and earlier, sorted -> the entries, once each, that meet any they can be similar to; by their whole signatures too,
+    where these follow."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for columns in _whole_blocks(batches):
             some = np.zeros(len(columns[0]), dtype=bool)
             for a, b, _ in _fitting(rule, columns):
+                if len(columns) > 11:
+                    open_ = ~(some[a] & some[b])  # others' pairs change nothing
+                    a, b = a[open_], b[open_]
+                    near = np.array([_near(rule, columns, i, j) for i, j in zip(a.tolist(), b.tolist(), strict=True)], dtype=bool)
+                    a, b = a[near], b[near]
                 some[a] = some[b] = True
             if some.any():
                 yield pa.RecordBatch.from_arrays([pa.array(columns[0][some]), pa.array(columns[3][some])], names=["token", "node"])
@@ -450,7 +483,7 @@ def _meeting(rule: Rule):
 
 
 def _linking(rule: Rule):
-    """CROSSED, earlier and whole sets, sorted -> links that join components. Sets are compared here, and only where no links
+    """CROSSED, earlier, whole signatures and sets, sorted -> links that join components. Sets are compared here, and only where no links
     found before in the task join the two: a task has fewer links than components."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -462,7 +495,7 @@ def _linking(rule: Rule):
                 order = np.argsort(differ, kind="stable")
                 for i, j in zip(a[order].tolist(), b[order].tolist(), strict=True):
                     x, y = _top(above, int(root[i])), _top(above, int(root[j]))
-                    if x != y and _similar(sets[i], sets[j], rule):
+                    if x != y and _near(rule, columns, i, j) and _similar(sets[i], sets[j], rule):
                         above[max(x, y)] = min(x, y)
                         links.append((int(node[i]), int(node[j])))
             if links:
@@ -481,22 +514,31 @@ def _sorted(dealt: DataFrame, *more: str) -> DataFrame:
     return dealt.select(*CROSSED, *more).repartition(partitions(dealt.sparkSession), "token", "low", "high").sortWithinPartitions("token", "low", "high", "n")
 
 
+def _bounded(entries: DataFrame, block: int, shingles: int) -> DataFrame:
+    """Entries dealt out in blocks of about so many entries, and shingles of their sets, at most."""
+    sizes = entries.groupBy("token").agg(F.greatest(F.count("*") / block, F.sum("n") / shingles).alias("blocks"))
+    return _dealt(entries.join(sizes, "token"), F.ceil("blocks"))
+
+
 def _last_links(lists: DataFrame, labels: DataFrame, minis: DataFrame, verifier: Verifier, block: int) -> DataFrame | None:
-    """Links that join all components which any list's entries link. First the entries that meet none they can be similar to go;
-    the others come with their whole sets, in blocks of as many shingles as memory allows, and are compared where they meet. So
-    rows are as many as entries in blocks, not pairs."""
+    """Links that join all components which any list's entries link. First the entries that meet none they can be similar to go, by
+    small signatures and then, for what these leave, by whole ones, as small ones tell nothing of long sets; the others come with their
+    whole sets, in blocks of as many shingles as memory allows, and are compared where they meet. So rows are as many as entries in
+    blocks, not pairs, and whole sets are read of near misses only."""
     open_ = _open(lists, labels)
     first = open_.groupBy("node").agg(F.slice(F.sort_array(F.collect_list(F.struct("pos", "token"))), 1, FIRST).alias("first"))
     earlier = F.expr("transform(filter(first, x -> x.pos < pos OR (x.pos = pos AND x.token < token)), x -> x.token)").alias("earlier")
     entries = stage(open_.join(first, "node").join(minis, "node").select("token", "node", "root", "n", "pos", "many", "mini", earlier), "entries")
-    met = stage(_sorted(_dealt(entries, F.ceil(F.col("many") / block)), "earlier").mapInArrow(_meeting(verifier.rule), "token long, node long").distinct(), "met")
+    meeting, found = _meeting(verifier.rule), "token long, node long"
+    met = stage(_sorted(_dealt(entries, F.ceil(F.col("many") / block)), "earlier").mapInArrow(meeting, found).distinct(), "met")
+    sigs = verifier.nodes.join(met.select("node").distinct(), "node").select("node", "sig")
+    entries = stage(entries.drop("many").join(met, ["token", "node"]).join(sigs, "node"), "entries")
+    met = stage(_sorted(_bounded(entries, block, 32 * SHINGLES), "earlier", "sig").mapInArrow(meeting, found).distinct(), "met")
     sets = verifier.sets(met.select("node").distinct())
     if sets is None:
         return None
-    entries = entries.drop("many").join(met, ["token", "node"])
-    sizes = entries.groupBy("token").agg(F.greatest(F.count("*") / block, F.sum("n") / SHINGLES).alias("blocks"))
-    dealt = _dealt(entries.join(sizes, "token"), F.ceil("blocks")).join(sets, "node")
-    links = stage(_sorted(dealt, "earlier", "shingles").mapInArrow(released(_linking(verifier.rule)), "a long, b long"), "links")
+    dealt = _bounded(entries.join(met, ["token", "node"]), block, SHINGLES).join(sets, "node")
+    links = stage(_sorted(dealt, "earlier", "sig", "shingles").mapInArrow(released(_linking(verifier.rule)), "a long, b long"), "links")
     discard(sets)
     return links
 
