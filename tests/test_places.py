@@ -70,7 +70,7 @@ def test_letters_of_texts(spark):
     assert want and sorted(map(tuple, peptides.counted(of, text=True).collect())) == want
 
 
-@pytest.mark.parametrize("name", ["kmer_novel", "expression_counts"])
+@pytest.mark.parametrize("name", ["kmer_novel", "kmer_transcripts", "expression_counts"])
 def test_no_window_is_shuffled_as_a_row(spark, name):
     plan = QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
     assert "hashpartitioning(bucket" in plan and "hashpartitioning(peptide" not in plan
