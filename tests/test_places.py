@@ -1,5 +1,6 @@
 """Windows that meet as numbers of places, against a plain version."""
 
+import hashlib
 from collections import Counter
 
 import numpy as np
@@ -7,6 +8,7 @@ import pyarrow as pa
 import pytest
 
 from lumenpep.functions.alleles import RESIDUES
+from lumenpep.functions.hashes import md5_first
 from lumenpep.operators import peptides, places
 from lumenpep.queries import QUERIES
 
@@ -81,3 +83,38 @@ def test_a_place_takes_few_bytes_of_a_shuffle():
     batch = pa.record_batch([pa.array(range(300)), pa.array(texts)], names=["transcript", "seq"])
     sent = [b for x in places._sender(places.Shape((8, 9, 10, 11)), False, True, True, 8, 0)(iter([batch])) for b in x["data"].to_pylist()]
     assert sum(map(len, sent)) < 10 * 300 * 993  # about 37 for each of four windows as a row
+
+
+@pytest.mark.parametrize("size", [0, 3, 4, 11, 17, 55])
+def test_md5_of_many(size):
+    texts = [bytes(x) for x in np.random.default_rng(size).integers(0, 256, (50, size), dtype=np.uint8)]
+    blocks = np.frombuffer(b"".join((t + b"\x80").ljust(56, b"\0") for t in texts), dtype="<u4").reshape(50, 14)
+    assert [f"{x:016x}" for x in md5_first([blocks[:, j].copy() for j in range(14)], size)] == [hashlib.md5(t).hexdigest()[:16] for t in texts]
+
+
+@pytest.mark.parametrize("seed", [42, 7])
+@pytest.mark.parametrize("ratios", [{8: 1, 9: 2, 10: 1, 11: 0.5}, {3: 1, 12: 4}, {8: 1, 13: 1}])
+def test_quotas_from_one_reading_of_the_sequences(spark, seed, ratios):
+    rows = [x for _, x in LEFT] + drawn(8, 300) * 2
+    read = spark.sparkContext.accumulator(0)
+
+    def run(batches):
+        for b in batches:
+            read.add(b.num_rows)
+            yield b
+
+    of = spark.createDataFrame([(x,) for x in rows], "seq string")
+    want = peptides.quotas(300, ratios)
+    first = lambda k, n: sorted({x for t in rows for x in found(t, (k,))}, key=lambda x: (hashlib.md5(f"{x}|{seed}".encode()).hexdigest(), x))[:n]
+    got = sorted(x[0] for x in peptides.sampled_windows(of.mapInArrow(run, "seq string"), 300, ratios, seed).collect())
+    assert got == sorted(x for k, n in want.items() for x in first(k, n))
+    if 13 not in ratios:
+        assert read.value <= 2 * len(rows)  # once for its bytes, once for its windows
+
+
+def test_portions_of_a_task_keep_the_first_of_all():
+    shape, texts = places.Shape((8, 9)), drawn(9, 200)
+    batch = pa.record_batch([pa.array(texts)], names=["seq"])
+    for want in ({8: 1, 9: 40}, {8: 10**6, 9: 2}):
+        got = [x for b in places._smallest(shape, False, want, "|42", held=200)(iter([batch])) for x in b["peptide"].to_pylist()]
+        assert sorted(got) == sorted(x for k, n in want.items() for x in sorted({x for t in texts for x in found(t, (k,))}, key=lambda x: hashlib.md5(f"{x}|42".encode()).hexdigest())[:n])
