@@ -4,11 +4,15 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, LongType, StringType, StructType
 
-from ..functions.alleles import valid
+from ..functions.alleles import RESIDUES, valid
 from ..session import written
+from .places import BUCKET, Shape, codes, different, in_buckets, met, strings
+from .windows import BITS
 
 #: BLOSUM62, lower triangle.
 ORDER = "ARNDCQEGHILKMFPSTWYV"
@@ -61,74 +65,113 @@ def encode(peptides: list[str]) -> np.ndarray:
 
 
 class Trie:
-    """References of one length by their residues, positions of most weight first: level d has a node for each different run of
-    the first d + 1 residues. A node's children are neighbours in the next level."""
-
-    def __init__(self, refs: np.ndarray, w: np.ndarray):
-        self.order = np.argsort(-w, kind="stable")
-        at = np.unique(refs[:, self.order], axis=0)
-        self.size, first = len(at), np.concatenate(([0], np.argmax(at[1:] != at[:-1], axis=1))) if len(at) else np.zeros(0, dtype=np.int64)
-        first[:1] = -1
-        starts = [np.flatnonzero(first <= d) for d in range(at.shape[1])]  # rows where a node of the level begins
-        self.residue = [at[s, d] for d, s in enumerate(starts)]
-        self.child = [np.searchsorted(later, np.append(s, len(at))) for s, later in zip(starts, starts[1:], strict=False)]
-
-    def best(self, gain: np.ndarray, own: np.ndarray, floor: np.ndarray, exclude: bool, most: int) -> tuple[np.ndarray, np.ndarray]:
-        """For each peptide the best score over its floor (of those below own, with exclude), -inf where there is none; and how
-        many pairs were scored to the end. gain: peptide, level, residue -> what the residue adds. Pairs of peptide and node
-        go down level by level while the node's score and the most that the rest can add are over the floor. Where more than
-        `most` pairs are met at once, half of the peptides go first."""
-        rest = np.concatenate((np.cumsum(gain.max(axis=2)[:, ::-1], axis=1)[:, ::-1], np.zeros((len(own), 1))), axis=1)
-        who, node, score = np.repeat(np.arange(len(own)), len(self.residue[0])), np.tile(np.arange(len(self.residue[0])), len(own)), np.zeros(len(own) * len(self.residue[0]))
-        for d, residue in enumerate(self.residue):
-            if d:
-                low, many = self.child[d - 1][node], np.diff(self.child[d - 1])[node]
-                total = int(many.sum())
-                if total > most and len(own) > 1:
-                    half = len(own) // 2
-                    parts = [self.best(gain[s], own[s], floor[s], exclude, most) for s in (slice(half), slice(half, None))]
-                    return tuple(np.concatenate(x) for x in zip(*parts, strict=True))
-                node = np.arange(total) + np.repeat(low - np.cumsum(many) + many, many)
-                who, score = np.repeat(who, many), np.repeat(score, many)
-            score = score + gain[who, d, residue[node]]
-            on = score + rest[who, d + 1] > floor[who]
-            who, node, score = who[on], node[on], score[on]
-        done = np.bincount(who, minlength=len(own))
-        out = np.full(len(own), -np.inf)
-        if exclude:
-            on = score < own[who]
-            who, score = who[on], score[on]
-        np.maximum.at(out, who, score)
-        return out, done
-
-
-#: Floors that are tried one after another, as shares of a peptide's own score; what is left has no floor.
-FLOORS = (0.85, 0.7, 0.6, 0.5, 0.4, 0.25)
-
-
-def _best(exclude_identity: bool, block: int = 2048, most: int = 2_000_000, step: int = 4):
+    """Different sequences of one length, as rows in order, by their runs of first residues: level d has a node for each different run
+    of d + 1 residues. A node's children are neighbours in the next level."""
+
+    def __init__(self, rows: np.ndarray):
+        first = np.concatenate((np.full(min(len(rows), 1), -1), (rows[1:] != rows[:-1]).argmax(axis=1)))
+        self.begin = [np.flatnonzero(first <= d) for d in range(rows.shape[1])]  # rows where a node of the level begins
+        self.residue = [rows[s, d].astype(np.int32) for d, s in enumerate(self.begin)]
+        self.child = [np.searchsorted(later, np.append(s, len(rows))).astype(np.int32) for s, later in zip(self.begin, self.begin[1:], strict=False)]
+
+
+def _in_order(rows: np.ndarray) -> np.ndarray:
+    """Places of rows of residues (0 to 19), sorted."""
+    if rows.shape[1] > 12:
+        return np.lexsort(rows.T[::-1])
+    return np.argsort(sum(rows[:, d].astype(np.uint64) << np.uint64(5 * (rows.shape[1] - 1 - d)) for d in range(rows.shape[1])))
+
+
+def _pairs(few: Trie, many: Trie, gain: list[np.ndarray], need: list[np.ndarray], most: int) -> tuple[np.ndarray, np.ndarray] | None:
+    """Rows of few, and their scores with those rows of many for which no run of first residues of both stays at or below what few's
+    node needs there. Pairs of nodes go down level by level, so peptides share what they have in common. None where more than `most` pairs are met at once."""
+    p, r = np.repeat(np.arange(len(few.residue[0]), dtype=np.int32), len(many.residue[0])), np.tile(np.arange(len(many.residue[0]), dtype=np.int32), len(few.residue[0]))
+    score = np.zeros(len(p), dtype=np.int32)
+    for d, of in enumerate(gain):
+        if d:
+            low = few.child[d - 1][p]
+            times = few.child[d - 1][p + 1] - low
+            total = int(times.sum(dtype=np.int64))
+            if total > most:
+                return None
+            if total > len(p):  # pairs of the peptides' children and the references' node
+                p = np.arange(total, dtype=np.int32) + np.repeat(low - np.cumsum(times, dtype=np.int32) + times, times)
+                r, score = np.repeat(r, times), np.repeat(score, times)
+            else:
+                p = low
+            low = many.child[d - 1][r]
+            times = many.child[d - 1][r + 1] - low
+            total = int(times.sum(dtype=np.int64))
+            if total > most:
+                return None
+            pair = np.repeat(np.arange(len(p), dtype=np.int32), times)
+            r = np.arange(total, dtype=np.int32) + np.repeat(low - np.cumsum(times, dtype=np.int32) + times, times)
+        else:
+            pair = np.arange(len(p), dtype=np.int32)
+        more = of.take((few.residue[d][p] * 20)[pair] + many.residue[d][r])
+        on = np.flatnonzero(more > (need[d][p] - score)[pair])
+        pair, r = pair[on], r[on]
+        p, score = p[pair], score[pair] + more[on]
+    return p, score
+
+
+#: Floors that are tried one after another, as shares of a peptide's own score; what is left has none.
+FLOORS = (0.95, 0.9, 0.85, 0.8, 0.75, 0.7, 0.65, 0.6, 0.55, 0.5, 0.45, 0.4, 0.3)
+_BELOW = -(1 << 24)
+
+
+class References:
+    """References of one length (rows of residues, each once), positions of most weight first."""
+
+    def __init__(self, rows: np.ndarray, step: int = 4):
+        w, self.matrix = np.array(weights(rows.shape[1], step)), matrix()
+        self.order, self.size = np.argsort(-w, kind="stable"), len(rows)
+        rows = rows[:, self.order]
+        self.trie = Trie(rows[_in_order(rows)].astype(np.uint8))
+        self.gain = [(self.matrix * x).astype(np.int32).ravel() for x in w[self.order]]
+
+    def best(self, rows: np.ndarray, exclude: bool, block: int = 1 << 16, most: int = 2_000_000) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """For different peptides (rows of residues whose positions are in this order, sorted): the best score (of those below the
+        peptide's own, with exclude), -inf where there is none; the own score; and how many pairs were scored to the end. A score over
+        the floor is exact, as all that reach it are met; peptides without one go on to the next floor. Where more than `most` pairs
+        are met at once, half of the peptides go first."""
+        k = rows.shape[1]
+        own = np.stack([self.gain[d].take(rows[:, d].astype(np.int32) * 21) for d in range(k)], axis=1)  # no other residue adds more
+        rest = np.cumsum(own[:, ::-1], axis=1)[:, ::-1]
+        own, rest = rest[:, 0].copy(), np.concatenate((rest[:, 1:], np.zeros((len(rows), 1), dtype=rest.dtype)), axis=1)
+        best, scored, left = np.full(len(rows), _BELOW, dtype=np.int32), np.zeros(len(rows), dtype=np.int64), np.arange(len(rows))
+        for share in (*FLOORS, None):
+            stack = [left[low : low + block] for low in range(0, len(left), block)]
+            while stack:
+                at = stack.pop()
+                floor = np.floor(share * own[at]).astype(np.int32) if share else np.full(len(at), _BELOW, dtype=np.int32)
+                few = Trie(rows[at])
+                need = [np.minimum.reduceat(floor - rest[at, d], few.begin[d]).astype(np.int32) for d in range(k)]
+                found = _pairs(few, self.trie, self.gain, need, most if len(at) > 1 else 1 << 60)
+                if found is None:
+                    stack += [at[len(at) // 2 :], at[: len(at) // 2]]
+                    continue
+                scored[at] += np.bincount(found[0], minlength=len(at))
+                on = found[1] < own[at][found[0]] if exclude else np.ones(len(found[0]), dtype=bool)
+                np.maximum.at(best, at[found[0][on]], found[1][on])
+            left = left[best[left] == _BELOW]
+            if not len(left):
+                break
+        return np.where(best == _BELOW, -np.inf, best), own, scored
+
+
+def _best(exclude_identity: bool, block: int = 1 << 16, most: int = 2_000_000, step: int = 4):
     """Best scores of a group's peptides, all of one length, among the group's references, and how many pairs were scored for
-    them. A score over the floor is exact, as all that reach it are met; peptides without one go on to the next floor."""
-    b = matrix()
+    them."""
 
     def run(peptides: pd.DataFrame, refs: pd.DataFrame) -> pd.DataFrame:
         peptides, refs = peptides["peptide"].tolist(), refs["seq"].tolist()
         raw, own, scored = np.full(len(peptides), -np.inf), np.ones(len(peptides)), np.zeros(len(peptides), dtype=np.int64)
-        k = len(peptides[0]) if peptides else 0
-        if k and refs:
-            w, e = np.array(weights(k, step)), encode(peptides)
-            own = (w * b[e, e]).sum(axis=1).astype(float)
-            trie = Trie(encode(refs), w)
-            for low in range(0, len(e), block):
-                left = np.arange(low, min(low + block, len(e)))
-                for share in (*FLOORS, -np.inf):
-                    if not len(left):
-                        break
-                    gain = (b[e[left]] * w[None, :, None]).astype(np.float64)[:, trie.order]
-                    floor = np.full(len(left), -np.inf) if share < 0 else share * own[left]
-                    found, done = trie.best(gain, own[left], floor, exclude_identity, most)
-                    raw[left], scored[left] = found, scored[left] + done
-                    left = left[np.isneginf(found)]
+        if peptides and refs:
+            among = References(np.unique(encode(refs), axis=0), step)
+            rows = encode(peptides)[:, among.order].astype(np.uint8)
+            order = _in_order(rows)
+            raw[order], own[order], scored[order] = among.best(rows[order], exclude_identity, block, most)
         return pd.DataFrame({"peptide": pd.Series(peptides, dtype=object), "raw": pd.array(np.where(np.isfinite(raw), raw, np.nan), dtype="Float64"), "own": own, "scored": scored, "pairs": np.full(len(peptides), len(refs), dtype=np.int64)})
 
     return run
@@ -174,6 +217,50 @@ def similarity(peptides: DataFrame, references: DataFrame, exclude_identity: boo
     return best.select("peptide", (F.round(F.col("raw") / F.col("own"), 6) if normalised else F.col("raw")).alias("similarity"), *(("scored", "pairs") if counts else ()))
 
 
+def _scored(shape: Shape, refs: dict[int, np.ndarray], exclude: bool, step: int):
+    """The windows of a bucket, with their best scores among the references (codes by length)."""
+    place = np.zeros(32, dtype=np.uint8)
+    place[np.arange(1, 21)] = [ORDER.index(c) for c in RESIDUES]
+    residues = lambda found, k, order: np.stack([place[((found >> np.uint64(BITS * (k - 1 - j))) & np.uint64(31)).astype(np.uint8)] for j in order], axis=1)
+    among: dict[int, References] = {}
+
+    def run(table: pa.Table) -> pa.Table:
+        out = []
+        for k, found in different(table, shape):
+            if k not in among and len(refs.get(k, ())):
+                among[k] = References(residues(refs[k], k, range(k)), step)
+            raw, own, scored, pairs = np.full(len(found), -np.inf), np.ones(len(found)), np.zeros(len(found), dtype=np.int64), 0
+            if len(found) and k in among:
+                rows = residues(found, k, among[k].order)
+                order = _in_order(rows)
+                found, pairs = found[order], among[k].size
+                raw, own, scored = among[k].best(rows[order], exclude)
+            columns = [strings(found, k), pa.array(raw, mask=np.isneginf(raw)), pa.array(own.astype(np.float64)), pa.array(scored), pa.array(np.full(len(found), pairs))]
+            out += pa.table(columns, names=_SCORED.names).to_batches(max_chunksize=1 << 16)
+        return pa.Table.from_batches(out, schema=pa.schema(zip(_SCORED.names, (pa.string(), pa.float64(), pa.float64(), pa.int64(), pa.int64()), strict=True)))
+
+    return run
+
+
+_SCORED = StructType().add("peptide", StringType()).add("raw", DoubleType()).add("own", DoubleType()).add("scored", LongType()).add("pairs", LongType())
+
+
+def similarity_of_windows(proteins: DataFrame, references: DataFrame, lengths=(8, 9, 10, 11), text: bool = False, exclude_identity: bool = True, counts: bool = False, step: int = 4, most: int = 1_000_000) -> DataFrame:
+    """similarity() of all windows of proteins (seq) to all windows of references (seq), of 3 residues at least. Up to `most` windows of
+    references go to every task, and the proteins' windows are scored where their places meet, without being written or shuffled as strings;
+    more meet as in similarity()."""
+    shape = Shape(k for k in lengths if k > 2)
+    if not shape.fits():
+        raise ValueError("these lengths don't fit a number of a place")
+    near = met(references, lengths=shape.lengths, text=text, per_row=False)
+    refs = near.limit(most + 1).toArrow().column(0).to_pylist()
+    if len(refs) > most:
+        return similarity(met(proteins, lengths=shape.lengths, text=text, per_row=False), near.withColumnRenamed("peptide", "seq"), exclude_identity, counts=counts, step=step)
+    by = {k: codes(pa.array([r for r in refs if len(r) == k], pa.string()), Shape([k]), False)[1] for k in shape.lengths}
+    best = in_buckets([proteins], shape, text, each=2 * BUCKET, least=3).groupBy("bucket").applyInArrow(_scored(shape, by, exclude_identity, step), _SCORED)
+    return best.select("peptide", F.round(F.col("raw") / F.col("own"), 6).alias("similarity"), *(("scored", "pairs") if counts else ()))
+
+
 def in_order(peptides: DataFrame, scores: DataFrame, order: str) -> DataFrame:
     """A score for each row of peptides (peptide, and a column to order by), repeated rows too; sort by it where written."""
     return peptides.select(order, "peptide").join(scores, "peptide", "left").select(order, "peptide", "similarity")

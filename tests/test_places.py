@@ -9,7 +9,7 @@ import pytest
 
 from lumenpep.functions.alleles import RESIDUES
 from lumenpep.functions.hashes import md5_first
-from lumenpep.operators import peptides, places
+from lumenpep.operators import peptides, places, similarity
 from lumenpep.queries import QUERIES
 
 
@@ -72,7 +72,7 @@ def test_letters_of_texts(spark):
     assert want and sorted(map(tuple, peptides.counted(of, text=True).collect())) == want
 
 
-@pytest.mark.parametrize("name", ["kmer_novel", "kmer_transcripts", "expression_counts"])
+@pytest.mark.parametrize("name", ["kmer_novel", "kmer_transcripts", "expression_counts", "similarity_documents"])
 def test_no_window_is_shuffled_as_a_row(spark, name):
     plan = QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
     assert "hashpartitioning(bucket" in plan and "hashpartitioning(peptide" not in plan
@@ -118,3 +118,31 @@ def test_portions_of_a_task_keep_the_first_of_all():
     for want in ({8: 1, 9: 40}, {8: 10**6, 9: 2}):
         got = [x for b in places._smallest(shape, False, want, "|42", held=200)(iter([batch])) for x in b["peptide"].to_pylist()]
         assert sorted(got) == sorted(x for k, n in want.items() for x in sorted({x for t in texts for x in found(t, (k,))}, key=lambda x: hashlib.md5(f"{x}|42".encode()).hexdigest())[:n])
+
+
+@pytest.mark.parametrize("exclude", [True, False])
+def test_windows_are_scored_where_they_meet(spark, exclude):
+    r = np.random.default_rng(12)
+    words = lambda n: [("".join(r.choice(list("ACDSWYX"), k)),) for k in r.integers(5, 40, n)]
+    of, refs = spark.createDataFrame(words(60), "seq string"), spark.createDataFrame(words(12), "seq string")
+    lengths = (3, 8, 9, 40)  # of 40 there are no references, and numbers hold 12 residues
+    with pytest.raises(ValueError):
+        similarity.similarity_of_windows(of, refs, lengths)
+    lengths = (3, 8, 9, 12)
+    one, two = (places.met(x, lengths=lengths) for x in (of, refs))
+    want = {tuple(x) for x in similarity.similarity(one, two.withColumnRenamed("peptide", "seq"), exclude, counts=True).select("peptide", "similarity", "pairs").collect()}
+    for most in (10**6, 5):  # the latter sends no references to tasks
+        got = similarity.similarity_of_windows(of, refs, lengths, exclude_identity=exclude, counts=True, most=most).select("peptide", "similarity", "pairs").collect()
+        assert len(got) == len(want) > 500 and {tuple(x) for x in got} == want
+
+
+@pytest.mark.parametrize("most", [2_000_000, 60])
+def test_peptides_share_what_they_have_in_common(most):
+    r = np.random.default_rng(1)
+    refs, rows = (np.unique(r.integers(0, 20, (n, 5)), axis=0) for n in (200, 300))
+    among = similarity.References(refs)
+    rows = rows[:, among.order].astype(np.uint8)
+    rows = rows[similarity._in_order(rows)]
+    raw, own, _ = among.best(rows, False, block=64, most=most)
+    b, w = similarity.matrix(), np.array(similarity.weights(5))[among.order]
+    assert (raw == [max((w * b[x, q]).sum() for q in refs[:, among.order]) for x in rows]).all() and (own == [(w * b[x, x]).sum() for x in rows]).all()
